@@ -40,7 +40,7 @@ def date_to_string(c: str | Column) -> Column:
 def string_to_date(c: str | Column, fmt: str = "yyyy-MM-dd") -> Column:
     """Unparseable strings give null instead of failing the job."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.try_to_date(col, F.lit(fmt))
+    return F.try_to_date(col, fmt)
 
 
 def day_of_week(d: str | Column) -> Column:
