@@ -1 +1,268 @@
-"""Registered queries."""
+"""Registered queries: seasons, sources and sinks, subsets, profiling, park fences."""
+
+from __future__ import annotations
+
+from datetime import date
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from mound.dictionaries import PARK_FENCES
+from mound.functions.clean import home_win, round_doubles
+from mound.operators import games as G
+from mound.operators import parks as PK
+from mound.operators import profile as PR
+from mound.operators import seasons as S
+from mound.operators import subsets as L
+from mound.plans.queries_core import GAME_SQL, _cnt
+from mound.plans.registry import register
+from mound.session import scratch_path
+from mound.sources import pitchlog as PL
+from mound.sources import sinks as SK
+from mound.sources.fixtures import pitches, with_pitches
+
+# Season calendar of the fixture (order dates span 1995-2001): one season
+# per year from March 20 to October 5, so winter dates fall outside.
+FIXTURE_SEASONS = [(y, date(y, 3, 20), date(y, 10, 5)) for y in range(1995, 2002)]
+_SEASONS_SQL = "(VALUES " + ", ".join(
+    f"({y}, DATE '{a.isoformat()}', DATE '{b.isoformat()}')" for y, a, b in FIXTURE_SEASONS
+) + ") AS cal(season, season_start, season_end)"
+
+SLICE_START, SLICE_END = "1997-03-20", "1997-10-05"
+
+
+@register(
+    "season_slice", ("S5", "A5"),
+    with_pitches(f"""SELECT game_date, home_team, away_team, COUNT(*) AS total_pitches,
+       MAX(home_score) AS home_score, MAX(away_score) AS away_score
+FROM pitches WHERE game_date BETWEEN '{SLICE_START}' AND '{SLICE_END}'
+GROUP BY game_date, home_team, away_team"""),
+)
+def q_season_slice(spark, sf):
+    p = S.season_slice(pitches(spark, sf), SLICE_START, SLICE_END)
+    return p.groupBy(*G.GAME_KEY).agg(
+        F.count(F.lit(1)).alias("total_pitches"),
+        F.max("home_score").alias("home_score"), F.max("away_score").alias("away_score"))
+
+
+@register(
+    "season_tag", ("J4",),
+    with_pitches(f"""SELECT cal.season, COUNT(*) AS pitches, COUNT(DISTINCT p.game_pk) AS game_ids,
+       MIN(p.game_date) AS first_date, MAX(p.game_date) AS last_date
+FROM pitches p LEFT JOIN {_SEASONS_SQL}
+  ON CAST(p.game_date AS DATE) BETWEEN cal.season_start AND cal.season_end
+GROUP BY cal.season"""),
+)
+def q_season_tag(spark, sf):
+    cal = S.calendar_frame(spark, FIXTURE_SEASONS)
+    tagged = S.season_tag(pitches(spark, sf), cal)
+    return tagged.groupBy("season").agg(
+        F.count(F.lit(1)).alias("pitches"), F.countDistinct("game_pk").alias("game_ids"),
+        F.min("game_date").alias("first_date"), F.max("game_date").alias("last_date"))
+
+
+@register(
+    "season_union", ("U1", "S2"),
+    with_pitches("""SELECT game_pk, pitch_number, pitcher, game_date, release_speed,
+       CASE WHEN game_date >= '1998-01-01' THEN launch_angle END AS launch_angle,
+       CASE WHEN game_date < '1998-01-01' THEN 'early' ELSE 'late' END AS era
+FROM pitches"""),
+)
+def q_season_union(spark, sf):
+    p = pitches(spark, sf).select("game_pk", "pitch_number", "pitcher", "game_date", "release_speed", "launch_angle")
+    # The early era's files predate the launch_angle column.
+    early = p.where(F.col("game_date") < "1998-01-01").drop("launch_angle").withColumn("era", F.lit("early"))
+    late = p.where(F.col("game_date") >= "1998-01-01").withColumn("era", F.lit("late"))
+    return S.union_seasons([early, late])
+
+
+_GAME_ORDER = ("game_date", "home_team", "away_team")
+
+
+@register(
+    "preview", ("L1",),
+    with_pitches(f"""SELECT * FROM (SELECT game_date, home_team, away_team, home_score, away_score, total_pitches
+      FROM ({GAME_SQL}) g) x ORDER BY game_date, home_team, away_team LIMIT 5"""),
+)
+def q_preview(spark, sf):
+    g = G.game_stats(pitches(spark, sf), full=False).select(
+        *_GAME_ORDER, "home_score", "away_score", "total_pitches")
+    return L.preview(g, _GAME_ORDER, 5)
+
+
+@register(
+    "size_subset", ("L2",),
+    with_pitches("""SELECT game_pk, pitch_number, pitcher, game_date, home_team, away_team, events,
+       release_speed, release_spin_rate
+FROM pitches ORDER BY game_date, game_pk, pitch_number, pitcher, release_spin_rate, release_speed LIMIT 10000"""),
+)
+def q_size_subset(spark, sf):
+    p = pitches(spark, sf).select("game_pk", "pitch_number", "pitcher", "game_date", "home_team", "away_team",
+                                  "events", "release_speed", "release_spin_rate")
+    return L.size_subset(p, ("game_date", "game_pk", "pitch_number", "pitcher", "release_spin_rate",
+                             "release_speed"), 10000)
+
+
+_A5_SQL = f"""SELECT game_date, home_team, away_team,
+       {_cnt("inning_topbot = 'Bot'")} AS home_half_pitches,
+       {_cnt("inning_topbot = 'Top'")} AS away_half_pitches,
+       MAX(home_score) AS home_score, MAX(away_score) AS away_score, COUNT(*) AS total_pitches,
+       {_cnt("events = 'strikeout' AND inning_topbot = 'Bot'")} AS home_strikeouts,
+       {_cnt("events = 'strikeout' AND inning_topbot = 'Top'")} AS away_strikeouts,
+       CAST(MAX(home_score) > MAX(away_score) AS INTEGER) AS home_win
+FROM pitches GROUP BY game_date, home_team, away_team"""
+
+A5_SCHEMA = T.StructType([
+    T.StructField("game_date", T.StringType()), T.StructField("home_team", T.StringType()),
+    T.StructField("away_team", T.StringType()), T.StructField("home_half_pitches", T.LongType()),
+    T.StructField("away_half_pitches", T.LongType()), T.StructField("home_score", T.LongType()),
+    T.StructField("away_score", T.LongType()), T.StructField("total_pitches", T.LongType()),
+    T.StructField("home_strikeouts", T.LongType()), T.StructField("away_strikeouts", T.LongType()),
+    T.StructField("home_win", T.IntegerType()),
+])
+
+
+@register(
+    "parquet_round_trip", ("S1", "S2", "S7"),
+    with_pitches(f"SELECT *, CAST(substr(game_date, 1, 4) AS INTEGER) AS season FROM ({_A5_SQL}) g"),
+)
+def q_parquet_round_trip(spark, sf):
+    games = G.game_stats_single_pass(pitches(spark, sf)).withColumn(
+        "season", F.substring("game_date", 1, 4).cast("int"))
+    path = scratch_path(spark, "games-parquet")
+    SK.write_parquet(games, path, partition_by=["season"], mode="overwrite")
+    schema = T.StructType(A5_SCHEMA.fields + [T.StructField("season", T.IntegerType())])
+    return PL.read_pitch_log(spark, path, schema=schema)
+
+
+@register(
+    "csv_round_trip", ("S3", "S6"),
+    with_pitches(f"""SELECT game_date, home_team, away_team, home_score, away_score, total_pitches,
+       home_strikeouts, away_strikeouts, round(avg_exit_velocity, 6) AS avg_exit_velocity,
+       round(avg_launch_angle, 6) AS avg_launch_angle, home_runs FROM ({GAME_SQL}) g"""),
+)
+def q_csv_round_trip(spark, sf):
+    games = G.game_stats(pitches(spark, sf))
+    path = scratch_path(spark, "games-csv")
+    SK.write_csv(games, path, mode="overwrite")
+    schema = T.StructType([
+        T.StructField("game_date", T.StringType()), T.StructField("home_team", T.StringType()),
+        T.StructField("away_team", T.StringType()), T.StructField("home_score", T.LongType()),
+        T.StructField("away_score", T.LongType()), T.StructField("total_pitches", T.LongType()),
+        T.StructField("home_strikeouts", T.LongType()), T.StructField("away_strikeouts", T.LongType()),
+        T.StructField("avg_exit_velocity", T.DoubleType()), T.StructField("avg_launch_angle", T.DoubleType()),
+        T.StructField("home_runs", T.LongType()),
+    ])
+    return round_doubles(PL.read_csv(spark, path, schema))
+
+
+@register(
+    "write_if_absent", ("S8",),
+    with_pitches(_A5_SQL),
+)
+def q_write_if_absent(spark, sf):
+    p = pitches(spark, sf)
+    first = G.game_stats_single_pass(p)
+    path = scratch_path(spark, "games-keep")
+    SK.write_if_absent(first, path + "/t")
+    # A second, different table written to the same path is ignored.
+    second = first.withColumn("total_pitches", F.col("total_pitches") + 1)
+    SK.write_if_absent(second, path + "/t")
+    return PL.read_pitch_log(spark, path + "/t", schema=A5_SCHEMA)
+
+
+@register(
+    "sql_view_game_stats", ("S4", "A3"),
+    with_pitches(f"""SELECT game_date, home_team AS game_home_team, away_team AS game_away_team,
+       MAX(home_score) AS home_score, MAX(away_score) AS away_score, COUNT(*) AS total_pitches,
+       {_cnt("events = 'strikeout' AND inning_topbot = 'Bot'")} AS home_strikeouts,
+       {_cnt("events = 'strikeout' AND inning_topbot = 'Top'")} AS away_strikeouts,
+       round(AVG(launch_speed), 6) AS avg_exit_velocity, round(AVG(launch_angle), 6) AS avg_launch_angle,
+       {_cnt("events = 'home_run'")} AS home_runs
+FROM pitches GROUP BY game_date, home_team, away_team"""),
+)
+def q_sql_view_game_stats(spark, sf):
+    PL.register_view(pitches(spark, sf), "statcast")
+    return spark.sql("""
+        SELECT game_date, home_team AS game_home_team, away_team AS game_away_team,
+               MAX(home_score) AS home_score, MAX(away_score) AS away_score, COUNT(*) AS total_pitches,
+               SUM(CASE WHEN events = 'strikeout' AND inning_topbot = 'Bot' THEN 1 ELSE 0 END) AS home_strikeouts,
+               SUM(CASE WHEN events = 'strikeout' AND inning_topbot = 'Top' THEN 1 ELSE 0 END) AS away_strikeouts,
+               round(AVG(launch_speed), 6) AS avg_exit_velocity, round(AVG(launch_angle), 6) AS avg_launch_angle,
+               SUM(CASE WHEN events = 'home_run' THEN 1 ELSE 0 END) AS home_runs
+        FROM statcast GROUP BY game_date, home_team, away_team""")
+
+
+@register(
+    "pitcher_stats", ("A8",),
+    with_pitches(f"""SELECT pitcher, pitch_type, COUNT(*) AS pitches,
+       {_cnt("events = 'strikeout'")} AS strikeouts, {_cnt("type = 'S'")} AS strikes,
+       {_cnt("type = 'B'")} AS balls, {_cnt("type = 'X'")} AS in_play,
+       {_cnt("events = 'hit_by_pitch'")} AS hit_by_pitch,
+       {_cnt("description IN ('wild_pitch', 'passed_ball') OR events = 'field_error'")} AS wild_pitches_errors,
+       {_cnt("events = 'walk'")} AS walks, {_cnt("events IS NOT NULL")} AS plate_appearances,
+       round(AVG(release_spin_rate), 6) AS avg_spin_rate, round(AVG(release_speed), 6) AS avg_velocity,
+       round(SUM(CASE WHEN type = 'B' THEN 1 ELSE 0 END)
+             / NULLIF(SUM(CASE WHEN events IS NOT NULL THEN 1 ELSE 0 END), 0), 6) AS balls_per_pa
+FROM pitches GROUP BY pitcher, pitch_type"""),
+)
+def q_pitcher_stats(spark, sf):
+    return round_doubles(PR.pitcher_stats(pitches(spark, sf)))
+
+
+_CORR_COLS = ("release_speed", "release_spin_rate", "launch_speed", "launch_angle", "home_score", "away_score")
+
+
+def _corr_sql() -> str:
+    from itertools import combinations
+
+    parts = [f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr({a}, {b}), 6) AS r FROM pitches"
+             for a, b in combinations(_CORR_COLS, 2)]
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("correlations", ("A9",), with_pitches(_corr_sql()))
+def q_correlations(spark, sf):
+    return round_doubles(PR.correlations(pitches(spark, sf), _CORR_COLS))
+
+
+_DISTINCT_COLS = ("game_date", "home_team", "away_team", "events", "description", "type", "pitch_type", "pitcher")
+
+
+@register(
+    "distinct_counts", ("A10",),
+    with_pitches("\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, COUNT(DISTINCT {c}) AS n_distinct FROM pitches" for c in _DISTINCT_COLS)),
+)
+def q_distinct_counts(spark, sf):
+    return PR.distinct_counts(pitches(spark, sf), _DISTINCT_COLS)
+
+
+_FENCE_SQL = "(VALUES " + ", ".join(
+    f"('{p}', {n}, '{s.replace(chr(39), chr(39) * 2)}', {lo!r}, {hi!r}, {d!r})"
+    for p, n, s, lo, hi, d in PK.fence_rows(PARK_FENCES)
+) + ") AS f(park, segment_no, segment, angle_lo, angle_hi, fence_ft)"
+
+
+@register(
+    "park_fences", ("J5",),
+    with_pitches(f"""SELECT b.game_pk, b.pitch_number, b.pitcher, b.park, b.spray_angle, b.distance_ft,
+       f.segment_no, f.segment, f.fence_ft, b.distance_ft > f.fence_ft AS over_fence
+FROM (SELECT game_pk, pitch_number, pitcher, 'PHI' AS park,
+             CAST(release_spin_rate AS BIGINT) % 91 - 45.0 AS spray_angle,
+             launch_speed * 3.5 + launch_angle AS distance_ft
+      FROM pitches WHERE launch_speed IS NOT NULL) b
+LEFT JOIN {_FENCE_SQL}
+  ON b.park = f.park AND b.spray_angle >= f.angle_lo AND b.spray_angle < f.angle_hi"""),
+)
+def q_park_fences(spark, sf):
+    # The fixture has one described park; every batted ball is placed in it.
+    # Spray angle and carry distance are derived from fixture columns.
+    batted = pitches(spark, sf).where(F.col("launch_speed").isNotNull()).select(
+        "game_pk", "pitch_number", "pitcher", F.lit("PHI").alias("park"),
+        (F.col("release_spin_rate").cast("bigint") % 91 - 45.0).alias("spray_angle"),
+        (F.col("launch_speed") * 3.5 + F.col("launch_angle")).alias("distance_ft"),
+    )
+    out = PK.fence_check(batted, PK.fence_frame(spark, PARK_FENCES))
+    return out.select("game_pk", "pitch_number", "pitcher", "park", "spray_angle", "distance_ft",
+                      "segment_no", "segment", "fence_ft", "over_fence")
