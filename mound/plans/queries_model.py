@@ -1 +1,140 @@
-"""Registered queries."""
+"""Registered queries: the game-outcome model."""
+
+from __future__ import annotations
+
+from functools import lru_cache
+
+from pyspark.sql import functions as F
+
+from mound.dictionaries import FEATURES_6, FEATURES_11
+from mound.functions.clean import round_doubles
+from mound.operators import games as G
+from mound.operators import seasons as S
+from mound.plans import model as M
+from mound.plans.queries_core import GAMES_KEYED_CTES
+from mound.plans.queries_io import FIXTURE_SEASONS
+from mound.plans.registry import register
+from mound.sources.fixtures import pitches, with_pitches
+
+_INDEX_CTES = """gk AS (SELECT DISTINCT game_date, home_team, away_team FROM pitches),
+hi AS (SELECT home_team, CAST(row_number() OVER (ORDER BY COUNT(*) DESC, home_team) - 1 AS DOUBLE) AS home_team_index
+       FROM gk GROUP BY home_team),
+ai AS (SELECT away_team, CAST(row_number() OVER (ORDER BY COUNT(*) DESC, away_team) - 1 AS DOUBLE) AS away_team_index
+       FROM gk GROUP BY away_team)"""
+
+
+@register(
+    "team_index", ("M1",),
+    with_pitches("""SELECT gk.game_date, gk.home_team, gk.away_team, hi.home_team_index, ai.away_team_index
+FROM gk JOIN hi ON gk.home_team = hi.home_team JOIN ai ON gk.away_team = ai.away_team""", extra_ctes=_INDEX_CTES),
+)
+def q_team_index(spark, sf):
+    games = pitches(spark, sf).select(*G.GAME_KEY).distinct()
+    return M.index_teams(games)
+
+
+_FEATURE_EXPR = {
+    "home_team_index": "hi.home_team_index",
+    "away_team_index": "ai.away_team_index",
+    "home_avg_hits": "home_half_pitches / COUNT(*) OVER (PARTITION BY j.home_team)",
+    "away_avg_hits": "away_half_pitches / COUNT(*) OVER (PARTITION BY j.away_team)",
+    "home_strikeouts": "CAST(home_strikeouts AS DOUBLE)",
+    "away_strikeouts": "CAST(away_strikeouts AS DOUBLE)",
+    "avg_exit_velocity": "avg_exit_velocity",
+    "avg_launch_angle": "avg_launch_angle",
+    "home_runs": "CAST(home_runs AS DOUBLE)",
+    "home_avg_pitch_speed": "AVG(home_day_avg_pitch_speed) OVER (PARTITION BY j.home_team)",
+    "away_avg_pitch_speed": "AVG(away_day_avg_pitch_speed) OVER (PARTITION BY j.away_team)",
+}
+
+
+@register(
+    "feature_rows", ("M2", "M3"),
+    with_pitches(
+        "SELECT game_date, home_team, away_team, home_win, "
+        + ", ".join(f"round(f_{n}, 6) AS f_{n}" for n in FEATURES_11)
+        + " FROM x WHERE " + " AND ".join(f"f_{n} IS NOT NULL" for n in FEATURES_11),
+        extra_ctes=GAMES_KEYED_CTES + ",\n" + _INDEX_CTES + ",\nx AS (SELECT j.game_date, j.home_team, j.away_team, "
+        "CAST(home_score > away_score AS INTEGER) AS home_win, "
+        + ", ".join(f"{_FEATURE_EXPR[n]} AS f_{n}" for n in FEATURES_11)
+        + " FROM j JOIN hi ON j.home_team = hi.home_team JOIN ai ON j.away_team = ai.away_team)",
+    ),
+)
+def q_feature_rows(spark, sf):
+    feats = M.index_teams(G.game_features(pitches(spark, sf)))
+    vec = M.assemble(feats, FEATURES_11).select("game_date", "home_team", "away_team", "home_win", "features")
+    return round_doubles(M.features_as_columns(vec, FEATURES_11))
+
+
+@register(
+    "key_split", ("M4",),
+    with_pitches("""SELECT game_date, home_team, away_team,
+       CASE WHEN (((CAST(game_date AS DATE) - DATE '1970-01-01') % 5) + 5) % 5 < 1 THEN 'test' ELSE 'train' END AS side
+FROM (SELECT DISTINCT game_date, home_team, away_team FROM pitches) g"""),
+)
+def q_key_split(spark, sf):
+    games = pitches(spark, sf).select(*G.GAME_KEY).distinct()
+    return games.withColumn("side", M.split_flag(M.date_number("game_date")))
+
+
+@lru_cache(maxsize=4)
+def _fit(spark, sf: str, features: tuple[str, ...], split: str):
+    fitted = M.fit_game_outcome(G.game_features(pitches(spark, sf)), list(features), split=split)
+    acc = M.accuracy_frame(fitted.predictions, fitted.label).select(
+        F.lit(split).alias("split"), F.lit(len(features)).alias("n_features"), "n_test", "accuracy")
+    out = {
+        "accuracy": M.materialize(acc, "rf-accuracy"),
+        "confusion": M.materialize(M.confusion(fitted.predictions, fitted.label), "rf-confusion"),
+        "importance": M.materialize(M.importances(fitted.model, fitted.features, spark), "rf-importance"),
+    }
+    M.release(fitted)
+    return out
+
+
+@register("rf_accuracy", ("M5", "M6", "M7"))
+def q_rf_accuracy(spark, sf):
+    return _fit(spark, sf, tuple(FEATURES_11), "key")["accuracy"].unionByName(
+        _fit(spark, sf, tuple(FEATURES_6), "random")["accuracy"])
+
+
+@register("rf_confusion", ("M6", "M7"))
+def q_rf_confusion(spark, sf):
+    return _fit(spark, sf, tuple(FEATURES_11), "key")["confusion"]
+
+
+@register("rf_importance", ("M8",))
+def q_rf_importance(spark, sf):
+    return _fit(spark, sf, tuple(FEATURES_11), "key")["importance"]
+
+
+@register("rf_multiclass", ("M9", "M1", "M2", "M5", "M7"))
+def q_rf_multiclass(spark, sf):
+    # Pitch-level rows; pitch_number (1-7) stands in for hit_location.
+    p = pitches(spark, sf).select("home_team", "away_team", F.col("pitch_number").cast("double").alias("label"))
+    data = M.assemble(M.index_teams(p), ["home_team_index", "away_team_index"], handle_invalid="skip")
+    train, test = data.randomSplit([0.7, 0.3], seed=42)
+    model = M.train_rf(train, "label", num_trees=100)
+    acc = M.accuracy_frame(model.transform(test), "label").withColumn("n_classes", F.lit(model.numClasses))
+    return M.materialize(acc, "rf-multiclass")
+
+
+# Season ranges of the multi-season runs, over the fixture's calendar.
+SEASON_RANGES = [(1995, 2001), (1998, 2001)]
+
+
+@register("rf_by_season", ("M10", "J4", "S5"))
+def q_rf_by_season(spark, sf):
+    cal = S.calendar_frame(spark, FIXTURE_SEASONS)
+    tagged = S.season_tag(pitches(spark, sf), cal).where(F.col("season").isNotNull())
+    frames = []
+    for lo, hi in SEASON_RANGES:
+        p = tagged.where(F.col("season").between(lo, hi))
+        fitted = M.fit_game_outcome(G.game_features(p), FEATURES_11, split="key")
+        acc = M.accuracy_frame(fitted.predictions, fitted.label).select(
+            F.lit(lo).alias("first_season"), F.lit(hi).alias("last_season"), "n_test", "accuracy")
+        frames.append(M.materialize(acc, "rf-season"))
+        M.release(fitted)
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
