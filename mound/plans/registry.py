@@ -39,5 +39,6 @@ def load_all() -> dict[str, Query]:
     from mound.plans import queries_clean  # noqa: F401
     from mound.plans import queries_io  # noqa: F401
     from mound.plans import queries_model  # noqa: F401
+    from mound.plans import queries_events  # noqa: F401
 
     return REGISTRY

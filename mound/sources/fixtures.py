@@ -122,3 +122,167 @@ def with_pitches(body: str, wide: bool = False, extra_ctes: str = "") -> str:
     if extra_ctes:
         ctes += ",\n" + extra_ctes
     return f"WITH {ctes}\n{body}"
+
+
+# ----------------------------------------------------------------------------
+# Event-file, roster and team-list layouts written from the driver's tables,
+# for round trips through the scanners of ``mound.sources.eventlog``.
+# ----------------------------------------------------------------------------
+
+FIXTURE_ROSTER_SEASONS = tuple(range(1995, 2002))
+
+
+def team_code(nationkey: Column) -> Column:
+    return F.concat(F.lit("N"), F.lpad(nationkey.cast("string"), 2, "0"))
+
+
+def _pid(prefix: str, key: Column) -> Column:
+    return F.concat(F.lit(prefix), F.lpad(key.cast("string"), 7, "0"))
+
+
+def event_file_games(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per order = game: its whole event-file text block."""
+    orders = table(spark, sf_dir, "orders")
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    li = table(spark, sf_dir, "lineitem")
+
+    g = orders.join(customer, orders.o_custkey == customer.c_custkey).select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority",
+        F.col("o_orderdate").cast("date").alias("d"),
+        team_code(F.col("c_nationkey")).alias("home"),
+        team_code((F.col("c_nationkey") + 1 + F.col("o_orderkey") % 24) % 25).alias("vis"),
+    ).withColumn("game_id", F.concat("home", F.date_format("d", "yyyyMMdd"), F.col("o_orderkey").cast("string")))
+
+    def hdr(i: int, line: Column) -> Column:
+        return F.struct(F.lit(0).alias("s"), F.lit(i).alias("n"), F.lit(None).cast("struct<a:bigint,b:bigint,c:double,d:string,e:string,f:double,g:double,h:double>").alias("t"), line.alias("line"))
+
+    info = [
+        ("visteam", F.col("vis")), ("hometeam", F.col("home")),
+        ("site", F.concat("home", F.lit("01"))), ("date", F.date_format("d", "yyyy/MM/dd")),
+        ("number", (F.col("o_orderkey") % 3).cast("string")), ("gametype", F.lit("regular")),
+        ("daynight", F.when(F.col("o_orderpriority").startswith("1"), "night").otherwise("day")),
+        ("temp", (F.col("o_totalprice").cast("bigint") % 100).cast("string")),
+        ("attendance", F.col("o_custkey").cast("string")), ("sky", F.col("o_orderstatus")),
+    ]
+    headers = g.select("o_orderkey", "game_id", F.array(
+        hdr(0, F.concat(F.lit("id,"), F.col("game_id"))),
+        hdr(1, F.lit("version,2")),
+        *[hdr(2 + i, F.concat(F.lit(f"info,{k},"), v)) for i, (k, v) in enumerate(info)],
+    ).alias("ls"))
+
+    pid = _pid("s", F.col("l_suppkey"))
+    batter = _pid("c", F.col("l_partkey") % 1000 + 1)
+    side = F.when(F.col("l_linestatus") == "O", "0").otherwise("1")
+    qty = F.col("l_quantity").cast("bigint")
+    tie = F.struct(F.col("l_partkey").alias("a"), F.col("l_suppkey").alias("b"), F.col("l_quantity").alias("c"),
+                   F.col("l_linestatus").alias("d"), F.col("l_returnflag").alias("e"), F.col("l_tax").alias("f"),
+                   F.col("l_discount").alias("g"), F.col("l_extendedprice").alias("h"))
+    ln = F.col("l_linenumber")
+
+    def body(section: int, sub: int, line: Column, when: Column | None = None) -> Column:
+        s = F.struct(F.lit(section).alias("s"), (ln * 10 + sub).alias("n"), tie.alias("t"), line.alias("line"))
+        return s if when is None else F.when(when, s)
+
+    flag = F.col("l_returnflag")
+    items = li.join(supplier, li.l_suppkey == supplier.s_suppkey).select(F.col("l_orderkey").alias("o_orderkey"), F.array_compact(F.array(
+        body(1, 0, F.concat_ws(",", F.lit("start"), pid, F.concat(F.lit('"'), F.col("s_name"), F.lit('"')), side,
+                               ln.cast("string"), (F.col("l_partkey") % 10).cast("string"))),
+        body(2, 0, F.concat_ws(",", F.lit("play"), ln.cast("string"), side, batter,
+                               F.concat((qty % 4).cast("string"), (qty % 3).cast("string")),
+                               F.when(flag == "A", "CBX").when(flag == "R", "SSS").otherwise(""),
+                               F.when(flag == "A", "HR/F7").when(flag == "R", "K").otherwise("63/G"))),
+        body(2, 1, F.concat_ws(",", F.lit("sub"), pid, F.concat(F.lit('"'), F.col("s_name"), F.lit('"')), side,
+                               ln.cast("string"), F.lit("11")), F.col("l_tax") > 0.06),
+        body(2, 2, F.concat(F.lit('com,"note, line '), ln.cast("string"), F.lit(" of "),
+                            F.col("l_orderkey").cast("string"), F.lit('"')), ln == 1),
+        body(2, 3, F.concat_ws(",", F.lit("radj"), batter, F.lit("2")), F.col("l_discount") >= 0.1),
+        body(3, 0, F.concat_ws(",", F.lit("data"), F.lit("er"), pid, (qty % 5).cast("string"))),
+    )).alias("ls"))
+    # Lines per game are bounded (a handful per line item, at most seven
+    # line items per order), so collecting them per order is bounded too.
+    lines = headers.select("o_orderkey", F.explode("ls").alias("l")).unionByName(
+        items.select("o_orderkey", F.explode("ls").alias("l")))
+    return lines.groupBy("o_orderkey").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list("l")), lambda x: x["line"]), "\r\n").alias("block"))
+
+
+def write_event_files(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Event-file layout: CRLF lines, many games per file."""
+    blocks = event_file_games(spark, sf_dir)
+    blocks.select(F.concat("block", F.lit("\r")).alias("value")).write.mode("overwrite").text(path)
+
+
+def roster_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as players: one roster entry per season; every 50th
+    customer is also listed by the next team in the same season."""
+    c = table(spark, sf_dir, "customer")
+    seasons = F.array(*[F.lit(y) for y in FIXTURE_ROSTER_SEASONS])
+    base = c.select(
+        _pid("c", F.col("c_custkey")).alias("player_id"),
+        F.col("c_name").alias("last_name"), F.col("c_mktsegment").alias("first_name"),
+        F.element_at(F.array(F.lit("L"), F.lit("R"), F.lit("B")), (F.col("c_custkey") % 3 + 1).cast("int")).alias("bats"),
+        F.when(F.col("c_custkey") % 2 == 0, "R").otherwise("L").alias("throws"),
+        F.col("c_nationkey"), F.col("c_custkey"),
+        F.element_at(F.array(*[F.lit(p) for p in ("P", "C", "1B", "2B", "3B", "SS", "LF", "CF", "RF")]),
+                     (F.col("c_custkey") % 9 + 1).cast("int")).alias("position"),
+        F.explode(seasons).alias("season"),
+    )
+    second = base.where(F.col("c_custkey") % 50 == 0).withColumn("c_nationkey", (F.col("c_nationkey") + 1) % 25)
+    both = base.unionByName(second).withColumn("team", team_code(F.col("c_nationkey")))
+    return both.withColumn("file", F.concat("team", F.col("season").cast("string"), F.lit(".ROS")))
+
+
+def _flatten(spark: SparkSession, src: str, dst: str, column: str) -> None:
+    """Move the single part file of each ``column=value`` folder to
+    ``dst/value`` (file-system metadata only, no data through the driver)."""
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    src_p = jvm.org.apache.hadoop.fs.Path(src)
+    fs = src_p.getFileSystem(conf)
+    fs.mkdirs(jvm.org.apache.hadoop.fs.Path(dst))
+    for st in fs.listStatus(src_p):
+        name = st.getPath().getName()
+        if not name.startswith(f"{column}="):
+            continue
+        value = name.split("=", 1)[1]
+        parts = [p for p in fs.listStatus(st.getPath()) if p.getPath().getName().startswith("part-")]
+        for i, p in enumerate(parts):
+            target = value if i == 0 else f"{value}.{i}"
+            fs.rename(p.getPath(), jvm.org.apache.hadoop.fs.Path(f"{dst}/{target}"))
+
+
+def write_rosters(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Roster layout: headerless CSV, one ``<TEAM><YYYY>.ROS`` file per
+    team and season, plus a stray fragment file the scan must skip."""
+    rows = roster_rows(spark, sf_dir)
+    staged = path + "_staged"
+    cols = ["player_id", "last_name", "first_name", "bats", "throws", "team", "position"]
+    rows.repartition("file").select(*cols, "file").write.mode("overwrite").partitionBy("file").csv(staged)
+    _flatten(spark, staged, path, "file")
+    rows.where(F.col("team") == "N01").limit(3).select(*cols).coalesce(1).write.mode("overwrite").csv(path + "_frag")
+    _flatten_single(spark, path + "_frag", f"{path}/ari")
+
+
+def _flatten_single(spark: SparkSession, src: str, target: str) -> None:
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    src_p = jvm.org.apache.hadoop.fs.Path(src)
+    fs = src_p.getFileSystem(conf)
+    for p in fs.listStatus(src_p):
+        if p.getPath().getName().startswith("part-"):
+            fs.rename(p.getPath(), jvm.org.apache.hadoop.fs.Path(target))
+            return
+
+
+def write_team_list(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Team-list layout: headerless code, league, city, nickname."""
+    n = table(spark, sf_dir, "nation")
+    r = table(spark, sf_dir, "region")
+    t = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey).select(
+        team_code(F.col("n_nationkey")).alias("code"),
+        F.when(F.col("n_regionkey") % 2 == 0, "A").otherwise("N").alias("league"),
+        F.initcap(F.lower("n_name")).alias("city"),
+        F.col("r_name").alias("nickname"),
+    )
+    t.write.mode("overwrite").option("header", "false").csv(path)
