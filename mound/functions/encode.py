@@ -122,45 +122,60 @@ def translate_list(df: DataFrame, column: str, dictionary: DataFrame | Mapping[s
         tr = F.transform(parts, lambda x: F.coalesce(F.try_element_at(m, x), x))
         return df.withColumn(out, F.when(F.col(column).isNotNull(), F.array_join(tr, joiner)))
 
+    # One reference to ``df``: every row is exploded to its tokens together
+    # with its own columns, and regrouped by a row id taken right after the
+    # input's partitioning (so a retried task reproduces the same ids).  A
+    # group is one row's tokens, bounded by the length of that row's text.
+    others = [c for c in df.columns]
     with_id = df.withColumn("__rid", F.monotonically_increasing_id())
-    tokens = with_id.select("__rid", F.posexplode(F.split(F.col(column), F.lit(sep), -1)).alias("__pos", "__tok"))
+    tokens = with_id.select(
+        "__rid", *others,
+        F.posexplode_outer(F.split(F.col(column), F.lit(sep), -1)).alias("__pos", "__tok"))
     dim = dictionary.select(F.col(code).alias("__tok"), F.col(name).alias("__name"))
-    translated = (
-        tokens.join(dim, "__tok", "left")
-        .groupBy("__rid")
-        .agg(F.array_sort(F.collect_list(F.struct("__pos", F.coalesce("__name", "__tok").alias("t")))).alias("__parts"))
-        .select("__rid", F.array_join(F.transform("__parts", lambda s: s["t"]), joiner).alias(out))
+    joined = tokens.join(dim, "__tok", "left")
+    parts = F.filter(F.array_sort(F.collect_list(F.struct("__pos", F.coalesce("__name", "__tok").alias("t")))),
+                     lambda s: s["__pos"].isNotNull())
+    regrouped = joined.groupBy("__rid").agg(*[F.first(c).alias(c) for c in others], parts.alias("__parts"))
+    return regrouped.select(
+        *others,
+        F.when(F.col(column).isNotNull(), F.array_join(F.transform("__parts", lambda s: s["t"]), joiner)).alias(out),
     )
-    return with_id.join(translated, "__rid", "left").drop("__rid")
 
 
 def dense_index(df: DataFrame, column: str) -> DataFrame:
     """Distinct non-null values of ``column`` with their 0-based rank in
-    ascending order -- ``dense_rank() - 1`` -- computed without sending
-    all values to one task: the distinct values are range-partitioned by
-    a sort, each partition counts its values, and a partition's offset is
-    the sum of counts of the partitions before it (one row per partition).
+    ascending order -- ``dense_rank() - 1`` -- without sending all values
+    to one task.  The distinct values are range-partitioned by a sort and
+    numbered inside each partition; that small table (one row per distinct
+    value) is written once, and a partition's offset is the number of
+    values in the partitions before it (one row per partition, broadcast).
     """
+    from mound.session import write_through
+
     vals = df.select(F.col(column).alias("value")).where(F.col("value").isNotNull()).distinct()
-    ordered = vals.orderBy("value").withColumn("__pid", F.spark_partition_id())
-    counts = ordered.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
-    offsets = counts.select(
+    numbered = vals.orderBy("value").withColumn("__pid", F.spark_partition_id()).withColumn(
+        "__i", F.row_number().over(Window.partitionBy("__pid").orderBy("value")) - 1)
+    numbered = write_through(numbered, f"dense-index-{column}")
+    offsets = numbered.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n")).select(
         "__pid",
-        (F.sum("__n").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1))).alias("__off"),
-    ).fillna(0, ["__off"])
-    within = F.row_number().over(Window.partitionBy("__pid").orderBy("value")) - 1
-    return (
-        ordered.withColumn("__i", within)
-        .join(F.broadcast(offsets), "__pid")
-        .select("value", (F.col("__off") + F.col("__i")).cast("int").alias("index"))
+        F.coalesce(F.sum("__n").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)).alias("__off"),
     )
+    return numbered.join(F.broadcast(offsets), "__pid").select(
+        "value", (F.col("__off") + F.col("__i")).cast("int").alias("index"))
 
 
-def encode_all(df: DataFrame, columns: Sequence[str], suffix: str = "_index") -> DataFrame:
+def encode_all(df: DataFrame, columns: Sequence[str], suffix: str = "_index",
+               materialize_input: bool = True) -> DataFrame:
     """Index every listed column by the rank of its value (nulls stay
-    null).  One small dictionary join per column."""
-    out = df
+    null).  The input is written once so that the per-column dictionaries
+    and the final joins read it instead of recomputing it; each dictionary
+    is joined without a hint (AQE broadcasts it when it is small)."""
+    from mound.session import write_through
+
+    base = write_through(df, "encode-all-input") if materialize_input else df
+    out = base
     for c in columns:
-        d = dense_index(df, c).withColumnsRenamed({"value": "__v", "index": f"{c}{suffix}"})
+        d = dense_index(base, c).withColumnsRenamed({"value": "__v", "index": f"{c}{suffix}"})
         out = out.join(d, out[c].eqNullSafe(d["__v"]), "left").drop("__v")
     return out

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mound.functions.clean import home_win
+from mound.session import write_through
 
 GAME_KEY = ("game_date", "home_team", "away_team")
 
@@ -135,7 +136,7 @@ def _day_rollup(partials: DataFrame, team: str, half_col: str, prefix: str) -> D
     )
 
 
-def game_features(pitches: DataFrame, keys: Sequence[str] = GAME_KEY) -> DataFrame:
+def game_features(pitches: DataFrame, keys: Sequence[str] = GAME_KEY, materialize: bool = True) -> DataFrame:
     """J1k + W2 + W3 with correct keys; one scan of the pitch log.
 
     Output, one row per game: the A3 columns, the home/away half-inning
@@ -143,8 +144,16 @@ def game_features(pitches: DataFrame, keys: Sequence[str] = GAME_KEY) -> DataFra
     to the team's number of games (``home_avg_hits``, W2), the team's
     average day pitch speed (``home_avg_pitch_speed``, W3), the day
     averages themselves and the label.
+
+    The pitch log is scanned once: the job that writes the game-level
+    partials is the only one touching it; every later step reads that
+    (roughly pitches-per-game times smaller) table.
     """
     parts = game_partials(pitches, keys)
+    if materialize:
+        # The game-level table feeds five branches below; write it once so
+        # the pitch log is scanned and shuffled once (see session.write_through).
+        parts = write_through(parts, "game-partials")
     home_day = _day_rollup(parts, "home_team", "bot_pitches", "home")
     away_day = _day_rollup(parts, "away_team", "top_pitches", "away")
     games = (
@@ -175,21 +184,25 @@ def team_games(games: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
 
     Columns: team, opponent, is_home, game_date, runs_for, runs_against,
     result (1 win, -1 loss, 0 tie, null if a score is null) + ``extra``.
+    The two views come from one pass over ``games`` (``inline`` of a
+    two-element array), not from a union that would compute ``games``
+    twice.
     """
-    def side(team: str, opp: str, rf: str, ra: str, is_home: int) -> DataFrame:
-        return games.select(
+    def side(team: str, opp: str, rf: str, ra: str, is_home: int) -> Column:
+        return F.struct(
             F.col(team).alias("team"),
             F.col(opp).alias("opponent"),
             F.lit(is_home).alias("is_home"),
-            F.col("game_date"),
+            F.col("game_date").alias("game_date"),
             F.col(rf).alias("runs_for"),
             F.col(ra).alias("runs_against"),
-            *[F.col(c) for c in extra],
+            *[F.col(c).alias(c) for c in extra],
         )
 
-    both = side("home_team", "away_team", "home_score", "away_score", 1).unionByName(
-        side("away_team", "home_team", "away_score", "home_score", 0)
-    )
+    both = games.select(F.inline(F.array(
+        side("home_team", "away_team", "home_score", "away_score", 1),
+        side("away_team", "home_team", "away_score", "home_score", 0),
+    )))
     return both.withColumn("result", F.signum(F.col("runs_for") - F.col("runs_against")).cast("int"))
 
 

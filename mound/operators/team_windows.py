@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mound.operators.games import away_day_stats, game_stats, home_day_stats
+from mound.operators.games import game_partials
+from mound.session import write_through
 
 TEAM_ORDER = ("game_date", "is_home", "opponent")
 
@@ -85,18 +86,30 @@ def fanout_team_features(pitches: DataFrame) -> DataFrame:
     group-by on (date) or (date, team): no pair is ever emitted, so a busy
     date costs the same as a quiet one.
     """
-    games = game_stats(pitches, full=False).select("game_date", "home_team", "away_team")
-    home_d = home_day_stats(pitches).groupBy("game_date").agg(
+    # One scan of the pitch log: everything below is derived from the
+    # game-level partials, written once.
+    parts = write_through(
+        game_partials(pitches).select("game_date", "home_team", "away_team", "bot_pitches", "top_pitches",
+                                      "sum_speed", "n_speed"),
+        "fanout-partials",
+    )
+    games = parts.select("game_date", "home_team", "away_team")
+
+    def day(team: str, half: str) -> DataFrame:
+        return parts.groupBy("game_date", team).agg(
+            F.sum(half).alias("hits"), (F.sum("sum_speed") / F.sum("n_speed")).alias("speed"))
+
+    home_d = day("home_team", "bot_pitches").groupBy("game_date").agg(
         F.count(F.lit(1)).alias("H"),
-        F.sum("home_half_pitches").alias("SH"),
-        F.sum("home_avg_pitch_speed").alias("SSH"),
-        F.count("home_avg_pitch_speed").alias("CSH"),
+        F.sum("hits").alias("SH"),
+        F.sum("speed").alias("SSH"),
+        F.count("speed").alias("CSH"),
     )
-    away_d = away_day_stats(pitches).groupBy("game_date").agg(
+    away_d = day("away_team", "top_pitches").groupBy("game_date").agg(
         F.count(F.lit(1)).alias("A"),
-        F.sum("away_half_pitches").alias("SA"),
-        F.sum("away_avg_pitch_speed").alias("SSA"),
-        F.count("away_avg_pitch_speed").alias("CSA"),
+        F.sum("hits").alias("SA"),
+        F.sum("speed").alias("SSA"),
+        F.count("speed").alias("CSA"),
     )
     per_date = home_d.join(away_d, "game_date")
 

@@ -130,14 +130,11 @@ def fit_game_outcome(games: DataFrame, features: Sequence[str] = FEATURES_11, la
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write a (small) result under the shared checkpoint folder and read
-    it back: cuts the lineage to the fitted model so that persisted
-    training data can be released."""
-    from mound.session import scratch_path
-
-    path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    """Small result tables are written through the shared checkpoint folder
+    so the persisted training data can be released."""
+    from mound.session import write_through
+
+    return write_through(df, name)
 
 
 def release(fitted: Fitted) -> None:

@@ -9,7 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -59,3 +59,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     os.makedirs(base, exist_ok=True)
     return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
+
+
+def write_through(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it
+    back.
+
+    Used where one intermediate table feeds several branches of a plan:
+    Catalyst prunes each branch differently, so it would otherwise recompute
+    (re-scan) the intermediate once per branch.  The written table is read
+    with column pruning, cuts the lineage (a lost executor does not trigger a
+    re-scan of the source) and costs a single job.  Unlike
+    ``Dataset.checkpoint`` it does not compute the input twice.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
