@@ -13,58 +13,166 @@ from mound.operators.games import game_partials
 from mound.session import write_through
 
 TEAM_ORDER = ("game_date", "is_home", "opponent")
+DAY_ORDER = ("is_home", "opponent")
 
+# Partitioning of the team windows
+# --------------------------------
+# A window over ``team`` alone would put a team's whole history in one task
+# (and a team may hold a large share of all rows).  Instead every window
+# here is either
+#   * over (team, game_date): the game key is unique, so such a group holds
+#     at most two rows per opponent -- bounded by the number of teams; or
+#   * over ``team`` on a per-(team, date) summary table, which has one row
+#     per date the team played -- bounded by the calendar, not by volume.
+# The row-level and day-level results are then joined on (team, game_date).
 
-def _team_window(*extra_partition: str) -> Window:
-    return Window.partitionBy("team", *extra_partition).orderBy(*TEAM_ORDER)
 
+def _in_day(frame_lo=None, frame_hi=None) -> Window:
+    w = Window.partitionBy("team", "game_date").orderBy(*DAY_ORDER)
+    return w if frame_lo is None else w.rowsBetween(frame_lo, frame_hi)
 
-def prior_n_averages(tg: DataFrame, n: int = 5) -> DataFrame:
-    """Averages over the ``n`` games directly before each game."""
-    w = _team_window().rowsBetween(-n, -1)
-    return tg.select(
+
+def _by_date(*extra: str) -> Window:
+    return Window.partitionBy("team", *extra).orderBy("game_date")
+
+
+def _prepare(tg: DataFrame, materialize: bool) -> DataFrame:
+    # The team-game table feeds a row-level and a day-level branch; written
+    # once, it is not recomputed from the pitch log for each branch.
+    return write_through(tg, "team-games") if materialize else tg
+
+
+def prior_n_averages(tg: DataFrame, n: int = 5, materialize: bool = True) -> DataFrame:
+    """Averages over the ``n`` games directly before each game.
+
+    Rows before a game come from the same day (a window over the team-day)
+    and from earlier days: each day keeps its last ``n`` rows (its "tail"),
+    and the tails of the ``n`` previous playing days -- each has at least one
+    row -- hold every earlier row that can be among the last ``n``.
+    """
+    tg = _prepare(tg, materialize)
+    v = F.struct(F.col("runs_for").alias("rf"), F.col("runs_against").alias("ra"))
+    rows = tg.select("team", "opponent", "is_home", "game_date",
+                     F.collect_list(v).over(_in_day(-n, -1)).alias("_same_day"))
+    rank_desc = F.row_number().over(Window.partitionBy("team", "game_date").orderBy(
+        *[F.col(c).desc() for c in DAY_ORDER]))
+    tails = (
+        tg.withColumn("_rk", rank_desc).where(F.col("_rk") <= n)
+        .groupBy("team", "game_date")
+        .agg(F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in DAY_ORDER], v.alias("v")))).alias("_t"))
+        .select("team", "game_date", F.transform("_t", lambda x: x["v"]).alias("_tail"))
+    )
+    prev = tails.select("team", "game_date",
+                        F.flatten(F.collect_list("_tail").over(_by_date().rowsBetween(-n, -1))).alias("_prev"))
+
+    def last_n(a):
+        return F.slice(a, F.greatest(F.size(a) - n + 1, F.lit(1)), n)
+
+    j = rows.join(prev, ["team", "game_date"], "left")
+    window = last_n(F.concat(F.coalesce("_prev", F.array().cast(j.schema["_same_day"].dataType)), "_same_day"))
+
+    def avg_of(field: str):
+        vals = F.filter(F.transform(window, lambda x: x[field]), lambda x: x.isNotNull())
+        total = F.aggregate(vals, F.lit(0).cast("double"), lambda acc, x: acc + x)
+        return F.when(F.size(vals) > 0, total / F.size(vals))
+
+    return j.select(
         "team", "opponent", "is_home", "game_date",
-        F.count(F.lit(1)).over(w).alias("prior_games"),
-        F.avg("runs_for").over(w).alias("prior_avg_runs_for"),
-        F.avg("runs_against").over(w).alias("prior_avg_runs_against"),
+        F.size(window).cast("bigint").alias("prior_games"),
+        avg_of("rf").alias("prior_avg_runs_for"),
+        avg_of("ra").alias("prior_avg_runs_against"),
     )
 
 
-def season_to_date(tg: DataFrame) -> DataFrame:
+def season_to_date(tg: DataFrame, materialize: bool = True) -> DataFrame:
     """Season-to-date statistics with the current game excluded (no
-    label leakage).  A season is the calendar year of the game date."""
-    tg = tg.withColumn("season", F.year(F.to_date("game_date")))
-    w = _team_window("season").rowsBetween(Window.unboundedPreceding, -1)
-    return tg.select(
+    label leakage).  A season is the calendar year of the game date.
+
+    Prefix sums: (sums over earlier days of the season, from a day table)
+    + (sums over earlier rows of the same day)."""
+    tg = _prepare(tg, materialize).withColumn("season", F.year(F.to_date("game_date")))
+    win = (F.col("result") == 1).cast("int")
+    before = _in_day(Window.unboundedPreceding, -1)
+    rows = tg.select(
+        "team", "opponent", "is_home", "game_date", "season",
+        F.count(F.lit(1)).over(before).alias("_n"),
+        F.sum(win).over(before).alias("_w"),
+        F.sum("runs_for").over(before).alias("_rf"), F.count("runs_for").over(before).alias("_crf"),
+        F.sum("runs_against").over(before).alias("_ra"), F.count("runs_against").over(before).alias("_cra"),
+    )
+    earlier = _by_date("season").rowsBetween(Window.unboundedPreceding, -1)
+    day = tg.groupBy("team", "season", "game_date").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(win).alias("w"),
+        F.sum("runs_for").alias("rf"), F.count("runs_for").alias("crf"),
+        F.sum("runs_against").alias("ra"), F.count("runs_against").alias("cra"),
+    ).select(
+        "team", "game_date",
+        *[F.sum(c).over(earlier).alias(f"_p{c}") for c in ("n", "w", "rf", "crf", "ra", "cra")],
+    )
+    j = rows.join(day, ["team", "game_date"], "left")
+
+    def tot(a: str, b: str):
+        return F.coalesce(F.col(a), F.lit(0)) + F.coalesce(F.col(b), F.lit(0))
+
+    return j.select(
         "team", "opponent", "is_home", "game_date", "season",
-        F.count(F.lit(1)).over(w).alias("games_before"),
-        F.coalesce(F.sum((F.col("result") == 1).cast("int")).over(w), F.lit(0)).alias("wins_before"),
-        F.avg("runs_for").over(w).alias("std_avg_runs_for"),
-        F.avg("runs_against").over(w).alias("std_avg_runs_against"),
+        tot("_n", "_pn").cast("bigint").alias("games_before"),
+        tot("_w", "_pw").cast("bigint").alias("wins_before"),
+        (tot("_rf", "_prf") / F.when(tot("_crf", "_pcrf") > 0, tot("_crf", "_pcrf"))).alias("std_avg_runs_for"),
+        (tot("_ra", "_pra") / F.when(tot("_cra", "_pcra") > 0, tot("_cra", "_pcra"))).alias("std_avg_runs_against"),
     )
 
 
-def streaks(tg: DataFrame) -> DataFrame:
+def streaks(tg: DataFrame, materialize: bool = True) -> DataFrame:
     """Win / losing streak entering each game.
 
     ``streak_before`` = +k after k straight wins, -k after k straight
     losses, 0 for a team's first game or right after a tie (a null score
-    counts as a tie).  Gaps and islands: a new island starts wherever the
-    result changes; the streak is the previous row's position inside its
-    island, signed by its result.
+    counts as a tie).
+
+    Gaps and islands twice.  Inside a day: ``_run`` is the length of the
+    run of equal results ending at each row.  Across days, on the day
+    table: ``L`` is the length of the run ending at the day's last game; a
+    day continues the previous day's run when all its games share one
+    result equal to the previous day's last result.  A row's previous game
+    is either the previous row of its day (whose run may reach back into
+    the previous day) or the previous day's last game.
     """
-    w = _team_window()
-    r = F.coalesce(F.col("result"), F.lit(0))
-    islands = tg.withColumn("_r", r).withColumn(
-        "_new", F.when(F.lag("_r").over(w) == F.col("_r"), 0).otherwise(1)
-    ).withColumn("_island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    pos = islands.withColumn(
-        "_pos", F.row_number().over(Window.partitionBy("team", "_island").orderBy(*TEAM_ORDER))
+    tg = _prepare(tg, materialize)
+    wd = _in_day()
+    x = (
+        tg.withColumn("_r", F.coalesce(F.col("result"), F.lit(0)))
+        .withColumn("_k", F.row_number().over(wd) - 1)
+        .withColumn("_new", F.when(F.lag("_r").over(wd) == F.col("_r"), 0).otherwise(1))
+        .withColumn("_isl", F.sum("_new").over(wd.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("_run", F.row_number().over(
+            Window.partitionBy("team", "game_date", "_isl").orderBy(*DAY_ORDER)))
     )
-    return pos.select(
-        "team", "opponent", "is_home", "game_date", "result",
-        F.coalesce(F.lag(F.col("_pos") * F.col("_r")).over(w), F.lit(0)).cast("int").alias("streak_before"),
+    day = x.groupBy("team", "game_date").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.max_by("_r", "_k").alias("last_r"),
+        F.max_by("_run", "_k").alias("trail_run"),
+        (F.max("_isl") == 1).alias("uniform"),
     )
+    wt = _by_date()
+    day = day.withColumn("_prev_last", F.lag("last_r").over(wt)).withColumn(
+        "_start", F.when(F.col("uniform") & (F.col("_prev_last") == F.col("last_r")), 0).otherwise(1))
+    day = day.withColumn("_disl", F.sum("_start").over(wt.rowsBetween(Window.unboundedPreceding, 0)))
+    day = day.withColumn("L", F.sum(F.when(F.col("_start") == 1, F.col("trail_run")).otherwise(F.col("n"))).over(
+        Window.partitionBy("team", "_disl").orderBy("game_date").rowsBetween(Window.unboundedPreceding, 0)))
+    prev_day = day.select(
+        "team", "game_date",
+        F.lag("L").over(wt).alias("_pL"), F.lag("last_r").over(wt).alias("_pr"))
+
+    j = x.join(prev_day, ["team", "game_date"], "left")
+    prev_run = F.lag("_run").over(wd)
+    prev_r = F.lag("_r").over(wd)
+    prev_isl = F.lag("_isl").over(wd)
+    reaches_back = (prev_isl == 1) & (F.col("_pr") == prev_r)
+    run_before = F.when(reaches_back, prev_run + F.col("_pL")).otherwise(prev_run)
+    streak = F.when(F.col("_k") == 0, F.coalesce(F.col("_pL") * F.col("_pr"), F.lit(0))).otherwise(run_before * prev_r)
+    return j.select("team", "opponent", "is_home", "game_date", "result",
+                    streak.cast("int").alias("streak_before"))
 
 
 def fanout_team_features(pitches: DataFrame) -> DataFrame:

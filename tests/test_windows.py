@@ -74,3 +74,58 @@ def test_prior_window_matches_plain_window(spark):
     a = {tuple(r[:4]): None if r.x is None else round(r.x, 9) for r in plain.collect()}
     b = {tuple(r[:4]): None if r.x is None else round(r.x, 9) for r in ours.collect()}
     assert a == b
+
+
+def _plain(tg):
+    """Reference: plain windows over the whole team (one task per team)."""
+    w = Window.partitionBy("team").orderBy(*TW.TEAM_ORDER)
+    r = F.coalesce(F.col("result"), F.lit(0))
+    x = tg.withColumn("_r", r).withColumn("_new", F.when(F.lag("_r").over(w) == F.col("_r"), 0).otherwise(1))
+    x = x.withColumn("_isl", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    x = x.withColumn("_pos", F.row_number().over(Window.partitionBy("team", "_isl").orderBy(*TW.TEAM_ORDER)))
+    ws = Window.partitionBy("team", "_season").orderBy(*TW.TEAM_ORDER).rowsBetween(Window.unboundedPreceding, -1)
+    w5 = w.rowsBetween(-5, -1)
+    x = x.withColumn("_season", F.year(F.to_date("game_date")))
+    return x.select(
+        "team", "game_date", "is_home", "opponent",
+        F.coalesce(F.lag(F.col("_pos") * F.col("_r")).over(w), F.lit(0)).alias("streak"),
+        F.count(F.lit(1)).over(ws).alias("gb"),
+        F.avg("runs_for").over(ws).alias("std_rf"),
+        F.count(F.lit(1)).over(w5).alias("pg"),
+        F.avg("runs_against").over(w5).alias("p_ra"),
+    )
+
+
+def test_team_windows_match_plain_windows_randomized(spark):
+    import random
+
+    rnd = random.Random(7)
+    teams = ["A", "B", "C", "D", "E"]
+    dates = [f"2022-09-{d:02d}" for d in range(20, 31)] + [f"2023-04-{d:02d}" for d in range(1, 6)]
+    games = set()
+    for _ in range(400):
+        h, a = rnd.sample(teams, 2)
+        games.add((rnd.choice(dates), h, a))
+    rows = []
+    for d, h, a in sorted(games):
+        hs = rnd.choice([None, 1, 2, 3, 3, 3])
+        as_ = rnd.choice([1, 2, 3])
+        rows.append((d, h, a, hs, as_))
+    g = spark.createDataFrame(rows, "game_date string, home_team string, away_team string, "
+                                    "home_score long, away_score long")
+    tg = G.team_games(g)
+    ref = {tuple(r[:4]): (r.streak, r.gb, None if r.std_rf is None else round(r.std_rf, 9), r.pg,
+                          None if r.p_ra is None else round(r.p_ra, 9)) for r in _plain(tg).collect()}
+    st = {tuple(r[:4]): r.streak_before for r in
+          TW.streaks(tg).select("team", "game_date", "is_home", "opponent", "streak_before").collect()}
+    sd = {tuple(r[:4]): (r.games_before, None if r.std_avg_runs_for is None else round(r.std_avg_runs_for, 9))
+          for r in TW.season_to_date(tg).select("team", "game_date", "is_home", "opponent", "games_before",
+                                                 "std_avg_runs_for").collect()}
+    p5 = {tuple(r[:4]): (r.prior_games, None if r.prior_avg_runs_against is None else round(r.prior_avg_runs_against, 9))
+          for r in TW.prior_n_averages(tg, 5).select("team", "game_date", "is_home", "opponent", "prior_games",
+                                                     "prior_avg_runs_against").collect()}
+    assert set(ref) == set(st) == set(sd) == set(p5)
+    for k, (streak, gb, std_rf, pg, p_ra) in ref.items():
+        assert st[k] == streak, k
+        assert sd[k] == (gb, std_rf), k
+        assert p5[k] == (pg, p_ra), k
