@@ -266,3 +266,25 @@ def q_park_fences(spark, sf):
     out = PK.fence_check(batted, PK.fence_frame(spark, PARK_FENCES))
     return out.select("game_pk", "pitch_number", "pitcher", "park", "spray_angle", "distance_ft",
                       "segment_no", "segment", "fence_ft", "over_fence")
+
+
+@register(
+    "streaming_game_stats", ("S7", "U1", "A3"),
+    with_pitches(f"""SELECT game_date, home_team, away_team, home_score, away_score, total_pitches,
+       home_strikeouts, away_strikeouts, round(avg_exit_velocity, 6) AS avg_exit_velocity,
+       round(avg_launch_angle, 6) AS avg_launch_angle, home_runs FROM ({GAME_SQL}) g"""),
+)
+def q_streaming_game_stats(spark, sf):
+    from mound.streaming import incremental as ST
+
+    # Land the pitch log as files split by pitch number, so that every game's
+    # pitches arrive over several files and micro-batches.
+    base = scratch_path(spark, "stream")
+    source = f"{base}/source"
+    p = pitches(spark, sf)
+    p.repartition(8, "pitch_number").write.mode("overwrite").partitionBy("pitch_number").parquet(source + "_parts")
+    schema = spark.read.parquet(source + "_parts").schema
+    q = ST.start_game_ingest(spark, source + "_parts", f"{base}/partials", f"{base}/checkpoint",
+                             schema, max_files_per_trigger=2)
+    q.awaitTermination()
+    return round_doubles(ST.game_stats_from_partials(spark, f"{base}/partials"))
