@@ -37,6 +37,7 @@ HEADLINE = [
     "feature_rows",
     "event_log_plays",
     "roster_join",
+    "streaming_game_stats",
     "rf_accuracy",
 ]
 

@@ -238,7 +238,9 @@ def game_vs_team_average(games: DataFrame, perf: DataFrame) -> DataFrame:
         F.col("team").alias("away_team"),
         *[F.col(c) for c in ("avg_away_score", "avg_away_hits", "avg_away_pitch_speed", "avg_away_spin_rate")],
     )
-    return games.join(home, "home_team", "left").join(away, "away_team", "left")
+    # Named sub-plans, as the original aliases its game table.
+    g = games.alias("game_stats")
+    return g.join(home.alias("home_perf"), "home_team", "left").join(away.alias("away_perf"), "away_team", "left")
 
 
 def game_nested(pitches: DataFrame, keys: Sequence[str] = GAME_KEY,

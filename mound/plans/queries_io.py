@@ -135,6 +135,23 @@ def q_parquet_round_trip(spark, sf):
     return PL.read_pitch_log(spark, path, schema=schema)
 
 
+@register(
+    "season_slice_stored", ("S5", "S1", "S7"),
+    with_pitches(f"SELECT * FROM (SELECT *, CAST(substr(game_date, 1, 4) AS INTEGER) AS season FROM ({_A5_SQL}) g) x "
+                 f"WHERE season = 1997 AND game_date BETWEEN '{SLICE_START}' AND '{SLICE_END}'"),
+)
+def q_season_slice_stored(spark, sf):
+    """S5 on a stored table: the season folder is pruned (PartitionFilters)
+    and the date range reaches the Parquet reader (PushedFilters)."""
+    games = G.game_stats_single_pass(pitches(spark, sf)).withColumn(
+        "season", F.substring("game_date", 1, 4).cast("int"))
+    path = scratch_path(spark, "games-by-season")
+    SK.write_parquet(games, path, partition_by=["season"], mode="overwrite")
+    schema = T.StructType(A5_SCHEMA.fields + [T.StructField("season", T.IntegerType())])
+    stored = PL.read_pitch_log(spark, path, schema=schema)
+    return S.season_slice(stored.where(F.col("season") == 1997), SLICE_START, SLICE_END)
+
+
 @register(
     "csv_round_trip", ("S3", "S6"),
     with_pitches(f"""SELECT game_date, home_team, away_team, home_score, away_score, total_pitches,
