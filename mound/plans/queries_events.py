@@ -40,7 +40,14 @@ it AS (SELECT egi.game_id, l.*, s.s_name,
               's' || lpad(CAST(l.l_suppkey AS VARCHAR), 7, '0') AS pid,
               'c' || lpad(CAST(l.l_partkey % 1000 + 1 AS VARCHAR), 7, '0') AS batter,
               CASE WHEN l.l_linestatus = 'O' THEN 0 ELSE 1 END AS side,
-              CAST(trunc(l.l_quantity) AS BIGINT) AS qty
+              CAST(trunc(l.l_quantity) AS BIGINT) AS qty,
+              'play,' || CAST(l.l_linenumber AS VARCHAR) || ',' || CASE WHEN l.l_linestatus = 'O' THEN '0' ELSE '1' END
+                || ',c' || lpad(CAST(l.l_partkey % 1000 + 1 AS VARCHAR), 7, '0')
+                || ',' || CAST(CAST(trunc(l.l_quantity) AS BIGINT) % 4 AS VARCHAR)
+                || CAST(CAST(trunc(l.l_quantity) AS BIGINT) % 3 AS VARCHAR)
+                || ',' || CASE WHEN l.l_returnflag = 'A' THEN 'CBX' WHEN l.l_returnflag = 'R' THEN 'SSS' ELSE '' END
+                || ',' || CASE WHEN l.l_returnflag = 'A' THEN 'HR/F7' WHEN l.l_returnflag = 'R' THEN 'K' ELSE '63/G' END
+                AS play_line
        FROM lineitem l JOIN egi ON l.l_orderkey = egi.o_orderkey JOIN supplier s ON l.l_suppkey = s.s_suppkey)"""
 
 
@@ -61,7 +68,7 @@ def q_event_log_games(spark, sf):
                     "site", "date", "number", "gametype", "daynight", "temp", "attendance", "sky", "umphome")
 
 
-_TIE = "l_linenumber, l_partkey, l_suppkey, l_quantity, l_linestatus, l_returnflag, l_tax, l_discount, l_extendedprice"
+_TIE = "l_linenumber, play_line"
 
 
 @register(

@@ -66,24 +66,26 @@ def event_lines(blocks: DataFrame) -> DataFrame:
 
 def event_games(blocks: DataFrame) -> DataFrame:
     """Games with the ``info`` records pivoted to columns -- inside each row,
-    without a shuffle."""
+    without a shuffle.  The info lines are split once into (key, value) in
+    their own projection; each key then looks up that small array."""
     info = F.transform(
         F.filter("lines", lambda s: s.startswith("info,")),
-        lambda s: _parse(s),
+        lambda s: F.split(s, ",", 3),
     )
+    staged = blocks.select("game_id", "file_name", "lines", info.alias("_info"))
 
     def key(k: str) -> Column:
-        return F.get(F.filter(info, lambda r: r["f1"] == k), 0)["f2"]
+        return F.get(F.filter("_info", lambda r: F.get(r, 1) == k), 0)
 
     gid = F.col("game_id")
-    return blocks.select(
+    return staged.select(
         "game_id",
         F.substring(gid, 1, 3).alias("home_code"),
         F.try_to_date(F.substring(gid, 4, 8), "yyyyMMdd").alias("game_day"),
         F.substring(gid, 4, 4).cast("int").alias("season"),
         F.expr("substring(game_id, 12)").alias("game_number"),
         F.get(F.filter("lines", lambda s: s.startswith("version,")), 0).substr(9, 100).alias("version"),
-        *[key(k).alias(k) for k in INFO_KEYS],
+        *[F.get(key(k), 2).alias(k) for k in INFO_KEYS],
         "file_name",
     )
 

@@ -155,7 +155,7 @@ def event_file_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("game_id", F.concat("home", F.date_format("d", "yyyyMMdd"), F.col("o_orderkey").cast("string")))
 
     def hdr(i: int, line: Column) -> Column:
-        return F.struct(F.lit(0).alias("s"), F.lit(i).alias("n"), F.lit(None).cast("struct<a:bigint,b:bigint,c:double,d:string,e:string,f:double,g:double,h:double>").alias("t"), line.alias("line"))
+        return F.struct(F.lit(0).alias("s"), F.lit(i).alias("n"), line.alias("line"))
 
     info = [
         ("visteam", F.col("vis")), ("hometeam", F.col("home")),
@@ -175,13 +175,12 @@ def event_file_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     batter = _pid("c", F.col("l_partkey") % 1000 + 1)
     side = F.when(F.col("l_linestatus") == "O", "0").otherwise("1")
     qty = F.col("l_quantity").cast("bigint")
-    tie = F.struct(F.col("l_partkey").alias("a"), F.col("l_suppkey").alias("b"), F.col("l_quantity").alias("c"),
-                   F.col("l_linestatus").alias("d"), F.col("l_returnflag").alias("e"), F.col("l_tax").alias("f"),
-                   F.col("l_discount").alias("g"), F.col("l_extendedprice").alias("h"))
     ln = F.col("l_linenumber")
 
+    # Lines of a game are ordered by (section, line number, kind) and, for
+    # line items sharing a line number, by the text of the line itself.
     def body(section: int, sub: int, line: Column, when: Column | None = None) -> Column:
-        s = F.struct(F.lit(section).alias("s"), (ln * 10 + sub).alias("n"), tie.alias("t"), line.alias("line"))
+        s = F.struct(F.lit(section).alias("s"), (ln * 10 + sub).alias("n"), line.alias("line"))
         return s if when is None else F.when(when, s)
 
     flag = F.col("l_returnflag")
