@@ -256,7 +256,8 @@ def q_distinct_counts(spark, sf):
 
 
 _FENCE_SQL = "(VALUES " + ", ".join(
-    f"('{p}', {n}, '{s.replace(chr(39), chr(39) * 2)}', {lo!r}, {hi!r}, {d!r})"
+    f"('{p}', {n}, '{s.replace(chr(39), chr(39) * 2)}', CAST({lo!r} AS DOUBLE), CAST({hi!r} AS DOUBLE), "
+    f"CAST({d!r} AS DOUBLE))"
     for p, n, s, lo, hi, d in PK.fence_rows(PARK_FENCES)
 ) + ") AS f(park, segment_no, segment, angle_lo, angle_hi, fence_ft)"
 
@@ -266,7 +267,7 @@ _FENCE_SQL = "(VALUES " + ", ".join(
     with_pitches(f"""SELECT b.game_pk, b.pitch_number, b.pitcher, b.park, b.spray_angle, b.distance_ft,
        f.segment_no, f.segment, f.fence_ft, b.distance_ft > f.fence_ft AS over_fence
 FROM (SELECT game_pk, pitch_number, pitcher, 'PHI' AS park,
-             CAST(release_spin_rate AS BIGINT) % 91 - 45.0 AS spray_angle,
+             CAST(CAST(release_spin_rate AS BIGINT) % 91 - 45 AS DOUBLE) AS spray_angle,
              launch_speed * 3.5 + launch_angle AS distance_ft
       FROM pitches WHERE launch_speed IS NOT NULL) b
 LEFT JOIN {_FENCE_SQL}

@@ -45,6 +45,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: on a cluster it must name a shared folder "
+            "(written tables and checkpoints must survive the loss of an executor)")
     path = tempfile.mkdtemp(prefix="mound-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
