@@ -111,10 +111,15 @@ def translate_list(df: DataFrame, column: str, dictionary: DataFrame | Mapping[s
     """Split a comma list, replace known codes by names, join again.
 
     With a mapping the whole thing is one projection (``transform`` over
-    the split array).  With a dictionary DataFrame the list is exploded
-    to (row id, position, token), left-joined to the dictionary and put
-    back together in list order.  The row id is taken right after the
-    input's own partitioning, so a retried task produces the same ids.
+    the split array).  With a dictionary DataFrame the translation is a
+    function of the list string alone, so it is computed once per distinct
+    list: distinct lists are exploded to (list, position, token),
+    left-joined to the dictionary and put back together in list order,
+    keyed by the list string itself; the rows then join that small table
+    on the string.  Everything is keyed by content, so a retried task can
+    never re-number rows.  A list value shared by a huge share of the rows
+    is one row of the distinct table (partial aggregation), and AQE splits
+    the matching side of the final join if it is skewed.
     """
     if not isinstance(dictionary, DataFrame):
         m = literal_map(dictionary)
@@ -122,24 +127,16 @@ def translate_list(df: DataFrame, column: str, dictionary: DataFrame | Mapping[s
         tr = F.transform(parts, lambda x: F.coalesce(F.try_element_at(m, x), x))
         return df.withColumn(out, F.when(F.col(column).isNotNull(), F.array_join(tr, joiner)))
 
-    # One reference to ``df``: every row is exploded to its tokens together
-    # with its own columns, and regrouped by a row id taken right after the
-    # input's partitioning (so a retried task reproduces the same ids).  A
-    # group is one row's tokens, bounded by the length of that row's text.
-    others = [c for c in df.columns]
-    with_id = df.withColumn("__rid", F.monotonically_increasing_id())
-    tokens = with_id.select(
-        "__rid", *others,
-        F.posexplode_outer(F.split(F.col(column), F.lit(sep), -1)).alias("__pos", "__tok"))
+    lists = df.select(F.col(column).alias("__list")).where(F.col("__list").isNotNull()).distinct()
+    tokens = lists.select("__list", F.posexplode(F.split(F.col("__list"), F.lit(sep), -1)).alias("__pos", "__tok"))
     dim = dictionary.select(F.col(code).alias("__tok"), F.col(name).alias("__name"))
-    joined = tokens.join(dim, "__tok", "left")
-    parts = F.filter(F.array_sort(F.collect_list(F.struct("__pos", F.coalesce("__name", "__tok").alias("t")))),
-                     lambda s: s["__pos"].isNotNull())
-    regrouped = joined.groupBy("__rid").agg(*[F.first(c).alias(c) for c in others], parts.alias("__parts"))
-    return regrouped.select(
-        *others,
-        F.when(F.col(column).isNotNull(), F.array_join(F.transform("__parts", lambda s: s["t"]), joiner)).alias(out),
+    translated = (
+        tokens.join(dim, "__tok", "left")
+        .groupBy("__list")
+        .agg(F.array_sort(F.collect_list(F.struct("__pos", F.coalesce("__name", "__tok").alias("t")))).alias("__p"))
+        .select("__list", F.array_join(F.transform("__p", lambda s: s["t"]), joiner).alias(out))
     )
+    return df.join(translated, df[column] == translated["__list"], "left").drop("__list")
 
 
 def dense_index(df: DataFrame, column: str) -> DataFrame:

@@ -259,7 +259,8 @@ def write_rosters(spark: SparkSession, sf_dir: str, path: str) -> None:
     cols = ["player_id", "last_name", "first_name", "bats", "throws", "team", "position"]
     rows.repartition("file").select(*cols, "file").write.mode("overwrite").partitionBy("file").csv(staged)
     _flatten(spark, staged, path, "file")
-    rows.where(F.col("team") == "N01").limit(3).select(*cols).coalesce(1).write.mode("overwrite").csv(path + "_frag")
+    # A stray file of another layout (the team list) that the *.ROS glob must skip.
+    write_team_list(spark, sf_dir, path + "_frag")
     _flatten_single(spark, path + "_frag", f"{path}/ari")
 
 
@@ -284,4 +285,4 @@ def write_team_list(spark: SparkSession, sf_dir: str, path: str) -> None:
         F.initcap(F.lower("n_name")).alias("city"),
         F.col("r_name").alias("nickname"),
     )
-    t.write.mode("overwrite").option("header", "false").csv(path)
+    t.coalesce(1).write.mode("overwrite").option("header", "false").csv(path)

@@ -34,7 +34,7 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
     return reader.csv(path if isinstance(path, str) else list(path))
 
 
-def register_view(df: DataFrame, name: str = "statcast") -> DataFrame:
+def register_view(df: DataFrame, name: str = "pitch_log") -> DataFrame:
     """Make a DataFrame available to SQL text under ``name``."""
     df.createOrReplaceTempView(name)
     return df
