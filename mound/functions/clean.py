@@ -106,11 +106,18 @@ def fill_outcome(events: str = "events", type_col: str = "type") -> Column:
     return F.coalesce(F.col(events), by_type)
 
 
-def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every double column (for engine-independent comparison)."""
+def round_doubles(df: DataFrame, digits: int = 6, columns: Iterable[str] | None = None) -> DataFrame:
+    """Round double columns (all, or ``columns``) for engine-independent
+    comparison.  Only values whose last bits depend on summation order
+    (averages of averages, correlations) need it: a ratio of exact sums is
+    the same double in any engine, and rounding it could only introduce a
+    difference (engines break decimal ties differently)."""
+    wanted = None if columns is None else set(columns)
     return df.select(
         *[
-            F.round(F.col(f.name), digits).alias(f.name) if f.dataType.typeName() in ("double", "float") else F.col(f.name)
+            F.round(F.col(f.name), digits).alias(f.name)
+            if f.dataType.typeName() in ("double", "float") and (wanted is None or f.name in wanted)
+            else F.col(f.name)
             for f in df.schema.fields
         ]
     )

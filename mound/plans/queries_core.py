@@ -55,13 +55,13 @@ TEAM_ORDER_SQL = "PARTITION BY team ORDER BY game_date, is_home, opponent"
 @register(
     "game_stats", ("A3", "P8"),
     with_pitches(f"""SELECT game_date, home_team, away_team, home_score, away_score, total_pitches,
-       home_strikeouts, away_strikeouts, round(avg_exit_velocity, 6) AS avg_exit_velocity,
-       round(avg_launch_angle, 6) AS avg_launch_angle, home_runs,
+       home_strikeouts, away_strikeouts, avg_exit_velocity AS avg_exit_velocity,
+       avg_launch_angle AS avg_launch_angle, home_runs,
        CAST(home_score > away_score AS INTEGER) AS home_win
 FROM ({GAME_SQL}) g"""),
 )
 def q_game_stats(spark, sf):
-    return round_doubles(G.game_stats(pitches(spark, sf)).withColumn("home_win", home_win()))
+    return G.game_stats(pitches(spark, sf)).withColumn("home_win", home_win())
 
 
 @register(
@@ -95,21 +95,21 @@ def q_game_stats_single_pass(spark, sf):
 @register(
     "home_day_stats", ("A1",),
     with_pitches(f"""SELECT game_date, home_team, {_cnt("inning_topbot = 'Bot'")} AS home_half_pitches,
-       round(AVG(release_speed), 6) AS home_avg_pitch_speed, round(AVG(release_spin_rate), 6) AS home_avg_spin_rate
+       AVG(release_speed) AS home_avg_pitch_speed, AVG(release_spin_rate) AS home_avg_spin_rate
 FROM pitches GROUP BY game_date, home_team"""),
 )
 def q_home_day_stats(spark, sf):
-    return round_doubles(G.home_day_stats(pitches(spark, sf)))
+    return G.home_day_stats(pitches(spark, sf))
 
 
 @register(
     "away_day_stats", ("A2",),
     with_pitches(f"""SELECT game_date, away_team, {_cnt("inning_topbot = 'Top'")} AS away_half_pitches,
-       round(AVG(release_speed), 6) AS away_avg_pitch_speed, round(AVG(release_spin_rate), 6) AS away_avg_spin_rate
+       AVG(release_speed) AS away_avg_pitch_speed, AVG(release_spin_rate) AS away_avg_spin_rate
 FROM pitches GROUP BY game_date, away_team"""),
 )
 def q_away_day_stats(spark, sf):
-    return round_doubles(G.away_day_stats(pitches(spark, sf)))
+    return G.away_day_stats(pitches(spark, sf))
 
 
 @register(
@@ -125,12 +125,12 @@ def q_home_runs_by_side(spark, sf):
 
 
 _KEYED_COLS = """game_date, home_team, away_team, home_score, away_score, total_pitches, home_strikeouts,
-       away_strikeouts, round(avg_exit_velocity, 6) AS avg_exit_velocity,
-       round(avg_launch_angle, 6) AS avg_launch_angle, home_runs, home_half_pitches,
-       round(home_day_avg_pitch_speed, 6) AS home_day_avg_pitch_speed,
-       round(home_day_avg_spin_rate, 6) AS home_day_avg_spin_rate, away_half_pitches,
-       round(away_day_avg_pitch_speed, 6) AS away_day_avg_pitch_speed,
-       round(away_day_avg_spin_rate, 6) AS away_day_avg_spin_rate"""
+       away_strikeouts, avg_exit_velocity AS avg_exit_velocity,
+       avg_launch_angle AS avg_launch_angle, home_runs, home_half_pitches,
+       home_day_avg_pitch_speed AS home_day_avg_pitch_speed,
+       home_day_avg_spin_rate AS home_day_avg_spin_rate, away_half_pitches,
+       away_day_avg_pitch_speed AS away_day_avg_pitch_speed,
+       away_day_avg_spin_rate AS away_day_avg_spin_rate"""
 
 
 @register(
@@ -138,13 +138,13 @@ _KEYED_COLS = """game_date, home_team, away_team, home_score, away_score, total_
     with_pitches(f"""SELECT {_KEYED_COLS},
        round(AVG(home_day_avg_pitch_speed) OVER (PARTITION BY home_team), 6) AS home_avg_pitch_speed,
        round(AVG(away_day_avg_pitch_speed) OVER (PARTITION BY away_team), 6) AS away_avg_pitch_speed,
-       round(home_half_pitches / COUNT(game_date) OVER (PARTITION BY home_team), 6) AS home_avg_hits,
-       round(away_half_pitches / COUNT(game_date) OVER (PARTITION BY away_team), 6) AS away_avg_hits,
+       home_half_pitches / COUNT(game_date) OVER (PARTITION BY home_team) AS home_avg_hits,
+       away_half_pitches / COUNT(game_date) OVER (PARTITION BY away_team) AS away_avg_hits,
        CAST(home_score > away_score AS INTEGER) AS home_win
 FROM j""", extra_ctes=GAMES_KEYED_CTES),
 )
 def q_team_features_keyed(spark, sf):
-    return round_doubles(G.game_features(pitches(spark, sf)))
+    return round_doubles(G.game_features(pitches(spark, sf)), columns=["home_avg_pitch_speed", "away_avg_pitch_speed"])
 
 
 @register(
@@ -185,27 +185,30 @@ perf AS (SELECT COALESCE(hp.team, ap.team) AS team, avg_home_score, avg_home_hit
                 avg_home_spin_rate, avg_away_score, avg_away_hits, avg_away_pitch_speed, avg_away_spin_rate
          FROM hp FULL OUTER JOIN ap ON hp.team = ap.team)"""
 
+# Averages of per-day averages depend on summation order: rounded.
+_PERF_INEXACT = ("avg_home_pitch_speed", "avg_home_spin_rate", "avg_away_pitch_speed", "avg_away_spin_rate")
 _PERF_COLS = ("avg_home_score", "avg_home_hits", "avg_home_pitch_speed", "avg_home_spin_rate",
               "avg_away_score", "avg_away_hits", "avg_away_pitch_speed", "avg_away_spin_rate")
 
 
 @register(
     "team_averages", ("A6",),
-    with_pitches("SELECT team, " + ", ".join(f"round({c}, 6) AS {c}" for c in _PERF_COLS) + " FROM perf",
+    with_pitches("SELECT team, " + ", ".join(f"round({c}, 6) AS {c}" if c in _PERF_INEXACT else c
+                                              for c in _PERF_COLS) + " FROM perf",
                  extra_ctes=_PERF_CTES),
 )
 def q_team_averages(spark, sf):
-    return round_doubles(G.team_performance(G.game_features(pitches(spark, sf))))
+    return round_doubles(G.team_performance(G.game_features(pitches(spark, sf))), columns=_PERF_INEXACT)
 
 
 @register(
     "game_vs_team_average", ("J2", "A6", "A3"),
     with_pitches("""SELECT g.game_date, g.home_team, g.away_team, g.home_score, g.away_score, g.total_pitches,
-       g.home_strikeouts, g.away_strikeouts, round(g.avg_exit_velocity, 6) AS avg_exit_velocity,
-       round(g.avg_launch_angle, 6) AS avg_launch_angle, g.home_runs,
-       round(h.avg_home_score, 6) AS avg_home_score, round(h.avg_home_hits, 6) AS avg_home_hits,
+       g.home_strikeouts, g.away_strikeouts, g.avg_exit_velocity AS avg_exit_velocity,
+       g.avg_launch_angle AS avg_launch_angle, g.home_runs,
+       h.avg_home_score AS avg_home_score, h.avg_home_hits AS avg_home_hits,
        round(h.avg_home_pitch_speed, 6) AS avg_home_pitch_speed, round(h.avg_home_spin_rate, 6) AS avg_home_spin_rate,
-       round(a.avg_away_score, 6) AS avg_away_score, round(a.avg_away_hits, 6) AS avg_away_hits,
+       a.avg_away_score AS avg_away_score, a.avg_away_hits AS avg_away_hits,
        round(a.avg_away_pitch_speed, 6) AS avg_away_pitch_speed, round(a.avg_away_spin_rate, 6) AS avg_away_spin_rate,
        CAST(g.home_score > g.away_score AS INTEGER) AS home_win
 FROM g LEFT JOIN perf h ON g.home_team = h.team LEFT JOIN perf a ON g.away_team = a.team""", extra_ctes=_PERF_CTES),
@@ -217,7 +220,7 @@ def q_game_vs_team_average(spark, sf):
         "game_date", "home_team", "away_team", "home_score", "away_score", "total_pitches", "home_strikeouts",
         "away_strikeouts", "avg_exit_velocity", "avg_launch_angle", "home_runs")])
     out = G.game_vs_team_average(games, G.team_performance(feats)).withColumn("home_win", home_win())
-    return round_doubles(out)
+    return round_doubles(out, columns=_PERF_INEXACT)
 
 
 def _team_games(spark, sf):
@@ -227,26 +230,26 @@ def _team_games(spark, sf):
 @register(
     "prior5_averages", ("U2", "W4"),
     with_pitches(f"""SELECT team, opponent, is_home, game_date, COUNT(*) OVER w AS prior_games,
-       round(AVG(runs_for) OVER w, 6) AS prior_avg_runs_for,
-       round(AVG(runs_against) OVER w, 6) AS prior_avg_runs_against
+       AVG(runs_for) OVER w AS prior_avg_runs_for,
+       AVG(runs_against) OVER w AS prior_avg_runs_against
 FROM tgr WINDOW w AS ({TEAM_ORDER_SQL} ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING)""", extra_ctes=TEAM_GAMES_CTES),
 )
 def q_prior5(spark, sf):
-    return round_doubles(TW.prior_n_averages(_team_games(spark, sf), 5))
+    return TW.prior_n_averages(_team_games(spark, sf), 5)
 
 
 @register(
     "season_to_date", ("U2", "W5"),
     with_pitches("""SELECT team, opponent, is_home, game_date, season, COUNT(*) OVER w AS games_before,
        CAST(COALESCE(SUM(CASE WHEN result = 1 THEN 1 ELSE 0 END) OVER w, 0) AS BIGINT) AS wins_before,
-       round(AVG(runs_for) OVER w, 6) AS std_avg_runs_for,
-       round(AVG(runs_against) OVER w, 6) AS std_avg_runs_against
+       AVG(runs_for) OVER w AS std_avg_runs_for,
+       AVG(runs_against) OVER w AS std_avg_runs_against
 FROM (SELECT *, CAST(year(CAST(game_date AS DATE)) AS INTEGER) AS season FROM tgr) t
 WINDOW w AS (PARTITION BY team, season ORDER BY game_date, is_home, opponent
              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""", extra_ctes=TEAM_GAMES_CTES),
 )
 def q_season_to_date(spark, sf):
-    return round_doubles(TW.season_to_date(_team_games(spark, sf)))
+    return TW.season_to_date(_team_games(spark, sf))
 
 
 @register(

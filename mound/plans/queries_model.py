@@ -33,6 +33,9 @@ def q_team_index(spark, sf):
     return M.index_teams(games)
 
 
+# Team averages of per-day averages depend on summation order: rounded.
+_INEXACT = ("home_avg_pitch_speed", "away_avg_pitch_speed")
+
 _FEATURE_EXPR = {
     "home_team_index": "hi.home_team_index",
     "away_team_index": "ai.away_team_index",
@@ -52,7 +55,7 @@ _FEATURE_EXPR = {
     "feature_rows", ("M2", "M3"),
     with_pitches(
         "SELECT game_date, home_team, away_team, home_win, "
-        + ", ".join(f"round(f_{n}, 6) AS f_{n}" for n in FEATURES_11)
+        + ", ".join(f"round(f_{n}, 6) AS f_{n}" if n in _INEXACT else f"f_{n}" for n in FEATURES_11)
         + " FROM x WHERE " + " AND ".join(f"f_{n} IS NOT NULL" for n in FEATURES_11),
         extra_ctes=GAMES_KEYED_CTES + ",\n" + _INDEX_CTES + ",\nx AS (SELECT j.game_date, j.home_team, j.away_team, "
         "CAST(home_score > away_score AS INTEGER) AS home_win, "
@@ -63,7 +66,7 @@ _FEATURE_EXPR = {
 def q_feature_rows(spark, sf):
     feats = M.index_teams(G.game_features(pitches(spark, sf)))
     vec = M.assemble(feats, FEATURES_11).select("game_date", "home_team", "away_team", "home_win", "features")
-    return round_doubles(M.features_as_columns(vec, FEATURES_11))
+    return round_doubles(M.features_as_columns(vec, FEATURES_11), columns=[f"f_{n}" for n in _INEXACT])
 
 
 @register(

@@ -23,7 +23,7 @@ def duck():
 
 def _norm(v):
     if isinstance(v, float):
-        return None if math.isnan(v) else round(v, 5)
+        return None if math.isnan(v) else v
     return v
 
 
