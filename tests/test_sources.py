@@ -1,6 +1,5 @@
 from datetime import date
 
-from pyspark.sql import functions as F
 
 from mound.operators import seasons as S
 from mound.schemas import PITCH_SCHEMA
