@@ -177,3 +177,26 @@ def q_team_list_scan(spark, sf):
     path = scratch_path(spark, "teams")
     FX.write_team_list(spark, sf, path)
     return EV.read_team_list(spark, path)
+
+
+@register(
+    "event_plays_by_inning", ("A12", "S11"),
+    "WITH " + _ITEMS_CTE + """
+SELECT game_id, l_linenumber AS inning, side, COUNT(*) AS plays,
+       CAST(SUM(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS strikeouts,
+       CAST(SUM(CASE WHEN l_returnflag = 'A' THEN 1 ELSE 0 END) AS BIGINT) AS home_runs
+FROM it GROUP BY game_id, l_linenumber, side""",
+)
+def q_event_plays_by_inning(spark, sf):
+    return EV.plays_by_inning(EV.event_plays(EV.event_lines(_blocks(spark, sf))))
+
+
+@register(
+    "event_plays_by_batter", ("A12", "S11"),
+    "WITH " + _ITEMS_CTE + """
+SELECT CAST(substr(game_id, 4, 4) AS INTEGER) AS season, batter AS batter_id, COUNT(*) AS plate_appearances,
+       COUNT(DISTINCT game_id) AS games
+FROM it GROUP BY 1, 2""",
+)
+def q_event_plays_by_batter(spark, sf):
+    return EV.plays_by_batter(EV.event_plays(EV.event_lines(_blocks(spark, sf))))

@@ -171,3 +171,22 @@ def earned_runs_by_pitcher(earned: DataFrame) -> DataFrame:
     return earned.withColumn("season", F.substring("game_id", 4, 4).cast("int")).groupBy(
         "season", "pitcher_id").agg(F.count(F.lit(1)).alias("games"),
                                     F.sum("earned_runs").cast("bigint").alias("earned_runs"))
+
+
+def plays_by_inning(plays: DataFrame) -> DataFrame:
+    """Plays per game, inning and half (side), with strikeouts and
+    home runs read off the leading play code."""
+    code = F.col("play")
+    return plays.groupBy("game_id", "inning", "side").agg(
+        F.count(F.lit(1)).alias("plays"),
+        F.sum(F.when(code.startswith("K"), 1).otherwise(0)).cast("bigint").alias("strikeouts"),
+        F.sum(F.when(code.startswith("HR"), 1).otherwise(0)).cast("bigint").alias("home_runs"),
+    )
+
+
+def plays_by_batter(plays: DataFrame) -> DataFrame:
+    """Plate appearances per batter and season."""
+    return plays.withColumn("season", F.substring("game_id", 4, 4).cast("int")).groupBy("season", "batter_id").agg(
+        F.count(F.lit(1)).alias("plate_appearances"),
+        F.countDistinct("game_id").alias("games"),
+    )
