@@ -20,16 +20,16 @@ GAME_SQL = f"""SELECT game_date, home_team, away_team,
        MAX(home_score) AS home_score, MAX(away_score) AS away_score, COUNT(*) AS total_pitches,
        {_cnt("events = 'strikeout' AND inning_topbot = 'Bot'")} AS home_strikeouts,
        {_cnt("events = 'strikeout' AND inning_topbot = 'Top'")} AS away_strikeouts,
-       AVG(launch_speed) AS avg_exit_velocity, AVG(launch_angle) AS avg_launch_angle,
+       (CAST(SUM(launch_speed) AS DOUBLE) / NULLIF(COUNT(launch_speed), 0)) AS avg_exit_velocity, (CAST(SUM(launch_angle) AS DOUBLE) / NULLIF(COUNT(launch_angle), 0)) AS avg_launch_angle,
        {_cnt("events = 'home_run'")} AS home_runs
 FROM pitches GROUP BY game_date, home_team, away_team"""
 
 HOME_DAY_SQL = f"""SELECT game_date, home_team, {_cnt("inning_topbot = 'Bot'")} AS home_half_pitches,
-       AVG(release_speed) AS home_day_avg_pitch_speed, AVG(release_spin_rate) AS home_day_avg_spin_rate
+       (CAST(SUM(release_speed) AS DOUBLE) / NULLIF(COUNT(release_speed), 0)) AS home_day_avg_pitch_speed, (CAST(SUM(release_spin_rate) AS DOUBLE) / NULLIF(COUNT(release_spin_rate), 0)) AS home_day_avg_spin_rate
 FROM pitches GROUP BY game_date, home_team"""
 
 AWAY_DAY_SQL = f"""SELECT game_date, away_team, {_cnt("inning_topbot = 'Top'")} AS away_half_pitches,
-       AVG(release_speed) AS away_day_avg_pitch_speed, AVG(release_spin_rate) AS away_day_avg_spin_rate
+       (CAST(SUM(release_speed) AS DOUBLE) / NULLIF(COUNT(release_speed), 0)) AS away_day_avg_pitch_speed, (CAST(SUM(release_spin_rate) AS DOUBLE) / NULLIF(COUNT(release_spin_rate), 0)) AS away_day_avg_spin_rate
 FROM pitches GROUP BY game_date, away_team"""
 
 # Games joined with their own team-day statistics (correct keys).
@@ -95,7 +95,7 @@ def q_game_stats_single_pass(spark, sf):
 @register(
     "home_day_stats", ("A1",),
     with_pitches(f"""SELECT game_date, home_team, {_cnt("inning_topbot = 'Bot'")} AS home_half_pitches,
-       AVG(release_speed) AS home_avg_pitch_speed, AVG(release_spin_rate) AS home_avg_spin_rate
+       (CAST(SUM(release_speed) AS DOUBLE) / NULLIF(COUNT(release_speed), 0)) AS home_avg_pitch_speed, (CAST(SUM(release_spin_rate) AS DOUBLE) / NULLIF(COUNT(release_spin_rate), 0)) AS home_avg_spin_rate
 FROM pitches GROUP BY game_date, home_team"""),
 )
 def q_home_day_stats(spark, sf):
@@ -105,7 +105,7 @@ def q_home_day_stats(spark, sf):
 @register(
     "away_day_stats", ("A2",),
     with_pitches(f"""SELECT game_date, away_team, {_cnt("inning_topbot = 'Top'")} AS away_half_pitches,
-       AVG(release_speed) AS away_avg_pitch_speed, AVG(release_spin_rate) AS away_avg_spin_rate
+       (CAST(SUM(release_speed) AS DOUBLE) / NULLIF(COUNT(release_speed), 0)) AS away_avg_pitch_speed, (CAST(SUM(release_spin_rate) AS DOUBLE) / NULLIF(COUNT(release_spin_rate), 0)) AS away_avg_spin_rate
 FROM pitches GROUP BY game_date, away_team"""),
 )
 def q_away_day_stats(spark, sf):
@@ -160,11 +160,11 @@ FROM f GROUP BY game_away_team_stat""", extra_ctes="""g AS (SELECT game_date, ho
       FROM pitches GROUP BY game_date, home_team, away_team),
 h AS (SELECT game_date, home_team AS home_team_stat,
              SUM(CASE WHEN inning_topbot = 'Bot' THEN 1 ELSE 0 END) AS home_hits_stat,
-             AVG(release_speed) AS home_avg_pitch_speed
+             (CAST(SUM(release_speed) AS DOUBLE) / NULLIF(COUNT(release_speed), 0)) AS home_avg_pitch_speed
       FROM pitches GROUP BY game_date, home_team),
 a AS (SELECT game_date, away_team AS away_team_stat,
              SUM(CASE WHEN inning_topbot = 'Top' THEN 1 ELSE 0 END) AS away_hits_stat,
-             AVG(release_speed) AS away_avg_pitch_speed
+             (CAST(SUM(release_speed) AS DOUBLE) / NULLIF(COUNT(release_speed), 0)) AS away_avg_pitch_speed
       FROM pitches GROUP BY game_date, away_team),
 f AS (SELECT g.game_home_team_stat, g.game_away_team_stat, h.home_hits_stat, h.home_avg_pitch_speed,
              a.away_hits_stat, a.away_avg_pitch_speed
@@ -175,10 +175,10 @@ def q_team_features_fanout(spark, sf):
 
 
 _PERF_CTES = GAMES_KEYED_CTES + """,
-hp AS (SELECT home_team AS team, AVG(home_score) AS avg_home_score, AVG(home_half_pitches) AS avg_home_hits,
+hp AS (SELECT home_team AS team, (CAST(SUM(home_score) AS DOUBLE) / NULLIF(COUNT(home_score), 0)) AS avg_home_score, (CAST(SUM(home_half_pitches) AS DOUBLE) / NULLIF(COUNT(home_half_pitches), 0)) AS avg_home_hits,
               AVG(home_day_avg_pitch_speed) AS avg_home_pitch_speed, AVG(home_day_avg_spin_rate) AS avg_home_spin_rate
        FROM j GROUP BY home_team),
-ap AS (SELECT away_team AS team, AVG(away_score) AS avg_away_score, AVG(away_half_pitches) AS avg_away_hits,
+ap AS (SELECT away_team AS team, (CAST(SUM(away_score) AS DOUBLE) / NULLIF(COUNT(away_score), 0)) AS avg_away_score, (CAST(SUM(away_half_pitches) AS DOUBLE) / NULLIF(COUNT(away_half_pitches), 0)) AS avg_away_hits,
               AVG(away_day_avg_pitch_speed) AS avg_away_pitch_speed, AVG(away_day_avg_spin_rate) AS avg_away_spin_rate
        FROM j GROUP BY away_team),
 perf AS (SELECT COALESCE(hp.team, ap.team) AS team, avg_home_score, avg_home_hits, avg_home_pitch_speed,
@@ -230,8 +230,8 @@ def _team_games(spark, sf):
 @register(
     "prior5_averages", ("U2", "W4"),
     with_pitches(f"""SELECT team, opponent, is_home, game_date, COUNT(*) OVER w AS prior_games,
-       AVG(runs_for) OVER w AS prior_avg_runs_for,
-       AVG(runs_against) OVER w AS prior_avg_runs_against
+       (CAST(SUM(runs_for) OVER w AS DOUBLE) / NULLIF(COUNT(runs_for) OVER w, 0)) AS prior_avg_runs_for,
+       (CAST(SUM(runs_against) OVER w AS DOUBLE) / NULLIF(COUNT(runs_against) OVER w, 0)) AS prior_avg_runs_against
 FROM tgr WINDOW w AS ({TEAM_ORDER_SQL} ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING)""", extra_ctes=TEAM_GAMES_CTES),
 )
 def q_prior5(spark, sf):
@@ -242,8 +242,8 @@ def q_prior5(spark, sf):
     "season_to_date", ("U2", "W5"),
     with_pitches("""SELECT team, opponent, is_home, game_date, season, COUNT(*) OVER w AS games_before,
        CAST(COALESCE(SUM(CASE WHEN result = 1 THEN 1 ELSE 0 END) OVER w, 0) AS BIGINT) AS wins_before,
-       AVG(runs_for) OVER w AS std_avg_runs_for,
-       AVG(runs_against) OVER w AS std_avg_runs_against
+       (CAST(SUM(runs_for) OVER w AS DOUBLE) / NULLIF(COUNT(runs_for) OVER w, 0)) AS std_avg_runs_for,
+       (CAST(SUM(runs_against) OVER w AS DOUBLE) / NULLIF(COUNT(runs_against) OVER w, 0)) AS std_avg_runs_against
 FROM (SELECT *, CAST(year(CAST(game_date AS DATE)) AS INTEGER) AS season FROM tgr) t
 WINDOW w AS (PARTITION BY team, season ORDER BY game_date, is_home, opponent
              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""", extra_ctes=TEAM_GAMES_CTES),
