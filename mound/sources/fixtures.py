@@ -232,15 +232,38 @@ def roster_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.withColumn("file", F.concat("team", F.col("season").cast("string"), F.lit(".ROS")))
 
 
+def _fs(spark: SparkSession, path: str):
+    """Hadoop FileSystem of ``path`` (metadata operations only)."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _local(path: str) -> str | None:
+    """The local path behind ``path``, or None for a remote file system."""
+    for prefix in ("file://", "file:"):
+        if path.startswith(prefix):
+            return path[len(prefix):]
+    return None if "://" in path else path
+
+
 def _flatten(spark: SparkSession, src: str, dst: str, column: str) -> None:
     """Move the single part file of each ``column=value`` folder to
     ``dst/value`` (file-system metadata only, no data through the driver)."""
-    jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
-    src_p = jvm.org.apache.hadoop.fs.Path(src)
-    fs = src_p.getFileSystem(conf)
+    if getattr(spark, "_jvm", None) is None and _local(src) is not None:
+        import os
+
+        os.makedirs(_local(dst), exist_ok=True)
+        for d in sorted(os.listdir(_local(src))):
+            if d.startswith(f"{column}="):
+                parts = sorted(f for f in os.listdir(os.path.join(_local(src), d)) if f.startswith("part-"))
+                for i, f in enumerate(parts):
+                    target = d.split("=", 1)[1] if i == 0 else f"{d.split('=', 1)[1]}.{i}"
+                    os.rename(os.path.join(_local(src), d, f), os.path.join(_local(dst), target))
+        return
+    jvm, fs = _fs(spark, src)
     fs.mkdirs(jvm.org.apache.hadoop.fs.Path(dst))
-    for st in fs.listStatus(src_p):
+    for st in fs.listStatus(jvm.org.apache.hadoop.fs.Path(src)):
         name = st.getPath().getName()
         if not name.startswith(f"{column}="):
             continue
@@ -265,11 +288,16 @@ def write_rosters(spark: SparkSession, sf_dir: str, path: str) -> None:
 
 
 def _flatten_single(spark: SparkSession, src: str, target: str) -> None:
-    jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
-    src_p = jvm.org.apache.hadoop.fs.Path(src)
-    fs = src_p.getFileSystem(conf)
-    for p in fs.listStatus(src_p):
+    if getattr(spark, "_jvm", None) is None and _local(src) is not None:
+        import os
+
+        for f in sorted(os.listdir(_local(src))):
+            if f.startswith("part-"):
+                os.rename(os.path.join(_local(src), f), _local(target))
+                return
+        return
+    jvm, fs = _fs(spark, src)
+    for p in fs.listStatus(jvm.org.apache.hadoop.fs.Path(src)):
         if p.getPath().getName().startswith("part-"):
             fs.rename(p.getPath(), jvm.org.apache.hadoop.fs.Path(target))
             return
