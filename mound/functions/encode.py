@@ -163,11 +163,15 @@ def dense_index(df: DataFrame, column: str) -> DataFrame:
 
 
 def encode_all(df: DataFrame, columns: Sequence[str], suffix: str = "_index",
-               materialize_input: bool = True) -> DataFrame:
+               materialize_input: bool = False) -> DataFrame:
     """Index every listed column by the rank of its value (nulls stay
-    null).  The input is written once so that the per-column dictionaries
-    and the final joins read it instead of recomputing it; each dictionary
-    is joined without a hint (AQE broadcasts it when it is small)."""
+    null).  One small dictionary join per column, each joined without a
+    hint (AQE broadcasts it when it is small).
+
+    Each dictionary reads one column of ``df``; over a Parquet scan that is
+    a pruned read.  When ``df`` is expensive to recompute (joins,
+    aggregates), ``materialize_input`` writes it once first.
+    """
     from mound.session import write_through
 
     base = write_through(df, "encode-all-input") if materialize_input else df

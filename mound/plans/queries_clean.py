@@ -201,7 +201,9 @@ _ENCODE_ALL = ("game_date", "home_team", "away_team", "inning_topbot", "events",
 )
 def q_encode_all(spark, sf):
     p = pitches(spark, sf).select("game_pk", "pitch_number", "pitcher", *_ENCODE_ALL)
-    return E.encode_all(p, _ENCODE_ALL)
+    # The fixture view is a six-way join: write it once instead of
+    # recomputing it for each of the eight dictionaries.
+    return E.encode_all(p, _ENCODE_ALL, materialize_input=True)
 
 
 @register(
