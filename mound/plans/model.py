@@ -138,6 +138,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def release(fitted: Fitted) -> None:
-    for df in (fitted.train, fitted.test):
-        for parent in (df,):
-            parent.unpersist()
+    """Drop the cached training table (train and test share one cache)."""
+    fitted.train.unpersist()
+    fitted.test.unpersist()
