@@ -12,8 +12,9 @@ Scale notes
   re-scanning pitches for each GROUP BY.
 * Per-team statistics are computed with ``groupBy`` + join, not with an
   unordered window over ``team``: a window puts all rows of a team in one
-  task, the aggregate does not.  The join side has one row per team; AQE
-  turns the join into a broadcast at run time when that side is small.
+  task, the aggregate does not.  The join side has one row per team and is
+  broadcast after a size check (``joins.join_small``), so the game table is
+  never shuffled by team.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mound.functions.clean import home_win
+from mound.operators.joins import join_small
 from mound.session import write_through
 
 GAME_KEY = ("game_date", "home_team", "away_team")
@@ -169,9 +171,10 @@ def game_features(pitches: DataFrame, keys: Sequence[str] = GAME_KEY, materializ
         F.count(F.lit(1)).alias("_away_games"),
         F.avg("away_day_avg_pitch_speed").alias("away_avg_pitch_speed"),
     )
+    # One row per team: broadcast after a size check, so the game table is
+    # never hash-partitioned by team (a few keys, possibly very uneven).
     return (
-        games.join(home_team, "home_team", "left")
-        .join(away_team, "away_team", "left")
+        join_small(join_small(games, home_team, "home_team"), away_team, "away_team")
         .withColumn("home_avg_hits", F.col("home_half_pitches") / F.col("_home_games"))
         .withColumn("away_avg_hits", F.col("away_half_pitches") / F.col("_away_games"))
         .withColumn("home_win", home_win())
@@ -240,7 +243,7 @@ def game_vs_team_average(games: DataFrame, perf: DataFrame) -> DataFrame:
     )
     # Named sub-plans, as the original aliases its game table.
     g = games.alias("game_stats")
-    return g.join(home.alias("home_perf"), "home_team", "left").join(away.alias("away_perf"), "away_team", "left")
+    return join_small(join_small(g, home.alias("home_perf"), "home_team"), away.alias("away_perf"), "away_team")
 
 
 def game_nested(pitches: DataFrame, keys: Sequence[str] = GAME_KEY,

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mound.operators.games import game_partials
+from mound.operators.joins import join_small
 from mound.session import write_through
 
 TEAM_ORDER = ("game_date", "is_home", "opponent")
@@ -219,11 +220,11 @@ def fanout_team_features(pitches: DataFrame) -> DataFrame:
         F.sum("speed").alias("SSA"),
         F.count("speed").alias("CSA"),
     )
-    per_date = home_d.join(away_d, "game_date")
+    per_date = home_d.join(away_d, "game_date")  # one row per date on each side
 
     def side(team_col: str, label: str, mult: str, hits: str, ssum: str, scnt: str) -> DataFrame:
         g = games.groupBy("game_date", F.col(team_col).alias("team")).agg(F.count(F.lit(1)).alias("G"))
-        j = g.join(per_date, "game_date")
+        j = join_small(g, per_date, "game_date", how="inner")
         return j.groupBy("team").agg(
             F.sum(F.col("G") * F.col("H") * F.col("A")).cast("bigint").alias("fanout_rows"),
             F.sum(F.col("G") * F.col(mult) * F.col(hits)).cast("bigint").alias("sum_hits_stat"),

@@ -87,3 +87,15 @@ def test_game_nested_first_last(make_pitches):
     ])
     r = G.game_nested(p, order=("pitch_number", "description")).collect()[0]
     assert (r.n_pitches, r.first_description, r.last_description) == (3, "a", "c")
+
+
+def test_join_small_broadcasts_only_within_bound(spark):
+    from mound.operators.joins import join_small
+
+    big = spark.range(1000).withColumn("k", F.col("id") % 3)
+    small = spark.createDataFrame([(0, "a"), (1, "b")], "k long, v string")
+    within = join_small(big, small, "k")
+    beyond = join_small(big, small, "k", max_rows=1)
+    assert "BroadcastExchange" in within._jdf.queryExecution().executedPlan().toString()
+    assert within.count() == beyond.count() == 1000
+    assert sorted(within.collect()) == sorted(beyond.collect())
