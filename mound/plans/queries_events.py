@@ -16,16 +16,26 @@ from mound.sources import eventlog as EV
 from mound.sources import fixtures as FX
 
 
+# The files are written once per session and scale factor and shared by
+# the queries below: only the scans are the operators under test.
+_WRITTEN: dict[tuple[int, str, str], str] = {}
+
+
+def _written(spark, sf, kind, writer):
+    key = (id(spark), sf, kind)
+    if key not in _WRITTEN:
+        path = scratch_path(spark, kind)
+        writer(spark, sf, path)
+        _WRITTEN[key] = path
+    return _WRITTEN[key]
+
+
 def _blocks(spark, sf):
-    path = scratch_path(spark, "events")
-    FX.write_event_files(spark, sf, path)
-    return EV.read_game_blocks(spark, path)
+    return EV.read_game_blocks(spark, _written(spark, sf, "events", FX.write_event_files))
 
 
 def _rosters(spark, sf):
-    path = scratch_path(spark, "rosters")
-    FX.write_rosters(spark, sf, path)
-    return EV.read_rosters(spark, path)
+    return EV.read_rosters(spark, _written(spark, sf, "rosters", FX.write_rosters))
 
 
 _TC = "'N' || lpad(CAST({} AS VARCHAR), 2, '0')"
