@@ -24,6 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mound.dictionaries import HIT_EVENTS
 from mound.functions.clean import home_win
 from mound.operators.joins import join_small
 from mound.session import write_through
@@ -68,10 +69,15 @@ def game_stats_single_pass(pitches: DataFrame, keys: Sequence[str] = GAME_KEY) -
 
     ``home_half_pitches`` is what the original called ``home_hits``: the
     number of pitches thrown in the bottom half (home team batting).
+    ``home_hits`` / ``away_hits`` are true hits (single, double, triple,
+    home run) of the home / away batters.
     """
+    hit = F.col("events").isin(*HIT_EVENTS)
     return pitches.groupBy(*keys).agg(
         _count_if(_bot()).alias("home_half_pitches"),
         _count_if(_top()).alias("away_half_pitches"),
+        _count_if(hit & _bot()).alias("home_hits"),
+        _count_if(hit & _top()).alias("away_hits"),
         F.max("home_score").alias("home_score"),
         F.max("away_score").alias("away_score"),
         F.count(F.lit(1)).alias("total_pitches"),
@@ -98,6 +104,20 @@ def away_day_stats(pitches: DataFrame) -> DataFrame:
     )
 
 
+def pitching_speed_by_side(pitches: DataFrame, keys: Sequence[str] = GAME_KEY) -> DataFrame:
+    """Q4 variant of A1/A2: speed and spin of each team's own pitchers.
+    The home team pitches in the top half, the away team in the bottom."""
+    def avg_if(cond: Column, c: str) -> Column:
+        return F.avg(F.when(cond, F.col(c)))
+
+    return pitches.groupBy(*keys).agg(
+        avg_if(_top(), "release_speed").alias("home_pitchers_avg_speed"),
+        avg_if(_bot(), "release_speed").alias("away_pitchers_avg_speed"),
+        avg_if(_top(), "release_spin_rate").alias("home_pitchers_avg_spin"),
+        avg_if(_bot(), "release_spin_rate").alias("away_pitchers_avg_spin"),
+    )
+
+
 def home_runs_by_side(pitches: DataFrame, keys: Sequence[str] = GAME_KEY) -> DataFrame:
     """Home runs hit by the home side (bottom half), the away side and in total."""
     hr = F.col("events") == "home_run"

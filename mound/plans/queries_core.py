@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from mound.dictionaries import HIT_EVENTS
 from mound.functions.clean import home_win, round_doubles
 from mound.operators import games as G
 from mound.operators import team_windows as TW
@@ -16,6 +17,8 @@ def _cnt(cond: str) -> str:
 
 
 # ---------------------------------------------------------------- SQL pieces
+_HITS = ", ".join(f"'{e}'" for e in HIT_EVENTS)
+
 GAME_SQL = f"""SELECT game_date, home_team, away_team,
        MAX(home_score) AS home_score, MAX(away_score) AS away_score, COUNT(*) AS total_pitches,
        {_cnt("events = 'strikeout' AND inning_topbot = 'Bot'")} AS home_strikeouts,
@@ -82,6 +85,8 @@ def q_game_stats_short(spark, sf):
     with_pitches(f"""SELECT game_date, home_team, away_team,
        {_cnt("inning_topbot = 'Bot'")} AS home_half_pitches,
        {_cnt("inning_topbot = 'Top'")} AS away_half_pitches,
+       {_cnt(f"events IN ({_HITS}) AND inning_topbot = 'Bot'")} AS home_hits,
+       {_cnt(f"events IN ({_HITS}) AND inning_topbot = 'Top'")} AS away_hits,
        MAX(home_score) AS home_score, MAX(away_score) AS away_score, COUNT(*) AS total_pitches,
        {_cnt("events = 'strikeout' AND inning_topbot = 'Bot'")} AS home_strikeouts,
        {_cnt("events = 'strikeout' AND inning_topbot = 'Top'")} AS away_strikeouts,
@@ -112,6 +117,23 @@ def q_away_day_stats(spark, sf):
     return G.away_day_stats(pitches(spark, sf))
 
 
+def _avg_if(cond: str, c: str) -> str:
+    return f"(SUM(CASE WHEN {cond} THEN {c} END) / NULLIF(COUNT(CASE WHEN {cond} THEN {c} END), 0))"
+
+
+@register(
+    "pitching_speed_by_side", ("A1", "A2", "Q4"),
+    with_pitches(f"""SELECT game_date, home_team, away_team,
+       {_avg_if("inning_topbot = 'Top'", "release_speed")} AS home_pitchers_avg_speed,
+       {_avg_if("inning_topbot = 'Bot'", "release_speed")} AS away_pitchers_avg_speed,
+       {_avg_if("inning_topbot = 'Top'", "release_spin_rate")} AS home_pitchers_avg_spin,
+       {_avg_if("inning_topbot = 'Bot'", "release_spin_rate")} AS away_pitchers_avg_spin
+FROM pitches GROUP BY game_date, home_team, away_team"""),
+)
+def q_pitching_speed_by_side(spark, sf):
+    return G.pitching_speed_by_side(pitches(spark, sf))
+
+
 @register(
     "home_runs_by_side", ("A7",),
     with_pitches(f"""SELECT game_date, home_team, away_team,

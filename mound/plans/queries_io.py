@@ -14,7 +14,7 @@ from mound.operators import parks as PK
 from mound.operators import profile as PR
 from mound.operators import seasons as S
 from mound.operators import subsets as L
-from mound.plans.queries_core import GAME_SQL, _cnt
+from mound.plans.queries_core import _HITS, GAME_SQL, _cnt
 from mound.plans.registry import register
 from mound.session import scratch_path
 from mound.sources import pitchlog as PL
@@ -106,6 +106,8 @@ def q_size_subset(spark, sf):
 _A5_SQL = f"""SELECT game_date, home_team, away_team,
        {_cnt("inning_topbot = 'Bot'")} AS home_half_pitches,
        {_cnt("inning_topbot = 'Top'")} AS away_half_pitches,
+       {_cnt(f"events IN ({_HITS}) AND inning_topbot = 'Bot'")} AS home_hits,
+       {_cnt(f"events IN ({_HITS}) AND inning_topbot = 'Top'")} AS away_hits,
        MAX(home_score) AS home_score, MAX(away_score) AS away_score, COUNT(*) AS total_pitches,
        {_cnt("events = 'strikeout' AND inning_topbot = 'Bot'")} AS home_strikeouts,
        {_cnt("events = 'strikeout' AND inning_topbot = 'Top'")} AS away_strikeouts,
@@ -115,7 +117,8 @@ FROM pitches GROUP BY game_date, home_team, away_team"""
 A5_SCHEMA = T.StructType([
     T.StructField("game_date", T.StringType()), T.StructField("home_team", T.StringType()),
     T.StructField("away_team", T.StringType()), T.StructField("home_half_pitches", T.LongType()),
-    T.StructField("away_half_pitches", T.LongType()), T.StructField("home_score", T.LongType()),
+    T.StructField("away_half_pitches", T.LongType()), T.StructField("home_hits", T.LongType()),
+    T.StructField("away_hits", T.LongType()), T.StructField("home_score", T.LongType()),
     T.StructField("away_score", T.LongType()), T.StructField("total_pitches", T.LongType()),
     T.StructField("home_strikeouts", T.LongType()), T.StructField("away_strikeouts", T.LongType()),
     T.StructField("home_win", T.IntegerType()),
