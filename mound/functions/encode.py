@@ -2,11 +2,10 @@
 
 A dictionary given as a Python mapping has a size known on the driver.
 Up to ``LITERAL_MAP_LIMIT`` entries it becomes a literal ``map`` inside
-the projection (no join at all); above that it becomes a DataFrame that
-is broadcast -- its size is the mapping's, which is checked here.
-A dictionary given as a DataFrame (e.g. read from a file) is joined
-without a hint: AQE sees its run-time size and broadcasts it only when
-it is small.
+the projection (no join at all); above that it becomes a DataFrame.
+A dictionary DataFrame (read from a file, or derived) is joined with
+``joins.join_small``: broadcast after counting it, a shuffle join beyond
+the bound.
 """
 
 from __future__ import annotations
@@ -79,9 +78,11 @@ def encode_with_frame(df: DataFrame, column: str, dictionary: DataFrame, on_miss
                       value: str = "value") -> DataFrame:
     """Dictionary join.  ``dictionary`` must be unique on ``code``
     (see ``load_dictionary``)."""
+    from mound.operators.joins import join_small
+
     out = column if suffix is None else f"{column}{suffix}"
     dim = dictionary.select(F.col(code).alias("__code"), F.col(value).alias("__value"))
-    joined = df.join(dim, df[column] == dim["__code"], "left")
+    joined = join_small(df, dim, df[column] == dim["__code"], "left")
     return joined.withColumn(out, _missing(F.col("__value"), F.col(column), on_missing, default)).drop("__code", "__value")
 
 
@@ -136,7 +137,9 @@ def translate_list(df: DataFrame, column: str, dictionary: DataFrame | Mapping[s
         .agg(F.array_sort(F.collect_list(F.struct("__pos", F.coalesce("__name", "__tok").alias("t")))).alias("__p"))
         .select("__list", F.array_join(F.transform("__p", lambda s: s["t"]), joiner).alias(out))
     )
-    return df.join(translated, df[column] == translated["__list"], "left").drop("__list")
+    from mound.operators.joins import join_small
+
+    return join_small(df, translated, df[column] == translated["__list"], "left").drop("__list")
 
 
 def dense_index(df: DataFrame, column: str) -> DataFrame:
@@ -172,11 +175,12 @@ def encode_all(df: DataFrame, columns: Sequence[str], suffix: str = "_index",
     a pruned read.  When ``df`` is expensive to recompute (joins,
     aggregates), ``materialize_input`` writes it once first.
     """
+    from mound.operators.joins import join_small
     from mound.session import write_through
 
     base = write_through(df, "encode-all-input") if materialize_input else df
     out = base
     for c in columns:
         d = dense_index(base, c).withColumnsRenamed({"value": "__v", "index": f"{c}{suffix}"})
-        out = out.join(d, out[c].eqNullSafe(d["__v"]), "left").drop("__v")
+        out = join_small(out, d, out[c].eqNullSafe(d["__v"]), "left").drop("__v")
     return out

@@ -157,13 +157,15 @@ def roster_players(rosters: DataFrame) -> DataFrame:
 
 def plays_with_batters(plays: DataFrame, players: DataFrame) -> DataFrame:
     """Each play with its batter's roster entry for the game's season.
-    The roster table is one row per player and season; AQE broadcasts it
-    when its run-time size allows."""
+    The roster table is one row per player and season, broadcast after a
+    size check (``joins.join_small``)."""
+    from mound.operators.joins import join_small
+
     p = plays.withColumn("season", F.substring("game_id", 4, 4).cast("int"))
     r = players.select(F.col("player_id").alias("batter_id"), "season",
                        F.col("last_name").alias("batter_last_name"), F.col("team").alias("batter_team"),
                        F.col("bats").alias("batter_bats"))
-    return p.join(r, ["batter_id", "season"], "left")
+    return join_small(p, r, ["batter_id", "season"], "left")
 
 
 def earned_runs_by_pitcher(earned: DataFrame) -> DataFrame:
