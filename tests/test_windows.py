@@ -77,7 +77,7 @@ def test_prior_window_matches_plain_window(spark):
 
 
 def _plain(tg):
-    """Reference: plain windows over the whole team (one task per team)."""
+    """Baseline: plain windows over the whole team (one task per team)."""
     w = Window.partitionBy("team").orderBy(*TW.TEAM_ORDER)
     r = F.coalesce(F.col("result"), F.lit(0))
     x = tg.withColumn("_r", r).withColumn("_new", F.when(F.lag("_r").over(w) == F.col("_r"), 0).otherwise(1))
