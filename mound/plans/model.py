@@ -101,6 +101,7 @@ class Fitted:
     predictions: DataFrame
     features: list[str]
     label: str
+    cached: DataFrame | None = None  # the persisted table train/test are cut from
 
 
 def fit_game_outcome(games: DataFrame, features: Sequence[str] = FEATURES_11, label: str = "home_win",
@@ -126,7 +127,7 @@ def fit_game_outcome(games: DataFrame, features: Sequence[str] = FEATURES_11, la
     else:
         raise ValueError(split)
     model = train_rf(train, label, num_trees=num_trees, seed=seed)
-    return Fitted(model, train, test, model.transform(test), list(features), label)
+    return Fitted(model, train, test, model.transform(test), list(features), label, cached=flagged)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -138,6 +139,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def release(fitted: Fitted) -> None:
-    """Drop the cached training table (train and test share one cache)."""
-    fitted.train.unpersist()
-    fitted.test.unpersist()
+    """Drop the cached table that train and test are cut from.  (Calling
+    ``unpersist`` on train / test themselves would be a no-op: they are
+    filters over the cached plan, not the cached plan.)"""
+    if fitted.cached is not None:
+        fitted.cached.unpersist()

@@ -16,7 +16,9 @@ def test_same_seed_same_accuracy_and_no_leak(spark):
         train_days = f.train.select("game_date").distinct()
         test_days = f.test.select("game_date").distinct()
         assert train_days.intersect(test_days).count() == 0
+        assert f.cached.storageLevel.useMemory or f.cached.storageLevel.useDisk
         M.release(f)
+        assert not f.cached.is_cached
     assert accs[0] == accs[1]
     games.unpersist()
 
