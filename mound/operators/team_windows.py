@@ -28,8 +28,15 @@ DAY_ORDER = ("is_home", "opponent")
 # The row-level and day-level results are then joined on (team, game_date).
 
 
-def _in_day(frame_lo=None, frame_hi=None) -> Window:
-    w = Window.partitionBy("team", "game_date").orderBy(*DAY_ORDER)
+def _day_order(tg: DataFrame) -> tuple[str, ...]:
+    """Order of a team's games within a day.  With ``game_pk`` carried
+    along (a game key that keeps doubleheaders apart), it breaks the tie
+    between two games against the same opponent on one date."""
+    return DAY_ORDER + (("game_pk",) if "game_pk" in tg.columns else ())
+
+
+def _in_day(order: tuple[str, ...], frame_lo=None, frame_hi=None) -> Window:
+    w = Window.partitionBy("team", "game_date").orderBy(*order)
     return w if frame_lo is None else w.rowsBetween(frame_lo, frame_hi)
 
 
@@ -52,15 +59,16 @@ def prior_n_averages(tg: DataFrame, n: int = 5, materialize: bool = True) -> Dat
     row -- hold every earlier row that can be among the last ``n``.
     """
     tg = _prepare(tg, materialize)
+    order = _day_order(tg)
     v = F.struct(F.col("runs_for").alias("rf"), F.col("runs_against").alias("ra"))
-    rows = tg.select("team", "opponent", "is_home", "game_date",
-                     F.collect_list(v).over(_in_day(-n, -1)).alias("_same_day"))
+    rows = tg.select("team", "opponent", "is_home", "game_date", *order[2:],
+                     F.collect_list(v).over(_in_day(order, -n, -1)).alias("_same_day"))
     rank_desc = F.row_number().over(Window.partitionBy("team", "game_date").orderBy(
-        *[F.col(c).desc() for c in DAY_ORDER]))
+        *[F.col(c).desc() for c in order]))
     tails = (
         tg.withColumn("_rk", rank_desc).where(F.col("_rk") <= n)
         .groupBy("team", "game_date")
-        .agg(F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in DAY_ORDER], v.alias("v")))).alias("_t"))
+        .agg(F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in order], v.alias("v")))).alias("_t"))
         .select("team", "game_date", F.transform("_t", lambda x: x["v"]).alias("_tail"))
     )
     prev = tails.select("team", "game_date",
@@ -78,7 +86,7 @@ def prior_n_averages(tg: DataFrame, n: int = 5, materialize: bool = True) -> Dat
         return F.when(F.size(vals) > 0, total / F.size(vals))
 
     return j.select(
-        "team", "opponent", "is_home", "game_date",
+        "team", "opponent", "is_home", "game_date", *order[2:],
         F.size(window).cast("bigint").alias("prior_games"),
         avg_of("rf").alias("prior_avg_runs_for"),
         avg_of("ra").alias("prior_avg_runs_against"),
@@ -92,10 +100,11 @@ def season_to_date(tg: DataFrame, materialize: bool = True) -> DataFrame:
     Prefix sums: (sums over earlier days of the season, from a day table)
     + (sums over earlier rows of the same day)."""
     tg = _prepare(tg, materialize).withColumn("season", F.year(F.to_date("game_date")))
+    order = _day_order(tg)
     win = (F.col("result") == 1).cast("int")
-    before = _in_day(Window.unboundedPreceding, -1)
+    before = _in_day(order, Window.unboundedPreceding, -1)
     rows = tg.select(
-        "team", "opponent", "is_home", "game_date", "season",
+        "team", "opponent", "is_home", "game_date", "season", *order[2:],
         F.count(F.lit(1)).over(before).alias("_n"),
         F.sum(win).over(before).alias("_w"),
         F.sum("runs_for").over(before).alias("_rf"), F.count("runs_for").over(before).alias("_crf"),
@@ -116,7 +125,7 @@ def season_to_date(tg: DataFrame, materialize: bool = True) -> DataFrame:
         return F.coalesce(F.col(a), F.lit(0)) + F.coalesce(F.col(b), F.lit(0))
 
     return j.select(
-        "team", "opponent", "is_home", "game_date", "season",
+        "team", "opponent", "is_home", "game_date", "season", *order[2:],
         tot("_n", "_pn").cast("bigint").alias("games_before"),
         tot("_w", "_pw").cast("bigint").alias("wins_before"),
         (tot("_rf", "_prf") / F.when(tot("_crf", "_pcrf") > 0, tot("_crf", "_pcrf"))).alias("std_avg_runs_for"),
@@ -140,14 +149,15 @@ def streaks(tg: DataFrame, materialize: bool = True) -> DataFrame:
     the previous day) or the previous day's last game.
     """
     tg = _prepare(tg, materialize)
-    wd = _in_day()
+    order = _day_order(tg)
+    wd = _in_day(order)
     x = (
         tg.withColumn("_r", F.coalesce(F.col("result"), F.lit(0)))
         .withColumn("_k", F.row_number().over(wd) - 1)
         .withColumn("_new", F.when(F.lag("_r").over(wd) == F.col("_r"), 0).otherwise(1))
         .withColumn("_isl", F.sum("_new").over(wd.rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("_run", F.row_number().over(
-            Window.partitionBy("team", "game_date", "_isl").orderBy(*DAY_ORDER)))
+            Window.partitionBy("team", "game_date", "_isl").orderBy(*order)))
     )
     day = x.groupBy("team", "game_date").agg(
         F.count(F.lit(1)).alias("n"),
@@ -172,7 +182,7 @@ def streaks(tg: DataFrame, materialize: bool = True) -> DataFrame:
     reaches_back = (prev_isl == 1) & (F.col("_pr") == prev_r)
     run_before = F.when(reaches_back, prev_run + F.col("_pL")).otherwise(prev_run)
     streak = F.when(F.col("_k") == 0, F.coalesce(F.col("_pL") * F.col("_pr"), F.lit(0))).otherwise(run_before * prev_r)
-    return j.select("team", "opponent", "is_home", "game_date", "result",
+    return j.select("team", "opponent", "is_home", "game_date", *order[2:], "result",
                     streak.cast("int").alias("streak_before"))
 
 

@@ -129,3 +129,16 @@ def test_team_windows_match_plain_windows_randomized(spark):
         assert st[k] == streak, k
         assert sd[k] == (gb, std_rf), k
         assert p5[k] == (pg, p_ra), k
+
+
+def test_doubleheader_ordered_by_game_pk(spark):
+    g = spark.createDataFrame(
+        [("2023-04-01", 2, "A", "B", 1, 5), ("2023-04-01", 1, "A", "B", 4, 2), ("2023-04-02", 3, "A", "B", 3, 0)],
+        "game_date string, game_pk long, home_team string, away_team string, home_score long, away_score long")
+    tg = G.team_games(g, extra=("game_pk",))
+    a = {r.game_pk: r.streak_before for r in TW.streaks(tg).where("team = 'A'").collect()}
+    assert a == {1: 0, 2: 1, 3: -1}
+    p5 = {r.game_pk: r.prior_games for r in TW.prior_n_averages(tg).where("team = 'A'").collect()}
+    assert p5 == {1: 0, 2: 1, 3: 2}
+    sd = {r.game_pk: r.wins_before for r in TW.season_to_date(tg).where("team = 'A'").collect()}
+    assert sd == {1: 0, 2: 1, 3: 1}
