@@ -309,3 +309,23 @@ def q_streaming_game_stats(spark, sf):
                              schema, max_files_per_trigger=2)
     q.awaitTermination()
     return ST.game_stats_from_partials(spark, f"{base}/partials")
+
+
+@register(
+    "pitch_log_scan", ("S1", "S2", "S7", "A3"),
+    with_pitches(f"""SELECT game_date, home_team, away_team, home_score, away_score, total_pitches,
+       home_strikeouts, away_strikeouts, avg_exit_velocity, avg_launch_angle, home_runs FROM ({GAME_SQL}) g"""),
+)
+def q_pitch_log_scan(spark, sf):
+    """The production read path: a season-partitioned pitch log read with
+    the declared 29-column schema over a glob; columns absent from the
+    files read as null and are never touched by the aggregate."""
+    from mound.schemas import PITCH_SCHEMA
+
+    p = pitches(spark, sf)
+    typed = p.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in PITCH_SCHEMA.fields if f.name in p.columns])
+    path = scratch_path(spark, "pitch-log")
+    SK.write_parquet(typed.withColumn("season", F.substring("game_date", 1, 4).cast("int")), path,
+                     partition_by=["season"], mode="overwrite")
+    log = PL.read_pitch_log(spark, f"{path}/season=*")
+    return G.game_stats(log)
