@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mound.dictionaries import HIT_EVENTS
@@ -150,12 +150,21 @@ def game_partials(pitches: DataFrame, keys: Sequence[str] = GAME_KEY) -> DataFra
     )
 
 
-def _day_rollup(partials: DataFrame, team: str, half_col: str, prefix: str) -> DataFrame:
-    return partials.groupBy("game_date", team).agg(
-        F.sum(half_col).alias(f"{prefix}_half_pitches"),
-        (F.sum("sum_speed") / F.sum("n_speed")).alias(f"{prefix}_day_avg_pitch_speed"),
-        (F.sum("sum_spin") / F.sum("n_spin")).alias(f"{prefix}_day_avg_spin_rate"),
-    )
+def _ratio(num: Column, den: Column) -> Column:
+    return F.when(den > 0, num / den)
+
+
+def _with_day_stats(parts: DataFrame, team: str, half_col: str, prefix: str) -> DataFrame:
+    """A1 / A2 attached to each game row: sums over the games of the same
+    (date, team).  A window partition is one team-day -- at most one game
+    per opponent -- so it is small whatever the data volume, and the
+    statistics cost one shuffle instead of an aggregate plus a join."""
+    w = Window.partitionBy("game_date", team)
+    return parts.withColumns({
+        f"{prefix}_half_pitches": F.sum(half_col).over(w),
+        f"{prefix}_day_avg_pitch_speed": _ratio(F.sum("sum_speed").over(w), F.sum("n_speed").over(w)),
+        f"{prefix}_day_avg_spin_rate": _ratio(F.sum("sum_spin").over(w), F.sum("n_spin").over(w)),
+    })
 
 
 def game_features(pitches: DataFrame, keys: Sequence[str] = GAME_KEY, materialize: bool = True) -> DataFrame:
@@ -173,16 +182,15 @@ def game_features(pitches: DataFrame, keys: Sequence[str] = GAME_KEY, materializ
     """
     parts = game_partials(pitches, keys)
     if materialize:
-        # The game-level table feeds five branches below; write it once so
-        # the pitch log is scanned and shuffled once (see session.write_through).
+        # The game-level table feeds several branches below; write it once
+        # so the pitch log is scanned and shuffled once (session.write_through).
         parts = write_through(parts, "game-partials")
-    home_day = _day_rollup(parts, "home_team", "bot_pitches", "home")
-    away_day = _day_rollup(parts, "away_team", "top_pitches", "away")
-    games = (
-        parts.drop("bot_pitches", "top_pitches", "sum_speed", "n_speed", "sum_spin", "n_spin")
-        .join(home_day, ["game_date", "home_team"], "left")
-        .join(away_day, ["game_date", "away_team"], "left")
-    )
+    games = _with_day_stats(_with_day_stats(parts, "home_team", "bot_pitches", "home"),
+                            "away_team", "top_pitches", "away").drop(
+        "bot_pitches", "top_pitches", "sum_speed", "n_speed", "sum_spin", "n_spin")
+    if materialize:
+        # Feeds the game rows and both per-team aggregates below.
+        games = write_through(games, "game-day-stats")
     home_team = games.groupBy("home_team").agg(
         F.count(F.lit(1)).alias("_home_games"),
         F.avg("home_day_avg_pitch_speed").alias("home_avg_pitch_speed"),
