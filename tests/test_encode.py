@@ -81,3 +81,23 @@ def test_calendar(spark):
     out = df.select(C.string_to_date("d").alias("x")).select(
         C.day_of_week("x").alias("w"), C.date_key("x").alias("k")).collect()
     assert (out[0].w, out[0].k) == (1, 20230402) and out[1].w is None
+
+
+def test_translate_list_randomized_against_spec(spark):
+    import random
+
+    rnd = random.Random(11)
+    codes = ["a", "b", "c", "d", ""]
+    mapping = {"a": "Alpha", "b": "Beta", "c": "Gamma"}
+    rows = [(i, None if rnd.random() < 0.05 else ",".join(rnd.choice(codes) for _ in range(rnd.randint(1, 6))))
+            for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, s string")
+
+    def spec(s):
+        return None if s is None else ", ".join(mapping.get(t, t) for t in s.split(","))
+
+    want = {i: spec(s) for i, s in rows}
+    dim = spark.createDataFrame(list(mapping.items()), "code string, name string")
+    lit = {r.id: r.o for r in E.translate_list(df, "s", mapping, "o").collect()}
+    joined = {r.id: r.o for r in E.translate_list(df, "s", dim, "o").collect()}
+    assert lit == want and joined == want
