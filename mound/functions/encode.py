@@ -138,7 +138,11 @@ def translate_list(df: DataFrame, column: str, dictionary: DataFrame | Mapping[s
         .select("__list", F.array_join(F.transform("__p", lambda s: s["t"]), joiner).alias(out))
     )
     from mound.operators.joins import join_small
+    from mound.session import write_through
 
+    # One row per distinct list: written once, then counted and joined
+    # without recomputing it from the input.
+    translated = write_through(translated, "translated-lists")
     return join_small(df, translated, df[column] == translated["__list"], "left").drop("__list")
 
 
