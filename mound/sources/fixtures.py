@@ -198,8 +198,9 @@ def event_file_games(spark: SparkSession, sf_dir: str) -> DataFrame:
         body(2, 3, F.concat_ws(",", F.lit("radj"), batter, F.lit("2")), F.col("l_discount") >= 0.1),
         body(3, 0, F.concat_ws(",", F.lit("data"), F.lit("er"), pid, (qty % 5).cast("string"))),
     )).alias("ls"))
-    # Lines per game are bounded (a handful per line item, at most seven
-    # line items per order), so collecting them per order is bounded too.
+    # One event-file block is one game, so its lines are gathered per order:
+    # a dozen header lines plus a few per line item (4 per order on average,
+    # 17 at most at sf0.1) -- the size of one game, not of the data.
     lines = headers.select("o_orderkey", F.explode("ls").alias("l")).unionByName(
         items.select("o_orderkey", F.explode("ls").alias("l")))
     return lines.groupBy("o_orderkey").agg(
