@@ -38,9 +38,8 @@ def test_season_to_date_resets_each_season(spark):
     assert [r.wins_before for r in out] == [0, 1, 0]
 
 
-def test_fanout_reduction_equals_brute_force(spark):
-    """The algebraic J1 form against the literal date-only join + windows."""
-    p = pitches(spark, SF_SMALL)
+def _fanout_brute(p):
+    """The literal date-only join + team windows, reduced per team."""
     g = p.groupBy("game_date", F.col("home_team").alias("gh"), F.col("away_team").alias("ga")).count().drop("count")
     h = G.home_day_stats(p).withColumnsRenamed({"home_team": "h_team"})
     a = G.away_day_stats(p).withColumnsRenamed({"away_team": "a_team"})
@@ -51,11 +50,39 @@ def test_fanout_reduction_equals_brute_force(spark):
     away = f.groupBy(F.col("ga").alias("team")).agg(
         F.count(F.lit(1)).alias("fanout_rows"), F.sum("away_half_pitches").alias("sum_hits_stat"),
         F.avg("away_avg_pitch_speed").alias("team_avg_pitch_speed")).withColumn("side", F.lit("away"))
-    brute = {(r.side, r.team): (r.fanout_rows, r.sum_hits_stat, round(r.team_avg_pitch_speed, 6))
-             for r in home.unionByName(away).collect()}
-    fast = {(r.side, r.team): (r.fanout_rows, r.sum_hits_stat, round(r.team_avg_pitch_speed, 6))
+    return {(r.side, r.team): (r.fanout_rows, r.sum_hits_stat,
+                               None if r.team_avg_pitch_speed is None else round(r.team_avg_pitch_speed, 6))
+            for r in home.unionByName(away).collect()}
+
+
+def _fanout_fast(p):
+    return {(r.side, r.team): (r.fanout_rows, r.sum_hits_stat,
+                               None if r.team_avg_pitch_speed is None else round(r.team_avg_pitch_speed, 6))
             for r in TW.fanout_team_features(p).collect()}
-    assert fast == brute and len(fast) > 0
+
+
+def test_fanout_reduction_equals_brute_force(spark):
+    """The algebraic J1 form against the literal date-only join + windows."""
+    p = pitches(spark, SF_SMALL)
+    fast = _fanout_fast(p)
+    assert fast == _fanout_brute(p) and len(fast) > 0
+
+
+def test_fanout_reduction_with_null_speeds(make_pitches):
+    from conftest import pitch
+
+    p = make_pitches([
+        pitch("2023-04-01", 1, 1, "NYY", "BOS", "Bot", speed=None),
+        pitch("2023-04-01", 1, 2, "NYY", "BOS", "Top", speed=None),
+        pitch("2023-04-01", 2, 1, "NYY", "TOR", "Bot", speed=None),
+        pitch("2023-04-01", 3, 1, "SEA", "TEX", "Top", speed=91.0),
+        pitch("2023-04-02", 4, 1, "BOS", "NYY", "Bot", speed=88.5),
+        pitch("2023-04-02", 4, 2, "BOS", "NYY", "Top", speed=92.0),
+        pitch("2023-04-03", 5, 1, "TEX", "SEA", "Top", speed=None),
+    ])
+    fast = _fanout_fast(p)
+    assert fast == _fanout_brute(p)
+    assert fast[("home", "TEX")][2] is None
 
 
 def test_team_games_stack(spark):
