@@ -99,3 +99,18 @@ def test_join_small_broadcasts_only_within_bound(spark):
     assert "BroadcastExchange" in within._jdf.queryExecution().executedPlan().toString()
     assert within.count() == beyond.count() == 1000
     assert sorted(within.collect()) == sorted(beyond.collect())
+
+
+def test_game_features_null_speed_day(make_pitches):
+    p = make_pitches([
+        pitch("2023-04-01", 1, 1, "NYY", "BOS", "Bot", speed=None, hs=3, as_=1),
+        pitch("2023-04-02", 2, 1, "NYY", "TOR", "Bot", speed=90.0, hs=0, as_=2),
+        pitch("2023-04-02", 2, 2, "NYY", "TOR", "Top", speed=94.0, hs=0, as_=2),
+    ])
+    rows = {r.game_date: r for r in G.game_features(p).collect()}
+    assert rows["2023-04-01"].home_day_avg_pitch_speed is None
+    assert rows["2023-04-02"].home_day_avg_pitch_speed == 92.0
+    # the team average skips the day without speeds; W2 divides by the team's 2 home games
+    assert rows["2023-04-01"].home_avg_pitch_speed == 92.0
+    assert rows["2023-04-01"].home_avg_hits == 0.5 and rows["2023-04-02"].home_avg_hits == 0.5
+    assert (rows["2023-04-01"].home_win, rows["2023-04-02"].home_win) == (1, 0)
