@@ -95,11 +95,14 @@ def prior_n_averages(tg: DataFrame, n: int = 5, materialize: bool = True) -> Dat
 
 def season_to_date(tg: DataFrame, materialize: bool = True) -> DataFrame:
     """Season-to-date statistics with the current game excluded (no
-    label leakage).  A season is the calendar year of the game date.
+    label leakage).  The season is ``tg.season`` when present (e.g. from
+    the calendar tag, ``seasons.season_tag``), else the calendar year.
 
     Prefix sums: (sums over earlier days of the season, from a day table)
     + (sums over earlier rows of the same day)."""
-    tg = _prepare(tg, materialize).withColumn("season", F.year(F.to_date("game_date")))
+    tg = _prepare(tg, materialize)
+    if "season" not in tg.columns:
+        tg = tg.withColumn("season", F.year(F.to_date("game_date")))
     order = _day_order(tg)
     win = (F.col("result") == 1).cast("int")
     before = _in_day(order, Window.unboundedPreceding, -1)

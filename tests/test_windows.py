@@ -169,3 +169,11 @@ def test_doubleheader_ordered_by_game_pk(spark):
     assert p5 == {1: 0, 2: 1, 3: 2}
     sd = {r.game_pk: r.wins_before for r in TW.season_to_date(tg).where("team = 'A'").collect()}
     assert sd == {1: 0, 2: 1, 3: 1}
+
+
+def test_season_to_date_uses_given_season(spark):
+    rows = [("A", "B", 1, d, 3, 1, s) for d, s in (("2022-09-01", 1), ("2022-09-02", 2), ("2022-09-03", 2))]
+    df = spark.createDataFrame(rows, "team string, opponent string, is_home int, game_date string, "
+                                     "runs_for long, runs_against long, season int").withColumn("result", F.lit(1))
+    out = TW.season_to_date(df).orderBy("game_date").collect()
+    assert [(r.season, r.games_before) for r in out] == [(1, 0), (2, 0), (2, 1)]
