@@ -80,9 +80,15 @@ def q_key_split(spark, sf):
     return games.withColumn("side", M.split_flag(M.date_number("game_date")))
 
 
+@lru_cache(maxsize=4)
+def _game_features(spark, sf: str):
+    # Reads the game-level tables written by game_features: shared by fits.
+    return G.game_features(pitches(spark, sf))
+
+
 @lru_cache(maxsize=4)
 def _fit(spark, sf: str, features: tuple[str, ...], split: str):
-    fitted = M.fit_game_outcome(G.game_features(pitches(spark, sf)), list(features), split=split)
+    fitted = M.fit_game_outcome(_game_features(spark, sf), list(features), split=split)
     acc = M.accuracy_frame(fitted.predictions, fitted.label).select(
         F.lit(split).alias("split"), F.lit(len(features)).alias("n_features"), "n_test", "accuracy")
     out = {
