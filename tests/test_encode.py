@@ -101,3 +101,15 @@ def test_translate_list_randomized_against_spec(spark):
     lit = {r.id: r.o for r in E.translate_list(df, "s", mapping, "o").collect()}
     joined = {r.id: r.o for r in E.translate_list(df, "s", dim, "o").collect()}
     assert lit == want and joined == want
+
+
+def test_dense_index_unicode_matches_sorted(spark):
+    import random
+
+    rnd = random.Random(5)
+    alphabet = "abcXYZ09_ éü€漢字🙂"
+    vals = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 4))) for _ in range(400)]
+    df = spark.createDataFrame([(v,) for v in vals], "v string").repartition(6)
+    got = {r["value"]: r["index"] for r in E.dense_index(df, "v").collect()}
+    want = {v: i for i, v in enumerate(sorted(set(vals)))}
+    assert got == want
