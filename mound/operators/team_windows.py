@@ -56,21 +56,23 @@ def prior_n_averages(tg: DataFrame, n: int = 5, materialize: bool = True) -> Dat
     Rows before a game come from the same day (a window over the team-day)
     and from earlier days: each day keeps its last ``n`` rows (its "tail"),
     and the tails of the ``n`` previous playing days -- each has at least one
-    row -- hold every earlier row that can be among the last ``n``.
+    row -- hold every earlier row that can be among the last ``n``.  Only
+    the team-game table is shuffled (once, by team and date); the day
+    tails are a one-row-per-day table.
     """
     tg = _prepare(tg, materialize)
     order = _day_order(tg)
     v = F.struct(F.col("runs_for").alias("rf"), F.col("runs_against").alias("ra"))
-    rows = tg.select("team", "opponent", "is_home", "game_date", *order[2:],
-                     F.collect_list(v).over(_in_day(order, -n, -1)).alias("_same_day"))
-    rank_desc = F.row_number().over(Window.partitionBy("team", "game_date").orderBy(
-        *[F.col(c).desc() for c in order]))
-    tails = (
-        tg.withColumn("_rk", rank_desc).where(F.col("_rk") <= n)
-        .groupBy("team", "game_date")
-        .agg(F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in order], v.alias("v")))).alias("_t"))
-        .select("team", "game_date", F.transform("_t", lambda x: x["v"]).alias("_tail"))
+    # All row-level windows share one (team, game_date) partitioning: the
+    # n rows before each row in its day, the n rows up to it, and whether
+    # it is the day's last row -- whose "up to" list is the day's tail.
+    rows = tg.select(
+        "team", "opponent", "is_home", "game_date", *order[2:],
+        F.collect_list(v).over(_in_day(order, -n, -1)).alias("_same_day"),
+        F.collect_list(v).over(_in_day(order, -(n - 1), 0)).alias("_upto"),
+        F.lead(F.lit(1)).over(_in_day(order)).isNull().alias("_is_last"),
     )
+    tails = rows.where(F.col("_is_last")).select("team", "game_date", F.col("_upto").alias("_tail"))
     prev = tails.select("team", "game_date",
                         F.flatten(F.collect_list("_tail").over(_by_date().rowsBetween(-n, -1))).alias("_prev"))
 
