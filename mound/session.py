@@ -6,11 +6,13 @@ given.  ``local_session`` is for tests and the bench only.
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SCRATCH: dict[str, list[str]] = {}
+
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     spark = (
@@ -55,15 +57,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint dir for written tables."""
-    base = ensure_checkpoint_dir(spark)
-    base = base[len("file:"):] if base.startswith("file:") and not base.startswith("file://") else base
-    if "://" in base:
-        import uuid
-
-        return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    os.makedirs(base, exist_ok=True)
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
+    """A fresh folder name under the shared checkpoint folder.
+
+    Only a name is made up here; Spark's writers create the folder in
+    whatever file system the checkpoint folder lives in.
+    """
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete every folder that ``scratch_path`` has named in this application.
+
+    Call it when no result that reads a written intermediate is needed any
+    more.  Returns the number of folders named.
+    """
+    sc = spark.sparkContext
+    paths = _SCRATCH.pop(sc.applicationId, [])
+    for path in paths:
+        target = sc._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
+    return len(paths)
 
 
 def write_through(df: DataFrame, name: str) -> DataFrame:
