@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mound.llm import chat, license_scan, secret_scan
+from mound.llm import bpe, chat, langid, license_scan, packing, secret_scan
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,5 +29,31 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_conversations(rows.unionByName(extra)))
 
 
-QUERIES = {"op4_secrets": op4_secrets, "op6_licenses": op6_licenses, "op7_chat": op7_chat}
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = langid.fit(docs.filter(~langid.held_out(F.col("doc_id"))))
+    found = docs.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), langid.predict(F.col("text"), model, spark).alias("p"))
+    return found.select("doc_id", "held_out", "p.lang_pred", "p.score", "p.rejected")
+
+
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = _tokenizer("byte_bpe_50k.json")
+    coded = docs.select("doc_id", bpe.encode_decode(F.col("text"), path, bpe.publish_lexicon(docs, path)).alias("r"))
+    return coded.select("doc_id", F.floor(F.octet_length("r.ids") / 4).alias("n_tokens"), F.sha2("r.ids", 256).alias("ids_sha256"),
+                        F.sha2("r.decoded", 256).alias("decoded_sha256"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digest(packing.pack_documents(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json")))
+
+
+QUERIES = {"op4_secrets": op4_secrets, "op6_licenses": op6_licenses, "op7_chat": op7_chat,
+           "op8_langid": op8_langid, "op9_bpe": op9_bpe, "op10_packing": op10_packing}
 ORACLE_SQL = {"op4_secrets": secret_scan.oracle_sql(), "op7_chat": chat.oracle_sql()}

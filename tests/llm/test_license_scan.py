@@ -3,6 +3,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from docs_fixture import make_docs  # noqa: F401
 from mound.llm import license_scan as L
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")

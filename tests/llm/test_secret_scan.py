@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 
+from docs_fixture import make_docs  # noqa: F401
 from mound.llm import secret_scan as S
 
 HEX = "0123456789abcdef" * 3
