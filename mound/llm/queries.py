@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mound.llm import bpe, chat, cross_polytope, langid, license_scan, packing, probminhash, secret_scan, vptree
+from mound.llm import bpe, bwt_dedup, chat, cross_polytope, langid, license_scan, packing, probminhash, secret_scan, vptree
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vptree.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op2_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bwt_dedup.digest(_table(spark, sf_dir, "documents"))
+
+
 def op3_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cross_polytope.near_vectors(_table(spark, sf_dir, "embeddings"))
 
@@ -66,7 +70,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack_documents(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json")))
 
 
-QUERIES = {"op1_vptree": op1_vptree, "op3_cross_polytope": op3_cross_polytope, "op5_probminhash": op5_probminhash,
+QUERIES = {"op1_vptree": op1_vptree, "op2_suffix_array": op2_suffix_array, "op3_cross_polytope": op3_cross_polytope, "op5_probminhash": op5_probminhash,
            "op4_secrets": op4_secrets, "op6_licenses": op6_licenses, "op7_chat": op7_chat,
            "op8_langid": op8_langid, "op9_bpe": op9_bpe, "op10_packing": op10_packing}
 ORACLE_SQL = {"op4_secrets": secret_scan.oracle_sql(), "op7_chat": chat.oracle_sql()}
