@@ -39,9 +39,9 @@ from mound.session import write_through
 LEAST = 50
 GRAM = 24
 #: Bytes of text in a block, and for each part, about.
-BLOCK = 8_000_000
+BLOCK = 4_000_000
 #: Positions hashed at a time.
-CHUNK = 1 << 18
+CHUNK = 1 << 15
 
 _U = np.uint64
 _LAST = np.iinfo(np.int64).max
@@ -118,6 +118,10 @@ class Block:
         ids, sizes, raw, carried = _unsqueeze(data)
         return Block(ids, sizes, raw, least), carried
 
+    def anchor_codes(self, parts: int) -> np.ndarray:
+        """Each run's anchor as part << 32 | code."""
+        return ((self.values % _U(parts)) << _U(32) | self.values >> _U(32)).astype(np.int64)
+
     def stretches(self, parts: int, shared: dict[int, np.ndarray]) -> dict[int, tuple[np.ndarray, dict[bytes, int], np.ndarray]]:
         """By part: the runs whose anchor is shared, their distinct strings, and each run's string."""
         part = (self.values % _U(parts)).astype(np.int64)
@@ -139,24 +143,33 @@ class Block:
 
 # -- suffix order, transform, intervals -------------------------------------
 
+def _sorted_places(key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places by key (of ``bits`` bits), and the keys in that order; sorts key and place as one number where they fit."""
+    width = max(1, (len(key) - 1).bit_length())
+    if bits + width <= 63:
+        both = np.sort(key << width | np.arange(len(key)))
+        return both & ((1 << width) - 1), both >> width
+    order = np.argsort(key, kind="stable")
+    return order, key[order]
+
+
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
     """Positions of ``text`` (symbols 0 to 256) by the ``depth`` or more symbols from there, zeros behind its end."""
-    n, known = len(text), 7
+    n, known = len(text), 4
     padded = np.concatenate([text.astype(np.int64), np.zeros(known, np.int64)])
     key = np.zeros(n, np.int64)
     for k in range(known):
-        key = key * 512 + padded[k:k + n]
+        key = key << 9 | padded[k:k + n]
+    bits, width = 9 * known, n.bit_length()
     while True:
-        order = np.argsort(key, kind="stable")
-        s = key[order]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.concatenate([[0], np.cumsum(s[1:] != s[:-1])])
+        order, s = _sorted_places(key, bits)
         if known >= depth:
             return order
-        behind = np.zeros(n, np.int64)
-        behind[:n - known] = rank[known:] + 1 if n > known else 0
-        key = rank * (n + 1) + behind
-        known *= 2
+        rank = np.empty(n, np.int64)
+        rank[order] = np.concatenate([[0], np.cumsum(s[1:] != s[:-1])])
+        key = rank << width
+        key[:max(0, n - known)] |= rank[known:] + 1
+        known, bits = 2 * known, 2 * width
 
 
 def equal_windows(text: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -172,29 +185,37 @@ def equal_windows(text: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]
     """
     n = len(text)
     order = suffix_order(text, least)
-    place = np.empty(n + 1, np.int64)
-    place[order] = np.arange(n)
-    place[n] = 0
+    kind = np.int32 if n < 2**31 else np.int64
+    place = np.empty(n, kind)
+    place[order] = np.arange(n, dtype=kind)
     bwt = text[order - 1]  # the symbol before each suffix
     # where each place comes from: the last-to-first step, read backwards
-    came = np.empty(n, np.int64)
-    back = place[np.where(order > 0, order - 1, n - 1)]
-    came[back] = np.arange(n)
+    came = np.empty(n, kind)
+    back = place[order - 1]
+    came[back] = np.arange(n, dtype=kind)
     first = np.empty(n, text.dtype)
     first[back] = bwt
     starts = np.zeros(n, bool)
     if n:
         starts[0] = True
     starts[1:] |= first[1:] != first[:-1]
-    queue = np.flatnonzero(~starts)
+    queue = np.flatnonzero(~starts).astype(kind)
     here, before = came[queue], came[queue - 1]
+    # places whose two origins are neighbours need no interval numbers: the second origin starts an interval or not
+    close = here == before + 1
+    near, near_here = queue[close], here[close]
+    queue, here, before = queue[~close], here[~close], before[~close]
     for _ in range(1, least):
-        if not len(queue):
+        if not len(queue) and not len(near):
             break
-        interval = np.cumsum(starts, dtype=np.int32)
-        split = interval[here] != interval[before]
-        starts[queue[split]] = True
-        queue, here, before = queue[~split], here[~split], before[~split]
+        near_split = starts[near_here]
+        if len(queue):
+            interval = np.cumsum(starts, dtype=kind)
+            split = interval[here] != interval[before]
+            starts[queue[split]] = True
+            queue, here, before = queue[~split], here[~split], before[~split]
+        starts[near[near_split]] = True
+        near, near_here = near[~near_split], near_here[~near_split]
     return order, np.cumsum(starts) - 1
 
 
@@ -254,18 +275,14 @@ def shared_anchors(blocks: DataFrame, parts: int, least: int) -> DataFrame:
         for batch in batches:
             for number, data in zip(batch["block"], batch["docs"], strict=True):
                 block, _ = Block.unpack(data, least)
-                order = np.lexsort((block.docs, block.values))
-                values, docs = block.values[order], block.docs[order]
-                new = np.ones(len(values), bool)
-                new[1:] = values[1:] != values[:-1]
-                heads = np.flatnonzero(new)
-                if not len(heads):
+                if not len(block.values):
                     continue
-                several = np.maximum.reduceat(docs, heads) > np.minimum.reduceat(docs, heads)
-                values = values[heads]
-                part, code = (values % _U(parts)).astype(np.int64), (values >> _U(32)).astype(np.uint32)
-                order = np.lexsort((code, part))
-                part, code, several = part[order], code[order], several[order]
+                # by part, then code; the runs of an anchor stay in the order of their documents
+                order, both = _sorted_places(block.anchor_codes(parts), 32 + parts.bit_length())
+                docs = block.docs[order]
+                heads = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))
+                several = docs[heads] != docs[np.append(heads[1:], len(docs)) - 1]
+                part, code = both[heads] >> 32, (both[heads] & 0xFFFFFFFF).astype(np.uint32)
                 cuts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
                 rows = [(int(part[a]), number, c.tobytes(), np.packbits(s).tobytes()) for a, c, s in zip(
                     cuts, np.split(code, cuts[1:]), np.split(several, cuts[1:]), strict=True)]

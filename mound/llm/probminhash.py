@@ -80,14 +80,14 @@ def shingle_hashes(texts: list[str], words: int = WORDS) -> tuple[np.ndarray, np
 
 
 def weighted_shingles(texts: list[str], words: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct shingles of each text: text, hash, count."""
+    """Distinct shingles of each of up to ``SLICE`` texts: text, hash of 56 bits, count."""
     hashes, owner = shingle_hashes(texts, words)
-    order = np.lexsort((hashes, owner))
-    h, o = hashes[order], owner[order]
-    new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (o[1:] != o[:-1])
+    both = np.sort(owner.astype(np.uint64) << _U(56) | hashes >> _U(8))
+    new = np.ones(len(both), bool)
+    new[1:] = both[1:] != both[:-1]
     starts = np.flatnonzero(new)
-    return o[starts], h[starts], np.diff(np.append(starts, len(h)))
+    first = both[starts]
+    return (first >> _U(56)).astype(np.int64), first & _U((1 << 56) - 1), np.diff(np.append(starts, len(both)))
 
 
 def signatures(texts: list[str], slots: int = BANDS * ROWS, words: int = WORDS) -> np.ndarray:
