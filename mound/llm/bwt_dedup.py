@@ -219,8 +219,10 @@ def equal_windows(text: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]
     return order, np.cumsum(starts) - 1
 
 
-def smallest_holders(strings: list[bytes], holders: np.ndarray, least: int) -> list[np.ndarray]:
-    """For each window of each string: the smallest holder of a string with an equal window."""
+def smallest_holders(strings: list[bytes], holders: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each window of each string, the smallest holder of a string with an equal window.
+
+    In runs: each string's number of runs, and the runs' windows and holders end to end."""
     sizes = np.fromiter(map(len, strings), np.int64, len(strings))
     # one zero behind each string: no window with it equals one without
     raw = np.frombuffer(b"\0".join([*strings, b""]), np.uint8)
@@ -235,7 +237,16 @@ def smallest_holders(strings: list[bytes], holders: np.ndarray, least: int) -> l
     low = np.minimum.reduceat(holder[order], heads)
     found = np.empty(len(text), np.int64)
     found[order] = low[interval]
-    return [found[e - 1 - s:e - least] for e, s in zip(ends.tolist(), sizes.tolist(), strict=True)]
+    found, owner = found[window], owner[window]
+    heads = np.flatnonzero(np.concatenate([[True], (found[1:] != found[:-1]) | (owner[1:] != owner[:-1])]))
+    return np.bincount(owner[heads], minlength=len(strings)), np.diff(np.append(heads, len(found))), found[heads]
+
+
+def _places(pieces: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """Places of the pieces of chosen strings, strings after one another, where all strings' pieces lie end to end."""
+    begin = np.cumsum(pieces) - pieces
+    mine = pieces[which]
+    return np.repeat(begin[which] - (np.cumsum(mine) - mine), mine) + np.arange(int(mine.sum()))
 
 
 # -- on Spark ---------------------------------------------------------------
@@ -336,12 +347,14 @@ def holders(blocks: DataFrame, shared: DataFrame, parts: int, least: int) -> Dat
         low = np.full(len(known), _LAST)
         for place, (_, own) in zip(places, sent, strict=True):
             np.minimum.at(low, place, own)
-        found = smallest_holders(list(known), low, least)
-        coded = []
-        for values in found:
-            heads = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
-            coded.append((np.diff(np.append(heads, len(values))), values[heads]))
-        out = [(int(b), int(group["part"].iloc[0]), _squeeze([coded[i] for i in place])) for b, place in zip(group["block"], places, strict=True)]
+        if known:
+            pieces, windows, values = smallest_holders(list(known), low, least)
+        else:
+            pieces = windows = values = np.zeros(0, np.int64)
+        out = []
+        for block, place in zip(group["block"], places, strict=True):
+            take = _places(pieces, place)
+            out.append((int(block), int(group["part"].iloc[0]), _squeeze((pieces[place].astype(np.int32), windows[take].astype(np.int32), values[take]))))
         return pd.DataFrame(out, columns=["block", "part", "answer"])
 
     sent = blocks.select("block", "docs").join(shared, "block").mapInPandas(send, "part int, block long, stretches binary")
@@ -356,12 +369,9 @@ def _removed(block: Block, shared, answers, parts: int) -> np.ndarray:
     for part, (runs, _, which) in block.stretches(parts, _shared(shared)).items():
         if not len(runs):
             continue
-        lengths = np.concatenate([n for n, _ in replies[part]])
-        values = np.concatenate([v for _, v in replies[part]])
-        pieces = np.array([len(n) for n, _ in replies[part]])
-        heads = np.cumsum(pieces) - pieces
+        pieces, lengths, values = (a.astype(np.int64) for a in replies[part])
         # each run's pieces, as windows from its start
-        take = np.repeat(heads[which] - (np.cumsum(pieces[which]) - pieces[which]), pieces[which]) + np.arange(int(pieces[which].sum()))
+        take = _places(pieces, which)
         size = lengths[take]
         done = np.cumsum(size) - size
         run = np.repeat(np.arange(len(runs)), pieces[which])
