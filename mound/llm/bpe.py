@@ -14,6 +14,7 @@ it does not hold exactly, pair by pair in rank order.  Texts are never cut off.
 
 from __future__ import annotations
 
+import heapq
 import json
 import re
 import struct
@@ -28,12 +29,13 @@ from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mound.session import scratch_path
+from mound.session import scratch_path, write_through
 
 #: Words in the lexicon, and the longest of them in bytes.
 LEXICON_WORDS, LEXICON_BYTES = 65_536, 40
 #: Distinct words whose ids a worker remembers; distinct words counted before a partial count is emitted.
-MEMO_WORDS, COUNT_WORDS = 400_000, 400_000
+MEMO_WORDS, COUNT_WORDS = 250_000, 250_000
+NO_RANK = np.iinfo(np.int64).max
 ENCODED = "ids binary, decoded string"
 
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -63,6 +65,10 @@ class Vocabulary:
         self.byte_ids = [vocab[c] for c in letters]
         pairs = [m.split(" ") if isinstance(m, str) else m for m in data["model"]["merges"]]
         self.ranks = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
+        keys = np.array([a << 32 | b for a, b in self.ranks], np.int64)
+        order = np.argsort(keys)
+        found = np.array(list(self.ranks.values()), np.int64)[order]
+        self.pair_keys, self.pair_ranks, self.pair_ids = keys[order], found[:, 0].copy(), found[:, 1].copy()
         self.special = {t["content"]: t["id"] for t in data["added_tokens"]}
         by_id = {i: bytes(byte_of[c] for c in token) for token, i in vocab.items() if token not in self.special}
         by_id |= {i: token.encode() for token, i in self.special.items()}
@@ -72,15 +78,80 @@ class Vocabulary:
         self.flat = np.frombuffer(b"".join(by_id.get(i, b"") for i in range(len(sizes))), np.uint8)
 
     def merge(self, word: bytes) -> list[int]:
-        """Ids of a word: the pair of lowest rank is merged, leftmost first, until none is left."""
+        """Ids of a word: the pair of lowest rank is merged, leftmost first, until none is left (a heap of pairs)."""
         ids = [self.byte_ids[b] for b in word]
-        ranks = self.ranks
-        while len(ids) > 1:
-            best = min(((r[0], i, r[1]) for i in range(len(ids) - 1) if (r := ranks.get((ids[i], ids[i + 1])))), default=None)
-            if best is None:
-                break
-            ids[best[1]:best[1] + 2] = [best[2]]
-        return ids
+        n, ranks = len(ids), self.ranks
+        left, right = list(range(-1, n - 1)), [*range(1, n), -1]
+        heap = [(r[0], i, ids[i], ids[i + 1], r[1]) for i in range(n - 1) if (r := ranks.get((ids[i], ids[i + 1])))]
+        heapq.heapify(heap)
+        while heap:
+            _, i, a, b, merged = heapq.heappop(heap)
+            j = right[i]
+            if ids[i] != a or j < 0 or ids[j] != b:
+                continue
+            ids[i], ids[j] = merged, -1
+            right[i] = right[j]
+            if right[j] >= 0:
+                left[right[j]] = i
+            for x, y in ((left[i], i), (i, right[i])):
+                if x >= 0 and y >= 0 and (r := ranks.get((ids[x], ids[y]))):
+                    heapq.heappush(heap, (r[0], x, ids[x], ids[y], r[1]))
+        return [i for i in ids if i >= 0]
+
+    def rank_pairs(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and merged id of pairs; ``NO_RANK`` where they do not merge."""
+        key = a.astype(np.int64) << 32 | b
+        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        hit = self.pair_keys[at] == key
+        return np.where(hit, self.pair_ranks[at], NO_RANK), self.pair_ids[at]
+
+    def merge_all(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """``merge`` for many words at once: ids end to end, and each word's number of ids.
+
+        All words take one step together: each merges its own pair of lowest
+        rank.  Words that have none left leave.  Long words go one by one.
+        """
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        short = np.flatnonzero((sizes > 0) & (sizes <= LEXICON_BYTES))
+        token = np.array(self.byte_ids, np.int64)[np.frombuffer(b"".join([words[i] for i in short]), np.uint8)]
+        word = np.repeat(short, sizes[short])
+        done_word, done_token = [], []
+        for i in np.flatnonzero(sizes > LEXICON_BYTES):
+            ids = self.merge(words[i])
+            done_token.append(np.array(ids, np.int64))
+            done_word.append(np.full(len(ids), i))
+        rank, merged = np.full(len(token), NO_RANK), np.zeros(len(token), np.int64)
+        inner = np.flatnonzero(word[1:] == word[:-1])
+        rank[inner], merged[inner] = self.rank_pairs(token[inner], token[inner + 1])
+        while len(token):
+            heads = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+            count = np.diff(np.append(heads, len(word)))
+            low = np.minimum.reduceat(rank, heads)
+            go = low < NO_RANK
+            if not go.all():
+                stay = np.repeat(go, count)
+                done_word.append(word[~stay])
+                done_token.append(token[~stay])
+                token, word, rank, merged = token[stay], word[stay], rank[stay], merged[stay]
+                count, low = count[go], low[go]
+                if not len(token):
+                    break
+            hits = np.flatnonzero(rank == np.repeat(low, count))
+            hits = hits[np.concatenate([[True], word[hits[1:]] != word[hits[:-1]]])]  # leftmost of each word
+            token[hits] = merged[hits]
+            keep = np.ones(len(token), bool)
+            keep[hits + 1] = False
+            token, word, rank, merged = token[keep], word[keep], rank[keep], merged[keep]
+            at = hits - np.arange(len(hits))
+            anew = np.unique(np.concatenate([at, at[at > 0] - 1]))
+            rank[anew] = NO_RANK
+            anew = anew[anew + 1 < len(token)]
+            anew = anew[word[anew] == word[anew + 1]]
+            rank[anew], merged[anew] = self.rank_pairs(token[anew], token[anew + 1])
+        if not done_word:
+            return np.zeros(0, np.int64), np.zeros(len(words), np.int64)
+        owner, ids = np.concatenate(done_word), np.concatenate(done_token)
+        return ids[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(words))
 
     def decode(self, ids: np.ndarray) -> np.ndarray:
         """Bytes of ids, end to end."""
@@ -107,7 +178,7 @@ class Transducer:
             sizes = struct.unpack("<6q", f.read(48))
         at = 48
         for (name, kind), n in zip(self.PARTS, sizes, strict=True):
-            setattr(self, name, np.memmap(path, kind, "r", at, (n,)) if n else np.zeros(0, kind))
+            setattr(self, name, np.memmap(path, kind, "r", at, (n,)).view(np.ndarray) if n else np.zeros(0, kind))
             at += -(-n * np.dtype(kind).itemsize // 8) * 8
 
     @staticmethod
@@ -191,6 +262,12 @@ class Transducer:
         return found
 
 
+def _gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Pieces of ``flat``, end to end."""
+    before = np.cumsum(lengths) - lengths
+    return flat[np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()))]
+
+
 # -- encoding ---------------------------------------------------------------
 
 class Encoder:
@@ -204,26 +281,37 @@ class Encoder:
         self.ids = np.empty(1 << 16, np.uint32)
         self.starts = np.zeros(1, np.int64)
 
-    def word_ids(self, words: list[bytes]) -> list[list[int] | np.ndarray]:
+    def word_ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words end to end, and each one's number of ids: from the lexicon, else merged."""
         lexicon = self.lexicon
-        starts, ids = lexicon.starts, lexicon.ids
-        merge = self.vocabulary.merge
-        return [ids[starts[n]:starts[n + 1]] if n >= 0 else merge(w) for n, w in zip(lexicon.lookup(words).tolist(), words, strict=True)]
+        number = lexicon.lookup(words)
+        missed = np.flatnonzero(number < 0)
+        ids, counts = self.vocabulary.merge_all([words[i] for i in missed])
+        flat = np.concatenate([lexicon.ids, ids])
+        starts, lengths = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
+        held = np.flatnonzero(number >= 0)
+        starts[held], lengths[held] = lexicon.starts[number[held]], np.diff(lexicon.starts)[number[held]]
+        starts[missed], lengths[missed] = len(lexicon.ids) + np.cumsum(counts) - counts, counts
+        return _gather(flat, starts, lengths), lengths
 
     def learn(self, chunks: list[str]) -> None:
         """Remember the ids of chunks (strings at whose ends a word boundary lies)."""
-        cut = [[chunk] if chunk in self.vocabulary.special else _WORDS.findall(chunk) for chunk in chunks]
-        words = list({w for ws in cut for w in ws}.difference(self.vocabulary.special))
-        of = dict(zip(words, self.word_ids([w.encode("utf-8", "surrogatepass") for w in words]), strict=True))
-        of |= {s: [i] for s, i in self.vocabulary.special.items()}
-        flat = [i for ws in cut for w in ws for i in of[w]]
-        lengths = np.fromiter((sum(len(of[w]) for w in ws) for ws in cut), np.int64, len(cut))
+        special = self.vocabulary.special
+        cut = [[chunk] if chunk in special else _WORDS.findall(chunk) for chunk in chunks]
+        words = list({w for ws in cut for w in ws}.difference(special))
+        of = {w: i for i, w in enumerate([*words, *special])}
+        ids, lengths = self.word_ids([w.encode("utf-8", "surrogatepass") for w in words])
+        ids, lengths = np.concatenate([ids, list(special.values())]).astype(np.uint32), np.concatenate([lengths, np.ones(len(special), np.int64)])
+        counts = np.fromiter(map(len, cut), np.int64, len(cut))
+        which = np.fromiter((of[w] for ws in cut for w in ws), np.int64, int(counts.sum()))
+        flat = _gather(ids, (np.cumsum(lengths) - lengths)[which], lengths[which])
+        ends = np.concatenate([[0], np.cumsum(lengths[which])])[np.cumsum(counts)]
         used = int(self.starts[-1])
         if used + len(flat) > len(self.ids):
             self.ids = np.resize(self.ids, max(2 * len(self.ids), used + len(flat)))
         self.ids[used:used + len(flat)] = flat
         self.chunks.update(zip(chunks, range(len(self.starts) - 1, len(self.starts) - 1 + len(chunks)), strict=True))
-        self.starts = np.concatenate([self.starts, used + np.cumsum(lengths)])
+        self.starts = np.concatenate([self.starts, used + ends])
 
     def cut(self, text: str) -> list[str]:
         """Chunks whose ids, end to end, are the text's."""
@@ -290,8 +378,16 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
 def publish_lexicon(docs: DataFrame, tokenizer_path: str, text_col: str = "text", words: int = LEXICON_WORDS) -> str:
     """Count words, compile the lexicon, write it to the shared folder and ship it; its file name."""
     spark = docs.sparkSession
-    frequent = (word_counts(docs, text_col).filter(F.octet_length("word") <= LEXICON_BYTES)
-                .orderBy(F.desc("n"), "word").limit(words))
+    counts = write_through(word_counts(docs, text_col).filter(F.octet_length("word") <= LEXICON_BYTES), "word-counts")
+    # the least count at which no more than the wanted words remain, from the counts of counts
+    sizes = counts.groupBy(F.least("n", F.lit(100_000)).alias("n")).agg(F.count("*").alias("words")).collect()
+    held, least = 0, 1
+    for row in sorted(sizes, reverse=True):
+        held += row["words"]
+        if held > words:
+            least = row["n"] + 1
+            break
+    frequent = counts.filter(F.col("n") >= least).select("word").limit(words)
     vocabulary = _vocabulary(tokenizer_path)
     held = sorted(r["word"].encode("utf-8", "surrogatepass") for r in frequent.collect())
     data = Transducer.compile((w, vocabulary.merge(w)) for w in held)

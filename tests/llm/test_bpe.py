@@ -66,3 +66,13 @@ def test_memo_overflow(monkeypatch, tmp_path):
     library = Tokenizer.from_file(PATH)
     for text in fuzz(60)[1:]:
         assert enc.encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_merging_together_equals_one_by_one():
+    v = B.Vocabulary(PATH)
+    rng = random.Random(6)
+    words = ["".join(rng.choice(" aeionrstéñ.!0") for _ in range(rng.randint(0, 60))).encode() for _ in range(500)] + [b"", b"a" * 39, b"a" * 5000]
+    ids, counts = v.merge_all(words)
+    ends = np.cumsum(counts)
+    assert all(ids[e - n:e].tolist() == v.merge(w) for w, n, e in zip(words, counts, ends, strict=True))
+    assert len(v.merge_all([])[0]) == 0
