@@ -17,6 +17,7 @@ padding.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -35,6 +36,8 @@ CLASSES = 16
 RUN_DOCS, RUN_TOKENS = 4096, 4_000_000
 #: Distinct chunks whose ids a worker remembers.
 MEMO_CHUNKS = 400_000
+#: Chunks that go through the tokenizer together.
+JOINED = 500
 PIECE = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
@@ -55,10 +58,13 @@ class ChunkEncoder:
     def __init__(self, path: str, end_id: int):
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.end_id = end_id
+        self.mark = "<|endoftext|>"
+        self.mark_id = self.tokenizer.token_to_id(self.mark)
         self.clear()
 
     def clear(self) -> None:
@@ -66,15 +72,29 @@ class ChunkEncoder:
         self.ids = np.empty(1 << 16, np.uint32)
         self.starts = np.zeros(1, np.int64)
 
+    def _ids(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks end to end, and each one's number of ids.
+
+        Many chunks go through the tokenizer as one text, with a special token
+        between them, at which it cuts before anything else."""
+        texts = [self.mark.join(chunks[a:a + JOINED]) for a in range(0, len(chunks), JOINED)]
+        ids = np.concatenate([np.append(np.array(e.ids, np.int64), self.mark_id)
+                              for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+        marks = np.flatnonzero(ids == self.mark_id)
+        return ids[ids != self.mark_id], np.diff(marks, prepend=-1) - 1
+
     def learn(self, chunks: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(lengths.sum()))
+        plain = [c for c in chunks if self.mark not in c]
+        odd = [c for c in chunks if self.mark in c]
+        flat, lengths = self._ids(plain) if plain else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        more = [self.tokenizer.encode(c, add_special_tokens=False).ids for c in odd]
+        flat = np.concatenate([flat, *[np.array(ids, np.int64) for ids in more]]).astype(np.uint32)
+        lengths = np.concatenate([lengths, np.fromiter(map(len, more), np.int64, len(more))])
         used = int(self.starts[-1])
         if used + len(flat) > len(self.ids):
             self.ids = np.resize(self.ids, max(2 * len(self.ids), used + len(flat)))
         self.ids[used:used + len(flat)] = flat
-        self.known.update(zip(chunks, range(len(self.starts) - 1, len(self.starts) - 1 + len(chunks)), strict=True))
+        self.known.update(zip([*plain, *odd], range(len(self.starts) - 1, len(self.starts) - 1 + len(chunks)), strict=True))
         self.starts = np.concatenate([self.starts, used + np.cumsum(lengths)])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
