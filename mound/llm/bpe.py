@@ -34,7 +34,7 @@ from mound.session import scratch_path, write_through
 #: Words in the lexicon, and the longest of them in bytes.
 LEXICON_WORDS, LEXICON_BYTES = 65_536, 40
 #: Distinct words whose ids a worker remembers; distinct words counted before a partial count is emitted.
-MEMO_WORDS, COUNT_WORDS = 250_000, 250_000
+MEMO_WORDS, COUNT_WORDS = 150_000, 150_000
 NO_RANK = np.iinfo(np.int64).max
 ENCODED = "ids binary, decoded string"
 

@@ -33,9 +33,9 @@ CAPACITY = 4096
 #: Remainders under CAPACITY / CLASSES go to the stream.
 CLASSES = 16
 #: Documents and tokens that a worker packs in one run.
-RUN_DOCS, RUN_TOKENS = 4096, 4_000_000
+RUN_DOCS, RUN_TOKENS = 2048, 2_000_000
 #: Distinct chunks whose ids a worker remembers.
-MEMO_CHUNKS = 400_000
+MEMO_CHUNKS = 150_000
 #: Chunks that go through the tokenizer together.
 JOINED = 500
 PIECE = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
@@ -243,8 +243,8 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capaci
             return out
 
         for batch in batches:
-            for at in range(0, len(batch), 512):
-                part = batch.iloc[at:at + 512]
+            for at in range(0, len(batch), 256):
+                part = batch.iloc[at:at + 256]
                 flat, lengths = encoder.encode([t or "" for t in part["text"]])
                 ids.extend(None if pd.isna(i) else int(i) for i in part["id"])
                 parts.append(flat)

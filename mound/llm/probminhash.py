@@ -36,7 +36,7 @@ WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 32, 5
 SLICE = 256
 #: Distinct words whose hash a worker remembers.
-MEMO_WORDS = 400_000
+MEMO_WORDS = 150_000
 
 _U = np.uint64
 
