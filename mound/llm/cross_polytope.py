@@ -32,6 +32,8 @@ COSINE = 0.9
 #: At 64 dimensions and two functions, a pair of cosine 0.9 meets in no table with probability 1e-5.
 TABLES, PROBES = 8, 3
 BLOCK = 2000
+#: Entries of buckets that are compared in one call, about.
+TOGETHER = 20_000
 SEED = 1
 
 
@@ -73,31 +75,55 @@ def buckets(x: np.ndarray, functions: int, tables: int = TABLES, probes: int = P
     return np.concatenate(out, axis=1)
 
 
-def _group(rows: pd.DataFrame, cosine: float) -> pd.DataFrame:
-    """Links of one group (a bucket, or two blocks of one): per vector, its links that count here and an edge."""
-    x = matrix(rows["unit"])
-    codes = np.array([np.asarray(c, np.int64) for c in rows["codes"]])
-    weight, part = rows["n"].to_numpy(), rows["part"].to_numpy()
-    bucket, i, j = int(rows["bucket"].iloc[0]), int(rows["i"].iloc[0]), int(rows["j"].iloc[0])
-    links, root = np.zeros(len(x), np.int64), np.arange(len(x))
+def _pairs(group: np.ndarray, x: np.ndarray, cosine: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of places of one group that may be similar; rows of a group are neighbours.
+
+    Small groups together, by the distance between places; large ones by blocks of matrix products."""
+    heads = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+    sizes = np.diff(np.append(heads, len(group)))
+    left = np.repeat(sizes, sizes) - (np.arange(len(group)) - np.repeat(heads, sizes))  # places to the group's end
+    small = np.repeat(sizes <= 64, sizes)
+    for apart in range(1, int(sizes[sizes <= 64].max(initial=1))):
+        a = np.flatnonzero(small & (left > apart))
+        for at in range(0, len(a), 8192):
+            p = a[at:at + 8192]
+            near = np.einsum("ij,ij->i", x[p], x[p + apart]) >= cosine - 1e-9
+            yield p[near], p[near] + apart
+    for head, size in zip(heads[sizes > 64].tolist(), sizes[sizes > 64].tolist(), strict=True):
+        own = x[head:head + size]
+        for at in range(0, size, 256):
+            a, b = np.nonzero(own[at:at + 256] @ own.T >= cosine - 1e-9)
+            a += at
+            yield head + a[a < b], head + b[a < b]
+
+
+def _compare(rows: pd.DataFrame, cosine: float) -> pd.DataFrame:
+    """Links in some groups (a bucket, or two blocks of one): per vector and group, its links that count here and an edge."""
+    place = np.lexsort((rows["j"].to_numpy(), rows["i"].to_numpy(), rows["bucket"].to_numpy()))
+    bucket, i, j, part, weight = (rows[c].to_numpy()[place] for c in ("bucket", "i", "j", "part", "n"))
+    t = rows["t"].to_numpy()[place]
+    links, root = np.zeros(len(t), np.int64), np.arange(len(t))
+    size = rows["unit"].map(len).to_numpy()[place]
     found = []
-    for at in range(0, len(x), 256):
-        near = x[at:at + 256] @ x.T >= cosine - 1e-9
-        a, b = np.nonzero(near)
-        a += at
-        use = (a < b) & ((part[a] != part[b]) | (i == j))
-        a, b = a[use], b[use]
-        for s in range(0, len(a), 4096):
-            p, q = a[s:s + 4096], b[s:s + 4096]
-            sure = dots(x[p], x[q]) >= cosine
-            p, q = p[sure], q[sure]
-            common = (codes[p][:, :, None] == codes[q][:, None, :]).any(axis=2)
-            first = np.where(common, codes[p], np.iinfo(np.int64).max).min(axis=1) == bucket
-            np.add.at(links, p[first], weight[q[first]])
-            np.add.at(links, q[first], weight[p[first]])
-            found.append((p, q))
+    for length in np.unique(size):  # a bucket holds vectors of one length
+        at = np.flatnonzero(size == length)
+        x = matrix(rows["unit"].iloc[place[at]])
+        codes = np.array([np.asarray(c, np.int64) for c in rows["codes"].iloc[place[at]]])
+        group = np.cumsum(np.concatenate([[True], (bucket[at][1:] != bucket[at][:-1]) | (i[at][1:] != i[at][:-1]) | (j[at][1:] != j[at][:-1])]))
+        for a, b in _pairs(group, x, cosine):
+            for s in range(0, len(a), 4096):
+                p, q = a[s:s + 4096], b[s:s + 4096]
+                p, q = (z[(part[at[p]] != part[at[q]]) | (i[at[p]] == j[at[p]])] for z in (p, q))
+                sure = dots(x[p], x[q]) >= cosine
+                p, q = p[sure], q[sure]
+                common = (codes[p][:, :, None] == codes[q][:, None, :]).any(axis=2)
+                first = np.where(common, codes[p], np.iinfo(np.int64).max).min(axis=1, initial=np.iinfo(np.int64).max) == bucket[at[p]]
+                p, q = at[p], at[q]
+                np.add.at(links, p[first], weight[q[first]])
+                np.add.at(links, q[first], weight[p[first]])
+                found.append((p, q))
     p, q = (np.concatenate(z) for z in zip(*found, strict=True)) if found else (np.zeros(0, int),) * 2
-    while True:  # smallest reachable position, by repeated minima
+    while True:  # smallest reachable place, by repeated minima
         low = np.minimum(root[p], root[q])
         before = root.copy()
         np.minimum.at(root, p, low)
@@ -105,8 +131,7 @@ def _group(rows: pd.DataFrame, cosine: float) -> pd.DataFrame:
         root = root[root]
         if (root == before).all():
             break
-    some = (root != np.arange(len(x))) | (links > 0)
-    t = rows["t"].to_numpy()
+    some = (root != np.arange(len(t))) | (links > 0)
     return pd.DataFrame({"t": t[some], "links": links[some], "root": t[root[some]]})
 
 
@@ -132,8 +157,10 @@ def linked_vectors(classes: DataFrame, count: int, cosine: float = COSINE, block
              .withColumn("part", F.pmod(F.xxhash64("t", "bucket"), F.col("blocks")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("t", "bucket", "part", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j")))
-    return (dealt.join(rows, "t").groupBy("bucket", "i", "j")
-            .applyInPandas(lambda g: _group(g, cosine), "t binary, links long, root binary"))
+    # many groups to a call: about TOGETHER entries
+    calls = max(1, math.ceil(count * TABLES * (1 + PROBES) / TOGETHER))
+    return (dealt.join(rows, "t").groupBy(F.pmod(F.xxhash64("bucket", "i", "j"), F.lit(calls)).alias("call"))
+            .applyInPandas(lambda g: _compare(g, cosine), "t binary, links long, root binary"))
 
 
 def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = COSINE) -> DataFrame:
