@@ -36,6 +36,10 @@ def fence_frame(spark: SparkSession, fences: Mapping[str, Sequence[tuple[str, in
     )
 
 
+#: Both poles are fair: the last segment includes its upper edge.
+FOUL_POLE = 45.0
+
+
 def fence_check(batted: DataFrame, fences: DataFrame, park: str = "park", angle: str = "spray_angle",
                 distance: str = "distance_ft") -> DataFrame:
     """Left join each batted ball to the fence segment in its direction;
@@ -46,7 +50,7 @@ def fence_check(batted: DataFrame, fences: DataFrame, park: str = "park", angle:
     cond = (
         (batted[park] == f["__park"])
         & (batted[angle] >= f["angle_lo"])
-        & (batted[angle] < f["angle_hi"])
+        & ((batted[angle] < f["angle_hi"]) | ((batted[angle] == FOUL_POLE) & (f["angle_hi"] == FOUL_POLE)))
     )
     j = batted.join(F.broadcast(f), cond, "left")
     return j.withColumn("over_fence", F.col(distance) > F.col("fence_ft")).drop("__park", "angle_lo", "angle_hi")

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from functools import lru_cache
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from mound.session import write_through
 from mound.dictionaries import FEATURES_6, FEATURES_11
 from mound.functions.clean import round_doubles
 from mound.operators import games as G
@@ -119,8 +121,12 @@ def q_rf_importance(spark, sf):
 @register("rf_multiclass", ("M9", "M1", "M2", "M5", "M7"))
 def q_rf_multiclass(spark, sf):
     # Pitch-level rows; pitch_number (1-7) stands in for hit_location.
-    p = pitches(spark, sf).select("home_team", "away_team", F.col("pitch_number").cast("double").alias("label"))
-    data = M.assemble(M.index_teams(p), ["home_team_index", "away_team_index"], handle_invalid="skip")
+    # Rows without a label go; labels are numbered from 0 in their order, so the model has no class beside them.
+    p = pitches(spark, sf).select("home_team", "away_team", F.col("pitch_number").alias("code")).where("code is not null")
+    p = write_through(p, "rf-multiclass-pitches")
+    codes = p.select("code").distinct().withColumn("label", (F.row_number().over(Window.orderBy("code")) - 1).cast("double"))
+    data = M.assemble(M.index_teams(p.join(codes, "code")), ["home_team_index", "away_team_index"], handle_invalid="skip")
+    data = write_through(data, "rf-multiclass-rows")
     train, test = data.randomSplit([0.7, 0.3], seed=42)
     model = M.train_rf(train, "label", num_trees=100)
     acc = M.accuracy_frame(model.transform(test), "label").withColumn("n_classes", F.lit(model.numClasses))

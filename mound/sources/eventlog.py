@@ -58,9 +58,11 @@ def _parse(line: Column) -> Column:
 def event_lines(blocks: DataFrame) -> DataFrame:
     """(game_id, seq, record, f1..f7): one row per line, ``seq`` = position
     of the line inside its game (the id line is 0)."""
+    # the record type is read off the raw line, so that a filter on it stands below the one parse
     ex = blocks.select("game_id", F.posexplode("lines").alias("pos", "line"))
-    parsed = ex.select("game_id", (F.col("pos") + 1).alias("seq"), _parse(F.col("line")).alias("r"))
-    return parsed.select("game_id", "seq", F.col("r.f0").alias("record"),
+    parsed = ex.select("game_id", (F.col("pos") + 1).alias("seq"), F.substring_index("line", ",", 1).alias("record"),
+                       _parse(F.col("line")).alias("r"))
+    return parsed.select("game_id", "seq", "record",
                          *[F.col(f"r.f{i}").alias(f"f{i}") for i in range(1, _FIELDS)])
 
 
@@ -84,9 +86,11 @@ def event_games(blocks: DataFrame) -> DataFrame:
         F.try_to_date(F.substring(gid, 4, 8), "yyyyMMdd").alias("game_day"),
         F.substring(gid, 4, 4).cast("int").alias("season"),
         F.expr("substring(game_id, 12)").alias("game_number"),
-        F.get(F.filter("lines", lambda s: s.startswith("version,")), 0).substr(9, 100).alias("version"),
+        F.regexp_replace(F.get(F.filter("lines", lambda s: s.startswith("version,")), 0), "^version,", "").alias("version"),
         *[F.get(key(k), 2).alias(k) for k in INFO_KEYS],
         "file_name",
+        # every info record as it stands: any key, repeats included
+        F.transform("_info", lambda r: F.struct(F.get(r, 1).alias("key"), F.get(r, 2).alias("value"))).alias("info_records"),
     )
 
 
