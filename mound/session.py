@@ -62,7 +62,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     Only a name is made up here; Spark's writers create the folder in
     whatever file system the checkpoint folder lives in.
     """
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    if spark.sparkContext.master.startswith("local[") and base.startswith("file:/") and not base.startswith("file://"):
+        base = base[len("file:"):]  # one machine: a plain path
+    path = f"{base}/{name}-{uuid.uuid4().hex}"
     _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
     return path
 
