@@ -1,30 +1,45 @@
 """Dictionary encoding (P9-P11, P14, P15, P19) and dimension joins.
 
 A dictionary given as a Python mapping has a size known on the driver.
-Up to ``LITERAL_MAP_LIMIT`` entries it becomes a literal ``map`` inside
-the projection (no join at all); above that it becomes a DataFrame.
-A dictionary DataFrame (read from a file, or derived) is joined with
-``joins.join_small``: broadcast after counting it, a shuffle join beyond
-the bound.
+It becomes a literal inside the projection, whatever its size: an array
+of small ``map`` literals, of which a code's CRC picks one, so a lookup
+costs the same for ten entries and for a hundred thousand.  The value
+type follows from the mapping's values, never from its size.
+A dictionary DataFrame (read from a file, or derived) is written once
+and joined; Spark broadcasts it if the files are small enough.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Mapping, Sequence
+from itertools import groupby
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-LITERAL_MAP_LIMIT = 2000
+from mound.session import write_through
 
+#: Entries of one map literal, on average (a lookup scans one such map).
+_MAP_ENTRIES = 16
 
-def literal_map(mapping: Mapping[object, object]) -> Column:
+
+def _find(mapping: Mapping[object, object], source: Column) -> Column:
+    """``mapping[source]``, null for codes that the mapping lacks."""
     if not mapping:
-        return F.create_map().cast("map<string,int>")
-    items = []
+        return F.lit(None)
+    # text and whole numbers look alike in Python and in Spark, so their CRCs agree
+    n = 1 + len(mapping) // _MAP_ENTRIES if all(type(k) in (str, int) for k in mapping) else 1
+    parts: list[list[Column]] = [[] for _ in range(n)]
     for k, v in mapping.items():
-        items += [F.lit(k), F.lit(v)]
-    return F.create_map(*items)
+        parts[zlib.crc32(str(k).encode()) % n if n > 1 else 0] += [F.lit(k), F.lit(v)]
+    # an empty part takes the first entry, which its codes can't equal
+    first = next(iter(mapping.items()))
+    maps = [F.create_map(*(p or [F.lit(x) for x in first])) for p in parts]
+    if n == 1:
+        return F.try_element_at(maps[0], source)
+    part = (F.crc32(source.cast("string").cast("binary")) % F.lit(n)).cast("int")
+    return F.try_element_at(F.get(F.array(*maps), part), source)
 
 
 def _missing(value: Column, source: Column, on_missing: str, default: object = 0) -> Column:
@@ -44,11 +59,8 @@ def lookup(source: str | Column, mapping: Mapping[object, object], on_missing: s
     """Column expression: ``mapping[source]`` with the chosen rule for
     codes absent from the mapping (a null input stays null unless
     ``on_missing='zero'``)."""
-    if len(mapping) > LITERAL_MAP_LIMIT:
-        raise ValueError("mapping too large for a literal map; use encode_with_frame")
     src = F.col(source) if isinstance(source, str) else source
-    value = F.try_element_at(literal_map(mapping), src) if mapping else F.lit(None)
-    return _missing(value, src, on_missing, default)
+    return _missing(_find(mapping, src), src, on_missing, default)
 
 
 def encode(df: DataFrame, columns: Sequence[str] | str, mapping: Mapping[object, object],
@@ -59,30 +71,17 @@ def encode(df: DataFrame, columns: Sequence[str] | str, mapping: Mapping[object,
     ``<col><suffix>``.
     """
     cols = [columns] if isinstance(columns, str) else list(columns)
-    if len(mapping) > LITERAL_MAP_LIMIT:
-        spark = df.sparkSession
-        out = df
-        for c in cols:
-            out = encode_with_frame(out, c, dictionary_frame(spark, mapping), on_missing, suffix, default)
-        return out
     return df.withColumns({c if suffix is None else f"{c}{suffix}": lookup(c, mapping, on_missing, default) for c in cols})
 
 
-def dictionary_frame(spark: SparkSession, mapping: Mapping[object, object]) -> DataFrame:
-    """A dimension DataFrame (code, value) from a driver-side mapping."""
-    return spark.createDataFrame([(str(k), v) for k, v in mapping.items()], "code string, value long")
-
-
 def encode_with_frame(df: DataFrame, column: str, dictionary: DataFrame, on_missing: str = "null",
                       suffix: str | None = None, default: object = 0, code: str = "code",
                       value: str = "value") -> DataFrame:
     """Dictionary join.  ``dictionary`` must be unique on ``code``
     (see ``load_dictionary``)."""
-    from mound.operators.joins import join_small
-
     out = column if suffix is None else f"{column}{suffix}"
-    dim = dictionary.select(F.col(code).alias("__code"), F.col(value).alias("__value"))
-    joined = join_small(df, dim, df[column] == dim["__code"], "left")
+    dim = write_through(dictionary.select(F.col(code).alias("__code"), F.col(value).alias("__value")), "dictionary")
+    joined = df.join(dim, df[column] == dim["__code"], "left")
     return joined.withColumn(out, _missing(F.col("__value"), F.col(column), on_missing, default)).drop("__code", "__value")
 
 
@@ -123,68 +122,67 @@ def translate_list(df: DataFrame, column: str, dictionary: DataFrame | Mapping[s
     the matching side of the final join if it is skewed.
     """
     if not isinstance(dictionary, DataFrame):
-        m = literal_map(dictionary)
         parts = F.split(F.col(column), F.lit(sep), -1)
-        tr = F.transform(parts, lambda x: F.coalesce(F.try_element_at(m, x), x))
+        tr = F.transform(parts, lambda x: F.coalesce(_find(dictionary, x), x))
         return df.withColumn(out, F.when(F.col(column).isNotNull(), F.array_join(tr, joiner)))
 
     lists = df.select(F.col(column).alias("__list")).where(F.col("__list").isNotNull()).distinct()
     tokens = lists.select("__list", F.posexplode(F.split(F.col("__list"), F.lit(sep), -1)).alias("__pos", "__tok"))
-    dim = dictionary.select(F.col(code).alias("__tok"), F.col(name).alias("__name"))
+    dim = write_through(dictionary.select(F.col(code).alias("__tok"), F.col(name).alias("__name")), "dictionary")
     translated = (
         tokens.join(dim, "__tok", "left")
         .groupBy("__list")
         .agg(F.array_sort(F.collect_list(F.struct("__pos", F.coalesce("__name", "__tok").alias("t")))).alias("__p"))
         .select("__list", F.array_join(F.transform("__p", lambda s: s["t"]), joiner).alias(out))
     )
-    from mound.operators.joins import join_small
-    from mound.session import write_through
-
-    # One row per distinct list: written once, then counted and joined
-    # without recomputing it from the input.
+    # One row per distinct list: written once, and joined by the size of its files.
     translated = write_through(translated, "translated-lists")
-    return join_small(df, translated, df[column] == translated["__list"], "left").drop("__list")
+    return df.join(translated, df[column] == translated["__list"], "left").drop("__list")
 
 
-def dense_index(df: DataFrame, column: str) -> DataFrame:
-    """Distinct non-null values of ``column`` with their 0-based rank in
-    ascending order -- ``dense_rank() - 1`` -- without sending all values
-    to one task.  The distinct values are range-partitioned by a sort and
-    numbered inside each partition; that small table (one row per distinct
-    value) is written once, and a partition's offset is the number of
-    values in the partitions before it (one row per partition, broadcast).
+def dense_indexes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, value, index): the distinct non-null values of each listed
+    column -- all of one type -- with their 0-based rank in ascending order
+    (``dense_rank() - 1``), from one pass over ``df`` and without sending a
+    column's values to one task.  The distinct (column, value) pairs are
+    range-partitioned by a sort and numbered inside each partition; that
+    table is written once, and an offset is the number of a column's values
+    in the partitions before (one row per column and partition).
     """
-    from mound.session import write_through
-
-    vals = df.select(F.col(column).alias("value")).where(F.col("value").isNotNull()).distinct()
-    numbered = vals.orderBy("value").withColumn("__pid", F.spark_partition_id()).withColumn(
-        "__i", F.row_number().over(Window.partitionBy("__pid").orderBy("value")) - 1)
-    numbered = write_through(numbered, f"dense-index-{column}")
-    offsets = numbered.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n")).select(
-        "__pid",
-        F.coalesce(F.sum("__n").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("__off"),
-    )
-    return numbered.join(F.broadcast(offsets), "__pid").select(
-        "value", (F.col("__off") + F.col("__i")).cast("int").alias("index"))
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns])
+    vals = df.select(F.inline(pairs)).where(F.col("value").isNotNull()).distinct()
+    numbered = vals.orderBy("column", "value").withColumn("__pid", F.spark_partition_id()).withColumn(
+        "__i", F.row_number().over(Window.partitionBy("__pid", "column").orderBy("value")) - 1)
+    numbered = write_through(numbered, "dense-index")
+    before = Window.partitionBy("column").orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = numbered.groupBy("column", "__pid").agg(F.count(F.lit(1)).alias("__n")).select(
+        "column", "__pid", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    return numbered.join(F.broadcast(offsets), ["column", "__pid"]).select(
+        "column", "value", (F.col("__off") + F.col("__i")).cast("int").alias("index"))
+
+
+def dense_index(df: DataFrame, column: str) -> DataFrame:
+    """(value, index) of one column, see ``dense_indexes``."""
+    return dense_indexes(df, [column]).select("value", "index")
 
 
 def encode_all(df: DataFrame, columns: Sequence[str], suffix: str = "_index",
                materialize_input: bool = False) -> DataFrame:
     """Index every listed column by the rank of its value (nulls stay
-    null).  One small dictionary join per column, each joined without a
-    hint (AQE broadcasts it when it is small).
+    null).  Columns of one type are numbered in one pass over ``df``; their
+    dictionaries are one written table, of which each column joins its part
+    (broadcast if the files are small enough).
 
-    Each dictionary reads one column of ``df``; over a Parquet scan that is
-    a pruned read.  When ``df`` is expensive to recompute (joins,
-    aggregates), ``materialize_input`` writes it once first.
+    When ``df`` is expensive to recompute (joins, aggregates),
+    ``materialize_input`` writes it once first.
     """
-    from mound.operators.joins import join_small
-    from mound.session import write_through
-
     base = write_through(df, "encode-all-input") if materialize_input else df
+    types = dict(base.dtypes)
     out = base
-    for c in columns:
-        d = dense_index(base, c).withColumnsRenamed({"value": "__v", "index": f"{c}{suffix}"})
-        out = join_small(out, d, out[c].eqNullSafe(d["__v"]), "left").drop("__v")
-    return out
+    for _, same in groupby(sorted(columns, key=lambda c: types[c]), key=lambda c: types[c]):
+        same = list(same)
+        dictionary = write_through(dense_indexes(base, same), "dense-dictionary")
+        for c in same:
+            d = dictionary.where(F.col("column") == c).select(F.col("value").alias("__v"), F.col("index").alias(f"{c}{suffix}"))
+            out = out.join(d, out[c] == d["__v"], "left").drop("__v")
+    return out.select(*base.columns, *[f"{c}{suffix}" for c in columns])

@@ -260,7 +260,11 @@ def team_performance(games: DataFrame) -> DataFrame:
 
 
 def game_vs_team_average(games: DataFrame, perf: DataFrame) -> DataFrame:
-    """Each game with the season averages of its home and its away team."""
+    """Each game with the season averages of its home and its away team.
+
+    ``perf`` (one row per team) is written once; Spark broadcasts both of its
+    sides by the size of its files."""
+    perf = write_through(perf, "team-performance")
     home = perf.select(
         F.col("team").alias("home_team"),
         *[F.col(c) for c in ("avg_home_score", "avg_home_hits", "avg_home_pitch_speed", "avg_home_spin_rate")],
@@ -271,7 +275,7 @@ def game_vs_team_average(games: DataFrame, perf: DataFrame) -> DataFrame:
     )
     # Named sub-plans, as the original aliases its game table.
     g = games.alias("game_stats")
-    return join_small(join_small(g, home.alias("home_perf"), "home_team"), away.alias("away_perf"), "away_team")
+    return g.join(home.alias("home_perf"), "home_team", "left").join(away.alias("away_perf"), "away_team", "left")
 
 
 def game_nested(pitches: DataFrame, keys: Sequence[str] = GAME_KEY,

@@ -4,26 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-# Per-team / per-date tables have a handful of narrow columns; this many
-# rows is a few MB per executor.
-BROADCAST_MAX_ROWS = 200_000
+from mound.session import write_through
 
 
-def join_small(big: DataFrame, small: DataFrame, on: str | Sequence[str] | Column, how: str = "left",
-               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join ``big`` with ``small``, broadcasting ``small`` only after
-    checking its size.
+def join_small(big: DataFrame, small: DataFrame, on: str | Sequence[str], how: str = "left") -> DataFrame:
+    """Join ``big`` with ``small``, which Spark broadcasts if its bytes allow it.
 
-    The check is a count of ``small`` (one cheap job over an aggregate).
-    Within the bound, ``small`` is broadcast and ``big`` is joined where it
-    lies -- no shuffle of ``big`` at all, however its keys are skewed (a
-    join on the team key would otherwise hash all rows of a team into one
-    partition).  Beyond the bound the join is a plain shuffle join, which
-    AQE may still split for skew.
+    ``small`` (an aggregate, a dictionary, a roster) is written once and read
+    back, so its size is the size of the files: at most
+    ``spark.sql.autoBroadcastJoinThreshold`` bytes are broadcast, and ``big``
+    is then joined where it lies, however its keys are skewed.  A larger
+    ``small`` takes a shuffle join, which AQE may split for skew.  The rows
+    are the same either way, and ``small`` is computed once.
     """
-    n = small.count()
-    side = F.broadcast(small) if n <= max_rows else small
-    return big.join(side, on, how)
+    return big.join(write_through(small, "small-side"), on, how)

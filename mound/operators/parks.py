@@ -1,10 +1,9 @@
 """Park-fence lookup (J5): batted ball x fence segment of its park.
 
-The fence table has a handful of rows per park (a bound given by the
-table's definition), so it is broadcast and the join runs map-side as a
-hash join on the park plus a range condition on the spray angle.  Every
-batted ball of one park hits the same hash key, which is harmless for a
-broadcast join: no shuffle, no hot task.
+The fence table (a handful of rows per park) is written once, and Spark
+broadcasts it by the size of its files: a map-side hash join on the park
+plus a range condition on the spray angle, so the many batted balls of
+one park meet no shuffle and no hot task.
 """
 
 from __future__ import annotations
@@ -14,6 +13,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mound.session import write_through
+
 FAIR_LEFT, FAIR_RIGHT = -45.0, 45.0
 
 
@@ -46,11 +47,11 @@ def fence_check(batted: DataFrame, fences: DataFrame, park: str = "park", angle:
     ``over_fence`` is true when the ball travels past that segment's
     distance, false when short of it, null outside fair territory or for
     an undescribed park."""
-    f = fences.withColumnRenamed("park", "__park")
+    f = write_through(fences.withColumnRenamed("park", "__park"), "park-fences")
     cond = (
         (batted[park] == f["__park"])
         & (batted[angle] >= f["angle_lo"])
         & ((batted[angle] < f["angle_hi"]) | ((batted[angle] == FOUL_POLE) & (f["angle_hi"] == FOUL_POLE)))
     )
-    j = batted.join(F.broadcast(f), cond, "left")
+    j = batted.join(f, cond, "left")
     return j.withColumn("over_fence", F.col(distance) > F.col("fence_ft")).drop("__park", "angle_lo", "angle_hi")

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mound.schemas import SEASON_SCHEMA
+from mound.session import write_through
 
 
 def season_slice(df: DataFrame, start: str, end: str, date_col: str = "game_date") -> DataFrame:
@@ -28,21 +29,22 @@ def season_tag(df: DataFrame, calendar: DataFrame, date_col: str = "game_date",
     """Tag each row with the season whose [start, end] holds its date;
     null when the date falls outside every season.
 
-    Seasons do not span a new year, so the range join is an equi-join on
-    the calendar year plus a range condition: a broadcast hash join
-    instead of a nested loop over every (row, season) pair.  The calendar
-    has one row per season, a bound known from its definition.
+    A season has one calendar row per year that it touches, so the range
+    join is an equi-join on the year plus a range condition, also for
+    seasons that cross a new year, instead of a nested loop over every
+    (row, season) pair.  The calendar is written once and broadcast if its
+    files are small enough.
     """
-    cal = calendar.select(
+    cal = write_through(calendar.select(
         F.col("season").alias("__season"),
-        F.year("season_start").alias("__year"),
+        F.explode(F.sequence(F.year("season_start"), F.year("season_end"))).alias("__year"),
         F.col("season_start").alias("__start"),
         F.col("season_end").alias("__end"),
-    )
+    ).where(F.col("__start") <= F.col("__end")), "season-calendar")
     d = F.to_date(F.col(date_col))
     keyed = df.withColumn("__d", d).withColumn("__y", F.year("__d"))
     cond = (keyed["__y"] == cal["__year"]) & keyed["__d"].between(cal["__start"], cal["__end"])
-    return keyed.join(F.broadcast(cal), cond, "left").withColumn(out, F.col("__season")).drop(
+    return keyed.join(cal, cond, "left").withColumn(out, F.col("__season")).drop(
         "__season", "__year", "__start", "__end", "__d", "__y"
     )
 

@@ -7,7 +7,6 @@ the operator and is compared with SQL over the original tables.
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from mound.plans.registry import register
@@ -16,18 +15,11 @@ from mound.sources import eventlog as EV
 from mound.sources import fixtures as FX
 
 
-# The files are written once per session and scale factor and shared by
-# the queries below: only the scans are the operators under test.
-_WRITTEN: dict[tuple[int, str, str], str] = {}
-
-
+# Every call writes its files from the tables as they are then.
 def _written(spark, sf, kind, writer):
-    key = (id(spark), sf, kind)
-    if key not in _WRITTEN:
-        path = scratch_path(spark, kind)
-        writer(spark, sf, path)
-        _WRITTEN[key] = path
-    return _WRITTEN[key]
+    path = scratch_path(spark, kind)
+    writer(spark, sf, path)
+    return path
 
 
 def _blocks(spark, sf):
@@ -69,13 +61,16 @@ SELECT game_id, home AS home_code, d AS game_day, CAST(year(d) AS INTEGER) AS se
        home || '01' AS site, strftime(d, '%Y/%m/%d') AS date, CAST(o_orderkey % 3 AS VARCHAR) AS number,
        'regular' AS gametype, CASE WHEN starts_with(o_orderpriority, '1') THEN 'night' ELSE 'day' END AS daynight,
        CAST(CAST(trunc(o_totalprice) AS BIGINT) % 100 AS VARCHAR) AS temp, CAST(o_custkey AS VARCHAR) AS attendance,
-       o_orderstatus AS sky, CAST(NULL AS VARCHAR) AS umphome
+       o_orderstatus AS sky, 'u' || CAST(o_custkey AS VARCHAR) AS umphome, """
+    + ", ".join(f"CAST(NULL AS VARCHAR) AS {k}" for k in EV.INFO_KEYS if k not in FX.FIXTURE_INFO_KEYS) + """,
+       'umphome=u' || CAST(o_custkey AS VARCHAR) || ';umphome=v' || CAST(o_custkey AS VARCHAR) || ';roof=' || o_orderpriority
+         AS last_records
 FROM egi""",
 )
 def q_event_log_games(spark, sf):
-    g = EV.event_games(_blocks(spark, sf))
-    return g.select("game_id", "home_code", "game_day", "season", "game_number", "version", "visteam", "hometeam",
-                    "site", "date", "number", "gametype", "daynight", "temp", "attendance", "sky", "umphome")
+    # umphome is recorded twice (its column holds the first), roof is a key without a column of its own
+    last = F.array_join(F.transform(F.slice("info_records", -3, 3), lambda r: F.concat_ws("=", r["key"], r["value"])), ";")
+    return EV.event_games(_blocks(spark, sf)).withColumn("last_records", last).drop("file_name", "info_records")
 
 
 _TIE = "l_linenumber, play_line"
@@ -92,10 +87,7 @@ SELECT game_id, CAST(row_number() OVER (PARTITION BY game_id ORDER BY {_TIE}) AS
 FROM it""",
 )
 def q_event_log_plays(spark, sf):
-    plays = EV.event_plays(EV.event_lines(_blocks(spark, sf)))
-    idx = F.row_number().over(Window.partitionBy("game_id").orderBy("seq"))
-    return plays.select("game_id", idx.alias("play_index"), "inning", "side", "batter_id", "count",
-                        "pitch_sequence", "play")
+    return EV.indexed_plays(_blocks(spark, sf)).drop("seq")
 
 
 @register(
@@ -116,14 +108,15 @@ def q_event_log_lineups(spark, sf):
 SELECT game_id, 'note, line ' || CAST(l_linenumber AS VARCHAR) || ' of ' || CAST(l_orderkey AS VARCHAR) AS text
 FROM it WHERE l_linenumber = 1
 UNION ALL
-SELECT game_id, 'radj:' || batter || ':2' FROM it WHERE l_discount >= 0.1""",
+SELECT game_id, 'radj:' || batter || ':2' FROM it WHERE l_discount >= 0.1
+UNION ALL
+SELECT game_id, 'badj:' || batter || ':' || CASE WHEN l_suppkey % 2 = 0 THEN 'L' ELSE 'R' END FROM it WHERE l_discount < 0.02""",
 )
 def q_event_log_comments(spark, sf):
-    lines = EV.event_lines(_blocks(spark, sf))
-    com = EV.event_comments(lines).select("game_id", "text")
-    adj = EV.event_adjustments(lines).select(
-        "game_id", F.concat_ws(":", "record", "player_id", "value").alias("text"))
-    return com.unionByName(adj)
+    # com, radj and badj records in one read: a comment's text, or the fields after the record type
+    lines = EV.event_lines(_blocks(spark, sf), ("com", "radj", "badj"))
+    adjusted = F.concat_ws(":", "record", F.array_join("fields", ":"))
+    return lines.select("game_id", F.when(F.col("record") == "com", F.get("fields", 0)).otherwise(adjusted).alias("text"))
 
 
 @register(
@@ -169,12 +162,10 @@ SELECT it.game_id, CAST(row_number() OVER (PARTITION BY it.game_id ORDER BY {_TI
 FROM it LEFT JOIN rp ON it.batter = rp.player_id AND CAST(substr(it.game_id, 4, 4) AS INTEGER) = rp.season""",
 )
 def q_roster_join(spark, sf):
-    plays = EV.event_plays(EV.event_lines(_blocks(spark, sf)))
+    plays = EV.indexed_plays(_blocks(spark, sf))
     players = EV.roster_players(_rosters(spark, sf))
     j = EV.plays_with_batters(plays, players)
-    idx = F.row_number().over(Window.partitionBy("game_id").orderBy("seq"))
-    return j.select("game_id", idx.alias("play_index"), "batter_id", "season", "batter_last_name", "batter_team",
-                    "batter_bats")
+    return j.select("game_id", "play_index", "batter_id", "season", "batter_last_name", "batter_team", "batter_bats")
 
 
 @register(

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -82,15 +80,9 @@ def q_key_split(spark, sf):
     return games.withColumn("side", M.split_flag(M.date_number("game_date")))
 
 
-@lru_cache(maxsize=4)
-def _game_features(spark, sf: str):
-    # Reads the game-level tables written by game_features: shared by fits.
-    return G.game_features(pitches(spark, sf))
-
-
-@lru_cache(maxsize=4)
-def _fit(spark, sf: str, features: tuple[str, ...], split: str):
-    fitted = M.fit_game_outcome(_game_features(spark, sf), list(features), split=split)
+def _fit(spark, sf: str, features: tuple[str, ...], split: str, games=None):
+    games = G.game_features(pitches(spark, sf)) if games is None else games
+    fitted = M.fit_game_outcome(games, list(features), split=split)
     acc = M.accuracy_frame(fitted.predictions, fitted.label).select(
         F.lit(split).alias("split"), F.lit(len(features)).alias("n_features"), "n_test", "accuracy")
     out = {
@@ -104,8 +96,9 @@ def _fit(spark, sf: str, features: tuple[str, ...], split: str):
 
 @register("rf_accuracy", ("M5", "M6", "M7"))
 def q_rf_accuracy(spark, sf):
-    return _fit(spark, sf, tuple(FEATURES_11), "key")["accuracy"].unionByName(
-        _fit(spark, sf, tuple(FEATURES_6), "random")["accuracy"])
+    games = G.game_features(pitches(spark, sf))
+    return _fit(spark, sf, tuple(FEATURES_11), "key", games)["accuracy"].unionByName(
+        _fit(spark, sf, tuple(FEATURES_6), "random", games)["accuracy"])
 
 
 @register("rf_confusion", ("M6", "M7"))
@@ -118,6 +111,37 @@ def q_rf_importance(spark, sf):
     return _fit(spark, sf, tuple(FEATURES_11), "key")["importance"]
 
 
+_SPLIT_SQL = "CASE WHEN (((CAST(game_date AS DATE) - DATE '1970-01-01') % 5) + 5) % 5 < 1 THEN 'test' ELSE 'train' END"
+
+
+@register(
+    "rf_facts", ("M4", "M5", "M6", "M7", "M8"),
+    with_pitches(
+        f"SELECT {_SPLIT_SQL} AS side, COUNT(*) AS n_rows, CAST(SUM(home_win) AS BIGINT) AS n_home_wins, COUNT(*) AS n_scored,\n"
+        f"       2 AS n_classes, CAST(1.0 AS DOUBLE) AS importance_sum, {len(FEATURES_11)} AS n_features\n"
+        "FROM x WHERE home_win IS NOT NULL AND " + " AND ".join(f"f_{n} IS NOT NULL" for n in FEATURES_11) + " GROUP BY 1",
+        extra_ctes=GAMES_KEYED_CTES + ",\n" + _INDEX_CTES + ",\nx AS (SELECT j.game_date, "
+        "CAST(home_score > away_score AS INTEGER) AS home_win, "
+        + ", ".join(f"{_FEATURE_EXPR[n]} AS f_{n}" for n in FEATURES_11)
+        + " FROM j JOIN hi ON j.home_team = hi.home_team JOIN ai ON j.away_team = ai.away_team)",
+    ),
+)
+def q_rf_facts(spark, sf):
+    """What SQL can state of a fit: rows, labels and scores of each side, classes, importances."""
+    fitted = M.fit_game_outcome(G.game_features(pitches(spark, sf)), list(FEATURES_11), split="key")
+    scored = fitted.model.transform(fitted.train).withColumn("side", F.lit("train")).unionByName(
+        fitted.predictions.withColumn("side", F.lit("test")))
+    importance = fitted.model.featureImportances.toArray()
+    facts = scored.groupBy("side").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(fitted.label).cast("bigint").alias("n_home_wins"),
+        F.count(F.when(F.col("prediction").isin(0.0, 1.0), 1)).alias("n_scored")).withColumns({
+            "n_classes": F.lit(fitted.model.numClasses), "importance_sum": F.lit(round(float(importance.sum()), 6)),
+            "n_features": F.lit(len(importance))})
+    facts = M.materialize(facts, "rf-facts")
+    M.release(fitted)
+    return facts
+
+
 @register("rf_multiclass", ("M9", "M1", "M2", "M5", "M7"))
 def q_rf_multiclass(spark, sf):
     # Pitch-level rows; pitch_number (1-7) stands in for hit_location.

@@ -30,8 +30,8 @@ INFO_KEYS = (
 )
 # --- end of fixed values -----------------------------------------------------
 
-_FIELDS = 8
-_LINE_SCHEMA = ", ".join(f"f{i} string" for i in range(_FIELDS))
+#: One field of a line: quoted (a quote inside is doubled) or up to the next comma.
+_FIELD = r'(?:^|,)("[^"]*+(?:""[^"]*+)*+"|[^,]*+)'
 
 
 def read_game_blocks(spark: SparkSession, paths: str | Sequence[str], glob: str | None = None) -> DataFrame:
@@ -52,18 +52,31 @@ def read_game_blocks(spark: SparkSession, paths: str | Sequence[str], glob: str
 
 
 def _parse(line: Column) -> Column:
-    return F.from_csv(line, _LINE_SCHEMA, {"escape": '"', "quote": '"', "mode": "PERMISSIVE"})
+    """Every field after the record type; an empty unquoted field is null."""
+    fields = F.regexp_extract_all(line, F.lit(_FIELD), 1)
+    return F.transform(F.slice(fields, F.lit(2), F.greatest(F.size(fields) - 1, F.lit(0))), lambda f: F.when(
+        f.startswith('"') & f.endswith('"') & (F.length(f) > 1),
+        F.replace(F.substr(f, F.lit(2), F.length(f) - 2), F.lit('""'), F.lit('"'))).otherwise(F.nullif(f, F.lit(""))))
 
 
-def event_lines(blocks: DataFrame) -> DataFrame:
-    """(game_id, seq, record, f1..f7): one row per line, ``seq`` = position
-    of the line inside its game (the id line is 0)."""
-    # the record type is read off the raw line, so that a filter on it stands below the one parse
-    ex = blocks.select("game_id", F.posexplode("lines").alias("pos", "line"))
-    parsed = ex.select("game_id", (F.col("pos") + 1).alias("seq"), F.substring_index("line", ",", 1).alias("record"),
-                       _parse(F.col("line")).alias("r"))
-    return parsed.select("game_id", "seq", "record",
-                         *[F.col(f"r.f{i}").alias(f"f{i}") for i in range(1, _FIELDS)])
+def event_lines(blocks: DataFrame, records: Sequence[str] | None = None) -> DataFrame:
+    """(game_id, seq, nth, record, fields): one row per line, ``seq`` =
+    position of the line inside its game (the id line is 0), ``nth`` = its
+    position among the lines of the chosen record types (from 1), ``fields``
+    = all fields after the record type.
+
+    Lines are numbered and chosen by their raw start inside the game's row;
+    only chosen lines are parsed, once."""
+    numbered = F.transform("lines", lambda s, i: F.struct((i + 1).alias("seq"), s.alias("line")))
+    if records is not None:
+        numbered = F.filter(numbered, lambda x: F.substring_index(x["line"], ",", 1).isin(*records))
+    ex = blocks.select("game_id", F.posexplode(numbered).alias("pos", "l"))
+    return ex.select("game_id", F.col("l.seq").alias("seq"), (F.col("pos") + 1).alias("nth"),
+                     F.substring_index("l.line", ",", 1).alias("record"), _parse(F.col("l.line")).alias("fields"))
+
+
+def _field(i: int) -> Column:
+    return F.get("fields", i - 1)
 
 
 def event_games(blocks: DataFrame) -> DataFrame:
@@ -98,36 +111,46 @@ def event_lineups(lines: DataFrame) -> DataFrame:
     """``start`` and ``sub`` records."""
     return lines.where(F.col("record").isin("start", "sub")).select(
         "game_id", "seq", "record",
-        F.col("f1").alias("player_id"), F.col("f2").alias("player_name"),
-        F.col("f3").cast("int").alias("side"), F.col("f4").cast("int").alias("batting_order"),
-        F.col("f5").cast("int").alias("field_position"),
+        _field(1).alias("player_id"), _field(2).alias("player_name"),
+        _field(3).cast("int").alias("side"), _field(4).cast("int").alias("batting_order"),
+        _field(5).cast("int").alias("field_position"),
     )
 
 
-def event_plays(lines: DataFrame) -> DataFrame:
-    """``play`` records; the play code is kept raw."""
+def _plays(lines: DataFrame, *more: Column) -> DataFrame:
     return lines.where(F.col("record") == "play").select(
-        "game_id", "seq",
-        F.col("f1").cast("int").alias("inning"), F.col("f2").cast("int").alias("side"),
-        F.col("f3").alias("batter_id"), F.col("f4").alias("count"),
-        F.coalesce(F.col("f5"), F.lit("")).alias("pitch_sequence"), F.col("f6").alias("play"),
+        "game_id", "seq", *more,
+        _field(1).cast("int").alias("inning"), _field(2).cast("int").alias("side"),
+        _field(3).alias("batter_id"), _field(4).alias("count"),
+        F.coalesce(_field(5), F.lit("")).alias("pitch_sequence"), _field(6).alias("play"),
     )
 
 
+def event_plays(lines: DataFrame) -> DataFrame:
+    """``play`` records; the play code is kept raw."""
+    return _plays(lines)
+
+
+def indexed_plays(blocks: DataFrame) -> DataFrame:
+    """``play`` records with ``play_index``, their position among the
+    game's plays from 1: read off the game's own array, without a shuffle."""
+    return _plays(event_lines(blocks, ("play",)), F.col("nth").cast("int").alias("play_index"))
+
+
 def event_earned_runs(lines: DataFrame) -> DataFrame:
     """``data,er`` records: earned runs charged to a pitcher in a game."""
-    return lines.where((F.col("record") == "data") & (F.col("f1") == "er")).select(
-        "game_id", "seq", F.col("f2").alias("pitcher_id"), F.col("f3").cast("int").alias("earned_runs"))
+    return lines.where((F.col("record") == "data") & (_field(1) == "er")).select(
+        "game_id", "seq", _field(2).alias("pitcher_id"), _field(3).cast("int").alias("earned_runs"))
 
 
 def event_comments(lines: DataFrame) -> DataFrame:
-    return lines.where(F.col("record") == "com").select("game_id", "seq", F.col("f1").alias("text"))
+    return lines.where(F.col("record") == "com").select("game_id", "seq", _field(1).alias("text"))
 
 
 def event_adjustments(lines: DataFrame) -> DataFrame:
     """``radj`` (runner, base) and ``badj`` (batter, hand) records."""
     return lines.where(F.col("record").isin("radj", "badj")).select(
-        "game_id", "seq", "record", F.col("f1").alias("player_id"), F.col("f2").alias("value"))
+        "game_id", "seq", "record", _field(1).alias("player_id"), _field(2).alias("value"))
 
 
 def read_team_list(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:

@@ -130,6 +130,8 @@ def with_pitches(body: str, wide: bool = False, extra_ctes: str = "") -> str:
 # ----------------------------------------------------------------------------
 
 FIXTURE_ROSTER_SEASONS = tuple(range(1995, 2002))
+#: Info records that the written event files carry, besides one that has no column of its own.
+FIXTURE_INFO_KEYS = ("visteam", "hometeam", "site", "date", "number", "gametype", "daynight", "temp", "attendance", "sky", "umphome")
 
 
 def team_code(nationkey: Column) -> Column:
@@ -164,6 +166,8 @@ def event_file_games(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("daynight", F.when(F.col("o_orderpriority").startswith("1"), "night").otherwise("day")),
         ("temp", (F.col("o_totalprice").cast("bigint") % 100).cast("string")),
         ("attendance", F.col("o_custkey").cast("string")), ("sky", F.col("o_orderstatus")),
+        ("umphome", F.concat(F.lit("u"), F.col("o_custkey").cast("string"))),
+        ("umphome", F.concat(F.lit("v"), F.col("o_custkey").cast("string"))), ("roof", F.col("o_orderpriority")),
     ]
     headers = g.select("o_orderkey", "game_id", F.array(
         hdr(0, F.concat(F.lit("id,"), F.col("game_id"))),
@@ -196,6 +200,8 @@ def event_file_games(spark: SparkSession, sf_dir: str) -> DataFrame:
         body(2, 2, F.concat(F.lit('com,"note, line '), ln.cast("string"), F.lit(" of "),
                             F.col("l_orderkey").cast("string"), F.lit('"')), ln == 1),
         body(2, 3, F.concat_ws(",", F.lit("radj"), batter, F.lit("2")), F.col("l_discount") >= 0.1),
+        body(2, 4, F.concat_ws(",", F.lit("badj"), batter, F.when(F.col("l_suppkey") % 2 == 0, "L").otherwise("R")),
+             F.col("l_discount") < 0.02),
         body(3, 0, F.concat_ws(",", F.lit("data"), F.lit("er"), pid, (qty % 5).cast("string"))),
     )).alias("ls"))
     # One event-file block is one game, so its lines are gathered per order:

@@ -16,6 +16,19 @@ def test_unknown_team_rules(spark):
         df.select(E.lookup("t", TEAM_INDEX, "error")).collect()
 
 
+def test_dictionary_of_any_size(spark):
+    for size in (10, 2500):
+        for values in (range(size), [f"name {i}" for i in range(size)]):
+            mapping = {f"c{i}": v for i, v in enumerate(values)}
+            df = spark.createDataFrame([(f"c{i}",) for i in range(size)] + [("zz",), (None,)], "t string")
+            out = E.encode(df, "t", mapping, suffix="_code")
+            assert dict(out.dtypes)["t_code"] == ("int" if isinstance(values, range) else "string")
+            assert {r.t: r.t_code for r in out.collect()} == mapping | {"zz": None, None: None}
+    numbers = {i: i * 10 for i in range(100)}
+    assert {r.id: r.x for r in spark.range(120).withColumn("x", E.lookup("id", numbers)).collect()} == {
+        i: numbers.get(i) for i in range(120)}
+
+
 def test_matchup(spark):
     df = spark.createDataFrame([("NYY", "BOS"), ("NYY", "XXX")], "home_team string, away_team string")
     assert [r.m for r in df.select(E.matchup().alias("m")).collect()] == ["13:15", "0:15"]

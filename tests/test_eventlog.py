@@ -40,6 +40,21 @@ def test_event_file_two_games_crlf_quoted_commas(spark, tmp_path):
     assert adj == [("badj", "ramij003", "R"), ("radj", "marsb002", "2")]
 
 
+def test_event_lines_keep_every_field(spark, tmp_path):
+    _write(tmp_path, "2023DET.EVA", ["id,DET202304060", "version," + "2" * 150, "info,roof,open", "info,roof,shut",
+                                     'com,a,,"b ""c"", d","",e,f,g,h,i,j', "play,1,0,x001,22,,NP", "com,$last", "play,1,1,y001,00,X,K"])
+    blocks = EV.read_game_blocks(spark, str(tmp_path))
+    com = EV.event_lines(blocks, ("com",)).orderBy("seq").collect()
+    assert [c.fields for c in com] == [["a", None, 'b "c", d', "", "e", "f", "g", "h", "i", "j"], ["$last"]]
+    assert [(c.seq, c.nth) for c in com] == [(4, 1), (6, 2)]
+    assert [(p.seq, p.play_index, p.pitch_sequence) for p in EV.indexed_plays(blocks).orderBy("seq").collect()] == [
+        (5, 1, ""), (7, 2, "X")]
+    game = EV.event_games(blocks).collect()[0]
+    assert game.version == "2" * 150
+    assert [(r.key, r.value) for r in game.info_records] == [("roof", "open"), ("roof", "shut")]
+    assert "Exchange" not in EV.indexed_plays(blocks)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_rosters_skip_fragment_and_dedup(spark, tmp_path):
     _write(tmp_path, "NYN2023.ROS", ["alonp001,Alonso,Pete,R,R,NYN,1B", "almoa001,Almonte,Abraham,B,R,NYN,PH"])
     _write(tmp_path, "ARI2023.ROS", ["alonp001,Alonso,Pete,R,R,ARI,1B"])

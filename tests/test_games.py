@@ -94,11 +94,17 @@ def test_join_small_broadcasts_only_within_bound(spark):
 
     big = spark.range(1000).withColumn("k", F.col("id") % 3)
     small = spark.createDataFrame([(0, "a"), (1, "b")], "k long, v string")
-    within = join_small(big, small, "k")
-    beyond = join_small(big, small, "k", max_rows=1)
-    assert "BroadcastExchange" in within._jdf.queryExecution().executedPlan().toString()
-    assert within.count() == beyond.count() == 1000
-    assert sorted(within.collect()) == sorted(beyond.collect())
+    joined = join_small(big, small, "k")
+    assert "BroadcastExchange" in joined._jdf.queryExecution().executedPlan().toString()
+    within = sorted(joined.collect(), key=lambda r: r.id)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        joined = join_small(big, small, "k")
+        assert "BroadcastExchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert sorted(joined.collect(), key=lambda r: r.id) == within and len(within) == 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
 def test_game_features_null_speed_day(make_pitches):

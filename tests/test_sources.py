@@ -54,6 +54,13 @@ def test_season_tag_outside_any_season(spark):
     assert tags == {"2023-04-02": 2023, "2023-12-01": None, "2022-05-01": None}
 
 
+def test_season_crossing_new_year(spark):
+    cal = S.calendar_frame(spark, [(2023, date(2023, 10, 20), date(2024, 2, 1)), (2024, date(2024, 3, 1), date(2024, 9, 1))])
+    days = ["2023-10-20", "2023-12-31", "2024-01-01", "2024-02-01", "2024-02-02", "2024-03-01"]
+    tags = {r.game_date: r.season for r in S.season_tag(spark.createDataFrame([(d,) for d in days], "game_date string"), cal).collect()}
+    assert [tags[d] for d in days] == [2023, 2023, 2023, 2023, None, 2024]
+
+
 def test_season_slice_pushes_filter(spark):
     path = scratch_path(spark, "slice") + "/t"
     spark.createDataFrame([("2023-04-02",), ("2023-12-01",)], "game_date string").write.parquet(path)
