@@ -17,6 +17,7 @@ padding.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -35,7 +36,7 @@ CLASSES = 16
 #: Documents and tokens that a worker packs in one run.
 RUN_DOCS, RUN_TOKENS = 2048, 2_000_000
 #: Distinct chunks whose ids a worker remembers.
-MEMO_CHUNKS = 150_000
+MEMO_CHUNKS = 400_000
 #: Chunks that go through the tokenizer together.
 JOINED = 500
 PIECE = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
@@ -47,12 +48,30 @@ _CONTROLS = re.compile("[\x1c-\x1f]")
 
 # -- token ids --------------------------------------------------------------
 
+def ascii_pieces(rules: dict) -> re.Pattern | None:
+    """The words into which a tokenizer cuts lower-cased ASCII text; None if its rules are of another kind.
+
+    On ASCII, composition changes nothing and the classes of letters and digits are plain ranges.
+    """
+    normal = rules.get("normalizer") or {}
+    cutter = rules.get("pre_tokenizer") or {}
+    kinds = [n["type"] for n in normal.get("normalizers", ())]
+    steps = cutter.get("pretokenizers", [])
+    if (kinds != ["NFC", "Replace", "Lowercase"] or normal["normalizers"][1]["pattern"] != {"Regex": r"\s+"}
+            or normal["normalizers"][1]["content"] != " " or [p["type"] for p in steps] != ["Split", "ByteLevel"]
+            or (steps[0]["behavior"], steps[0]["invert"]) != ("Removed", True)
+            or steps[1]["use_regex"] or steps[1]["add_prefix_space"] or "(" in steps[0]["pattern"].get("Regex", "(")):
+        return None
+    return re.compile(steps[0]["pattern"]["Regex"].replace(r"\p{L}", "a-zA-Z").replace(r"\p{N}", "0-9"), re.ASCII)
+
+
 class ChunkEncoder:
     """Ids of whole texts through a tokenizer that never joins across white space.
 
     A text is cut at white space; each distinct chunk is encoded once by the
     tokenizer and remembered.  That is exact for a tokenizer whose normaliser
-    and splitter treat white space as a hard boundary and drop it.
+    and splitter treat white space as a hard boundary and drop it.  An ASCII
+    chunk with punctuation or capitals is put together from its words' ids.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -65,6 +84,9 @@ class ChunkEncoder:
         self.end_id = end_id
         self.mark = "<|endoftext|>"
         self.mark_id = self.tokenizer.token_to_id(self.mark)
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
+        self.special = re.compile("|".join(map(re.escape, [self.mark, *added])))
+        self.pieces = ascii_pieces(json.loads(self.tokenizer.to_str()))
         self.clear()
 
     def clear(self) -> None:
@@ -83,20 +105,47 @@ class ChunkEncoder:
         marks = np.flatnonzero(ids == self.mark_id)
         return ids[ids != self.mark_id], np.diff(marks, prepend=-1) - 1
 
-    def learn(self, chunks: list[str]) -> None:
-        plain = [c for c in chunks if self.mark not in c]
-        odd = [c for c in chunks if self.mark in c]
-        flat, lengths = self._ids(plain) if plain else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        more = [self.tokenizer.encode(c, add_special_tokens=False).ids for c in odd]
-        flat = np.concatenate([flat, *[np.array(ids, np.int64) for ids in more]]).astype(np.uint32)
-        lengths = np.concatenate([lengths, np.fromiter(map(len, more), np.int64, len(more))])
+    def _keep(self, chunks: list[str], flat: np.ndarray, lengths: np.ndarray) -> None:
         used = int(self.starts[-1])
         if used + len(flat) > len(self.ids):
             self.ids = np.resize(self.ids, max(2 * len(self.ids), used + len(flat)))
         self.ids[used:used + len(flat)] = flat
-        self.known.update(zip([*plain, *odd], range(len(self.starts) - 1, len(self.starts) - 1 + len(chunks)), strict=True))
+        self.known.update(zip(chunks, range(len(self.starts) - 1, len(self.starts) - 1 + len(chunks)), strict=True))
         self.starts = np.concatenate([self.starts, used + np.cumsum(lengths)])
 
+    def _known_ids(self, groups: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of known chunks end to end, and each group's number of ids."""
+        counts = np.fromiter(map(len, groups), np.int64, len(groups))
+        known = self.known
+        order = np.fromiter((known[c] for chunks in groups for c in chunks), np.int64, int(counts.sum()))
+        lengths = np.diff(self.starts)[order]
+        of_group = np.add.reduceat(np.append(lengths, 0), np.minimum(np.cumsum(counts) - counts, len(lengths))) * (counts > 0)
+        source = np.repeat(self.starts[order] - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))
+        return self.ids[source], of_group
+
+    def learn(self, chunks: list[str]) -> None:
+        odd, plain, made = [], [], {}
+        for c in chunks:
+            low = c.lower() if self.pieces and c.isascii() else None
+            if self.special.search(c) or low is not None and self.special.search(low):
+                odd.append(c)
+            elif low is None:
+                plain.append(c)
+            else:
+                words = self.pieces.findall(low)
+                if words == [c]:
+                    plain.append(c)
+                else:
+                    made[c] = words
+        plain = list(set(plain).union(*made.values()).difference(self.known))
+        if plain:
+            self._keep(plain, *self._ids(plain))
+        more = [self.tokenizer.encode(c, add_special_tokens=False).ids for c in odd]
+        if more:
+            self._keep(odd, np.concatenate([np.array(ids, np.int64) for ids in more]), np.fromiter(map(len, more), np.int64, len(more)))
+        if made:
+            self._keep(list(made), *self._known_ids(list(made.values())))
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids end to end, each text's closed by ``end_id``, and each text's number of ids."""
         if len(self.known) > MEMO_CHUNKS:
@@ -105,17 +154,11 @@ class ChunkEncoder:
         new = list(set().union(*cut).difference(self.known))
         if new:
             self.learn(new)
-        counts = np.fromiter(map(len, cut), np.int64, len(cut))
-        known = self.known
-        order = np.fromiter((known[c] for chunks in cut for c in chunks), np.int64, int(counts.sum()))
-        lengths = np.diff(self.starts)[order]
-        of_text = np.add.reduceat(np.append(lengths, 0), np.minimum(np.cumsum(counts) - counts, len(lengths))) * (counts > 0)
+        flat, of_text = self._known_ids(cut)
         # an end mark behind each text's ids
         totals = of_text + 1
         out = np.full(int(totals.sum()), self.end_id, np.uint32)
-        body = np.arange(int(lengths.sum())) + np.repeat(np.arange(len(texts)), of_text)
-        source = np.repeat(self.starts[order] - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))
-        out[body] = self.ids[source]
+        out[np.arange(len(flat)) + np.repeat(np.arange(len(texts)), of_text)] = flat
         return out, totals
 
 
