@@ -68,10 +68,6 @@ def home_win(home_score: str = "home_score", away_score: str = "away_score", nul
     raise ValueError(f"unknown null rule {nulls!r}")
 
 
-def add_home_win(df: DataFrame, nulls: str = "null", name: str = "home_win") -> DataFrame:
-    return df.withColumn(name, home_win(nulls=nulls))
-
-
 def fill_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
     """Per-column null fill; columns that are absent are skipped.
 

@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 
 def preview(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:
@@ -18,9 +19,21 @@ def preview(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:
 
 
 def size_subset(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
-    return df.orderBy(*order).limit(n)
+    """L2: the first ``n`` rows in ascending ``order`` (nulls first).
+
+    The first order column is counted by value; as a value holds at least one
+    row, its ``n`` smallest values tell where the ``n``-th row lies.  Only
+    rows up to that value are read for the top-n, as a filter on the scan, so
+    the partitions together send ``n`` rows plus those of the last value to
+    the merge, not ``n`` rows each.
+    """
+    if n <= 0:
+        return df.limit(0)
+    key = F.col(order[0])
+    heads = df.groupBy(key.alias("k")).agg(F.count(F.lit(1)).alias("rows")).orderBy("k").limit(n)
+    before = F.sum("rows").over(Window.orderBy("k").rowsBetween(Window.unboundedPreceding, -1))
+    last = heads.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < n).agg(F.max("k").alias("k")).first()["k"]
+    reached = key.isNull() if last is None else key.isNull() | (key <= F.lit(last))
+    return df.where(reached).orderBy(*order).limit(n)
 
 
-def sample_subset(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
-    """Random subset of about ``fraction`` of the rows (Bernoulli per row)."""
-    return df.sample(withReplacement=False, fraction=fraction, seed=seed)

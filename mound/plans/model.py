@@ -51,11 +51,6 @@ def split_flag(key: Column, buckets: int = 5, test_buckets: int = 1) -> Column:
     return F.when(F.pmod(key, F.lit(buckets)) < test_buckets, F.lit("test")).otherwise(F.lit("train"))
 
 
-def hashed_key(cols: Sequence[str], seed: int = 42) -> Column:
-    """Integer key from any columns (64-bit xxHash), for ``split_flag``."""
-    return F.xxhash64(F.lit(seed), *[F.col(c) for c in cols])
-
-
 def date_number(date_col: str = "game_date") -> Column:
     """Days since 1970-01-01: the split key when games have no id."""
     return F.datediff(F.to_date(F.col(date_col)), F.lit("1970-01-01").cast("date"))

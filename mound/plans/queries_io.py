@@ -103,6 +103,33 @@ def q_size_subset(spark, sf):
                              "release_speed"), 10000)
 
 
+_SUBSET_COLS = ("game_pk", "pitch_number", "pitcher", "game_date", "release_spin_rate", "release_speed")
+
+
+def _register_subset(n: int) -> None:
+    @register(f"size_subset_{n // 1000}k", ("L2",), with_pitches(f"""SELECT {', '.join(_SUBSET_COLS)}
+FROM pitches ORDER BY game_date, game_pk, pitch_number, pitcher, release_spin_rate, release_speed LIMIT {n}"""))
+    def q_size_subset_n(spark, sf):
+        p = pitches(spark, sf).select(*_SUBSET_COLS)
+        return L.size_subset(p, ("game_date", "game_pk", "pitch_number", "pitcher", "release_spin_rate", "release_speed"), n)
+
+
+_register_subset(50_000)
+_register_subset(100_000)
+
+
+@register(
+    "game_stats_by_pk", ("A3", "A4"),
+    with_pitches(f"""SELECT game_date, home_team, away_team, game_pk, MAX(home_score) AS home_score, MAX(away_score) AS away_score,
+       COUNT(*) AS total_pitches, {_cnt("events = 'strikeout' AND inning_topbot = 'Bot'")} AS home_strikeouts,
+       {_cnt("events = 'strikeout' AND inning_topbot = 'Top'")} AS away_strikeouts
+FROM pitches GROUP BY game_date, home_team, away_team, game_pk"""),
+)
+def q_game_stats_by_pk(spark, sf):
+    """Two games of the same teams on one day stay apart by their game id."""
+    return G.game_stats(pitches(spark, sf), keys=(*G.GAME_KEY, "game_pk"), full=False)
+
+
 _A5_SQL = f"""SELECT game_date, home_team, away_team,
        {_cnt("inning_topbot = 'Bot'")} AS home_half_pitches,
        {_cnt("inning_topbot = 'Top'")} AS away_half_pitches,

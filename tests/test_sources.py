@@ -61,6 +61,20 @@ def test_season_crossing_new_year(spark):
     assert [tags[d] for d in days] == [2023, 2023, 2023, 2023, None, 2024]
 
 
+def test_size_subset_equals_sorted_prefix(spark):
+    import random
+
+    from mound.operators import subsets as L
+
+    rnd = random.Random(3)
+    rows = [(rnd.choice([None, 1, 2, 3]), i) for i in range(200)]
+    df = spark.createDataFrame(rows, "k int, v int").repartition(5)
+    want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    for n in (0, 1, 30, 60, 199, 200, 500):
+        assert [tuple(r) for r in L.size_subset(df, ("k", "v"), n).collect()] == want[:n]
+    assert L.size_subset(df.where("false"), ("k", "v"), 5).count() == 0
+
+
 def test_season_slice_pushes_filter(spark):
     path = scratch_path(spark, "slice") + "/t"
     spark.createDataFrame([("2023-04-02",), ("2023-12-01",)], "game_date string").write.parquet(path)
