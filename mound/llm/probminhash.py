@@ -35,29 +35,44 @@ WORDS, SIMILARITY = 5, 0.8
 #: A pair of similarity 0.8 shares no band with probability (1 - 0.8^5)^32 = 3e-6.
 BANDS, ROWS = 32, 5
 SLICE = 256
-#: Distinct words whose hash a worker remembers.
-MEMO_WORDS = 150_000
+#: Longer words, in bytes, are hashed one by one.
+LONG_WORD = 256
 
 _U = np.uint64
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: str) -> int:
-        import xxhash
+def mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
+    return x ^ (x >> _U(31))
+
 
-        if len(self) > MEMO_WORDS:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
-        return h
+def word_hashes(raw: bytes, ends: np.ndarray) -> np.ndarray:
+    """A hash of each word; word k ends before ``ends[k]``, one byte before the next word starts.
 
+    All words take eight bytes further per step; those of more than ``LONG_WORD`` bytes go by xxhash."""
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    left = ends - starts
+    out = left.astype(np.uint64)
+    eights = np.lib.stride_tricks.as_strided(np.frombuffer(raw + bytes(8), np.uint8), (len(raw) + 1, 8), (1, 1))
+    live = np.flatnonzero((left > 0) & (left <= LONG_WORD))
+    at, left = starts[live], left[live]
+    while len(live):
+        block = eights[at].view("<u8").ravel()
+        block &= _LOW_BYTES[np.minimum(left, 8)]
+        out[live] = mix(out[live] ^ block)
+        more = left > 8
+        live, at, left = live[more], at[more] + 8, left[more] - 8
+    long = np.flatnonzero(ends - starts > LONG_WORD)
+    if len(long):
+        import xxhash
 
-_WORD_HASHES = _WordHashes()
+        out[long] = [xxhash.xxh64_intdigest(raw[starts[k]:ends[k]]) for k in long]
+    return out
 
 
-def mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
+#: Masks of the lowest 0 to 8 bytes.
+_LOW_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 def shingle_hashes(texts: list[str], words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -67,7 +82,8 @@ def shingle_hashes(texts: list[str], words: int = WORDS) -> tuple[np.ndarray, np
     total = int(counts.sum())
     if not total:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    hashes = np.fromiter(map(_WORD_HASHES.__getitem__, (w for ws in cut for w in ws)), np.uint64, total)
+    raw = " ".join([" ".join(c) for c in cut if c]).encode("utf-8", "surrogatepass") + b" "
+    hashes = word_hashes(raw, np.flatnonzero(np.frombuffer(raw, np.uint8) == 0x20))
     owner = np.repeat(np.arange(len(texts)), counts)
     left = np.repeat(np.cumsum(counts), counts) - np.arange(total)  # words from here to the text's end
     first = np.arange(total) == np.repeat(np.cumsum(counts) - counts, counts)
@@ -144,11 +160,22 @@ def bands_of(text: Column) -> Column:
     return run(text)
 
 
+def jaccards(a: list[str], b: list[str], words: int = WORDS) -> np.ndarray:
+    """The Jaccard similarity of each of up to ``SLICE`` / 2 pairs of texts; each distinct text is hashed once."""
+    number = {t: k for k, t in enumerate(dict.fromkeys([*a, *b]))}
+    owner, shingle, _ = weighted_shingles(list(number), words)
+    ends = np.cumsum(np.bincount(owner, minlength=len(number)))
+    sets = np.split(shingle, ends[:-1])
+    out = []
+    for x, y in zip(a, b, strict=True):
+        x, y = sets[number[x]], sets[number[y]]
+        both = len(np.intersect1d(x, y, assume_unique=True))
+        out.append(both / max(1, len(x) + len(y) - both))
+    return np.array(out)
+
+
 def jaccard(a: str, b: str, words: int = WORDS) -> float:
-    owner, h, _ = weighted_shingles([a, b], words)
-    x, y = h[owner == 0], h[owner == 1]
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return both / (len(x) + len(y) - both) if len(x) + len(y) else 0.0
+    return float(jaccards([a], [b], words)[0])
 
 
 def text_key(text: Column) -> Column:
@@ -163,8 +190,10 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            keep = [jaccard(x, y) >= similarity for x, y in zip(batch["text_a"], batch["text_b"], strict=True)]
-            yield batch.loc[keep, ["a", "b"]]
+            for at in range(0, len(batch), SLICE // 2):
+                some = batch.iloc[at:at + SLICE // 2]
+                keep = jaccards(list(some["text_a"]), list(some["text_b"])) >= similarity
+                yield some.loc[keep, ["a", "b"]]
 
     return held.mapInPandas(check, "a binary, b binary")
 
@@ -189,9 +218,10 @@ def linked_texts(bands: DataFrame, texts: DataFrame, similarity: float = SIMILAR
         met = open_rows.join(near, "key").filter("t <> h").select("key", "t", "h", "is_hub")
         pairs = met.select(F.least("t", "h").alias("a"), F.greatest("t", "h").alias("b")).distinct()
         pairs = write_through(pairs, "pairs")
-        involved = pairs.select(F.col("a").alias("t")).union(pairs.select("b")).distinct()
-        some = texts.join(involved, "t", "left_semi").dropDuplicates(["t"])
-        found = write_through(verified(pairs, some, similarity), "links")
+        if hubs == 1:  # every open row meets a hub in the first round, so later rounds need no other text
+            involved = pairs.select(F.col("a").alias("t")).union(pairs.select("b")).distinct()
+            texts = write_through(texts.join(involved, "t", "left_semi").dropDuplicates(["t"]), "candidate-texts")
+        found = write_through(verified(pairs, texts, similarity), "links")
         links = found if links is None else links.union(found)
         ends = found.select(F.col("a").alias("t"), F.col("b").alias("h")).union(found.select(F.col("b"), F.col("a")))
         done = met.join(ends, ["t", "h"], "left_semi").select("key", "t").distinct()
