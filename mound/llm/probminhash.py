@@ -28,12 +28,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mound.llm.batches import slices
 from mound.llm.components import components
 from mound.session import write_through
 
 WORDS, SIMILARITY = 5, 0.8
 #: A pair of similarity 0.8 shares no band with probability (1 - 0.8^5)^32 = 3e-6.
 BANDS, ROWS = 32, 5
+#: Texts of a slice, at most.
 SLICE = 256
 #: Longer words, in bytes, are hashed one by one.
 LONG_WORD = 256
@@ -151,8 +153,9 @@ def bands_of(text: Column) -> Column:
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             out = []
-            for at in range(0, len(batch), SLICE):
-                texts = [t or "" for t in batch.iloc[at:at + SLICE]]
+            all_texts = [t or "" for t in batch]
+            for some in slices(list(map(len, all_texts)), SLICE):
+                texts = all_texts[some]
                 keys = band_keys(signatures(texts)).view(np.int64)
                 out += [k if t.strip() else [] for k, t in zip(keys, texts, strict=True)]
             yield pd.Series(out)
@@ -190,8 +193,8 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for at in range(0, len(batch), SLICE // 2):
-                some = batch.iloc[at:at + SLICE // 2]
+            for at in slices((batch["text_a"].map(len) + batch["text_b"].map(len)).tolist(), SLICE // 2):
+                some = batch.iloc[at]
                 keep = jaccards(list(some["text_a"]), list(some["text_b"])) >= similarity
                 yield some.loc[keep, ["a", "b"]]
 
