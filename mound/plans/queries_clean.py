@@ -9,7 +9,10 @@ from mound.functions import clean as C
 from mound.functions import encode as E
 from mound.operators import games as G
 from mound.plans.registry import register
+from mound.session import scratch_path
 from mound.sources.fixtures import pitches, table, with_pitches
+from mound.sources.pitchlog import read_player_map
+from mound.sources.sinks import write_csv
 
 # Team dictionary of the fixture: NATION_0..NATION_21 -> 1..22; the last
 # three nations are left out to exercise unknown codes.
@@ -190,6 +193,19 @@ def q_translate_codes(spark, sf):
     return E.translate_list(p, "code_list", dictionary, "names")
 
 
+@register(
+    "player_map_load", ("P15", "P16", "S3"),
+    """SELECT n_name AS code, lower(r_name) || '-' || CAST(n_nationkey AS VARCHAR) AS name
+FROM nation JOIN region ON n_regionkey = r_regionkey""",
+)
+def q_player_map_load(spark, sf):
+    """Every code stands in the file twice, the outdated name first."""
+    path = scratch_path(spark, "player-map")
+    lines = _player_map(spark, sf).orderBy("seq", "code").coalesce(1)  # 25 nations, twice
+    write_csv(lines.select("seq", "name", "code"), path)
+    return read_player_map(spark, path)
+
+
 _ENCODE_ALL = ("game_date", "home_team", "away_team", "inning_topbot", "events", "description", "type", "pitch_type")
 
 

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mound.schemas import PITCH_SCHEMA
+from mound.functions.encode import load_dictionary
+from mound.schemas import PITCH_SCHEMA, PLAYER_MAP_SCHEMA, require_columns
 
 
 def read_pitch_log(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | None = PITCH_SCHEMA,
@@ -34,6 +36,21 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
     return reader.csv(path if isinstance(path, str) else list(path))
 
 
+def read_player_map(spark: SparkSession, path: str) -> DataFrame:
+    """A ``code,name`` dictionary from CSV, one row per code; of repeated
+    codes the last line wins.
+
+    The header must name both columns (P16); they may stand in any order,
+    beside others.  A line's place is its file, the file's block and the row
+    number within the block's task, so a retried task orders lines alike.
+    """
+    rows = spark.read.option("header", "true").csv(path)
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id())
+    names = PLAYER_MAP_SCHEMA.fieldNames()
+    rows = require_columns(rows, names, "player map").select(*names, place.alias("place"))
+    return load_dictionary(rows, order="place")
+
+
 def register_view(df: DataFrame, name: str = "pitch_log") -> DataFrame:
     """Make a DataFrame available to SQL text under ``name``."""
     df.createOrReplaceTempView(name)

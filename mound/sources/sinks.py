@@ -7,6 +7,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", header: bool = True) -> None:
@@ -15,7 +16,13 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", header: boo
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "errorifexists") -> None:
-    """Parquet, optionally one folder per season (partition pruning on read)."""
+    """Parquet, optionally one folder per season (partition pruning on read).
+
+    Rows are rebalanced by season first: adaptive execution splits a large
+    season and joins small ones by bytes, so a folder gets as many files as
+    its size asks for, not one from every task."""
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -1,6 +1,9 @@
 from datetime import date
 
 
+import pytest
+
+from mound.schemas import MissingColumnsError
 from mound.operators import seasons as S
 from mound.schemas import PITCH_SCHEMA
 from mound.session import scratch_path
@@ -82,3 +85,22 @@ def test_season_slice_pushes_filter(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(game_date,2023-03-30)" in plan
     assert [r.game_date for r in df.collect()] == ["2023-04-02"]
+
+
+def test_player_map_last_line_wins(spark, tmp_path):
+    (tmp_path / "map.csv").write_text("name,code,note\nOld,AA,x\nBoth,BB,y\nNew,AA,z\n")
+    got = {(r["code"], r["name"]) for r in PL.read_player_map(spark, str(tmp_path / "map.csv")).collect()}
+    assert got == {("AA", "New"), ("BB", "Both")}
+
+
+def test_player_map_needs_both_columns(spark, tmp_path):
+    (tmp_path / "map.csv").write_text("code,nickname\nAA,x\n")
+    with pytest.raises(MissingColumnsError):
+        PL.read_player_map(spark, str(tmp_path / "map.csv"))
+
+
+def test_partitioned_write_has_few_files(spark, tmp_path):
+    df = spark.range(0, 4000, 1, 16).selectExpr("id", "cast(id % 3 as int) as season")
+    SK.write_parquet(df, str(tmp_path / "out"), partition_by=["season"])
+    files = list((tmp_path / "out").rglob("*.parquet"))
+    assert len(files) <= 6 and spark.read.parquet(str(tmp_path / "out")).count() == 4000
