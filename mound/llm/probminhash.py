@@ -13,7 +13,13 @@ Equal texts are one class from the start, so a group of copies is one row.
 each round, every text of a bucket is compared with a few hubs of the bucket,
 not with all others, and leaves the bucket when a hub links to it; the rest
 go on with twice as many hubs, until every text has been linked or has been a
-hub itself.  So no bucket is left undecided, and none is ever gathered.
+hub itself.  None is ever gathered.
+
+A text that left may still be similar to one that it did not meet.  So the
+links found are then joined to components, and in each bucket that holds
+texts of several components, all pairs of texts of different components that
+were not compared yet are, in blocks of at most ``BLOCK`` by ``BLOCK``.  After
+that, two texts of one bucket are in one component or were compared.
 
 A link is verified on the texts themselves: Jaccard similarity of the sets
 of shingles of at least ``SIMILARITY``.
@@ -37,6 +43,8 @@ WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 32, 5
 #: Texts of a slice, at most.
 SLICE = 256
+#: Texts of a bucket on each side of a block of pairs, about.
+BLOCK = 512
 #: Longer words, in bytes, are hashed one by one.
 LONG_WORD = 256
 
@@ -202,12 +210,12 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
 
 
 def linked_texts(bands: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Links (a, b), a < b, that join all near-duplicate texts.
+    """Links (a, b), a < b, that join all near-duplicate texts which share a band's key.
 
     ``bands`` has (t, bands), each text key once; ``texts`` has (t, text) and may repeat a key.
     """
     rows = bands.select("t", F.explode("bands").alias("key"))
-    links, hubs = None, 1
+    links, tried, buckets, hubs = None, None, None, 1
     while True:
         # each remaining bucket's hubs: the first text, and about as many others as the round asks for
         sizes = rows.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("t", "key").alias("h"), "t"))["t"].alias("hub"))
@@ -221,8 +229,10 @@ def linked_texts(bands: DataFrame, texts: DataFrame, similarity: float = SIMILAR
         met = open_rows.join(near, "key").filter("t <> h").select("key", "t", "h", "is_hub")
         pairs = met.select(F.least("t", "h").alias("a"), F.greatest("t", "h").alias("b")).distinct()
         pairs = write_through(pairs, "pairs")
+        tried = pairs if tried is None else tried.union(pairs)
         if hubs == 1:  # every open row meets a hub in the first round, so later rounds need no other text
             involved = pairs.select(F.col("a").alias("t")).union(pairs.select("b")).distinct()
+            buckets = open_rows.select("key", "t")
             texts = write_through(texts.join(involved, "t", "left_semi").dropDuplicates(["t"]), "candidate-texts")
         found = write_through(verified(pairs, texts, similarity), "links")
         links = found if links is None else links.union(found)
@@ -230,7 +240,31 @@ def linked_texts(bands: DataFrame, texts: DataFrame, similarity: float = SIMILAR
         done = met.join(ends, ["t", "h"], "left_semi").select("key", "t").distinct()
         rows = write_through(open_rows.filter("not is_hub").select("key", "t").join(done, ["key", "t"], "left_anti"), "rest")
         hubs *= 2
-    return links if links is not None else rows.select(F.col("t").alias("a"), F.col("t").alias("b")).limit(0)
+    if links is None:
+        return rows.select(F.col("t").alias("a"), F.col("t").alias("b")).limit(0)
+    roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")), "hub-components")
+    pairs = write_through(undecided_pairs(buckets, roots).join(tried.distinct(), ["a", "b"], "left_anti"), "undecided")
+    stars = roots.filter("root <> vertex").select(F.col("root").alias("a"), F.col("vertex").alias("b"))
+    return stars.union(write_through(verified(pairs, texts, similarity), "late-links"))
+
+
+def undecided_pairs(buckets: DataFrame, roots: DataFrame, block: int = BLOCK) -> DataFrame:
+    """The pairs (a, b), a < b, of texts that share a bucket but not a component; buckets (key, t), roots (vertex, root).
+
+    One of the two is not in the bucket's largest component, so only such texts are dealt against all others."""
+    held = buckets.join(roots.select(F.col("vertex").alias("t"), "root"), "t", "left").withColumn("root", F.coalesce("root", "t"))
+    sizes = held.groupBy("key", "root").agg(F.count("*").alias("n"))
+    sizes = sizes.groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "root")).alias("top"), F.count("*").alias("several"))
+    sizes = sizes.filter("several > 1").select("key", F.col("top.root").alias("largest"), F.ceil((F.col("n") - F.col("top.n")) / block).cast("int").alias("across"),
+                                               F.ceil(F.col("n") / block).cast("int").alias("down"))
+    held = write_through(held.join(sizes, "key"), "several-components")
+    part = lambda n: F.pmod(F.xxhash64("t", "key"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    few = held.filter("root <> largest").select("key", F.col("t").alias("a"), F.col("root").alias("root_a"), part("across").alias("i"), every("down").alias("j"))
+    all_texts = held.select("key", F.col("t").alias("b"), F.col("root").alias("root_b"), (F.col("root") == F.col("largest")).alias("main"),
+                            part("down").alias("j"), every("across").alias("i"))
+    met = few.join(all_texts, ["key", "i", "j"]).filter("root_a <> root_b and (main or a < b)")
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

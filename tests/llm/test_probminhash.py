@@ -75,6 +75,32 @@ def test_crowded_bucket(spark, make_docs, monkeypatch):
     assert len({r.root for r in roots}) == 12 and len(roots) == 36
 
 
+def test_bridge_beside_a_large_group(spark, make_docs):
+    """A text that left its bucket with a hub is still compared with those of other components."""
+    base = [f"b{i}" for i in range(204)]
+    bridge = base[:-16] + [f"t{i}" for i in range(16)]
+    edge = [f"u{i}" for i in range(16)] + bridge[16:]
+    texts = [" ".join(w) for w in (edge, bridge, *([*base, f"g{k}"] for k in range(300)), [f"o{i}" for i in range(50)])]
+    assert plain_jaccard(texts[0], texts[1]) >= 0.8 <= plain_jaccard(texts[1], texts[2]) and plain_jaccard(texts[0], texts[2]) < 0.8
+    docs = make_docs(list(enumerate(texts)))
+    bands = docs.select(M.text_key(F.col("text")).alias("t"), F.array(F.lit(1).cast("long")).alias("bands"))
+    links = M.linked_texts(bands, docs.select(M.text_key(F.col("text")).alias("t"), "text"))
+    roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))).collect()
+    assert len({r.root for r in roots}) == 1 and len(roots) == 302
+
+
+def test_undecided_pairs(spark):
+    """Pairs of different components, each once, however a bucket is cut into blocks."""
+    rng = random.Random(4)
+    root = {t: rng.choice([0, 0, 0, 1, 2]) for t in range(40)}
+    buckets = [(key, t) for key in range(3) for t in root if rng.random() < 0.8] + [(9, t) for t in root if root[t] == 0]
+    held = {k: [t for key, t in buckets if key == k] for k, _ in buckets}
+    want = {(a, b) for ts in held.values() for a in ts for b in ts if a < b and root[a] != root[b]}
+    for block in (3, 500):
+        got = M.undecided_pairs(spark.createDataFrame(buckets, "key long, t long"), spark.createDataFrame(list(root.items()), "vertex long, root long"), block).collect()
+        assert len(got) == len(want) and {(r.a, r.b) for r in got} == want
+
+
 def test_signature_estimates_probability_jaccard():
     a = "p q r s t u v w x y z " * 3 + " ".join(f"a{i}" for i in range(40))
     b = "p q r s t u v w x y z " + " ".join(f"a{i}" for i in range(50))
