@@ -3,7 +3,10 @@
 A hash function rotates a vector by three rounds of random signs and a fast
 Hadamard transform and returns the signed axis nearest to it.  A table's
 bucket is the combination of a few functions; as many as keep random buckets
-small at the given number of vectors.  A vector enters, in each table, the
+small at the given number of vectors.  More functions, or dimensions, part
+similar vectors more often, so the number of tables follows from both: as many
+as keep the probability that a pair at the cosine bound meets in none below
+``MISS``, whatever the size of the input.  A vector enters, in each table, the
 bucket of its own hash and the ``PROBES`` buckets that it missed most closely.
 
 Equal vectors are one class from the start.  All pairs that meet in a bucket
@@ -18,6 +21,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -29,8 +33,12 @@ from mound.llm.vectors import dots, matrix, usable
 from mound.session import write_through
 
 COSINE = 0.9
-#: At 64 dimensions and two functions, a pair of cosine 0.9 meets in no table with probability 1e-5.
+#: Tables, at least, and probes in each.
 TABLES, PROBES = 8, 3
+#: A pair at the cosine bound meets in no table with this probability, at most.
+MISS = 1e-5
+#: Random pairs, and tables, on which the probability of not meeting in a table is measured.
+TRIAL_PAIRS, TRIAL_TABLES = 2048, 8
 BLOCK = 2000
 #: Entries of buckets that are compared in one call, about.
 TOGETHER = 20_000
@@ -75,6 +83,30 @@ def buckets(x: np.ndarray, functions: int, tables: int = TABLES, probes: int = P
     return np.concatenate(out, axis=1)
 
 
+def function_count(count: int, dimension: int) -> int:
+    """Functions of a table for so many vectors."""
+    size = 2 << max(0, (dimension - 1).bit_length())
+    return max(1, round(math.log(max(count, 2)) / math.log(size) - 0.25))
+
+
+@lru_cache(maxsize=64)
+def table_count(functions: int, dimension: int, cosine: float = COSINE, miss: float = MISS) -> int:
+    """Tables by which a pair of the given cosine meets in none with probability ``miss``, at most.
+
+    Tables are independent; how often one parts a pair is measured on random pairs, with three standard errors added."""
+    random = np.random.default_rng([SEED, functions, dimension])
+    a, b = random.standard_normal((2, TRIAL_PAIRS, dimension))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b /= np.maximum(np.linalg.norm(b, axis=1, keepdims=True), 1e-300)
+    x = buckets(a, functions, TRIAL_TABLES).reshape(TRIAL_PAIRS, TRIAL_TABLES, -1)
+    y = buckets(cosine * a + math.sqrt(max(0.0, 1 - cosine * cosine)) * b, functions, TRIAL_TABLES).reshape(x.shape)
+    trials = TRIAL_PAIRS * TRIAL_TABLES
+    parted = 1 - (x[:, :, :, None] == y[:, :, None, :]).any(axis=(2, 3)).mean()
+    parted += 3 * math.sqrt(max(parted * (1 - parted), 1 / trials) / trials)
+    return max(TABLES, math.ceil(math.log(miss) / math.log(min(parted, 0.9999))))
+
+
 def _pairs(group: np.ndarray, x: np.ndarray, cosine: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of places of one group that may be similar; rows of a group are neighbours.
 
@@ -137,6 +169,9 @@ def _compare(rows: pd.DataFrame, cosine: float) -> pd.DataFrame:
 
 def linked_vectors(classes: DataFrame, count: int, cosine: float = COSINE, block: int = BLOCK) -> DataFrame:
     """(t, links, root) by group, for classes (t, vector, n): links counts the other classes' rows."""
+    dimensions = [r["d"] for r in classes.select(F.size("vector").alias("d")).distinct().collect()]
+    plans = {d: (f, table_count(f, d, cosine)) for d in dimensions for f in [function_count(count, d)]}
+
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for _, part in batch.groupby(batch["vector"].map(len)):
@@ -145,9 +180,7 @@ def linked_vectors(classes: DataFrame, count: int, cosine: float = COSINE, block
                     x = matrix(some["vector"])
                     x /= np.abs(x).max(axis=1, keepdims=True)  # squares of very large or small components stay finite
                     x /= np.sqrt(dots(x, x))[:, None]
-                    size = 2 << max(0, (x.shape[1] - 1).bit_length())
-                    functions = max(1, round(math.log(max(count, 2)) / math.log(size) - 0.25))
-                    yield pd.DataFrame({"t": some["t"], "n": some["n"], "unit": list(x), "codes": list(buckets(x, functions))})
+                    yield pd.DataFrame({"t": some["t"], "n": some["n"], "unit": list(x), "codes": list(buckets(x, *plans[x.shape[1]]))})
 
     rows = write_through(classes.mapInPandas(hashed, "t binary, n long, unit array<double>, codes array<long>"), "hashed")
     entries = rows.select("t", F.explode(F.array_distinct("codes")).alias("bucket"))
@@ -158,7 +191,7 @@ def linked_vectors(classes: DataFrame, count: int, cosine: float = COSINE, block
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("t", "bucket", "part", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j")))
     # many groups to a call: about TOGETHER entries
-    calls = max(1, math.ceil(count * TABLES * (1 + PROBES) / TOGETHER))
+    calls = max(1, math.ceil(count * max([t for _, t in plans.values()], default=TABLES) * (1 + PROBES) / TOGETHER))
     return (dealt.join(rows, "t").groupBy(F.pmod(F.xxhash64("bucket", "i", "j"), F.lit(calls)).alias("call"))
             .applyInPandas(lambda g: _compare(g, cosine), "t binary, links long, root binary"))
 

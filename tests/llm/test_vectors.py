@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from mound.llm import cross_polytope as C
@@ -68,6 +69,21 @@ def test_split_buckets(spark):
     assert len(links) == 60 and set(links.values()) == {59}
 
 
+@pytest.mark.parametrize("count, functions", [(10_000, 2), (1_000_000, 3), (100_000_000, 4)])
+def test_recall_does_not_fall_with_the_number_of_vectors(spark, count, functions):
+    """Pairs just above the cosine bound are found, with the functions that so many vectors get."""
+    random = np.random.default_rng(8)
+    a, b = random.standard_normal((2, 200, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b = 0.9005 * a + math.sqrt(1 - 0.9005**2) * b / np.linalg.norm(b, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate([*a, *b])], "t long, vector array<double>").select(
+        F.unhex(F.md5(F.col("t").cast("string"))).alias("t"), "vector", F.lit(1).cast("long").alias("n"))
+    links = C.linked_vectors(df, count).groupBy("t").agg(F.sum("links").alias("links")).collect()
+    assert len(links) == 400 and {r.links for r in links} == {1}
+    assert C.function_count(count, 64) == functions
+
+
 def test_near_vectors_edges(spark):
     assert C.near_vectors(spark.createDataFrame([], SCHEMA)).count() == 0
     df = spark.createDataFrame([(None, [1.0, 0.0], 0), (4, [1.0, 0.0], 0), (4, [1.0, 0.01], 0), (None, None, 0)], SCHEMA)
