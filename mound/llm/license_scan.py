@@ -7,13 +7,16 @@ consecutively.  At a tag hit (``spdx-license-identifier``, ``licensed under``,
 ``license:``), the words that follow, with parentheses kept, are read as a
 licence expression; a shunting-yard parser turns ``and`` / ``or`` / ``with``
 (``with`` binds strongest, then ``and``) into the set of choices that the
-expression offers.
+expression offers.  The reader starts at the automaton's hits, mapped back to
+the text.  Behind the two tags of prose, a word counts as an identifier if it
+is a known one, holds a digit or begins with ``LicenseRef-``; the expression
+ends at any other.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -39,18 +42,25 @@ IDENTIFIERS = {
     "mpl-2.0": "mpl-2", "cc-by-4.0": "cc-by", "cc-by-sa-4.0": "cc-by-sa", "cc-by-nc-4.0": "cc-by-nc",
     "cc0-1.0": "cc0", "isc": "isc", "unlicense": "unlicense", "zlib": "zlib",
 }
-TAGS = ("spdx license identifier",)
+TAGS = ("spdx license identifier", "licensed under", "license")
+#: Tags behind which any identifier is taken; behind the others, words of prose may follow.
+EXACT_TAGS = ("spdx license identifier",)
 RESULT = ("n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, "
           "score double, choices array<string>")
 
 _SEPARATORS = bytes(b for b in range(128) if not (0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or 0x41 <= b <= 0x5A))
 _CLEAN = bytes.maketrans(_SEPARATORS + bytes(range(0x41, 0x5B)), b" " * len(_SEPARATORS) + bytes(range(0x61, 0x7B)))
-_TAG = re.compile(r"spdx[^0-9a-z]+license[^0-9a-z]+identifier[\x00-\x20]*[:=]?[\x20\t]*([^\r\n]*)", re.I)
+#: What may stand between a tag and its expression.
+_AFTER = {tag: re.compile(gap) for tag, gap in {"spdx license identifier": rb"[\x00-\x20]*[:=]?[\x20\t]*", "licensed under": rb"[\x00-\x20]*[:=]?[\x20\t]*",
+                                                "license": rb"[\x20\t]*:[\x20\t]*"}.items()}
+_WORD, _ITEM = re.compile(rb"[^ ]+"), re.compile(rb"\(|\)|[A-Za-z0-9.+-]+|[\r\n]")
+#: Words of prose before an expression.
+_LEADING = {"the", "either", "of"}
 _TOKEN = re.compile(r"\(|\)|[A-Za-z0-9.+-]+")
 _RANK = {"with": 3, "and": 2, "or": 1}
 
 
-def to_postfix(tokens: list[str]) -> list[str] | None:
+def to_postfix(tokens: Iterable[str]) -> list[str] | None:
     """Shunting-yard: infix tokens to postfix, up to the first that cannot continue; None if nothing can be read."""
     out: list[str] = []
     stack: list[str] = []
@@ -92,7 +102,27 @@ def choices(expression: str) -> set[frozenset[str]]:
     Unknown identifiers stand for themselves; ``with`` adds its exception to
     the licence; what follows the readable part is ignored.
     """
-    tokens = [t.lower() if t.lower() in _RANK else t for t in _TOKEN.findall(expression)]
+    return _choices(t.lower() if t.lower() in _RANK else t for t in _TOKEN.findall(expression))
+
+
+def _tokens(data: bytes, at: int, prose: bool) -> Iterator[str]:
+    """Tokens from a place to the line's end; in prose, up to the first word that is no identifier."""
+    leading = prose
+    for m in _ITEM.finditer(data, at):
+        token = m[0].decode()
+        low = token.lower()
+        if token in "\r\n":
+            return
+        if leading and low in _LEADING:
+            continue
+        leading = False
+        if prose and low not in _RANK and token not in "()" and low not in IDENTIFIERS and low.rstrip(".+-") not in IDENTIFIERS and not (
+                low.startswith("licenseref-") or low[0].isalpha() and any(c.isdigit() for c in low)):
+            return
+        yield low if low in _RANK else token
+
+
+def _choices(tokens: Iterable[str]) -> set[frozenset[str]]:
     postfix = to_postfix(tokens)
     stack: list[set[frozenset[str]]] = []
     for token in postfix or []:
@@ -132,18 +162,22 @@ def _scan(text: str | None, automaton) -> tuple:
     words = raw.split()
     clean = (b" " + b" ".join(words) + b" ").decode("latin-1")
     starts, base, labels, found = [], set(), set(), set()
-    tagged = False
+    tags, word, at = [], -1, 0
     for end, (phrase, label) in automaton.iter(clean):
         if label is None:
-            tagged = True
+            word, at = word + clean.count(" ", at, end), end
+            tags.append((phrase, word))  # the tag's last word
             continue
         labels.add(label)
         if phrase in BASE_PHRASES:
             base.add(label)
             starts.append(clean.count(" ", 0, end - len(phrase)) - 1)
-    if tagged:
-        for m in _TAG.finditer(text):
-            for alternative in choices(m[1]):
+    if tags:
+        data = text.encode("utf-8", "surrogatepass")
+        ends = [m.end() for m in _WORD.finditer(raw)]  # a word stands at the same bytes in the text
+        for tag, word in tags:
+            gap = _AFTER[tag].match(data, ends[word])
+            for alternative in _choices(_tokens(data, gap.end(), tag not in EXACT_TAGS)) if gap else ():
                 found.add(" and ".join(sorted(alternative)))
                 labels.update(x.split(" with ")[0] for x in alternative)
     labels.discard("")

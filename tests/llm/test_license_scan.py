@@ -51,3 +51,18 @@ def test_tag(spark, make_docs):
     r = make_docs([(1, "# SPDX-License-Identifier: (MIT OR GPL-2.0-only) AND ISC\nprose")]).select(
         L.scan_licenses(F.col("text")).alias("r")).collect()[0].r
     assert r.labels == "gpl-2,isc,mit" and r.choices == ["gpl-2 and isc", "isc and mit"] and r.n_base == 0
+
+
+def test_tags_of_prose(spark, make_docs):
+    want = {
+        "# é License: GPL-2.0-or-later\nMIT": ("gpl-2", ["gpl-2"]),
+        "Licensed under MIT OR Apache-2.0.": ("apache-2,mit", ["apache-2", "mit"]),
+        "é licensed  under the (MIT or Foo-1.0) and ISC, at will": ("foo-1.0,isc,mit", ["foo-1.0 and isc", "isc and mit"]),
+        "license : GPL-2.0-only WITH Classpath-exception-2.0 AND MIT": ("gpl-2,mit", ["gpl-2 with classpath-exception-2.0 and mit"]),
+        "License: MIT and some words; LICENSE: ISC": ("isc,mit", ["isc", "mit"]),
+        "Licensed under some terms. License: see the file. A license MIT": ("", []),
+        "license: " * 3000: ("", []),
+    }
+    docs = make_docs(list(enumerate(want)))
+    for r in docs.select("text", L.scan_licenses(F.col("text")).alias("r")).collect():
+        assert (r.r.labels, r.r.choices) == want[r.text], r.text
