@@ -6,7 +6,9 @@ distinct shingle is a Poisson process of that rate: its arrivals, drawn from
 a hash of the shingle, fall on random signature slots, and a slot keeps the
 shingle of its earliest arrival.  A process ends once its next arrival is
 later than every slot's.  Two texts agree in a slot with the probability
-Jaccard similarity of their weighted shingles.
+Jaccard similarity of their weighted shingles.  A shingle repeated in one text
+only lowers that, so a text of repeated shingles also has the bands of equal
+weights; without repeats the two are the same.
 
 Equal texts are one class from the start, so a group of copies is one row.
 ``ROWS`` slots make a band; texts that share a band's key are candidates.  In
@@ -39,7 +41,8 @@ from mound.llm.components import components
 from mound.session import write_through
 
 WORDS, SIMILARITY = 5, 0.8
-#: A pair of similarity 0.8 shares no band with probability (1 - 0.8^5)^32 = 3e-6.
+#: A pair of similarity 0.8 shares no band with probability (1 - 0.8^5)^32 = 3e-6: by the bands of equal weights,
+#: whose agreement is the sets' Jaccard similarity, however often shingles repeat.
 BANDS, ROWS = 32, 5
 #: Texts of a slice, at most.
 SLICE = 256
@@ -116,12 +119,12 @@ def weighted_shingles(texts: list[str], words: int = WORDS) -> tuple[np.ndarray,
     return (first >> _U(56)).astype(np.int64), first & _U((1 << 56) - 1), np.diff(np.append(starts, len(both)))
 
 
-def signatures(texts: list[str], slots: int = BANDS * ROWS, words: int = WORDS) -> np.ndarray:
-    """(texts x slots) ProbMinHash signatures; rows of texts without a word are all zero."""
+def signatures(texts: list[str], slots: int = BANDS * ROWS, words: int = WORDS, equal: bool = False) -> np.ndarray:
+    """(texts x slots) ProbMinHash signatures, by ``equal`` weights or those of the counts; rows of texts without a word are all zero."""
     owner, shingle, count = weighted_shingles(texts, words)
     first = np.full(len(texts) * slots, np.inf)
     signature = np.zeros(len(texts) * slots, np.uint64)
-    rate = 1 + np.log(count)
+    rate = np.ones(len(count)) if equal else 1 + np.log(count)
     seed = mix(shingle)
     at = np.zeros(len(shingle))
     live, arrival = np.arange(len(shingle)), 0
@@ -155,6 +158,19 @@ def band_keys(signature: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np
     return key
 
 
+def all_band_keys(texts: list[str]) -> list[np.ndarray]:
+    """Each text's distinct band keys, by weights of counts and by equal weights."""
+    owner, _, count = weighted_shingles(texts)
+    weighted = band_keys(signatures(texts)).view(np.int64)
+    out = list(weighted)
+    repeats = np.unique(owner[count > 1]).tolist()
+    if repeats:
+        equal = band_keys(signatures([texts[k] for k in repeats], equal=True)).view(np.int64)
+        for k, keys in zip(repeats, equal, strict=True):
+            out[k] = np.union1d(weighted[k], keys)
+    return out
+
+
 def bands_of(text: Column) -> Column:
     """Band keys of each text; none for a text without a word."""
     @F.pandas_udf("array<long>")
@@ -164,8 +180,7 @@ def bands_of(text: Column) -> Column:
             all_texts = [t or "" for t in batch]
             for some in slices(list(map(len, all_texts)), SLICE):
                 texts = all_texts[some]
-                keys = band_keys(signatures(texts)).view(np.int64)
-                out += [k if t.strip() else [] for k, t in zip(keys, texts, strict=True)]
+                out += [k if t.strip() else [] for k, t in zip(all_band_keys(texts), texts, strict=True)]
             yield pd.Series(out)
 
     return run(text)

@@ -112,6 +112,20 @@ def test_signature_estimates_probability_jaccard():
     assert (M.signatures([a, "", b], slots=4000)[[0, 2]] == s).all()  # a text's signature is its own
 
 
+def test_repeats_in_one_text_only():
+    """Pairs of set Jaccard 0.8, twenty of whose common shingles stand 500 times in one text only, share a band."""
+    for n in range(40):
+        line = " ".join(f"p{n}x{i}" for i in range(20))
+        rest = [f"c{n}x{i}" for i in range(184)]
+        a = " ".join([line] * 500 + rest)
+        b = " ".join([line, line, *rest[:-12], *(f"d{n}x{i}" for i in range(12))])
+        assert 0.8 <= plain_jaccard(a, b) < 0.9
+        x, y = M.all_band_keys([a, b])
+        assert len(np.intersect1d(x, y)), n
+        x, y = (M.band_keys(M.signatures([t], equal=True))[0].view(np.int64) for t in (a, b))
+        assert set(x.tolist()) <= set(M.all_band_keys([a])[0].tolist()) and set(y.tolist()) <= set(M.all_band_keys([b])[0].tolist())
+
+
 def test_edges(spark, make_docs):
     assert M.near_duplicates(make_docs([(1, "x")]).limit(0)).count() == 0
     docs = make_docs([(None, "same text"), (5, "same text"), (5, "same text"), (5, "other"), (None, None), (None, "alone")])
