@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mound.llm import (bpe, bwt_dedup, chat, cross_polytope, hard_negatives, langid, license_scan, packing, prefix_trie, probminhash,
-                       secret_scan, vptree)
+                       secret_scan, vptree, warc)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,6 +71,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack_documents(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json")))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return warc.read_back(warc.write(pages), pages)
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(prefix_trie.rebuilt(prefix_trie.turn_paths(_table(spark, sf_dir, "conversations"))))
 
@@ -81,7 +86,7 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {"op1_vptree": op1_vptree, "op2_suffix_array": op2_suffix_array, "op3_cross_polytope": op3_cross_polytope, "op5_probminhash": op5_probminhash,
            "op4_secrets": op4_secrets, "op6_licenses": op6_licenses, "op7_chat": op7_chat,
-           "op8_langid": op8_langid, "op9_bpe": op9_bpe, "op10_packing": op10_packing, "op12_prefix_trie": op12_prefix_trie,
+           "op8_langid": op8_langid, "op9_bpe": op9_bpe, "op10_packing": op10_packing, "op11_warc": op11_warc, "op12_prefix_trie": op12_prefix_trie,
            "op13_hard_negatives": op13_hard_negatives}
-ORACLE_SQL = {"op4_secrets": secret_scan.oracle_sql(), "op7_chat": chat.oracle_sql(), "op12_prefix_trie": prefix_trie.oracle_sql(),
+ORACLE_SQL = {"op4_secrets": secret_scan.oracle_sql(), "op7_chat": chat.oracle_sql(), "op11_warc": warc.oracle_sql(), "op12_prefix_trie": prefix_trie.oracle_sql(),
               "op13_hard_negatives": hard_negatives.oracle_sql()}
