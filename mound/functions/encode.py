@@ -1,18 +1,22 @@
 """Dictionary encoding (P9-P11, P14, P15, P19) and dimension joins.
 
 A dictionary given as a Python mapping has a size known on the driver.
-It becomes a literal inside the projection, whatever its size: an array
-of small ``map`` literals, of which a code's CRC picks one, so a lookup
-costs the same for ten entries and for a hundred thousand.  The value
-type follows from the mapping's values, never from its size.
-A dictionary DataFrame (read from a file, or derived) is written once
-and joined; Spark broadcasts it if the files are small enough.
+It becomes one literal inside the projection, whatever its size: an array
+of small maps, of which a code's CRC picks one, so a lookup costs the
+same for ten entries and for a hundred thousand.  The literal travels as
+one JSON text that Catalyst folds, so planning does not slow down with
+the entries.  How a code meets a key follows from their types alone (see
+``lookup``), the value type from the mapping's values, neither from the
+size.  A dictionary DataFrame (read from a file, or derived) is written
+once and joined; Spark broadcasts it if the files are small enough.
 """
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Mapping, Sequence
+from decimal import Decimal, InvalidOperation
 from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, Window
@@ -20,26 +24,79 @@ from pyspark.sql import functions as F
 
 from mound.session import write_through
 
-#: Entries of one map literal, on average (a lookup scans one such map).
+#: Entries of one small map, on average (a lookup scans one such map).
 _MAP_ENTRIES = 16
+_NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
+#: Numbers are compared as decimals of this type: 20 digits before the point, 18 behind it.
+_NUMBER = "decimal(38,18)"
+
+
+def _number_text(number: Decimal) -> str:
+    text = f"{abs(number) if number == 0 else number:f}"
+    return text.rstrip("0").rstrip(".") if "." in text else text
+
+
+def _as_number(key: object) -> str | None:
+    """The number that a key is, or reads as, in one spelling."""
+    if isinstance(key, bool) or not isinstance(key, (int, float, Decimal, str)):
+        return None
+    try:
+        number = Decimal(repr(key) if isinstance(key, float) else str(key).strip())
+    except InvalidOperation:
+        return None
+    return _number_text(number) if number.is_finite() else None
+
+
+def _number_of(source: Column) -> Column:
+    """The spelling of ``_as_number`` for a column of any type; null where it is no number."""
+    number = source.cast("string").try_cast(_NUMBER)
+    return F.regexp_replace(number.cast("string"), r"\.?0+$", "")
+
+
+def _text_key(key: object) -> str:
+    return str(key).lower() if isinstance(key, bool) else str(key)
+
+
+def _value_type(values: Sequence[object]) -> str:
+    kinds = {type(v) for v in values if v is not None}
+    if kinds <= {bool}:
+        return "boolean"
+    if kinds <= {int}:
+        return "int" if all(v is None or -2**31 <= v < 2**31 for v in values) else "bigint"
+    if kinds <= {int, float}:
+        return "double"
+    if kinds <= {str}:
+        return "string"
+    raise TypeError(f"a dictionary's values must be of one type: {sorted(k.__name__ for k in kinds)}")
+
+
+def _literal_lookup(entries: Mapping[str, object], code: Column, value_type: str) -> Column:
+    """``entries[code]`` for text codes, null where there is none."""
+    if not entries:
+        return F.lit(None).cast(value_type)
+    parts: list[dict[str, object]] = [{} for _ in range(1 + len(entries) // _MAP_ENTRIES)]
+    for k, v in entries.items():
+        parts[zlib.crc32(k.encode()) % len(parts)][k] = v
+    maps = F.from_json(F.lit(json.dumps(parts)), f"array<map<string,{value_type}>>")
+    part = (F.crc32(code.cast("binary")) % F.lit(len(parts))).cast("int")
+    return F.try_element_at(F.get(maps, part), code)
 
 
 def _find(mapping: Mapping[object, object], source: Column) -> Column:
-    """``mapping[source]``, null for codes that the mapping lacks."""
-    if not mapping:
-        return F.lit(None)
-    # text and whole numbers look alike in Python and in Spark, so their CRCs agree
-    n = 1 + len(mapping) // _MAP_ENTRIES if all(type(k) in (str, int) for k in mapping) else 1
-    parts: list[list[Column]] = [[] for _ in range(n)]
-    for k, v in mapping.items():
-        parts[zlib.crc32(str(k).encode()) % n if n > 1 else 0] += [F.lit(k), F.lit(v)]
-    # an empty part takes the first entry, which its codes can't equal
-    first = next(iter(mapping.items()))
-    maps = [F.create_map(*(p or [F.lit(x) for x in first])) for p in parts]
-    if n == 1:
-        return F.try_element_at(maps[0], source)
-    part = (F.crc32(source.cast("string").cast("binary")) % F.lit(n)).cast("int")
-    return F.try_element_at(F.get(F.array(*maps), part), source)
+    """``mapping[source]`` by the rule of ``lookup``, null for codes that the mapping lacks."""
+    value_type = _value_type(list(mapping.values())) if mapping else "int"
+    texts = {_text_key(k): v for k, v in mapping.items() if isinstance(k, bool) or not isinstance(k, (int, float, Decimal))}
+    numbers = {n: v for k, v in mapping.items() if not isinstance(k, str) and (n := _as_number(k)) is not None}
+    read = {n: v for k, v in mapping.items() if isinstance(k, str) and (n := _as_number(k)) is not None}
+    numeric = F.typeof(source).isin(*_NUMERIC) | F.typeof(source).startswith("decimal")
+    text = source.cast("string")
+    if not numbers and not read:
+        return F.when(~numeric, _literal_lookup(texts, text, value_type))
+    by_number = _literal_lookup(read | numbers, _number_of(source), value_type)
+    by_text = _literal_lookup(texts, text, value_type)
+    if numbers:
+        by_text = F.coalesce(by_text, _literal_lookup(numbers, _number_of(source), value_type))
+    return F.when(numeric, by_number).otherwise(by_text)
 
 
 def _missing(value: Column, source: Column, on_missing: str, default: object = 0) -> Column:
@@ -58,7 +115,16 @@ def _missing(value: Column, source: Column, on_missing: str, default: object = 0
 def lookup(source: str | Column, mapping: Mapping[object, object], on_missing: str = "null", default: object = 0) -> Column:
     """Column expression: ``mapping[source]`` with the chosen rule for
     codes absent from the mapping (a null input stays null unless
-    ``on_missing='zero'``)."""
+    ``on_missing='zero'``).
+
+    A numeric column meets keys by value, whatever its type: 1, 1.0 and
+    1.00 meet the keys 1, 1.0, ``'1'`` and ``'1.'``.  Any other column meets
+    text keys as its text, letter by letter, and numeric keys where its text
+    reads as that number.  Numbers beyond 20 digits before the point, and
+    those that are not finite, meet nothing; digits beyond 18 behind the
+    point are rounded.  Two keys of one value: the last wins, numeric keys
+    before texts.
+    """
     src = F.col(source) if isinstance(source, str) else source
     return _missing(_find(mapping, src), src, on_missing, default)
 

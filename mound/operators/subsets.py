@@ -37,3 +37,46 @@ def size_subset(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
     return df.where(reached).orderBy(*order).limit(n)
 
 
+
+
+#: Hexadecimal digits of a histogram: at most 65,536 counts come to the driver.
+_DIGITS = 4
+#: Rows that may be sorted to settle the last few.
+_SETTLE = 10_000
+
+
+def random_subset(df: DataFrame, n: int, seed: int = 0) -> DataFrame:
+    """L2, at random: exactly ``n`` rows (all, if fewer), those of the smallest hashes.
+
+    A row's hash is the MD5 of the seed and all its columns' texts, so the
+    subset does not depend on files, partitions or the order of rows.
+    Histograms over the hash's leading digits find the value below which all
+    rows belong to it; only rows that agree in the digits looked at so far
+    are counted again.  Few rows are left to sort, or equal rows, of which
+    the missing number is made from one.  Null columns count as such.
+    """
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\\N")) for c in df.columns])
+    keyed = df.withColumn("__hash", F.md5(text))
+    prefix, left = "", n
+    while True:
+        inside = keyed.where(F.col("__hash").startswith(prefix))
+        digits = F.substr("__hash", F.lit(len(prefix) + 1), F.lit(_DIGITS))
+        counts = sorted((r["d"], r["c"]) for r in inside.groupBy(digits.alias("d")).agg(F.count(F.lit(1)).alias("c")).collect())
+        for digit, count in counts:
+            if left <= count:
+                break
+            left -= count
+        else:  # no more rows than asked for
+            return df
+        prefix += digit
+        if count <= _SETTLE or len(prefix) == 32:
+            break
+    below = keyed.where(F.col("__hash") < prefix)
+    last = keyed.where(F.col("__hash").startswith(prefix))
+    if count > _SETTLE:  # rows with one hash are equal: as many as are missing of the first
+        step = 1_000_000
+        starts = F.sequence(F.lit(0), F.lit(max(left - 1, 0)), F.lit(step))
+        parts = last.limit(1).withColumn("__at", F.explode(starts)).repartition(F.col("__at")).where(F.lit(left > 0))
+        last = parts.withColumn("__i", F.explode(F.sequence(F.col("__at"), F.least(F.col("__at") + step, F.lit(left)) - 1)))
+        return below.drop("__hash").unionByName(last.drop("__hash", "__at", "__i"))
+    return below.unionByName(last.orderBy("__hash").limit(left)).drop("__hash")

@@ -133,6 +133,28 @@ def q_fill_defaults(spark, sf):
     return C.fill_defaults(p, D.NULL_DEFAULTS)
 
 
+#: One mapping at three sizes: the number's square plus its size, for numbers from 1.
+_SQUARES = {n: {i: i * i + n for i in range(1, n + 1)} for n in (10, 40, 2000)}
+
+
+@register(
+    "encode_numeric_dictionary", ("P10", "P11"),
+    with_pitches("SELECT game_pk, pitch_number, pitcher, launch_speed_angle, " + ", ".join(
+        f"CAST(CASE WHEN {c} BETWEEN 1 AND {n} AND {c} = trunc({c}) THEN {c} * {c} + {n} END AS INTEGER) AS {c}_{n}"
+        for n in _SQUARES for c in ("pitcher", "release_speed", "release_spin_rate"))
+        + """, CAST(CASE WHEN launch_speed_angle BETWEEN 0 AND 6 THEN launch_speed_angle END AS INTEGER) AS launch_speed_angle_code,
+       CAST(CASE WHEN pitch_type IS NULL THEN 0 ELSE 0 END AS INTEGER) AS pitch_type_code FROM pitches""", wide=True),
+)
+def q_encode_numeric_dictionary(spark, sf):
+    """Whole-number keys on integer and double columns at three sizes; the published keys ``'1.'`` on a double column; an empty dictionary."""
+    p = pitches(spark, sf, wide=True)
+    out = p.select("game_pk", "pitch_number", "pitcher", "launch_speed_angle", "pitch_type", "release_speed", "release_spin_rate")
+    out = out.withColumns({f"{c}_{n}": E.lookup(c, m) for n, m in _SQUARES.items() for c in ("pitcher", "release_speed", "release_spin_rate")})
+    out = E.encode(out, "launch_speed_angle", D.LAUNCH_SPEED_ANGLE_INDEX, suffix="_code")
+    out = E.encode(out, "pitch_type", D.PITCH_TYPE_INDEX, "zero", suffix="_code")
+    return out.drop("pitch_type", "release_speed", "release_spin_rate")
+
+
 _PR_LIST = ", ".join(f"'{e}'" for e in D.IN_PLAY_OUTCOMES)
 
 

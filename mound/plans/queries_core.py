@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from mound.dictionaries import HIT_EVENTS
 from mound.functions.clean import home_win, round_doubles
 from mound.operators import games as G
+from mound.operators import nested as N
 from mound.operators import team_windows as TW
 from mound.plans.registry import register
 from mound.sources.fixtures import pitches, with_pitches
@@ -322,3 +323,20 @@ FROM (SELECT game_date, home_team, away_team, COUNT(*) AS n_pitches, MIN(s) AS f
 )
 def q_game_nested(spark, sf):
     return G.game_nested(pitches(spark, sf), order=_NEST_ORDER)
+
+
+def _nested_sql(keys: str, chunk: int) -> str:
+    return f"""SELECT {keys}, (i - 1) // {chunk} + 1 AS chunk_no, MIN(i) AS first_pitch, COUNT(*) AS n_pitches,
+       string_agg(game_pk || ':' || pitch_number || ':' || pitcher || ':' || coalesce(events, '') || ':' || description, ' ' ORDER BY i) AS pitches
+FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY game_pk, pitch_number, pitcher, events NULLS FIRST, description) AS i FROM pitches)
+GROUP BY {keys}, (i - 1) // {chunk}"""
+
+
+def _flat(nested):
+    one = lambda p: F.concat_ws(":", p["game_pk"], p["pitch_number"], p["pitcher"], F.coalesce(p["events"], F.lit("")), p["description"])
+    return nested.withColumn("pitches", F.array_join(F.transform("pitches", one), " "))
+
+
+@register("game_pitches_nested", ("A11",), with_pitches(_nested_sql("game_date, home_team, away_team", N.CHUNK)))
+def q_game_pitches_nested(spark, sf):
+    return _flat(N.game_pitches(pitches(spark, sf)))

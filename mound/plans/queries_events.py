@@ -201,3 +201,45 @@ FROM it GROUP BY 1, 2""",
 )
 def q_event_plays_by_batter(spark, sf):
     return EV.plays_by_batter(EV.event_plays(EV.event_lines(_blocks(spark, sf))))
+
+
+_BAD_CTE = _ITEMS_CTE + """,
+bad AS (SELECT game_id, l_linenumber * 10 + 1001 AS n, 'play' AS record, 'play,x3,' || CAST(side AS VARCHAR) || ',' || batter || ',00,,K' AS line,
+               'field 1 is not a whole number' AS reason FROM it WHERE l_linenumber = 3
+        UNION ALL
+        SELECT game_id, l_linenumber * 10 + 1002, 'start', 'start,' || pid || ',' || CAST(side AS VARCHAR), 'too few fields' FROM it WHERE l_linenumber = 5
+        UNION ALL
+        SELECT game_id, l_linenumber * 10 + 1003, 'zzz', 'zzz,' || pid, 'unknown record' FROM it WHERE l_linenumber = 6)"""
+
+
+@register(
+    "event_log_rejects", ("S11",),
+    # 14 header lines follow the id line; the malformed ones come next, in their order
+    "WITH " + _BAD_CTE + """
+SELECT game_id, CAST(14 + row_number() OVER (PARTITION BY game_id ORDER BY n, line) AS INTEGER) AS seq, record, line, reason FROM bad""",
+)
+def q_event_log_rejects(spark, sf):
+    path = _written(spark, sf, "events", lambda *a: FX.write_event_files(*a, malformed=True))
+    return EV.split_lines(EV.read_game_blocks(spark, path))[1].drop("file_name")
+
+
+@register(
+    "event_log_accepted", ("S11",),
+    "WITH " + _ITEMS_CTE + """,
+every AS (SELECT game_id, 'play' AS record, l_linenumber AS inning FROM it
+          UNION ALL SELECT game_id, 'start', NULL FROM it
+          UNION ALL SELECT game_id, 'sub', NULL FROM it WHERE l_tax > 0.06
+          UNION ALL SELECT game_id, 'com', NULL FROM it WHERE l_linenumber = 1
+          UNION ALL SELECT game_id, 'radj', NULL FROM it WHERE l_discount >= 0.1
+          UNION ALL SELECT game_id, 'badj', NULL FROM it WHERE l_discount < 0.02
+          UNION ALL SELECT game_id, 'data', NULL FROM it
+          UNION ALL SELECT game_id, 'version', NULL FROM egi
+          UNION ALL SELECT game_id, 'info', NULL FROM egi, range(13))
+SELECT game_id, record, COUNT(*) AS n_lines, CAST(SUM(inning) AS BIGINT) AS innings FROM every GROUP BY game_id, record""",
+)
+def q_event_log_accepted(spark, sf):
+    """The other output of the same scan: what is left of files with malformed lines."""
+    path = _written(spark, sf, "events", lambda *a: FX.write_event_files(*a, malformed=True))
+    lines = EV.split_lines(EV.read_game_blocks(spark, path))[0]
+    inning = F.when(F.col("record") == "play", F.get("fields", 0).cast("int"))
+    return lines.groupBy("game_id", "record").agg(F.count(F.lit(1)).alias("n_lines"), F.sum(inning).alias("innings"))

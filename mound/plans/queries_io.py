@@ -16,7 +16,7 @@ from mound.operators import seasons as S
 from mound.operators import subsets as L
 from mound.plans.queries_core import _HITS, GAME_SQL, _cnt
 from mound.plans.registry import register
-from mound.session import scratch_path
+from mound.session import scratch_path, write_through
 from mound.sources import pitchlog as PL
 from mound.sources import sinks as SK
 from mound.sources.fixtures import pitches, with_pitches
@@ -266,6 +266,25 @@ def q_correlations(spark, sf):
     return round_doubles(PR.correlations(pitches(spark, sf), _CORR_COLS))
 
 
+#: As many numeric columns as the full pitch log has, derived from the fixture's; about one value in seven is absent.
+_WIDE_COLS = {f"v{k}": f"CASE WHEN (pitch_number + {k}) % 7 <> 0 THEN CAST((CAST(release_spin_rate AS BIGINT) * {k + 1} + game_pk * {2 * k + 1} + pitcher) % {50 + k} AS DOUBLE) END"
+              for k in range(79)} | {c: c for c in _CORR_COLS}
+
+
+def _corr_wide_sql() -> str:
+    from itertools import combinations
+
+    rows = ", ".join(f"{{'a': '{a}', 'b': '{b}', 'r': round(corr({a}, {b}), 6)}}" for a, b in combinations(_WIDE_COLS, 2))
+    return (f"SELECT p.a AS col_a, p.b AS col_b, p.r AS r FROM (SELECT unnest([{rows}]) AS p FROM (SELECT "
+            + ", ".join(f"{e} AS {c}" for c, e in _WIDE_COLS.items()) + " FROM pitches))")
+
+
+@register("correlations_wide", ("A9",), with_pitches(_corr_wide_sql()))
+def q_correlations_wide(spark, sf):
+    wide = pitches(spark, sf).select(*[F.expr(e).alias(c) for c, e in _WIDE_COLS.items()])
+    return round_doubles(PR.correlations(wide, list(_WIDE_COLS)))
+
+
 _DISTINCT_COLS = ("game_date", "home_team", "away_team", "events", "description", "type", "pitch_type", "pitcher")
 
 
@@ -278,6 +297,45 @@ def q_distinct_counts(spark, sf):
     return PR.distinct_counts(pitches(spark, sf), _DISTINCT_COLS)
 
 
+_SKETCHED = ("game_pk", "pitcher", "game_date", "release_spin_rate")
+_SKETCH_RANGES = ((1995, 1996), (1996, 1998), (1995, 2001))
+
+
+@register(
+    "distinct_sketches", ("A10",),
+    with_pitches("\nUNION ALL\n".join(
+        f"SELECT {a} AS first_season, {b} AS last_season, '{c}' AS column_name, COUNT(DISTINCT {c}) AS n_distinct, TRUE AS within_bound FROM pitches "
+        f"WHERE CAST(substr(game_date, 1, 4) AS INTEGER) BETWEEN {a} AND {b}" for a, b in _SKETCH_RANGES for c in _SKETCHED)),
+)
+def q_distinct_sketches(spark, sf):
+    """Sketches stored per season and merged for ranges of seasons, against exact counts; the bound is six standard errors."""
+    p = pitches(spark, sf).select(*_SKETCHED, F.substring("game_date", 1, 4).cast("int").alias("season"))
+    p = write_through(p, "sketched-pitches")
+    path = scratch_path(spark, "distinct-sketches")
+    SK.write_parquet(PR.distinct_sketches(p, _SKETCHED, "season"), path)
+    stored = spark.read.parquet(path)
+    out = None
+    for a, b in _SKETCH_RANGES:
+        exact = PR.distinct_counts(p.where(F.col("season").between(a, b)), _SKETCHED)
+        both = exact.join(PR.estimate_distinct(stored, "season", a, b), "column_name", "left")
+        near = F.abs(F.coalesce("n_estimate", F.lit(0)) - F.col("n_distinct")) <= 0.05 * F.col("n_distinct")
+        both = both.select(F.lit(a).alias("first_season"), F.lit(b).alias("last_season"), "column_name", "n_distinct", near.alias("within_bound"))
+        out = both if out is None else out.unionByName(both)
+    return out
+
+
+_RANDOM_COLS = ("game_pk", "pitch_number", "pitcher", "game_date", "events")
+_RANDOM_TEXT = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '\\N')" for c in _RANDOM_COLS)
+
+
+@register(
+    "random_subset", ("L2",),
+    with_pitches(f"SELECT {', '.join(_RANDOM_COLS)} FROM pitches ORDER BY md5('7|' || {_RANDOM_TEXT}) LIMIT 10000"),
+)
+def q_random_subset(spark, sf):
+    return L.random_subset(pitches(spark, sf).select(*_RANDOM_COLS), 10_000, seed=7)
+
+
 _FENCE_SQL = "(VALUES " + ", ".join(
     f"('{p}', {n}, '{s.replace(chr(39), chr(39) * 2)}', CAST({lo!r} AS DOUBLE), CAST({hi!r} AS DOUBLE), "
     f"CAST({d!r} AS DOUBLE))"

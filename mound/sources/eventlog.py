@@ -10,6 +10,10 @@ handles records that cross split boundaries).  Every line of a game is
 therefore in the same row: the games table is built by looking inside
 that row's array of lines and the other tables by ``posexplode`` -- all
 map-side, no shuffle, and no ordering across rows is ever needed.
+
+A malformed line never fails a job: typed fields that do not parse are
+null, and ``checked_lines`` / ``split_lines`` set such lines apart, with
+their file, game, place and the reason.
 """
 
 from __future__ import annotations
@@ -18,8 +22,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mound.schemas import ROSTER_SCHEMA, TEAM_LIST_SCHEMA
+from mound.session import scratch_path
 
 # --- fixed values: keys of the ``info`` records ------------------------------
 INFO_KEYS = (
@@ -28,6 +34,11 @@ INFO_KEYS = (
     "inputtime", "howscored", "pitches", "oscorer", "temp", "winddir", "windspeed",
     "fieldcond", "precip", "sky", "timeofgame", "attendance", "wp", "lp", "save",
 )
+#: Record types, with the number of fields behind the type and the places of those that are whole numbers.
+RECORDS = {
+    "version": (1, ()), "info": (2, ()), "start": (5, (3, 4, 5)), "sub": (5, (3, 4, 5)), "play": (6, (1, 2)),
+    "com": (1, ()), "data": (3, (3,)), "radj": (2, ()), "badj": (2, ()), "ladj": (2, ()), "padj": (2, ()), "presadj": (2, ()),
+}
 # --- end of fixed values -----------------------------------------------------
 
 #: One field of a line: quoted (a quote inside is doubled) or up to the next comma.
@@ -60,25 +71,68 @@ def _parse(line: Column) -> Column:
 
 
 def event_lines(blocks: DataFrame, records: Sequence[str] | None = None) -> DataFrame:
-    """(game_id, seq, nth, record, fields): one row per line, ``seq`` =
-    position of the line inside its game (the id line is 0), ``nth`` = its
-    position among the lines of the chosen record types (from 1), ``fields``
-    = all fields after the record type.
+    """(game_id, seq, nth, record, fields, file_name, line): one row per line,
+    ``seq`` = position of the line inside its game (the id line is 0),
+    ``nth`` = its position among the lines of the chosen record types (from
+    1), ``fields`` = all fields after the record type, ``line`` as it stands.
 
     Lines are numbered and chosen by their raw start inside the game's row;
     only chosen lines are parsed, once."""
     numbered = F.transform("lines", lambda s, i: F.struct((i + 1).alias("seq"), s.alias("line")))
     if records is not None:
         numbered = F.filter(numbered, lambda x: F.substring_index(x["line"], ",", 1).isin(*records))
-    ex = blocks.select("game_id", F.posexplode(numbered).alias("pos", "l"))
+    ex = blocks.select("game_id", "file_name", F.posexplode(numbered).alias("pos", "l"))
     return ex.select("game_id", F.col("l.seq").alias("seq"), (F.col("pos") + 1).alias("nth"),
-                     F.substring_index("l.line", ",", 1).alias("record"), _parse(F.col("l.line")).alias("fields"))
+                     F.substring_index("l.line", ",", 1).alias("record"), _parse(F.col("l.line")).alias("fields"),
+                     "file_name", F.col("l.line").alias("line"))
 
 
 def _field(i: int) -> Column:
     return F.get("fields", i - 1)
 
 
+def _whole(i: int) -> Column:
+    """A field that is a whole number; null where it is not."""
+    return _field(i).try_cast("int")
+
+
+def checked_lines(blocks: DataFrame) -> DataFrame:
+    """Every line, as ``event_lines`` has it, with ``reason``: why it is
+    malformed, or null.
+
+    The shapes are those of ``RECORDS``: a known record type, at least as
+    many fields, and whole numbers where they belong.  A game whose id has
+    no date has its id line as a further row (``seq`` 0).
+    """
+    lines = event_lines(blocks)
+    record = F.col("record")
+    reason = F.when(~record.isin(*RECORDS), F.lit("unknown record"))
+    for name, (fields, _) in RECORDS.items():
+        reason = reason.when((record == name) & (F.size("fields") < fields), F.lit("too few fields"))
+    for name, (_, wholes) in RECORDS.items():
+        for i in wholes:
+            reason = reason.when((record == name) & _whole(i).isNull(), F.lit(f"field {i} is not a whole number"))
+    no_date = F.try_to_date(F.substring("game_id", 4, 8), "yyyyMMdd").isNull()
+    ids = blocks.where(no_date).select(
+        "game_id", F.lit(0).alias("seq"), F.lit(None).cast("int").alias("nth"), F.lit("id").alias("record"),
+        F.array("game_id").alias("fields"), "file_name", F.concat(F.lit("id,"), "game_id").alias("line"), F.lit("game id without a date").alias("reason"))
+    return lines.withColumn("reason", reason).unionByName(ids)
+
+
+def split_lines(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(lines, rejects): the well-formed lines, and the malformed ones as
+    (file_name, game_id, seq, record, line, reason).
+
+    The event files are scanned once: all lines are written with their
+    verdict, in two folders, and each output reads its own."""
+    checked = checked_lines(blocks).withColumn("rejected", F.col("reason").isNotNull())
+    path = scratch_path(blocks.sparkSession, "event-lines")
+    checked.write.partitionBy("rejected").parquet(path)
+    stored = blocks.sparkSession.read.schema(checked.schema).parquet(path)
+    good = stored.where(~F.col("rejected")).drop("rejected", "reason")
+    return good, stored.where("rejected").select("file_name", "game_id", "seq", "record", "line", "reason")
+
+
 def event_games(blocks: DataFrame) -> DataFrame:
     """Games with the ``info`` records pivoted to columns -- inside each row,
     without a shuffle.  The info lines are split once into (key, value) in
@@ -97,7 +151,7 @@ def event_games(blocks: DataFrame) -> DataFrame:
         "game_id",
         F.substring(gid, 1, 3).alias("home_code"),
         F.try_to_date(F.substring(gid, 4, 8), "yyyyMMdd").alias("game_day"),
-        F.substring(gid, 4, 4).cast("int").alias("season"),
+        F.substring(gid, 4, 4).try_cast("int").alias("season"),
         F.expr("substring(game_id, 12)").alias("game_number"),
         F.regexp_replace(F.get(F.filter("lines", lambda s: s.startswith("version,")), 0), "^version,", "").alias("version"),
         *[F.get(key(k), 2).alias(k) for k in INFO_KEYS],
@@ -112,15 +166,14 @@ def event_lineups(lines: DataFrame) -> DataFrame:
     return lines.where(F.col("record").isin("start", "sub")).select(
         "game_id", "seq", "record",
         _field(1).alias("player_id"), _field(2).alias("player_name"),
-        _field(3).cast("int").alias("side"), _field(4).cast("int").alias("batting_order"),
-        _field(5).cast("int").alias("field_position"),
+        _whole(3).alias("side"), _whole(4).alias("batting_order"), _whole(5).alias("field_position"),
     )
 
 
 def _plays(lines: DataFrame, *more: Column) -> DataFrame:
     return lines.where(F.col("record") == "play").select(
         "game_id", "seq", *more,
-        _field(1).cast("int").alias("inning"), _field(2).cast("int").alias("side"),
+        _whole(1).alias("inning"), _whole(2).alias("side"),
         _field(3).alias("batter_id"), _field(4).alias("count"),
         F.coalesce(_field(5), F.lit("")).alias("pitch_sequence"), _field(6).alias("play"),
     )
@@ -140,7 +193,7 @@ def indexed_plays(blocks: DataFrame) -> DataFrame:
 def event_earned_runs(lines: DataFrame) -> DataFrame:
     """``data,er`` records: earned runs charged to a pitcher in a game."""
     return lines.where((F.col("record") == "data") & (_field(1) == "er")).select(
-        "game_id", "seq", _field(2).alias("pitcher_id"), _field(3).cast("int").alias("earned_runs"))
+        "game_id", "seq", _field(2).alias("pitcher_id"), _whole(3).alias("earned_runs"))
 
 
 def event_comments(lines: DataFrame) -> DataFrame:
@@ -173,6 +226,31 @@ def read_rosters(spark: SparkSession, path: str | Sequence[str], glob: str = "*.
     )
 
 
+def split_rosters(spark: SparkSession, path: str | Sequence[str], glob: str = "*.ROS") -> tuple[DataFrame, DataFrame]:
+    """(rosters, rejects): ``read_rosters`` without its malformed lines, and
+    these as (file_name, line, reason).  One scan: all lines are written with
+    their verdict, and each output reads its own folder.  Malformed is a line
+    with more or fewer than seven fields, without a player id, or in a file
+    whose name has no season."""
+    schema = T.StructType([*ROSTER_SCHEMA.fields, T.StructField("__line", T.StringType())])
+    raw = spark.read.schema(schema).option("header", "false").option("pathGlobFilter", glob).option(
+        "mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "__line").csv(path if isinstance(path, str) else list(path))
+    name = F.col("_metadata.file_name")
+    rows = raw.select(
+        *ROSTER_SCHEMA.fieldNames(), "__line", name.alias("file_name"),
+        F.regexp_extract(name, r"^(.+?)(\d{4})\.[A-Za-z]+$", 1).alias("file_team"),
+        F.regexp_extract(name, r"^(.+?)(\d{4})\.[A-Za-z]+$", 2).try_cast("int").alias("season"))
+    reason = F.when(F.col("__line").isNotNull(), "not seven fields").when(F.col("player_id").isNull(), "no player id").when(
+        F.col("season").isNull(), "no season in the file's name")
+    rows = rows.withColumn("reason", reason).withColumn("rejected", F.col("reason").isNotNull())
+    out = scratch_path(spark, "roster-lines")
+    rows.write.partitionBy("rejected").parquet(out)
+    stored = spark.read.schema(rows.schema).parquet(out)
+    good = stored.where(~F.col("rejected")).select(*ROSTER_SCHEMA.fieldNames(), "file_team", "season")
+    line = F.coalesce("__line", F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in ROSTER_SCHEMA.fieldNames()]))
+    return good, stored.where("rejected").select("file_name", line.alias("line"), "reason")
+
+
 def roster_players(rosters: DataFrame) -> DataFrame:
     """One row per (player_id, season): a player listed by two teams in a
     season keeps the entry of the file team that sorts last."""
@@ -188,7 +266,7 @@ def plays_with_batters(plays: DataFrame, players: DataFrame) -> DataFrame:
     size check (``joins.join_small``)."""
     from mound.operators.joins import join_small
 
-    p = plays.withColumn("season", F.substring("game_id", 4, 4).cast("int"))
+    p = plays.withColumn("season", F.substring("game_id", 4, 4).try_cast("int"))
     r = players.select(F.col("player_id").alias("batter_id"), "season",
                        F.col("last_name").alias("batter_last_name"), F.col("team").alias("batter_team"),
                        F.col("bats").alias("batter_bats"))
@@ -197,7 +275,7 @@ def plays_with_batters(plays: DataFrame, players: DataFrame) -> DataFrame:
 
 def earned_runs_by_pitcher(earned: DataFrame) -> DataFrame:
     """Season earned-run totals per pitcher."""
-    return earned.withColumn("season", F.substring("game_id", 4, 4).cast("int")).groupBy(
+    return earned.withColumn("season", F.substring("game_id", 4, 4).try_cast("int")).groupBy(
         "season", "pitcher_id").agg(F.count(F.lit(1)).alias("games"),
                                     F.sum("earned_runs").cast("bigint").alias("earned_runs"))
 
@@ -215,7 +293,7 @@ def plays_by_inning(plays: DataFrame) -> DataFrame:
 
 def plays_by_batter(plays: DataFrame) -> DataFrame:
     """Plate appearances per batter and season."""
-    return plays.withColumn("season", F.substring("game_id", 4, 4).cast("int")).groupBy("season", "batter_id").agg(
+    return plays.withColumn("season", F.substring("game_id", 4, 4).try_cast("int")).groupBy("season", "batter_id").agg(
         F.count(F.lit(1)).alias("plate_appearances"),
         F.countDistinct("game_id").alias("games"),
     )

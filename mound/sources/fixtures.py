@@ -142,8 +142,12 @@ def _pid(prefix: str, key: Column) -> Column:
     return F.concat(F.lit(prefix), F.lpad(key.cast("string"), 7, "0"))
 
 
-def event_file_games(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order = game: its whole event-file text block."""
+def event_file_games(spark: SparkSession, sf_dir: str, malformed: bool = False) -> DataFrame:
+    """One row per order = game: its whole event-file text block.
+
+    ``malformed`` adds, behind the header lines, a play without an inning for
+    each third line item, a short ``start`` for each fifth and a line of an
+    unknown type for each sixth."""
     orders = table(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
@@ -203,6 +207,9 @@ def event_file_games(spark: SparkSession, sf_dir: str) -> DataFrame:
         body(2, 4, F.concat_ws(",", F.lit("badj"), batter, F.when(F.col("l_suppkey") % 2 == 0, "L").otherwise("R")),
              F.col("l_discount") < 0.02),
         body(3, 0, F.concat_ws(",", F.lit("data"), F.lit("er"), pid, (qty % 5).cast("string"))),
+        *([body(0, 1001, F.concat_ws(",", F.lit("play"), F.concat(F.lit("x"), ln.cast("string")), side, batter, F.lit("00"), F.lit(""), F.lit("K")), ln == 3),
+           body(0, 1002, F.concat_ws(",", F.lit("start"), pid, side), ln == 5),
+           body(0, 1003, F.concat_ws(",", F.lit("zzz"), pid), ln == 6)] if malformed else []),
     )).alias("ls"))
     # One event-file block is one game, so its lines are gathered per order:
     # a dozen header lines plus a few per line item (4 per order on average,
@@ -213,9 +220,9 @@ def event_file_games(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.transform(F.array_sort(F.collect_list("l")), lambda x: x["line"]), "\r\n").alias("block"))
 
 
-def write_event_files(spark: SparkSession, sf_dir: str, path: str) -> None:
+def write_event_files(spark: SparkSession, sf_dir: str, path: str, malformed: bool = False) -> None:
     """Event-file layout: CRLF lines, many games per file."""
-    blocks = event_file_games(spark, sf_dir)
+    blocks = event_file_games(spark, sf_dir, malformed)
     blocks.select(F.concat("block", F.lit("\r")).alias("value")).write.mode("overwrite").text(path)
 
 
