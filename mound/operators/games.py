@@ -180,7 +180,11 @@ def game_features(pitches: DataFrame, keys: Sequence[str] = GAME_KEY, materializ
     partials is the only one touching it; every later step reads that
     (roughly pitches-per-game times smaller) table.
     """
-    parts = game_partials(pitches, keys)
+    return features_from_partials(game_partials(pitches, keys), materialize)
+
+
+def features_from_partials(parts: DataFrame, materialize: bool = True) -> DataFrame:
+    """``game_features`` from a table of ``game_partials``, all of it or some seasons."""
     if materialize:
         # The game-level table feeds several branches below; write it once
         # so the pitch log is scanned and shuffled once (session.write_through).

@@ -19,7 +19,7 @@ from pyspark.ml.classification import RandomForestClassificationModel, RandomFor
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mound.dictionaries import FEATURES_11
@@ -139,3 +139,41 @@ def release(fitted: Fitted) -> None:
     filters over the cached plan, not the cached plan.)"""
     if fitted.cached is not None:
         fitted.cached.unpersist()
+
+
+def fold_facts(rows: DataFrame, label: str = "home_win", season: str = "season") -> DataFrame:
+    """(test_season, train_rows, train_positives, test_rows, test_positives):
+    walk-forward folds, each tested on one season and trained on all seasons
+    before it.  One aggregation; the folds are running sums over the
+    seasons (one row each)."""
+    per = rows.groupBy(season).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("long")).alias("pos"))
+    earlier = Window.orderBy(season).rowsBetween(Window.unboundedPreceding, -1)
+    return per.select(
+        F.col(season).alias("test_season"), F.sum("n").over(earlier).alias("train_rows"), F.sum("pos").over(earlier).alias("train_positives"),
+        F.col("n").alias("test_rows"), F.col("pos").alias("test_positives")).where(F.col("train_rows").isNotNull())
+
+
+def walk_forward(rows: DataFrame, features: Sequence[str], label: str = "home_win", season: str = "season",
+                 num_trees: int = 100, seed: int = 42) -> DataFrame:
+    """M10, leakage-free: (test_season, train_rows, train_positives,
+    test_rows, test_positives, accuracy), a model for every season but the
+    first, fitted on the seasons before it.
+
+    ``rows`` is a stored feature table with a season column; rows without
+    the label or a feature are left out.  The vectors are assembled and
+    persisted once for all folds; a fold is a filter on the season.  A fold
+    whose training rows are all of one label is not fitted (null accuracy).
+    """
+    data = assemble(rows.where(F.col(label).isNotNull()), features).select(season, "features", F.col(label).cast("double").alias(label))
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    facts = materialize(fold_facts(data, label, season), "fold-facts")
+    spark, scores = rows.sparkSession, []
+    for fold in facts.orderBy("test_season").collect():  # one row per season
+        result = None
+        if 0 < fold["train_positives"] < fold["train_rows"]:
+            model = train_rf(data.where(F.col(season) < fold["test_season"]), label, num_trees=num_trees, seed=seed)
+            result = accuracy_frame(model.transform(data.where(F.col(season) == fold["test_season"])), label).first()["accuracy"]
+        scores.append((fold["test_season"], result))
+    data.unpersist()
+    kind = facts.schema["test_season"].dataType.simpleString()
+    return facts.join(F.broadcast(spark.createDataFrame(scores, f"test_season {kind}, accuracy double")), "test_season")
