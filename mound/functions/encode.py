@@ -22,7 +22,7 @@ from itertools import groupby
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mound.session import write_through
+from mound.session import broadcast_bytes, path_bytes, scratch_path, write_through
 
 #: Entries of one small map, on average (a lookup scans one such map).
 _MAP_ENTRIES = 16
@@ -177,7 +177,10 @@ def translate_list(df: DataFrame, column: str, dictionary: DataFrame | Mapping[s
     """Split a comma list, replace known codes by names, join again.
 
     With a mapping the whole thing is one projection (``transform`` over
-    the split array).  With a dictionary DataFrame the translation is a
+    the split array).  So it is with a dictionary DataFrame whose written
+    files have no more bytes than Spark would broadcast
+    (``spark.sql.autoBroadcastJoinThreshold``): its rows, at most so many
+    bytes, become a mapping.  With a larger one the translation is a
     function of the list string alone, so it is computed once per distinct
     list: distinct lists are exploded to (list, position, token),
     left-joined to the dictionary and put back together in list order,
@@ -192,9 +195,17 @@ def translate_list(df: DataFrame, column: str, dictionary: DataFrame | Mapping[s
         tr = F.transform(parts, lambda x: F.coalesce(_find(dictionary, x), x))
         return df.withColumn(out, F.when(F.col(column).isNotNull(), F.array_join(tr, joiner)))
 
+    spark = df.sparkSession
+    stored = scratch_path(spark, "translations")
+    dictionary.select(F.col(code).cast("string").alias("code"), F.col(name).cast("string").alias("name")).write.parquet(stored)
+    dictionary, code, name = spark.read.parquet(stored), "code", "name"
+    if path_bytes(spark, stored) <= broadcast_bytes(spark):
+        mapping = {r["code"]: r["name"] for r in dictionary.where("code is not null").collect()}
+        return translate_list(df, column, mapping, out, sep, joiner)
+
     lists = df.select(F.col(column).alias("__list")).where(F.col("__list").isNotNull()).distinct()
     tokens = lists.select("__list", F.posexplode(F.split(F.col("__list"), F.lit(sep), -1)).alias("__pos", "__tok"))
-    dim = write_through(dictionary.select(F.col(code).alias("__tok"), F.col(name).alias("__name")), "dictionary")
+    dim = dictionary.select(F.col(code).alias("__tok"), F.col(name).alias("__name"))
     translated = (
         tokens.join(dim, "__tok", "left")
         .groupBy("__list")

@@ -167,8 +167,21 @@ def _with_day_stats(parts: DataFrame, team: str, half_col: str, prefix: str) ->
     })
 
 
-def game_features(pitches: DataFrame, keys: Sequence[str] = GAME_KEY, materialize: bool = True) -> DataFrame:
-    """J1k + W2 + W3 with correct keys; one scan of the pitch log.
+def with_day_stats(parts: DataFrame) -> DataFrame:
+    """J1k on ``game_partials``: each game with its home and away team's day statistics (A1, A2)."""
+    return _with_day_stats(_with_day_stats(parts, "home_team", "bot_pitches", "home"),
+                           "away_team", "top_pitches", "away").drop(
+        "bot_pitches", "top_pitches", "sum_speed", "n_speed", "sum_spin", "n_spin")
+
+
+def default_keys(pitches: DataFrame) -> tuple[str, ...]:
+    """Date, home and away team, and the game's id where the log has one: two games of a day stay apart."""
+    return GAME_KEY + (("game_pk",) if "game_pk" in pitches.columns else ())
+
+
+def game_features(pitches: DataFrame, keys: Sequence[str] | None = None, materialize: bool = True) -> DataFrame:
+    """J1k + W2 + W3 with correct keys (``default_keys`` if not given); one
+    scan of the pitch log.
 
     Output, one row per game: the A3 columns, the home/away half-inning
     pitch counts of the team's day (``home_half_pitches``), their ratio
@@ -180,7 +193,7 @@ def game_features(pitches: DataFrame, keys: Sequence[str] = GAME_KEY, materializ
     partials is the only one touching it; every later step reads that
     (roughly pitches-per-game times smaller) table.
     """
-    return features_from_partials(game_partials(pitches, keys), materialize)
+    return features_from_partials(game_partials(pitches, default_keys(pitches) if keys is None else keys), materialize)
 
 
 def features_from_partials(parts: DataFrame, materialize: bool = True) -> DataFrame:
@@ -189,9 +202,7 @@ def features_from_partials(parts: DataFrame, materialize: bool = True) -> DataFr
         # The game-level table feeds several branches below; write it once
         # so the pitch log is scanned and shuffled once (session.write_through).
         parts = write_through(parts, "game-partials")
-    games = _with_day_stats(_with_day_stats(parts, "home_team", "bot_pitches", "home"),
-                            "away_team", "top_pitches", "away").drop(
-        "bot_pitches", "top_pitches", "sum_speed", "n_speed", "sum_spin", "n_spin")
+    games = with_day_stats(parts)
     if materialize:
         # Feeds the game rows and both per-team aggregates below.
         games = write_through(games, "game-day-stats")

@@ -17,8 +17,12 @@ def _count_if(cond):
     return F.sum(F.when(cond, 1).otherwise(0)).cast("bigint")
 
 
-def pitcher_stats(pitches: DataFrame, keys: Sequence[str] = ("pitcher", "pitch_type")) -> DataFrame:
-    """Per pitcher (and pitch type / hand when given)."""
+def pitcher_stats(pitches: DataFrame, keys: Sequence[str] = ("pitcher", "pitch_type"),
+                  acceleration: Sequence[str] = ("ax", "ay", "az")) -> DataFrame:
+    """Per pitcher (and pitch type / hand when given).
+
+    Where the log has the components of ``acceleration``, their average
+    length over the pitches that have all of them is ``avg_acceleration``."""
     ev, ty, desc = F.col("events"), F.col("type"), F.col("description")
     pa = _count_if(ev.isNotNull())
     balls = _count_if(ty == "B")
@@ -35,6 +39,8 @@ def pitcher_stats(pitches: DataFrame, keys: Sequence[str] = ("pitcher", "pitch_t
         F.avg("release_spin_rate").alias("avg_spin_rate"),
         F.avg("release_speed").alias("avg_velocity"),
         (balls / F.when(pa > 0, pa)).alias("balls_per_pa"),
+        *([F.avg(F.sqrt(sum((F.col(c) * F.col(c) for c in acceleration), F.lit(0.0)))).alias("avg_acceleration")]
+          if set(acceleration) <= set(pitches.columns) else []),
     )
 
 

@@ -10,7 +10,7 @@ from mound.functions import encode as E
 from mound.operators import games as G
 from mound.plans.registry import register
 from mound.session import scratch_path
-from mound.sources.fixtures import pitches, table, with_pitches
+from mound.sources.fixtures import pitches, table, varied, varied_sql, with_pitches
 from mound.sources.pitchlog import read_player_map
 from mound.sources.sinks import write_csv
 
@@ -171,6 +171,22 @@ def q_pitch_result(spark, sf):
         "game_pk", "pitch_number", "pitcher", "events", "description", C.pitch_result().alias("pitch_result"))
 
 
+@register(
+    "pitch_result_varied", ("P13", "P11", "P18"),
+    with_pitches(f"""SELECT game_pk, pitch_number, pitcher, release_spin_rate, events, description, type, stand, p_throws,
+       CASE WHEN events IS NULL OR description IS NULL THEN COALESCE(events, description)
+            WHEN description = 'hit_into_play' AND events IN ({_PR_LIST}) THEN events
+            ELSE description END AS pitch_result, {_sql_case('events', D.EVENTS_INDEX)} AS events_code,
+       COALESCE(events, CASE type WHEN 'B' THEN 'ball' WHEN 'S' THEN 'strike' WHEN 'X' THEN 'in_play' END) AS outcome
+FROM varied""", extra_ctes=f"varied AS ({varied_sql()})"),
+)
+def q_pitch_result_varied(spark, sf):
+    """All 21 event codes against all descriptions, so each of the nine outcomes that win occurs."""
+    p = varied(pitches(spark, sf)).select("game_pk", "pitch_number", "pitcher", "release_spin_rate", "events", "description", "type", "stand", "p_throws")
+    p = p.withColumn("pitch_result", C.pitch_result())
+    return E.encode(p, "events", D.EVENTS_INDEX, suffix="_code").withColumn("outcome", C.fill_outcome())
+
+
 @register(
     "fill_outcome", ("P18",),
     with_pitches("""SELECT game_pk, pitch_number, pitcher, events, type,

@@ -81,9 +81,7 @@ def q_game_stats_short(spark, sf):
     return G.game_stats(pitches(spark, sf), full=False).withColumn("home_win", home_win())
 
 
-@register(
-    "game_stats_single_pass", ("A5", "P8"),
-    with_pitches(f"""SELECT game_date, home_team, away_team,
+A5_SQL = f"""SELECT game_date, home_team, away_team,
        {_cnt("inning_topbot = 'Bot'")} AS home_half_pitches,
        {_cnt("inning_topbot = 'Top'")} AS away_half_pitches,
        {_cnt(f"events IN ({_HITS}) AND inning_topbot = 'Bot'")} AS home_hits,
@@ -92,8 +90,10 @@ def q_game_stats_short(spark, sf):
        {_cnt("events = 'strikeout' AND inning_topbot = 'Bot'")} AS home_strikeouts,
        {_cnt("events = 'strikeout' AND inning_topbot = 'Top'")} AS away_strikeouts,
        CAST(MAX(home_score) > MAX(away_score) AS INTEGER) AS home_win
-FROM pitches GROUP BY game_date, home_team, away_team"""),
-)
+FROM pitches GROUP BY game_date, home_team, away_team"""
+
+
+@register("game_stats_single_pass", ("A5", "P8"), with_pitches(A5_SQL))
 def q_game_stats_single_pass(spark, sf):
     return G.game_stats_single_pass(pitches(spark, sf))
 
@@ -167,7 +167,7 @@ _KEYED_COLS = """game_date, home_team, away_team, home_score, away_score, total_
 FROM j""", extra_ctes=GAMES_KEYED_CTES),
 )
 def q_team_features_keyed(spark, sf):
-    return round_doubles(G.game_features(pitches(spark, sf)), columns=["home_avg_pitch_speed", "away_avg_pitch_speed"])
+    return round_doubles(G.game_features(pitches(spark, sf), G.GAME_KEY), columns=["home_avg_pitch_speed", "away_avg_pitch_speed"])
 
 
 @register(
@@ -221,7 +221,7 @@ _PERF_COLS = ("avg_home_score", "avg_home_hits", "avg_home_pitch_speed", "avg_ho
                  extra_ctes=_PERF_CTES),
 )
 def q_team_averages(spark, sf):
-    return round_doubles(G.team_performance(G.game_features(pitches(spark, sf))), columns=_PERF_INEXACT)
+    return round_doubles(G.team_performance(G.game_features(pitches(spark, sf), G.GAME_KEY)), columns=_PERF_INEXACT)
 
 
 @register(
@@ -238,7 +238,7 @@ FROM g LEFT JOIN perf h ON g.home_team = h.team LEFT JOIN perf a ON g.away_team
 )
 def q_game_vs_team_average(spark, sf):
     p = pitches(spark, sf)
-    feats = G.game_features(p)
+    feats = G.game_features(p, G.GAME_KEY)
     games = feats.select(*[c for c in feats.columns if c in (
         "game_date", "home_team", "away_team", "home_score", "away_score", "total_pitches", "home_strikeouts",
         "away_strikeouts", "avg_exit_velocity", "avg_launch_angle", "home_runs")])
@@ -325,6 +325,29 @@ def q_game_nested(spark, sf):
     return G.game_nested(pitches(spark, sf), order=_NEST_ORDER)
 
 
+_PK_CTES = f"""g AS ({GAME_SQL.replace("GROUP BY game_date, home_team, away_team", "GROUP BY game_date, home_team, away_team, game_pk").replace("SELECT game_date,", "SELECT game_pk, game_date,")}),
+hd AS ({HOME_DAY_SQL}),
+ad AS ({AWAY_DAY_SQL}),
+j AS (SELECT g.*, hd.* EXCLUDE (game_date, home_team), ad.* EXCLUDE (game_date, away_team)
+      FROM g LEFT JOIN hd USING (game_date, home_team) LEFT JOIN ad USING (game_date, away_team))"""
+
+
+@register(
+    "team_features_by_pk", ("J1k", "W1", "W2", "W3", "A1", "A2", "A3"),
+    with_pitches("""SELECT game_date, home_team, away_team, game_pk, home_score, away_score, total_pitches, home_strikeouts, away_strikeouts,
+       avg_exit_velocity, avg_launch_angle, home_runs, home_half_pitches, home_day_avg_pitch_speed, home_day_avg_spin_rate,
+       away_half_pitches, away_day_avg_pitch_speed, away_day_avg_spin_rate,
+       round(AVG(home_day_avg_pitch_speed) OVER (PARTITION BY home_team), 6) AS home_avg_pitch_speed,
+       round(AVG(away_day_avg_pitch_speed) OVER (PARTITION BY away_team), 6) AS away_avg_pitch_speed,
+       home_half_pitches / COUNT(*) OVER (PARTITION BY home_team) AS home_avg_hits,
+       away_half_pitches / COUNT(*) OVER (PARTITION BY away_team) AS away_avg_hits,
+       CAST(home_score > away_score AS INTEGER) AS home_win FROM j""", extra_ctes=_PK_CTES),
+)
+def q_team_features_by_pk(spark, sf):
+    """The default key: two games of the same teams on one day stay apart."""
+    return round_doubles(G.game_features(pitches(spark, sf)), columns=["home_avg_pitch_speed", "away_avg_pitch_speed"])
+
+
 def _nested_sql(keys: str, chunk: int) -> str:
     return f"""SELECT {keys}, (i - 1) // {chunk} + 1 AS chunk_no, MIN(i) AS first_pitch, COUNT(*) AS n_pitches,
        string_agg(game_pk || ':' || pitch_number || ':' || pitcher || ':' || coalesce(events, '') || ':' || description, ' ' ORDER BY i) AS pitches

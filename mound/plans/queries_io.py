@@ -2,24 +2,28 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mound.dictionaries import PARK_FENCES
+from mound.functions import versions as V
 from mound.functions.clean import round_doubles
 from mound.operators import games as G
 from mound.operators import parks as PK
 from mound.operators import profile as PR
 from mound.operators import seasons as S
 from mound.operators import subsets as L
-from mound.plans.queries_core import _HITS, GAME_SQL, _cnt
+from mound.plans.queries_core import A5_SQL as _A5_SQL
+from mound.plans.queries_core import GAME_SQL, GAMES_KEYED_CTES, _cnt
 from mound.plans.registry import register
 from mound.session import scratch_path, write_through
 from mound.sources import pitchlog as PL
+from mound.sources import reconcile as RC
 from mound.sources import sinks as SK
-from mound.sources.fixtures import pitches, with_pitches
+from mound.sources.fixtures import pitches, varied, varied_sql, with_pitches
 
 # Season calendar of the fixture (order dates span 1995-2001): one season
 # per year from March 20 to October 5, so winter dates fall outside.
@@ -69,11 +73,94 @@ def q_season_tag(spark, sf):
 FROM pitches"""),
 )
 def q_season_union(spark, sf):
-    p = pitches(spark, sf).select("game_pk", "pitch_number", "pitcher", "game_date", "release_speed", "launch_angle")
+    p = write_through(pitches(spark, sf).select("game_pk", "pitch_number", "pitcher", "game_date", "release_speed", "launch_angle"), "union-source")
     # The early era's files predate the launch_angle column.
-    early = p.where(F.col("game_date") < "1998-01-01").drop("launch_angle").withColumn("era", F.lit("early"))
-    late = p.where(F.col("game_date") >= "1998-01-01").withColumn("era", F.lit("late"))
-    return S.union_seasons([early, late])
+    base = scratch_path(spark, "eras")
+    SK.write_parquet(p.where(F.col("game_date") < "1998-01-01").drop("launch_angle"), f"{base}/early")
+    SK.write_parquet(p.where(F.col("game_date") >= "1998-01-01"), f"{base}/late")
+    return S.union_seasons([spark.read.parquet(f"{base}/{era}").withColumn("era", F.lit(era)) for era in ("early", "late")])
+
+
+@register(
+    "season_files_union", ("S2", "U1"),
+    with_pitches("""SELECT game_pk, pitch_number, pitcher, game_date,
+       CAST(CASE WHEN game_date < '1997-01-01' THEN trunc(release_speed) ELSE release_speed END AS DOUBLE) AS release_speed,
+       home_score, CASE WHEN game_date >= '1997-01-01' THEN launch_angle END AS launch_angle,
+       CASE WHEN game_date < '1999-01-01' THEN pitch_type END AS pitch_type
+FROM pitches"""),
+)
+def q_season_files_union(spark, sf):
+    """Season files of three schemas: speeds as int, long and double, columns that come and go."""
+    columns = ("game_pk", "pitch_number", "pitcher", "game_date", "release_speed", "home_score", "launch_angle", "pitch_type")
+    p = write_through(pitches(spark, sf).select(*columns).withColumn("season", F.substring("game_date", 1, 4).cast("int")), "season-source")
+    base = scratch_path(spark, "season-files")
+    eras = {
+        1995: lambda d: d.drop("launch_angle").withColumns({"release_speed": F.col("release_speed").cast("int"), "home_score": F.col("home_score").cast("int")}),
+        1997: lambda d: d,
+        1999: lambda d: d.drop("pitch_type").withColumn("pitch_number", F.col("pitch_number").cast("smallint")),
+    }
+    paths = []
+    for first, shape in eras.items():
+        for season in (first, first + 1) if first < 1999 else (1999, 2000, 2001):
+            paths.append(f"{base}/{season}")
+            SK.write_parquet(shape(p.where(F.col("season") == season).drop("season")), paths[-1])
+    out = RC.read_seasons(spark, paths)
+    return out.select(*columns)
+
+
+@register(
+    "season_replace", ("S7",),
+    with_pitches(f"""SELECT game_date, home_team, away_team, CAST(substr(game_date, 1, 4) AS INTEGER) AS season,
+       CASE WHEN substr(game_date, 1, 4) = '1997' THEN total_pitches + 100 ELSE total_pitches END AS total_pitches,
+       CASE WHEN substr(game_date, 1, 4) = '1997' THEN 2 ELSE 0 END AS load_no
+FROM ({GAME_SQL}) g WHERE substr(game_date, 1, 4) <> '1997' OR total_pitches <> 2"""),
+)
+def q_season_replace(spark, sf):
+    """One season loaded anew: games of two pitches are gone, the others come in two versions; the load is done twice."""
+    key = ("game_date", "home_team", "away_team")
+    games = G.game_stats(pitches(spark, sf), full=False).select(
+        *key, F.substring("game_date", 1, 4).cast("int").alias("season"), "total_pitches", F.lit(0).alias("load_no"))
+    path = scratch_path(spark, "season-replace")
+    SK.write_parquet(games, path, partition_by=["season"])
+    stored = spark.read.schema(games.schema).parquet(path)
+    fresh = stored.where((F.col("season") == 1997) & (F.col("total_pitches") != 2))
+    fresh = write_through(fresh.withColumn("load_no", F.explode(F.array(F.lit(1), F.lit(2)))).withColumn(
+        "total_pitches", F.col("total_pitches") + F.col("load_no") * 50), "season-load")
+    for _ in range(2):
+        SK.replace_seasons(fresh, path, key, ("load_no",))
+    return spark.read.schema(games.schema).parquet(path)
+
+
+_VERSIONED = ("pitcher", "away_team", "pitch_type", "game_date")
+
+
+@register(
+    "dictionary_versions", ("P15", "P19"),
+    with_pitches("\nUNION ALL\n".join(f"""SELECT '{c}' AS "column", value, CAST(CASE WHEN old THEN rank ELSE rank + (SELECT COUNT(DISTINCT {c}) FROM pitches WHERE game_date < '1998-01-01') END AS INTEGER) AS code,
+       CASE WHEN old THEN 1 ELSE 2 END AS version
+FROM (SELECT *, row_number() OVER (PARTITION BY old ORDER BY value) - 1 AS rank
+      FROM (SELECT CAST({c} AS VARCHAR) AS value, bool_or(game_date < '1998-01-01') AS old FROM pitches WHERE {c} IS NOT NULL GROUP BY 1))""" for c in _VERSIONED)),
+)
+def q_dictionary_versions(spark, sf):
+    """Old codes stay as they are after a second load, which comes twice."""
+    p = write_through(pitches(spark, sf).select(*dict.fromkeys((*_VERSIONED, "game_date"))), "versioned-source")
+    path = scratch_path(spark, "dictionary")
+    V.append_version(p.where(F.col("game_date") < "1998-01-01"), _VERSIONED, path, 1)
+    V.append_version(p, _VERSIONED, path, 2)
+    return V.append_version(p, _VERSIONED, path, 2)
+
+
+@register(
+    "bucketed_day_features", ("S7", "A3", "J1k"),
+    with_pitches("""SELECT game_date, home_team, away_team, home_score, away_score, total_pitches, home_strikeouts, away_strikeouts,
+       avg_exit_velocity, avg_launch_angle, home_runs, home_half_pitches, home_day_avg_pitch_speed, home_day_avg_spin_rate,
+       away_half_pitches, away_day_avg_pitch_speed, away_day_avg_spin_rate FROM j""", extra_ctes=GAMES_KEYED_CTES),
+)
+def q_bucketed_day_features(spark, sf):
+    """A3 and J1k over a pitch log stored in buckets by day: no shuffle in the plan."""
+    name = f"pitch_log_{uuid.uuid4().hex}"
+    log = SK.write_bucketed(pitches(spark, sf), name, scratch_path(spark, "bucketed"), ["game_date"], ["game_date", "home_team", "away_team"], buckets=8)
+    return G.with_day_stats(G.game_partials(log))
 
 
 _GAME_ORDER = ("game_date", "home_team", "away_team")
@@ -130,17 +217,6 @@ def q_game_stats_by_pk(spark, sf):
     return G.game_stats(pitches(spark, sf), keys=(*G.GAME_KEY, "game_pk"), full=False)
 
 
-_A5_SQL = f"""SELECT game_date, home_team, away_team,
-       {_cnt("inning_topbot = 'Bot'")} AS home_half_pitches,
-       {_cnt("inning_topbot = 'Top'")} AS away_half_pitches,
-       {_cnt(f"events IN ({_HITS}) AND inning_topbot = 'Bot'")} AS home_hits,
-       {_cnt(f"events IN ({_HITS}) AND inning_topbot = 'Top'")} AS away_hits,
-       MAX(home_score) AS home_score, MAX(away_score) AS away_score, COUNT(*) AS total_pitches,
-       {_cnt("events = 'strikeout' AND inning_topbot = 'Bot'")} AS home_strikeouts,
-       {_cnt("events = 'strikeout' AND inning_topbot = 'Top'")} AS away_strikeouts,
-       CAST(MAX(home_score) > MAX(away_score) AS INTEGER) AS home_win
-FROM pitches GROUP BY game_date, home_team, away_team"""
-
 A5_SCHEMA = T.StructType([
     T.StructField("game_date", T.StringType()), T.StructField("home_team", T.StringType()),
     T.StructField("away_team", T.StringType()), T.StructField("home_half_pitches", T.LongType()),
@@ -233,9 +309,7 @@ def q_sql_view_game_stats(spark, sf):
         FROM pitch_log GROUP BY inning_topbot, type""")
 
 
-@register(
-    "pitcher_stats", ("A8",),
-    with_pitches(f"""SELECT pitcher, pitch_type, COUNT(*) AS pitches,
+_PITCHER_SQL = f"""COUNT(*) AS pitches,
        {_cnt("events = 'strikeout'")} AS strikeouts, {_cnt("type = 'S'")} AS strikes,
        {_cnt("type = 'B'")} AS balls, {_cnt("type = 'X'")} AS in_play,
        {_cnt("events = 'hit_by_pitch'")} AS hit_by_pitch,
@@ -243,13 +317,24 @@ def q_sql_view_game_stats(spark, sf):
        {_cnt("events = 'walk'")} AS walks, {_cnt("events IS NOT NULL")} AS plate_appearances,
        (CAST(SUM(release_spin_rate) AS DOUBLE) / NULLIF(COUNT(release_spin_rate), 0)) AS avg_spin_rate, (CAST(SUM(release_speed) AS DOUBLE) / NULLIF(COUNT(release_speed), 0)) AS avg_velocity,
        SUM(CASE WHEN type = 'B' THEN 1 ELSE 0 END)
-         / NULLIF(SUM(CASE WHEN events IS NOT NULL THEN 1 ELSE 0 END), 0) AS balls_per_pa
-FROM pitches GROUP BY pitcher, pitch_type"""),
-)
+         / NULLIF(SUM(CASE WHEN events IS NOT NULL THEN 1 ELSE 0 END), 0) AS balls_per_pa"""
+
+
+@register("pitcher_stats", ("A8",), with_pitches(f"SELECT pitcher, pitch_type, {_PITCHER_SQL} FROM pitches GROUP BY pitcher, pitch_type"))
 def q_pitcher_stats(spark, sf):
     return PR.pitcher_stats(pitches(spark, sf))
 
 
+@register(
+    "pitcher_stats_by_hand", ("A8",),
+    with_pitches(f"""SELECT pitcher, pitch_type, p_throws, {_PITCHER_SQL}, round(AVG(sqrt(ax * ax + ay * ay + az * az)), 6) AS avg_acceleration
+FROM varied GROUP BY pitcher, pitch_type, p_throws""", extra_ctes=f"varied AS ({varied_sql()})"),
+)
+def q_pitcher_stats_by_hand(spark, sf):
+    """Every event code and description, the pitcher's hand and the acceleration."""
+    return round_doubles(PR.pitcher_stats(varied(pitches(spark, sf)), ("pitcher", "pitch_type", "p_throws")), columns=["avg_acceleration"])
+
+
 _CORR_COLS = ("release_speed", "release_spin_rate", "launch_speed", "launch_angle", "home_score", "away_score")
 
 

@@ -66,7 +66,7 @@ _FEATURE_EXPR = {
     ),
 )
 def q_feature_rows(spark, sf):
-    feats = M.index_teams(G.game_features(pitches(spark, sf)))
+    feats = M.index_teams(G.game_features(pitches(spark, sf), G.GAME_KEY))
     vec = M.assemble(feats, FEATURES_11).select("game_date", "home_team", "away_team", "home_win", "features")
     return round_doubles(M.features_as_columns(vec, FEATURES_11), columns=[f"f_{n}" for n in _INEXACT])
 
@@ -83,7 +83,7 @@ def q_key_split(spark, sf):
 
 
 def _fit(spark, sf: str, features: tuple[str, ...], split: str, games=None):
-    games = G.game_features(pitches(spark, sf)) if games is None else games
+    games = G.game_features(pitches(spark, sf), G.GAME_KEY) if games is None else games
     fitted = M.fit_game_outcome(games, list(features), split=split)
     acc = M.accuracy_frame(fitted.predictions, fitted.label).select(
         F.lit(split).alias("split"), F.lit(len(features)).alias("n_features"), "n_test", "accuracy")
@@ -98,7 +98,7 @@ def _fit(spark, sf: str, features: tuple[str, ...], split: str, games=None):
 
 @register("rf_accuracy", ("M5", "M6", "M7"))
 def q_rf_accuracy(spark, sf):
-    games = G.game_features(pitches(spark, sf))
+    games = G.game_features(pitches(spark, sf), G.GAME_KEY)
     return _fit(spark, sf, tuple(FEATURES_11), "key", games)["accuracy"].unionByName(
         _fit(spark, sf, tuple(FEATURES_6), "random", games)["accuracy"])
 
@@ -130,7 +130,7 @@ _SPLIT_SQL = "CASE WHEN (((CAST(game_date AS DATE) - DATE '1970-01-01') % 5) + 5
 )
 def q_rf_facts(spark, sf):
     """What SQL can state of a fit: rows, labels and scores of each side, classes, importances."""
-    fitted = M.fit_game_outcome(G.game_features(pitches(spark, sf)), list(FEATURES_11), split="key")
+    fitted = M.fit_game_outcome(G.game_features(pitches(spark, sf), G.GAME_KEY), list(FEATURES_11), split="key")
     scored = fitted.model.transform(fitted.train).withColumn("side", F.lit("train")).unionByName(
         fitted.predictions.withColumn("side", F.lit("test")))
     importance = fitted.model.featureImportances.toArray()

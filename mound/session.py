@@ -70,6 +70,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target, system = _hadoop_path(spark, path)
+    return system.exists(target)
+
+
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a path."""
+    target, system = _hadoop_path(spark, path)
+    return system.getContentSummary(target).getLength()
+
+
+def broadcast_bytes(spark: SparkSession) -> int:
+    """The bound below which Spark broadcasts a join's side; -1 where it never does."""
+    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+
+
 def release_scratch(spark: SparkSession) -> int:
     """Delete every folder that ``scratch_path`` has named in this application.
 
@@ -79,8 +100,8 @@ def release_scratch(spark: SparkSession) -> int:
     sc = spark.sparkContext
     paths = _SCRATCH.pop(sc.applicationId, [])
     for path in paths:
-        target = sc._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
+        target, system = _hadoop_path(spark, path)
+        system.delete(target, True)
     return len(paths)
 
 

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mound.dictionaries import EVENTS_INDEX
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -23,6 +25,37 @@ def _case(col: Column, pairs: list[tuple[object, object]]) -> Column:
     return out
 
 
+#: Pitch descriptions of the varied view, in the order of their numbers.
+DESCRIPTIONS = ("hit_into_play", "ball", "called_strike", "swinging_strike", "foul", "foul_tip", "blocked_ball", "hit_by_pitch",
+                "wild_pitch", "passed_ball", "missed_bunt")
+
+
+def varied(log: DataFrame) -> DataFrame:
+    """``pitches`` with every published event code (null for one pitch in
+    three), all ``DESCRIPTIONS`` (null for one in twelve), the hands of
+    batter and pitcher, and the three components of acceleration."""
+    codes = list(EVENTS_INDEX)
+    n = F.col("game_pk") + F.col("pitcher") * 3 + F.col("pitch_number") * 7
+    return log.withColumns({
+        "events": F.when(n % 3 != 0, F.get(F.array(*[F.lit(c) for c in codes]), ((n * 5 + F.col("pitcher")) % len(codes)).cast("int"))),
+        "description": F.get(F.array(*[F.lit(d) for d in DESCRIPTIONS], F.lit(None)), (F.col("release_spin_rate").cast("bigint") % 12).cast("int")),
+        "stand": F.when(n % 2 == 0, "L").otherwise("R"),
+        "p_throws": F.when(F.col("pitcher") % 4 == 0, "L").otherwise("R"),
+        "ax": (n % 31 - 15).cast("double"), "ay": (n % 17 + 20).cast("double"), "az": F.when(n % 11 != 0, (n % 13 - 30).cast("double")),
+    })
+
+
+def varied_sql() -> str:
+    """The varied view as DuckDB SQL (a CTE body over ``pitches``)."""
+    codes = ", ".join(f"'{c}'" for c in EVENTS_INDEX)
+    said = ", ".join(f"'{d}'" for d in DESCRIPTIONS)
+    return f"""SELECT * EXCLUDE (events, description, n), CASE WHEN n % 3 <> 0 THEN [{codes}][(n * 5 + pitcher) % {len(EVENTS_INDEX)} + 1] END AS events,
+       [{said}, NULL][CAST(release_spin_rate AS BIGINT) % 12 + 1] AS description, CASE WHEN n % 2 = 0 THEN 'L' ELSE 'R' END AS stand,
+       CASE WHEN pitcher % 4 = 0 THEN 'L' ELSE 'R' END AS p_throws, CAST(n % 31 - 15 AS DOUBLE) AS ax, CAST(n % 17 + 20 AS DOUBLE) AS ay,
+       CASE WHEN n % 11 <> 0 THEN CAST(n % 13 - 30 AS DOUBLE) END AS az
+FROM (SELECT *, game_pk + pitcher * 3 + pitch_number * 7 AS n FROM pitches)"""
+
+
 def pitches(spark: SparkSession, sf_dir: str, wide: bool = False) -> DataFrame:
     """One row per pitch.  ``wide`` adds nullable base-runner / alignment
     columns used by the cleaning operators."""

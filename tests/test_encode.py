@@ -126,3 +126,47 @@ def test_dense_index_unicode_matches_sorted(spark):
     got = {r["value"]: r["index"] for r in E.dense_index(df, "v").collect()}
     want = {v: i for i, v in enumerate(sorted(set(vals)))}
     assert got == want
+
+
+@pytest.mark.parametrize("size", [10, 40, 2000])
+def test_numeric_columns_meet_whole_keys(spark, size):
+    mapping = {i: i + 100 for i in range(size)}
+    for kind in ("smallint", "int", "bigint", "float", "double", "string", "decimal(10,2)"):
+        df = spark.range(size + 3).select(F.col("id").cast(kind).alias("x"))
+        assert [r.v for r in df.select(E.lookup("x", mapping).alias("v")).collect()] == [i + 100 for i in range(size)] + [None] * 3
+
+
+def test_keys_of_mixed_spelling(spark):
+    df = spark.createDataFrame([(1.0, "1."), (0.5, "x"), (-0.0, "0"), (float("nan"), "NaN"), (1e300, " 1"), (None, None), (2.5, "true")], "d double, t string")
+    texts, numbers = {"1.": 1, "0": 0, "x": 7}, {0.5: "half", 1: "one"}
+    pick = lambda c, m: [r.v for r in df.select(E.lookup(c, m).alias("v")).collect()]
+    assert pick("d", texts) == [1, None, 0, None, None, None, None]
+    assert pick("t", texts) == [1, 7, 0, None, None, None, None]
+    assert pick("d", numbers) == ["one", "half", None, None, None, None, None]
+    assert pick("t", numbers) == ["one", None, None, None, "one", None, None]
+    assert pick("d", {}) == [None] * 7 and pick("t", {True: 1}) == [None] * 6 + [1]
+    with pytest.raises(TypeError):
+        E.lookup("t", {"a": 1, "b": "x"})
+
+
+def test_large_dictionary_plans_quickly(spark):
+    import time
+
+    mapping = {f"c{i}": i for i in range(20_000)}
+    began = time.time()
+    df = spark.range(1000).select(E.lookup(F.concat(F.lit("c"), F.col("id").cast("string")), mapping).alias("v"))
+    df._jdf.queryExecution().executedPlan()
+    assert time.time() - began < 5
+    assert df.agg(F.sum("v")).first()[0] == 499_500
+
+
+def test_translation_with_a_large_dictionary(spark):
+    df = spark.createDataFrame([("a,b,zz",), ("b",), (None,), ("zz,a",)], "s string")
+    dim = spark.createDataFrame([("a", "Alpha"), ("b", "Beta")], "code string, name string")
+    small = sorted(map(str, E.translate_list(df, "s", dim, "o").collect()))
+    bound = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        assert small == sorted(map(str, E.translate_list(df, "s", dim, "o").collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)

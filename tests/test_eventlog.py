@@ -72,3 +72,34 @@ def test_team_list(spark, tmp_path):
     rows = EV.read_team_list(spark, str(tmp_path / "TEAM2023")).collect()
     assert [(r.team_code, r.league, r.city, r.nickname) for r in rows] == [
         ("ANA", "A", "Anaheim", "Angels"), ("ARI", "N", "Arizona", "Diamondbacks")]
+
+
+def test_malformed_lines(spark, tmp_path):
+    """A bad line fails no job: it is set apart with its file, game, place and reason."""
+    (tmp_path / "2024AAA.EVA").write_bytes(b"\r\n".join([
+        b"id,AAA202404010", b"version,2", b"info,visteam,BBB", b"start,p1,\"A, B\",0,1,6", b"start,p2,short", b"play,1,0,c1,00,,K", b"play,one,0,c1,00,,K",
+        b"play,2,,c1,00,,K", b"zzz", b"com,\"fine, too\"", b"data,er,p1,x", b"data,er,p1,2", b"id,AAA2024xx010", b"play,1,1,c2,12,CBX,HR/F7", b"play,1,1", b""]))
+    blocks = EV.read_game_blocks(spark, str(tmp_path))
+    lines, rejects = EV.split_lines(blocks)
+    got = {(r.game_id, r.seq): (r.line, r.reason) for r in rejects.collect()}
+    assert got == {
+        ("AAA202404010", 4): ("start,p2,short", "too few fields"), ("AAA202404010", 6): ("play,one,0,c1,00,,K", "field 1 is not a whole number"),
+        ("AAA202404010", 7): ("play,2,,c1,00,,K", "field 2 is not a whole number"), ("AAA202404010", 8): ("zzz", "unknown record"),
+        ("AAA202404010", 10): ("data,er,p1,x", "field 3 is not a whole number"), ("AAA2024xx010", 0): ("id,AAA2024xx010", "game id without a date"),
+        ("AAA2024xx010", 2): ("play,1,1", "too few fields")}
+    assert {r.file_name for r in rejects.collect()} == {"2024AAA.EVA"}
+    assert lines.count() == 7 and sorted(r.inning for r in EV.event_plays(lines).collect()) == [1, 1]
+    # the unchecked tables have nulls in place of what does not parse
+    every = EV.event_lines(blocks)
+    assert sorted((r.inning is None, r.side) for r in EV.event_plays(every).collect() if r.batter_id == "c1" and r.side == 0) == [(False, 0), (True, 0)]
+    assert [r.earned_runs for r in EV.event_earned_runs(every).orderBy("seq").collect()] == [None, 2]
+    assert {r.game_id: r.game_day is None for r in EV.event_games(blocks).collect()} == {"AAA202404010": False, "AAA2024xx010": True}
+
+
+def test_malformed_roster_lines(spark, tmp_path):
+    (tmp_path / "NYN2024.ROS").write_text("a1,Last,First,L,R,NYN,P\nshort,line\nb1,\"La, st\",First,R,R,NYN,C\n,No,Id,R,R,NYN,C\nx,y,z,R,R,NYN,C,more\n")
+    (tmp_path / "odd.ROS").write_text("c1,Last,First,L,R,NYN,P\n")
+    good, rejects = EV.split_rosters(spark, str(tmp_path))
+    assert sorted((r.player_id, r.last_name, r.season) for r in good.collect()) == [("a1", "Last", 2024), ("b1", "La, st", 2024)]
+    assert sorted((r.file_name, r.reason) for r in rejects.collect()) == [
+        ("NYN2024.ROS", "no player id"), ("NYN2024.ROS", "not seven fields"), ("NYN2024.ROS", "not seven fields"), ("odd.ROS", "no season in the file's name")]

@@ -37,6 +37,8 @@ def test_doubleheader_key_is_a_parameter(make_pitches):
     ])
     assert G.game_stats(p).count() == 1
     assert G.game_stats(p, keys=("game_date", "game_pk", "home_team", "away_team")).count() == 2
+    assert {r.game_pk: r.home_win for r in G.game_features(p).collect()} == {1: 1, 2: 0}  # the default keeps them apart
+    assert G.game_features(p.drop("game_pk")).count() == G.game_features(p, G.GAME_KEY).count() == 1
 
 
 def test_empty_input_keeps_schema(make_pitches):
@@ -65,7 +67,7 @@ def test_game_features_equals_window_form(spark):
     from pyspark.sql import Window
 
     p = pitches(spark, SF_SMALL)
-    fast = G.game_features(p)
+    fast = G.game_features(p, G.GAME_KEY)
     w_home, w_away = Window.partitionBy("home_team"), Window.partitionBy("away_team")
     slow = (G.game_stats(p).join(G.home_day_stats(p), ["game_date", "home_team"], "left")
             .join(G.away_day_stats(p), ["game_date", "away_team"], "left")
