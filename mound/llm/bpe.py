@@ -16,11 +16,11 @@ from __future__ import annotations
 
 import heapq
 import json
-import re
 import struct
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -29,6 +29,7 @@ from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mound.llm.memory import lean
 from mound.session import scratch_path, write_through
 
 #: Words in the lexicon, and the longest of them in bytes.
@@ -39,8 +40,8 @@ NO_RANK = np.iinfo(np.int64).max
 ENCODED = "ids binary, decoded string"
 
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-#: A space beside other white space or at an end of the text: the text is then not cut at spaces.
-_UNEVEN = re.compile(r"\s | \s|^ | $|^\s|\s$")
+#: White space besides the space itself.
+_WHITE = [c for c in map(chr, range(0x3001)) if c.isspace() and c != " "]
 
 
 # -- the tokenizer's file ---------------------------------------------------
@@ -298,12 +299,12 @@ class Encoder:
         """Remember the ids of chunks (strings at whose ends a word boundary lies)."""
         special = self.vocabulary.special
         cut = [[chunk] if chunk in special else _WORDS.findall(chunk) for chunk in chunks]
-        words = list({w for ws in cut for w in ws}.difference(special))
+        words = list(set(chain.from_iterable(cut)).difference(special))
         of = {w: i for i, w in enumerate([*words, *special])}
         ids, lengths = self.word_ids([w.encode("utf-8", "surrogatepass") for w in words])
         ids, lengths = np.concatenate([ids, list(special.values())]).astype(np.uint32), np.concatenate([lengths, np.ones(len(special), np.int64)])
         counts = np.fromiter(map(len, cut), np.int64, len(cut))
-        which = np.fromiter((of[w] for ws in cut for w in ws), np.int64, int(counts.sum()))
+        which = np.fromiter(map(of.__getitem__, chain.from_iterable(cut)), np.int64, int(counts.sum()))
         flat = _gather(ids, (np.cumsum(lengths) - lengths)[which], lengths[which])
         ends = np.concatenate([[0], np.cumsum(lengths[which])])[np.cumsum(counts)]
         used = int(self.starts[-1])
@@ -328,8 +329,7 @@ class Encoder:
         if new:
             self.learn(new)
         counts = np.fromiter(map(len, cut), np.int64, len(cut))
-        known = self.chunks
-        order = np.fromiter((known[c] for chunks in cut for c in chunks), np.int64, int(counts.sum()))
+        order = np.fromiter(map(self.chunks.__getitem__, chain.from_iterable(cut)), np.int64, int(counts.sum()))
         lengths = np.diff(self.starts)[order]
         ends = np.concatenate([[0], np.cumsum(lengths)])
         last = np.cumsum(counts)
@@ -337,12 +337,18 @@ class Encoder:
         return ids, ends[last] - ends[last - counts]
 
 
+def uneven(text: str) -> bool:
+    """Whether white space stands at an end of the text, or a space beside other white space: it is then not cut at spaces."""
+    return (text[0].isspace() or text[-1].isspace() or "  " in text
+            or any(w in text and (w + " " in text or " " + w in text) for w in _WHITE))
+
+
 def chunks_of(text: str) -> list[str]:
     """The text cut before single spaces between other characters, where a word
     always ends; a text with other runs of white space is cut into words."""
     if not text:
         return []
-    if _UNEVEN.search(text):
+    if uneven(text):
         return _WORDS.findall(text)
     first, *rest = text.split(" ")
     return [first, *[" " + c for c in rest]]
@@ -352,6 +358,7 @@ def chunks_of(text: str) -> list[str]:
 
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(word, n): how often each word of the pre-tokenizer stands in all texts."""
+    @lean
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         chunks: Counter[str] = Counter()
 
@@ -422,6 +429,7 @@ def encode_decode(text: Column, tokenizer_path: str, lexicon: str) -> Column:
     text become their ids and come back as their strings.
     """
     @F.pandas_udf(ENCODED)
+    @lean
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder = _encoder(tokenizer_path, lexicon)
         vocabulary = encoder.vocabulary
@@ -436,5 +444,6 @@ def encode_decode(text: Column, tokenizer_path: str, lexicon: str) -> Column:
                     all_ids.append(little[a:b].tobytes())
                     all_texts.append(raw[sizes[a]:sizes[b]].tobytes().decode("utf-8", "replace"))
             yield pd.DataFrame({"ids": all_ids, "decoded": all_texts})
+        encoder.clear()
 
     return run(text)

@@ -34,9 +34,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mound.llm.memory import lean
 from mound.session import write_through
 
 LEAST = 50
+#: Times travel as JSON to the microsecond.
+_EXACT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 GRAM = 24
 #: Bytes of text in a block, and for each part, about.
 BLOCK = 4_000_000
@@ -253,6 +256,7 @@ def _places(pieces: np.ndarray, which: np.ndarray) -> np.ndarray:
 
 def pack_blocks(docs: DataFrame, block: int) -> DataFrame:
     """(block, size, docs): documents (id, text, carried) in blocks of about ``block`` bytes."""
+    @lean
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         number = TaskContext.get().partitionId() << 32
         ids, texts, carried, size = [], [], [], 0
@@ -282,6 +286,7 @@ def pack_blocks(docs: DataFrame, block: int) -> DataFrame:
 
 def shared_anchors(blocks: DataFrame, parts: int, least: int) -> DataFrame:
     """(block, shared): for each block its anchors that two documents hold, as (part, sorted codes)."""
+    @lean
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for number, data in zip(batch["block"], batch["docs"], strict=True):
@@ -329,6 +334,7 @@ def _shared(rows) -> dict[int, np.ndarray]:
 
 def holders(blocks: DataFrame, shared: DataFrame, parts: int, least: int) -> DataFrame:
     """(block, answers): for each block and part, the smallest holder of each window of its stretches, in runs."""
+    @lean
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for number, data, rows in zip(batch["block"], batch["docs"], batch["shared"], strict=True):
@@ -395,7 +401,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     others = [c for c in docs.columns if c != text_col]
     kind = T.StructType([f for f in docs.schema.fields if f.name != text_col])
-    carried = F.to_json(F.struct(*[F.col(f"`{c}`") for c in others]), {"ignoreNullFields": "true"})
+    carried = F.to_json(F.struct(*[F.col(f"`{c}`") for c in others]), {"ignoreNullFields": "true"} | _EXACT)
     packed = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), carried.alias("carried"))
     blocks = write_through(pack_blocks(packed, block), "text-blocks")
     total = blocks.agg(F.sum("size")).collect()[0][0] or 0
@@ -403,6 +409,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shared = write_through(shared_anchors(blocks, parts, least), "shared-anchors")
     answers = write_through(holders(blocks, shared, parts, least), "holders")
 
+    @lean
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for data, rows, replies in zip(batch["docs"], batch["shared"], batch["answers"], strict=True):
@@ -417,7 +424,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     whole = blocks.select("block", "docs").join(shared, "block", "left").join(answers, "block", "left")
     done = whole.mapInPandas(cut, "carried string, n_bytes long, n_removed long, n_spans long, kept binary")
-    return done.select(F.from_json("carried", kind).alias("row"), F.struct("n_bytes", "n_removed", "n_spans", "kept").alias("cut"))
+    return done.select(F.from_json("carried", kind, _EXACT).alias("row"), F.struct("n_bytes", "n_removed", "n_spans", "kept").alias("cut"))
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -23,6 +23,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -30,6 +31,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mound.llm.memory import lean
+
 CAPACITY = 4096
 #: Remainders under CAPACITY / CLASSES go to the stream.
 CLASSES = 16
@@ -48,10 +51,16 @@ _CONTROLS = re.compile("[\x1c-\x1f]")
 
 # -- token ids --------------------------------------------------------------
 
-def ascii_pieces(rules: dict) -> re.Pattern | None:
-    """The words into which a tokenizer cuts lower-cased ASCII text; None if its rules are of another kind.
+#: Latin letters behind ASCII that composition leaves as they are and whose lower case is one of them
+#: (so without the dotted capital I), as ranges of a character class.
+_LETTERS = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f"
+_LATIN = re.compile(f"[\x00-\x7f{_LETTERS}]*")
+
+
+def latin_pieces(rules: dict) -> re.Pattern | None:
+    """The words into which a tokenizer cuts lower-cased text of ASCII and ``_LETTERS``; None if its rules are of another kind.
 
-    On ASCII, composition changes nothing and the classes of letters and digits are plain ranges.
+    On such text, composition changes nothing and the classes of letters and digits are plain ranges.
     """
     normal = rules.get("normalizer") or {}
     cutter = rules.get("pre_tokenizer") or {}
@@ -62,7 +71,7 @@ def ascii_pieces(rules: dict) -> re.Pattern | None:
             or (steps[0]["behavior"], steps[0]["invert"]) != ("Removed", True)
             or steps[1]["use_regex"] or steps[1]["add_prefix_space"] or "(" in steps[0]["pattern"].get("Regex", "(")):
         return None
-    return re.compile(steps[0]["pattern"]["Regex"].replace(r"\p{L}", "a-zA-Z").replace(r"\p{N}", "0-9"), re.ASCII)
+    return re.compile(steps[0]["pattern"]["Regex"].replace(r"\p{L}", "a-zA-Z" + _LETTERS).replace(r"\p{N}", "0-9"), re.ASCII)
 
 
 class ChunkEncoder:
@@ -70,8 +79,10 @@ class ChunkEncoder:
 
     A text is cut at white space; each distinct chunk is encoded once by the
     tokenizer and remembered.  That is exact for a tokenizer whose normaliser
-    and splitter treat white space as a hard boundary and drop it.  An ASCII
-    chunk with punctuation or capitals is put together from its words' ids.
+    and splitter treat white space as a hard boundary and drop it.  A Latin
+    chunk is put together from its words' ids; words go through the tokenizer
+    many at a time, and the mark of a word's end, which its last id bears,
+    tells their ids apart.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -86,7 +97,13 @@ class ChunkEncoder:
         self.mark_id = self.tokenizer.token_to_id(self.mark)
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
         self.special = re.compile("|".join(map(re.escape, [self.mark, *added])))
-        self.pieces = ascii_pieces(json.loads(self.tokenizer.to_str()))
+        self.hint = min(set.intersection(*map(set, [self.mark, *added])), default="")  # a character of every special token
+        rules = json.loads(self.tokenizer.to_str())
+        suffix = rules["model"].get("end_of_word_suffix")
+        self.pieces = latin_pieces(rules) if suffix else None
+        vocabulary = rules["model"]["vocab"] if self.pieces else {}
+        self.ends = np.zeros(1 + max(vocabulary.values(), default=0), bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
         self.clear()
 
     def clear(self) -> None:
@@ -105,6 +122,13 @@ class ChunkEncoder:
         marks = np.flatnonzero(ids == self.mark_id)
         return ids[ids != self.mark_id], np.diff(marks, prepend=-1) - 1
 
+    def _word_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """``_ids`` for words that the tokenizer leaves whole and that hold no special token."""
+        texts = [" ".join(words[a:a + JOINED]) for a in range(0, len(words), JOINED)]
+        ids = np.concatenate([np.array(e.ids, np.int64) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+        lengths = np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
+        return (ids, lengths) if len(lengths) == len(words) and lengths.sum() == len(ids) else self._ids(words)
+
     def _keep(self, chunks: list[str], flat: np.ndarray, lengths: np.ndarray) -> None:
         used = int(self.starts[-1])
         if used + len(flat) > len(self.ids):
@@ -116,8 +140,7 @@ class ChunkEncoder:
     def _known_ids(self, groups: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of known chunks end to end, and each group's number of ids."""
         counts = np.fromiter(map(len, groups), np.int64, len(groups))
-        known = self.known
-        order = np.fromiter((known[c] for chunks in groups for c in chunks), np.int64, int(counts.sum()))
+        order = np.fromiter(map(self.known.__getitem__, chain.from_iterable(groups)), np.int64, int(counts.sum()))
         lengths = np.diff(self.starts)[order]
         of_group = np.add.reduceat(np.append(lengths, 0), np.minimum(np.cumsum(counts) - counts, len(lengths))) * (counts > 0)
         source = np.repeat(self.starts[order] - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))
@@ -125,24 +148,23 @@ class ChunkEncoder:
 
     def learn(self, chunks: list[str]) -> None:
         odd, plain, made = [], [], {}
+        pieces, hint = self.pieces, self.hint
         for c in chunks:
-            low = c.lower() if self.pieces and c.isascii() else None
-            if self.special.search(c) or low is not None and self.special.search(low):
+            if hint in c and self.special.search(c.lower() if pieces else c):
                 odd.append(c)
-            elif low is None:
-                plain.append(c)
+            elif pieces and (c.isascii() or _LATIN.fullmatch(c)):
+                made[c] = pieces.findall(c.lower())
             else:
-                words = self.pieces.findall(low)
-                if words == [c]:
-                    plain.append(c)
-                else:
-                    made[c] = words
-        plain = list(set(plain).union(*made.values()).difference(self.known))
+                plain.append(c)
+        words = list(set(chain.from_iterable(made.values())).difference(self.known))
+        if words:
+            self._keep(words, *self._word_ids(words))
         if plain:
             self._keep(plain, *self._ids(plain))
         more = [self.tokenizer.encode(c, add_special_tokens=False).ids for c in odd]
         if more:
             self._keep(odd, np.concatenate([np.array(ids, np.int64) for ids in more]), np.fromiter(map(len, more), np.int64, len(more)))
+        made = {c: ws for c, ws in made.items() if c not in self.known}  # but for those that are words themselves
         if made:
             self._keep(list(made), *self._known_ids(list(made.values())))
 
@@ -261,6 +283,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capaci
     An empty table gives no pieces.  Sequence ids are unique over the table:
     the partition number in the upper bits, a count in the lower 40.
     """
+    @lean
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = _encoder(tokenizer_path, end_id)
         base = TaskContext.get().partitionId() << 40
@@ -297,6 +320,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capaci
                     yield flush()
         if ids:
             yield flush()
+        encoder.clear()  # the next partition's stage may be another
 
     chosen = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return chosen.mapInPandas(run, PIECE)

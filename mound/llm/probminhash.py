@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 
 from mound.llm.batches import slices
 from mound.llm.components import components
+from mound.llm.memory import lean
 from mound.session import write_through
 
 WORDS, SIMILARITY = 5, 0.8
@@ -174,6 +175,7 @@ def all_band_keys(texts: list[str]) -> list[np.ndarray]:
 def bands_of(text: Column) -> Column:
     """Band keys of each text; none for a text without a word."""
     @F.pandas_udf("array<long>")
+    @lean
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             out = []
@@ -214,6 +216,7 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
     held = pairs.join(texts.select(F.col("t").alias("a"), F.col("text").alias("text_a")), "a")
     held = held.join(texts.select(F.col("t").alias("b"), F.col("text").alias("text_b")), "b")
 
+    @lean
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for at in slices((batch["text_a"].map(len) + batch["text_b"].map(len)).tolist(), SLICE // 2):
@@ -313,6 +316,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` whose document stays: one id of each class of near duplicates, all columns as they are."""
     found = near_duplicates(docs, id_col, text_col, similarity)
-    gone = found.filter("not kept").select(F.col("doc_id").alias("__id"), F.col("t").alias("__t")).distinct()
-    key = text_key(F.coalesce(F.col(text_col), F.lit("")))
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("__id")) & (key == F.col("__t")), "left_anti")
+    gone = found.filter("not kept").select(F.col("doc_id").alias("gone"), F.col("t").alias("gone_t")).distinct()
+    # rows travel in a struct, so that no column's name matters
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).cast("long").alias("id"),
+                       text_key(F.coalesce(F.col(text_col), F.lit(""))).alias("t"))
+    kept = rows.join(gone, F.col("id").eqNullSafe(F.col("gone")) & (F.col("t") == F.col("gone_t")), "left_anti")
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

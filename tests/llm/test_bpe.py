@@ -76,3 +76,14 @@ def test_merging_together_equals_one_by_one():
     ends = np.cumsum(counts)
     assert all(ids[e - n:e].tolist() == v.merge(w) for w, n, e in zip(words, counts, ends, strict=True))
     assert len(v.merge_all([])[0]) == 0
+
+
+def test_uneven_white_space():
+    import random
+    import re
+
+    pattern = re.compile(r"\s | \s|^\s|\s$")
+    rng = random.Random(9)
+    for _ in range(5000):
+        text = "".join(rng.choice("ab \n\t\x85\x1c　 c") for _ in range(rng.randint(1, 6)))
+        assert B.uneven(text) == bool(pattern.search(text)), repr(text)

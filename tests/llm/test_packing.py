@@ -84,3 +84,15 @@ def test_memo_overflow(monkeypatch, n):
         ids, totals = enc.encode([text, "", text])
         want = library.encode(text, add_special_tokens=False).ids + [2]
         assert ids.tolist() == want + [2] + want and totals.tolist() == [len(want), 1, len(want)]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(st.sampled_from(list("aZ1.'\"<|>~ \n\t") + [chr(c) for c in (*range(0xA0, 0x250), 0x301, 0x3A3)]), max_size=12), max_size=6))
+def test_latin_words_match_the_library(texts):
+    """Every Latin letter, beside marks, other letters and odd spaces."""
+    ids, totals = ENCODER.encode(texts)
+    want = [LIBRARY.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+    assert ids.tolist() == [i for w in want for i in w] and totals.tolist() == list(map(len, want))
+
+
+ENCODER, LIBRARY = P.ChunkEncoder(PATH, 2), Tokenizer.from_file(PATH)
