@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mound.llm.memory import lean
+from mound.llm.memory import lean, lean_group
 from mound.session import write_through
 
 LEAST = 50
@@ -304,6 +304,7 @@ def shared_anchors(blocks: DataFrame, parts: int, least: int) -> DataFrame:
                     cuts, np.split(code, cuts[1:]), np.split(several, cuts[1:]), strict=True)]
                 yield pd.DataFrame(rows, columns=["part", "block", "codes", "several"])
 
+    @lean_group
     def answer(group: pd.DataFrame) -> pd.DataFrame:
         codes = [np.frombuffer(c, np.uint32) for c in group["codes"]]
         own = np.concatenate(codes)
@@ -346,6 +347,7 @@ def holders(blocks: DataFrame, shared: DataFrame, parts: int, least: int) -> Dat
                     out.append((part, number, _squeeze((list(known), low))))
                 yield pd.DataFrame(out, columns=["part", "block", "stretches"]).astype({"part": "int32", "block": "int64"})
 
+    @lean_group
     def answer(group: pd.DataFrame) -> pd.DataFrame:
         sent = [_unsqueeze(s) for s in group["stretches"]]
         known: dict[bytes, int] = {}

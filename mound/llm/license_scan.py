@@ -45,6 +45,8 @@ IDENTIFIERS = {
 TAGS = ("spdx license identifier", "licensed under", "license")
 #: Tags behind which any identifier is taken; behind the others, words of prose may follow.
 EXACT_TAGS = ("spdx license identifier",)
+#: Alternatives of an expression that are listed one by one, at most.
+MOST_CHOICES = 4096
 RESULT = ("n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, "
           "score double, choices array<string>")
 
@@ -123,24 +125,37 @@ def _tokens(data: bytes, at: int, prose: bool) -> Iterator[str]:
 
 
 def _choices(tokens: Iterable[str]) -> set[frozenset[str]]:
-    postfix = to_postfix(tokens)
-    stack: list[set[frozenset[str]]] = []
-    for token in postfix or []:
+    return _evaluate(tokens)[0]
+
+
+def _evaluate(tokens: Iterable[str]) -> tuple[set[frozenset[str]], set[str]]:
+    """The alternatives of an expression, and every licence in it.
+
+    An expression of more than ``MOST_CHOICES`` alternatives is not
+    multiplied out: it stands for itself, as one alternative in postfix order."""
+    tokens = to_postfix(tokens) or []
+    stack: list[tuple[set[frozenset[str]], set[str]]] = []
+    whole = True
+    for token in tokens:
         if token not in _RANK:
             name = token.lower().rstrip(".+-") if token.lower() not in IDENTIFIERS else token.lower()
-            stack.append({frozenset([IDENTIFIERS.get(name, name)])} if name else {frozenset()})
+            name = IDENTIFIERS.get(name, name)
+            stack.append(({frozenset([name])}, {name}) if name else ({frozenset()}, set()))
             continue
         if len(stack) < 2:
             continue
-        b, a = stack.pop(), stack.pop()
-        if token == "or":
-            stack.append(a | b)
-        elif token == "and":
-            stack.append({x | y for x in a for y in b})
-        else:
-            exception = next(iter(next(iter(b))), "")
-            stack.append({frozenset(f"{x} with {exception}" for x in alt) for alt in a})
-    return stack[-1] if stack else set()
+        (b, of_b), (a, of_a) = stack.pop(), stack.pop()
+        if token == "with":
+            exception = next(iter(next(iter(b), ())), "")
+            stack.append(({frozenset(f"{x} with {exception}" for x in alt) for alt in a}, of_a))
+            continue
+        whole = whole and (len(a) + len(b) if token == "or" else len(a) * len(b)) <= MOST_CHOICES
+        both = set() if not whole else a | b if token == "or" else {x | y for x in a for y in b}
+        stack.append((both, of_a | of_b))
+    if not stack:
+        return set(), set()
+    found, licences = stack[-1]
+    return (found if whole else {frozenset([" ".join(tokens).lower()])}), licences
 
 
 @lru_cache(maxsize=4)
@@ -161,7 +176,7 @@ def _scan(text: str | None, automaton) -> tuple:
     raw = text.encode("utf-8", "surrogatepass").translate(_CLEAN)
     words = raw.split()
     clean = (b" " + b" ".join(words) + b" ").decode("latin-1")
-    starts, base, labels, found = [], set(), set(), set()
+    begins, base, labels, found = [], set(), set(), set()
     tags, word, at = [], -1, 0
     for end, (phrase, label) in automaton.iter(clean):
         if label is None:
@@ -171,15 +186,20 @@ def _scan(text: str | None, automaton) -> tuple:
         labels.add(label)
         if phrase in BASE_PHRASES:
             base.add(label)
-            starts.append(clean.count(" ", 0, end - len(phrase)) - 1)
+            begins.append(end - len(phrase))
+    starts: list[int] = []
+    if begins:  # a place's word is the number of blanks before it
+        blanks = np.flatnonzero(np.frombuffer(clean.encode("latin-1"), np.uint8) == ord(" "))
+        starts = (np.searchsorted(blanks, begins) - 1).tolist()
     if tags:
         data = text.encode("utf-8", "surrogatepass")
         ends = [m.end() for m in _WORD.finditer(raw)]  # a word stands at the same bytes in the text
         for tag, word in tags:
             gap = _AFTER[tag].match(data, ends[word])
-            for alternative in _choices(_tokens(data, gap.end(), tag not in EXACT_TAGS)) if gap else ():
-                found.add(" and ".join(sorted(alternative)))
-                labels.update(x.split(" with ")[0] for x in alternative)
+            if gap:
+                alternatives, licences = _evaluate(_tokens(data, gap.end(), tag not in EXACT_TAGS))
+                found.update(" and ".join(sorted(alternative)) for alternative in alternatives)
+                labels.update(licences)
     labels.discard("")
     found.discard("")
     score = 1.0 - 0.5 ** (len(starts) + len(labels) + len(found))
@@ -193,7 +213,9 @@ def scan_licenses(text: Column, notices: dict[str, str] | None = None) -> Column
     Null counts as empty: no words, no labels, score 0.  ``first_word`` and
     ``last_word`` are null without a base place.  The score is
     1 - 0.5 ^ (base places + labels + choices).  ``choices`` holds the
-    alternatives that tagged licence expressions offer.
+    alternatives that tagged licence expressions offer; an expression of more
+    than ``MOST_CHOICES`` is one choice, written in postfix order, and its
+    licences are labels like any other's.
     """
     phrases = tuple({**BASE_PHRASES, **(NOTICES if notices is None else notices)}.items())
 

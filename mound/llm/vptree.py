@@ -32,7 +32,7 @@ from mound.session import write_through
 SHARD, QUERIES, LEAF = 4096, 512, 64
 NEAREST = 20
 RELAX = 1.3
-#: Entries kept beyond the wanted ones until scores are exact.
+#: Entries kept beyond the wanted ones until scores are exact; more of one score are fetched then.
 SPARE = 12
 
 
@@ -119,12 +119,22 @@ def search(tree: Tree, queries: np.ndarray, keep: int, relax: float = RELAX) ->
 
 
 def answers(tree: Tree, query_ids: np.ndarray, queries: np.ndarray, k: int, relax: float) -> pd.DataFrame:
-    """(query_id, vec_id, score): each query's k best of the shard, scores exact, ties to smaller ids."""
+    """(query_id, vec_id, score): each query's k best of the shard, scores exact, ties to smaller ids.
+
+    The search keeps somewhat more than k entries.  Where even the last of
+    them scores like the k-th, more may: all entries of the shard that do
+    are then taken, and the smallest ids of them stay."""
     found = search(tree, queries, k + 1 + SPARE, relax)
     scores = dots(queries[:, None, :], tree.points[found])
     out = []
-    for me, entries, values in zip(query_ids.tolist(), found.tolist(), scores.tolist(), strict=True):
+    for row, (me, entries, values) in enumerate(zip(query_ids.tolist(), found.tolist(), scores.tolist(), strict=True)):
         mine = sorted((-s, i) for e, s in zip(entries, values, strict=True) if e >= 0 for i in tree.ids[e].tolist() if i != me)
+        if len(entries) < len(tree.points) and len(mine) >= k:
+            least = -mine[k - 1][0]
+            if min(values) >= least - 1e-9 * max(1.0, abs(least)):
+                every = dots(queries[row], tree.points)
+                mine = sorted((-s, i) for e in np.flatnonzero(every >= least).tolist() for s in [float(every[e])]
+                              for i in tree.ids[e].tolist() if i != me)
         out += [(me, i, -s) for s, i in mine[:k]]
     return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
 

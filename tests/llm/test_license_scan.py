@@ -66,3 +66,20 @@ def test_tags_of_prose(spark, make_docs):
     docs = make_docs(list(enumerate(want)))
     for r in docs.select("text", L.scan_licenses(F.col("text")).alias("r")).collect():
         assert (r.r.labels, r.r.choices) == want[r.text], r.text
+
+
+def test_many_clauses_and_notices():
+    import time
+
+    automaton = L._automaton(tuple(L.BASE_PHRASES.items()))
+    began = time.time()
+    clauses = " and ".join(f"(lic{i}a1 or lic{i}b1)" for i in range(1000))
+    row = L._scan(f"SPDX-License-Identifier: {clauses}", automaton)
+    assert len(row[7]) == 1 and "lic999b1" in row[5].split(",") and len(row[5].split(",")) == 2000
+    assert len(L.choices("(a or b) and (c or d) and (e or f)")) == 8
+    same = L.choices(" and ".join(["(mit or isc)"] * 40))
+    assert len(same) == 3
+    text = "x under the mit license y " * 400_000  # 10 MB
+    row = L._scan(text, automaton)
+    assert row[:4] == (2_400_000, 400_000, 1, 399_999 * 6 + 1)
+    assert time.time() - began < 20

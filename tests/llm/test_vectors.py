@@ -139,3 +139,14 @@ def test_recall_with_the_production_factor(spark):
         hits += len(want & {j for _, j, _ in got[int(ids[q])]})
         total += 20
     assert hits >= 0.9 * total, hits / total
+
+
+@pytest.mark.parametrize("relax", [1.0, V.RELAX])
+def test_many_entries_of_one_score(spark, relax):
+    """Ties go to smaller ids, however many entries share the k-th score."""
+    rng = random.Random(6)
+    others = [(i, [0.5, *[rng.uniform(-0.3, 0.3) for _ in range(6)], 0.0]) for i in range(1, 401)]
+    rng.shuffle(others)
+    rows = [(0, [1.0] + [0.0] * 7, 0), *[(i, v, 0) for i, v in others], (900, [0.75] + [0.0] * 7, 0)]
+    got = V.nearest(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") == 0, relax=relax).orderBy("rank").collect()
+    assert [r.vec_id for r in got] == [900, *range(1, 20)] and all(r.score == 0.5 for r in got[1:])
