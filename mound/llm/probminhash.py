@@ -11,20 +11,20 @@ only lowers that, so a text of repeated shingles also has the bands of equal
 weights; without repeats the two are the same.
 
 Equal texts are one class from the start, so a group of copies is one row.
-``ROWS`` slots make a band; texts that share a band's key are candidates.  In
-each round, every text of a bucket is compared with a few hubs of the bucket,
-not with all others, and leaves the bucket when a hub links to it; the rest
-go on with twice as many hubs, until every text has been linked or has been a
-hub itself.  None is ever gathered.
-
-A text that left may still be similar to one that it did not meet.  So the
-links found are then joined to components, and in each bucket that holds
-texts of several components, all pairs of texts of different components that
-were not compared yet are, in blocks of at most ``BLOCK`` by ``BLOCK``.  After
-that, two texts of one bucket are in one component or were compared.
-
-A link is verified on the texts themselves: Jaccard similarity of the sets
-of shingles of at least ``SIMILARITY``.
+``ROWS`` slots make a band; texts that share a band's key meet in its bucket,
+and buckets of the same texts are one.  No pair becomes a row: texts are
+compared inside the groups to which buckets are dealt, on arrays of shingle
+hashes that are written once, and a group returns a spanning forest of its
+links.
+
+First, one bucket in ``FIRST`` is compared, a large one in blocks of bounded
+rows and shingles.  The links found are joined to components.  In the buckets
+that still hold texts of several components, those outside the largest one are
+then compared with all texts of other components, block by block.  After that,
+any two texts of one bucket are in one component or were compared.
+
+A link is judged on the sets of shingles themselves: Jaccard similarity of at
+least ``SIMILARITY``.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from mound.llm.batches import slices
 from mound.llm.components import components
-from mound.llm.memory import lean
+from mound.llm.memory import lean, lean_group
 from mound.session import write_through
 
 WORDS, SIMILARITY = 5, 0.8
@@ -47,8 +47,12 @@ WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 32, 5
 #: Texts of a slice, at most.
 SLICE = 256
-#: Texts of a bucket on each side of a block of pairs, about.
-BLOCK = 512
+#: Texts and shingles of a bucket on each side of a group, about.
+BLOCK, BLOCK_SHINGLES = 4096, 1_000_000
+#: Shingles of the groups that are compared in one call, about.
+TOGETHER = 1_500_000
+#: One bucket in so many is compared first.
+FIRST = 8
 #: Longer words, in bytes, are hashed one by one.
 LONG_WORD = 256
 
@@ -188,101 +192,136 @@ def bands_of(text: Column) -> Column:
     return run(text)
 
 
-def jaccards(a: list[str], b: list[str], words: int = WORDS) -> np.ndarray:
-    """The Jaccard similarity of each of up to ``SLICE`` / 2 pairs of texts; each distinct text is hashed once."""
-    number = {t: k for k, t in enumerate(dict.fromkeys([*a, *b]))}
-    owner, shingle, _ = weighted_shingles(list(number), words)
-    ends = np.cumsum(np.bincount(owner, minlength=len(number)))
-    sets = np.split(shingle, ends[:-1])
-    out = []
-    for x, y in zip(a, b, strict=True):
-        x, y = sets[number[x]], sets[number[y]]
-        both = len(np.intersect1d(x, y, assume_unique=True))
-        out.append(both / max(1, len(x) + len(y) - both))
-    return np.array(out)
-
-
-def jaccard(a: str, b: str, words: int = WORDS) -> float:
-    return float(jaccards([a], [b], words)[0])
-
-
 def text_key(text: Column) -> Column:
     """128 bits that stand for a text."""
     return F.unhex(F.md5(text))
 
 
-def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) of text keys whose texts are similar; ``texts`` has (t, text), each key once."""
-    held = pairs.join(texts.select(F.col("t").alias("a"), F.col("text").alias("text_a")), "a")
-    held = held.join(texts.select(F.col("t").alias("b"), F.col("text").alias("text_b")), "b")
-
+def shingle_sets(texts: DataFrame) -> DataFrame:
+    """(t, shingles, n) for (t, text): the sorted distinct shingle hashes as little-endian 64-bit numbers, and their count."""
     @lean
-    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for at in slices((batch["text_a"].map(len) + batch["text_b"].map(len)).tolist(), SLICE // 2):
+            for at in slices(batch["text"].map(len).tolist(), SLICE):
                 some = batch.iloc[at]
-                keep = jaccards(list(some["text_a"]), list(some["text_b"])) >= similarity
-                yield some.loc[keep, ["a", "b"]]
-
-    return held.mapInPandas(check, "a binary, b binary")
+                owner, shingle, _ = weighted_shingles(list(some["text"]))
+                counts = np.bincount(owner, minlength=len(some))
+                sets = np.split(shingle.astype("<u8"), np.cumsum(counts)[:-1])
+                yield pd.DataFrame({"t": some["t"].to_numpy(), "shingles": [x.tobytes() for x in sets], "n": counts})
+
+    return texts.mapInPandas(run, "t binary, shingles binary, n long")
+
+
+def _group_links(t: np.ndarray, root: np.ndarray, sets: list[np.ndarray], hub: np.ndarray, other: np.ndarray, main: np.ndarray,
+                 similarity: float) -> list[tuple[int, int]]:
+    """Links (places) that join all similar pairs of a hub and another row of one group: at most one less than its rows.
+
+    A pair counts if its roots differ and the other is ``main`` or has the larger key."""
+    place = np.argsort([len(x) for x in sets], kind="stable")
+    sizes = np.array([len(x) for x in sets])[place]
+    number = np.unique(np.concatenate([sets[k] for k in place]), return_inverse=True)[1]
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    order = np.unique(t, return_inverse=True)[1][place]
+    component = np.unique(root, return_inverse=True)[1][place]
+    hub, other, main = hub[place], other[place], main[place]
+    mark = np.zeros(len(number), bool)
+    links = []
+    for h in np.flatnonzero(hub):
+        low, high = np.searchsorted(sizes, [sizes[h] * similarity - 1, sizes[h] / similarity + 1])
+        some = low + np.flatnonzero(other[low:high] & (component[low:high] != component[h]) & (main[low:high] | (order[low:high] > order[h])))
+        if not len(some):
+            continue
+        mark[number[starts[h]:ends[h]]] = True
+        if 2 * len(some) > high - low:  # neighbouring sets as they lie
+            both = np.add.reduceat(mark[number[starts[low]:ends[high - 1]]], starts[low:high] - starts[low], dtype=np.int64)[some - low]
+        else:
+            begin = np.cumsum(sizes[some]) - sizes[some]
+            flat = np.arange(sizes[some].sum()) + np.repeat(starts[some] - begin, sizes[some])
+            both = np.add.reduceat(mark[number[flat]], begin, dtype=np.int64)
+        mark[number[starts[h]:ends[h]]] = False
+        near = some[both / (sizes[h] + sizes[some] - both) >= similarity]
+        for c, k in zip(*np.unique(component[near], return_index=True), strict=True):
+            links.append((place[h], place[near[k]]))
+            component[component == c] = component[h]
+    return links
+
+
+def _links(rows: pd.DataFrame, similarity: float) -> pd.DataFrame:
+    """The links of some groups (key, i, j) of rows (t, root, shingles, hub, other, main)."""
+    place = np.lexsort((rows["j"].to_numpy(), rows["i"].to_numpy(), rows["key"].to_numpy()))
+    key, i, j, t, root, hub, other, main = (rows[c].to_numpy()[place] for c in ("key", "i", "j", "t", "root", "hub", "other", "main"))
+    sets = [np.frombuffer(x, "<u8") for x in rows["shingles"].to_numpy()[place]]
+    heads = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]))
+    found = []
+    for at, to in zip(heads.tolist(), [*heads[1:].tolist(), len(t)], strict=True):
+        group = slice(at, to)
+        if to - at > 1:
+            found += [(t[at + a], t[at + b]) for a, b in _group_links(t[group], root[group], sets[group], hub[group], other[group], main[group], similarity)]
+    return pd.DataFrame({"a": [a for a, _ in found], "b": [b for _, b in found]})
+
+
+def compared(dealt: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) within the groups (key, i, j) of ``dealt``: (key, i, j, t, n, root, hub, other, main)."""
+    shingles = dealt.agg(F.sum("n")).collect()[0][0] or 0
+    # many groups to a call: about TOGETHER shingles, of all rows that are dealt
+    call = F.pmod(F.xxhash64("key", "i", "j"), F.lit(max(1, -(-shingles // TOGETHER))))
+    rows = dealt.drop("n").join(sets.select("t", "shingles"), "t")
+    return rows.groupBy(call.alias("call")).applyInPandas(lean_group(lambda g: _links(g, similarity)), "a binary, b binary")
+
+
+def blocks_of(rows: Column, shingles: Column, block: int) -> Column:
+    """Into how many blocks a side is cut: by its rows and by its shingles."""
+    return F.greatest(F.lit(1), F.ceil(rows / block), F.ceil(shingles / BLOCK_SHINGLES)).cast("int")
+
+
+def across_components(rows: DataFrame, roots: DataFrame, block: int) -> DataFrame:
+    """The groups in which all texts of one bucket but of different components meet; rows (key, t, n), roots (vertex, root).
+
+    One of two such texts is not in the bucket's largest component, so only such texts are dealt against all others."""
+    held = rows.join(roots.select(F.col("vertex").alias("t"), "root"), "t", "left").withColumn("root", F.coalesce("root", "t"))
+    sizes = held.groupBy("key", "root").agg(F.count("*").alias("rows"), F.sum("n").alias("shingles"))
+    sizes = sizes.groupBy("key").agg(F.max(F.struct("rows", "root", "shingles")).alias("top"), F.sum("rows").alias("rows"),
+                                     F.sum("shingles").alias("shingles"), F.count("*").alias("several")).filter("several > 1")
+    sizes = sizes.select("key", F.col("top.root").alias("largest"), blocks_of(F.col("rows"), F.col("shingles"), block).alias("down"),
+                         blocks_of(F.col("rows") - F.col("top.rows"), F.col("shingles") - F.col("top.shingles"), block).alias("across"))
+    held = held.join(sizes, "key").withColumn("main", F.col("root") == F.col("largest"))
+    part = lambda n: F.pmod(F.xxhash64("t", "key"), F.col(n)).cast("int")
+    every = lambda n: F.transform(F.sequence(F.lit(0), F.col(n) - 1), lambda k: k.cast("int"))
+    as_other = F.transform(every("across"), lambda i: F.struct(i.alias("i"), part("down").alias("j"), F.lit(False).alias("hub")))
+    as_hub = F.transform(every("down"), lambda j: F.struct(part("across").alias("i"), j.alias("j"), F.lit(True).alias("hub")))
+    at = F.explode(F.when(F.col("main"), as_other).otherwise(F.concat(as_other, as_hub)))
+    return held.select("key", "t", "n", "root", "main", at.alias("at")).select(
+        "key", "at.i", "at.j", "t", "n", "root", "at.hub", (~F.col("at.hub")).alias("other"), "main")
 
 
-def linked_texts(bands: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Links (a, b), a < b, that join all near-duplicate texts which share a band's key.
+def linked_texts(bands: DataFrame, texts: DataFrame, similarity: float = SIMILARITY, block: int = BLOCK, first: int = FIRST) -> DataFrame:
+    """Links (a, b) that join all near-duplicate texts which share a band's key.
 
-    ``bands`` has (t, bands), each text key once; ``texts`` has (t, text) and may repeat a key.
+    ``bands`` has (t, bands), each text key once; ``texts`` has (t, text) and may repeat a key.  Of the buckets,
+    one in ``first`` is compared before the others.
     """
-    rows = bands.select("t", F.explode("bands").alias("key"))
-    links, tried, buckets, hubs = None, None, None, 1
-    while True:
-        # each remaining bucket's hubs: the first text, and about as many others as the round asks for
-        sizes = rows.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("t", "key").alias("h"), "t"))["t"].alias("hub"))
-        sizes = sizes.filter("n > 1")
-        open_rows = rows.join(sizes, "key").withColumn("is_hub", (F.col("t") == F.col("hub")) | (
-            F.pmod(F.xxhash64("key", "t", F.lit(hubs)), F.ceil(F.col("n") / hubs)) == 0 if hubs > 1 else F.lit(False)))
-        open_rows = write_through(open_rows.select("key", "t", "is_hub"), "open-rows")
-        if open_rows.isEmpty():
-            break
-        near = open_rows.filter("is_hub").select("key", F.col("t").alias("h"))
-        met = open_rows.join(near, "key").filter("t <> h").select("key", "t", "h", "is_hub")
-        pairs = met.select(F.least("t", "h").alias("a"), F.greatest("t", "h").alias("b")).distinct()
-        pairs = write_through(pairs, "pairs")
-        tried = pairs if tried is None else tried.union(pairs)
-        if hubs == 1:  # every open row meets a hub in the first round, so later rounds need no other text
-            involved = pairs.select(F.col("a").alias("t")).union(pairs.select("b")).distinct()
-            buckets = open_rows.select("key", "t")
-            texts = write_through(texts.join(involved, "t", "left_semi").dropDuplicates(["t"]), "candidate-texts")
-        found = write_through(verified(pairs, texts, similarity), "links")
-        links = found if links is None else links.union(found)
-        ends = found.select(F.col("a").alias("t"), F.col("b").alias("h")).union(found.select(F.col("b"), F.col("a")))
-        done = met.join(ends, ["t", "h"], "left_semi").select("key", "t").distinct()
-        rows = write_through(open_rows.filter("not is_hub").select("key", "t").join(done, ["key", "t"], "left_anti"), "rest")
-        hubs *= 2
-    if links is None:
-        return rows.select(F.col("t").alias("a"), F.col("t").alias("b")).limit(0)
-    roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")), "hub-components")
-    pairs = write_through(undecided_pairs(buckets, roots).join(tried.distinct(), ["a", "b"], "left_anti"), "undecided")
+    entries = bands.select("t", F.explode("bands").alias("key"))
+    # buckets of the same texts are one
+    buckets = entries.groupBy("key").agg(F.count("*").alias("size"), F.bit_xor(F.xxhash64("t")).alias("x"),
+                                         F.sum(F.xxhash64("t", F.lit(1)).cast("decimal(38,0)")).alias("s")).filter("size > 1")
+    buckets = buckets.groupBy("size", "x", "s").agg(F.min("key").alias("key")).select("key")
+    entries = write_through(entries.join(buckets, "key"), "entries")
+    sets = shingle_sets(texts.join(entries.select("t").distinct(), "t", "left_semi"))
+    sets = write_through(sets.groupBy("t").agg(F.first("shingles").alias("shingles"), F.first("n").alias("n")), "shingle-sets")
+    entries = entries.join(sets.select("t", "n"), "t")
+    sizes = entries.groupBy("key").agg(blocks_of(F.count("*"), F.sum("n"), block).alias("blocks"))
+    entries = write_through(entries.join(sizes, "key"), "sized-entries")
+
+    early = F.pmod(F.xxhash64("key"), F.lit(first)) == 0
+    within = entries.filter(early).select("key", F.pmod(F.xxhash64("t", "key"), F.col("blocks")).cast("int").alias("i"), F.lit(0).alias("j"), "t", "n",
+                                          F.col("t").alias("root"), F.lit(True).alias("hub"), F.lit(True).alias("other"), F.lit(False).alias("main"))
+    links = write_through(compared(within, sets, similarity), "links")
+    roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")), "early-components")
+    left = entries.filter(~early | (F.col("blocks") > 1)).select("key", "t", "n")
+    dealt = write_through(across_components(left, roots, block), "dealt")
     stars = roots.filter("root <> vertex").select(F.col("root").alias("a"), F.col("vertex").alias("b"))
-    return stars.union(write_through(verified(pairs, texts, similarity), "late-links"))
-
-
-def undecided_pairs(buckets: DataFrame, roots: DataFrame, block: int = BLOCK) -> DataFrame:
-    """The pairs (a, b), a < b, of texts that share a bucket but not a component; buckets (key, t), roots (vertex, root).
-
-    One of the two is not in the bucket's largest component, so only such texts are dealt against all others."""
-    held = buckets.join(roots.select(F.col("vertex").alias("t"), "root"), "t", "left").withColumn("root", F.coalesce("root", "t"))
-    sizes = held.groupBy("key", "root").agg(F.count("*").alias("n"))
-    sizes = sizes.groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "root")).alias("top"), F.count("*").alias("several"))
-    sizes = sizes.filter("several > 1").select("key", F.col("top.root").alias("largest"), F.ceil((F.col("n") - F.col("top.n")) / block).cast("int").alias("across"),
-                                               F.ceil(F.col("n") / block).cast("int").alias("down"))
-    held = write_through(held.join(sizes, "key"), "several-components")
-    part = lambda n: F.pmod(F.xxhash64("t", "key"), F.col(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    few = held.filter("root <> largest").select("key", F.col("t").alias("a"), F.col("root").alias("root_a"), part("across").alias("i"), every("down").alias("j"))
-    all_texts = held.select("key", F.col("t").alias("b"), F.col("root").alias("root_b"), (F.col("root") == F.col("largest")).alias("main"),
-                            part("down").alias("j"), every("across").alias("i"))
-    met = few.join(all_texts, ["key", "i", "j"]).filter("root_a <> root_b and (main or a < b)")
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return stars.union(write_through(compared(dealt, sets, similarity), "late-links"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -89,16 +89,57 @@ def test_bridge_beside_a_large_group(spark, make_docs):
     assert len({r.root for r in roots}) == 1 and len(roots) == 302
 
 
-def test_undecided_pairs(spark):
-    """Pairs of different components, each once, however a bucket is cut into blocks."""
+def test_texts_of_several_components_meet(spark):
+    """Texts of one bucket and different components meet in a group that compares them, however the bucket is cut into blocks."""
     rng = random.Random(4)
     root = {t: rng.choice([0, 0, 0, 1, 2]) for t in range(40)}
     buckets = [(key, t) for key in range(3) for t in root if rng.random() < 0.8] + [(9, t) for t in root if root[t] == 0]
     held = {k: [t for key, t in buckets if key == k] for k, _ in buckets}
-    want = {(a, b) for ts in held.values() for a in ts for b in ts if a < b and root[a] != root[b]}
+    want = {(k, a, b) for k, ts in held.items() for a in ts for b in ts if a < b and root[a] != root[b]}
+    rows = spark.createDataFrame([(k, t, 10) for k, t in buckets], "key long, t long, n long")
     for block in (3, 500):
-        got = M.undecided_pairs(spark.createDataFrame(buckets, "key long, t long"), spark.createDataFrame(list(root.items()), "vertex long, root long"), block).collect()
-        assert len(got) == len(want) and {(r.a, r.b) for r in got} == want
+        groups = {}
+        for r in M.across_components(rows, spark.createDataFrame(list(root.items()), "vertex long, root long"), block).collect():
+            groups.setdefault((r.key, r.i, r.j), []).append(r)
+        met = [(k[0], min(a.t, b.t), max(a.t, b.t)) for k, rs in groups.items() for a in rs if a.hub for b in rs
+               if b.other and a.root != b.root and (b.main or b.t > a.t)]
+        assert len(met) == len(want) and set(met) == want
+
+
+@pytest.mark.parametrize("block, first", [(4, 1), (4, 4), (1000, 1), (1000, 10**9)])
+def test_links_join_what_buckets_hold(spark, make_docs, block, first):
+    """Components of the links are those of all similar pairs that share a bucket, for any blocks and any order of buckets."""
+    rng = random.Random(block + first)
+    words = [f"v{i}" for i in range(60)]
+    texts = []
+    for _ in range(9):
+        base = [rng.choice(words) for _ in range(60)]
+        for _ in range(rng.randint(2, 9)):
+            near = list(base)
+            near[rng.randrange(60)] = f"n{len(texts)}"
+            base = near if rng.random() < 0.5 else base
+            texts.append(" ".join(near))
+    texts += ["k k k k k k", "k k k k k", "one two"]
+    keys = [sorted(rng.sample(range(6), 2)) for _ in texts]
+    docs = make_docs(list(enumerate(texts)))
+    bands = spark.createDataFrame([(t, k) for t, k in zip(texts, keys)], "text string, bands array<long>")
+    bands = bands.select(M.text_key(F.col("text")).alias("t"), "bands")
+    links = M.linked_texts(bands, docs.union(docs).select(M.text_key(F.col("text")).alias("t"), "text"), block=block, first=first)
+    names = {bytes(r.t): i for i, r in enumerate(bands.select("t").collect())}
+    root = list(range(len(texts)))
+
+    def find(i):
+        return i if root[i] == i else find(root[i])
+    pairs = [(names[bytes(r.a)], names[bytes(r.b)]) for r in links.collect()]
+    for a, b in pairs:
+        root[max(find(a), find(b))] = min(find(a), find(b))
+    got = [find(i) for i in range(len(texts))]
+    root[:] = range(len(texts))
+    for a in range(len(texts)):
+        for b in range(a):
+            if set(keys[a]) & set(keys[b]) and plain_jaccard(texts[a], texts[b]) >= 0.8:
+                root[max(find(a), find(b))] = min(find(a), find(b))
+    assert got == [find(i) for i in range(len(texts))]
 
 
 def test_signature_estimates_probability_jaccard():
