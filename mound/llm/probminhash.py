@@ -307,8 +307,9 @@ def linked_texts(bands: DataFrame, texts: DataFrame, similarity: float = SIMILAR
                                          F.sum(F.xxhash64("t", F.lit(1)).cast("decimal(38,0)")).alias("s")).filter("size > 1")
     buckets = buckets.groupBy("size", "x", "s").agg(F.min("key").alias("key")).select("key")
     entries = write_through(entries.join(buckets, "key"), "entries")
-    sets = shingle_sets(texts.join(entries.select("t").distinct(), "t", "left_semi"))
-    sets = write_through(sets.groupBy("t").agg(F.first("shingles").alias("shingles"), F.first("n").alias("n")), "shingle-sets")
+    # copies go before the shuffle, so that a task gets a text once from each map task, at most
+    once = texts.groupBy("t").agg(F.first("text").alias("text"))
+    sets = write_through(shingle_sets(once.join(entries.select("t").distinct(), "t", "left_semi")), "shingle-sets")
     entries = entries.join(sets.select("t", "n"), "t")
     sizes = entries.groupBy("key").agg(blocks_of(F.count("*"), F.sum("n"), block).alias("blocks"))
     entries = write_through(entries.join(sizes, "key"), "sized-entries")
