@@ -13,6 +13,9 @@ in a document of smaller id; strings never cross documents.
    sends its distinct stretches, with the smallest document id that holds
    them, to the anchor's part: equal windows meet there, whatever block they
    are in, and a stretch that very many documents share comes once a block.
+   An anchor of more than ``HOT`` distinct stretches (a short line in very many
+   surroundings) does not fill its part: its windows go one by one, each to the
+   part that its own hash names, where equal ones meet as well.
 4. A part builds the suffix order and Burrows-Wheeler transform of its
    distinct stretches and expands intervals breadth-first by backward
    extension: the intervals of common prefix l give those of l + 1.  It stops
@@ -45,6 +48,8 @@ GRAM = 24
 BLOCK = 4_000_000
 #: Positions hashed at a time.
 CHUNK = 1 << 15
+#: An anchor's distinct stretches, counted by block, that go to one part; about 5 MB.
+HOT = 1 << 16
 
 _U = np.uint64
 _LAST = np.iinfo(np.int64).max
@@ -85,6 +90,15 @@ def anchors(raw: np.ndarray, least: int = LEAST, gram: int = GRAM) -> np.ndarray
     return np.minimum(h[:len(h) - (width - span)], h[width - span:]) if span < width else h
 
 
+def fingerprints(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, words: int) -> np.ndarray:
+    """A hash of each stretch (8 bytes or longer): of its length, its first words of 8 bytes, and its last one."""
+    eight = np.ndarray((max(0, len(raw) - 7),), np.uint64, raw, strides=(1,))
+    h = (ends - starts).astype(np.uint64)
+    for k in range(words):
+        h = _mix(h ^ eight[np.minimum(starts + 8 * k, ends - 8)])
+    return h * _U(0xD6E8FEB86659FD93) >> _U(8)
+
+
 class Block:
     """Documents end to end, with their stretches: runs of windows of one anchor."""
 
@@ -125,23 +139,60 @@ class Block:
         """Each run's anchor as part << 32 | code."""
         return ((self.values % _U(parts)) << _U(32) | self.values >> _U(32)).astype(np.int64)
 
-    def stretches(self, parts: int, shared: dict[int, np.ndarray]) -> dict[int, tuple[np.ndarray, dict[bytes, int], np.ndarray]]:
-        """By part: the runs whose anchor is shared, their distinct strings, and each run's string."""
+    def distinct(self, order: np.ndarray, heads: np.ndarray) -> np.ndarray:
+        """For each anchor (runs in ``order``, anchors from ``heads``) its distinct stretches; up to three runs count as they are."""
+        sizes = np.diff(np.append(heads, len(order)))
+        some = np.flatnonzero(sizes > 3)
+        if not len(some):
+            return sizes
+        group = np.repeat(some, sizes[some])
+        runs = order[_places(sizes, some)]
+        ends = self.starts[runs] + self.counts[runs] + self.least - 1
+        mark = fingerprints(self.bytes, self.starts[runs], ends, 2 + self.least // 5)
+        by = np.lexsort((mark, group))
+        new = np.concatenate([[True], (mark[by][1:] != mark[by][:-1]) | (group[by][1:] != group[by][:-1])])
+        out = sizes.copy()
+        out[some] = np.bincount(group[by], new, len(sizes)).astype(np.int64)[some]
+        return out
+
+    def stretches(self, parts: int, shared) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, dict[bytes, int], np.ndarray]]:
+        """By part: starts, windows and documents of the runs whose anchor is shared, their distinct strings, and each run's string.
+
+        Runs of a hot anchor are taken apart: one run a window, by the window's own hash."""
         part = (self.values % _U(parts)).astype(np.int64)
         code = (self.values >> _U(32)).astype(np.uint32)
-        out = {}
         by_part = np.argsort(part, kind="stable")
-        edges = np.searchsorted(part[by_part], np.arange(parts + 1)) if parts < len(part) else None
-        for p, codes in shared.items():
-            runs = by_part[edges[p]:edges[p + 1]] if edges is not None else np.flatnonzero(part == p)
+        part = part[by_part]
+        taken, apart = {}, []
+        for row in shared:
+            codes, hot = (np.frombuffer(row[c], np.uint32) for c in ("codes", "hot"))
+            runs = by_part[np.searchsorted(part, row["part"]):np.searchsorted(part, row["part"], "right")]
             at = np.minimum(np.searchsorted(codes, code[runs]), len(codes) - 1)
             runs = runs[codes[at] == code[runs]]
+            if len(hot):
+                often = np.isin(code[runs], hot)
+                apart.append(runs[often])
+                runs = runs[~often]
+            taken[row["part"]] = runs
+        windows, home = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if apart:
+            runs = np.concatenate(apart)
+            windows = _places_of(self.starts[runs], self.counts[runs])
+            home = np.concatenate([fingerprints(self.bytes, w, w + self.least, (self.least + 7) // 8) % _U(parts) for w in np.split(
+                windows, range(CHUNK, len(windows), CHUNK))]).astype(np.int64)
+            by_home = np.argsort(home, kind="stable")
+            windows, home = windows[by_home], home[by_home]
+        raw, tail = self.raw, self.least - 1
+        for p in sorted({*taken, *np.unique(home).tolist()}):
+            runs = taken.get(p, np.zeros(0, np.int64))
+            single = windows[np.searchsorted(home, p):np.searchsorted(home, p, "right")]
+            starts = np.concatenate([self.starts[runs], single])
+            counts = np.concatenate([self.counts[runs], np.ones(len(single), np.int64)])
+            docs = np.searchsorted(self.ends, starts, "right")
             known: dict[bytes, int] = {}
-            raw, tail = self.raw, self.least - 1
             which = np.fromiter((known.setdefault(raw[s:s + n + tail], len(known)) for s, n in zip(
-                self.starts[runs].tolist(), self.counts[runs].tolist(), strict=True)), np.int64, len(runs))
-            out[p] = runs, known, which
-        return out
+                starts.tolist(), counts.tolist(), strict=True)), np.int64, len(starts))
+            yield p, starts, counts, docs, known, which
 
 
 # -- suffix order, transform, intervals -------------------------------------
@@ -245,11 +296,14 @@ def smallest_holders(strings: list[bytes], holders: np.ndarray, least: int) -> t
     return np.bincount(owner[heads], minlength=len(strings)), np.diff(np.append(heads, len(found))), found[heads]
 
 
+def _places_of(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The places from each start on, as many as its count, after one another."""
+    return np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(int(counts.sum()))
+
+
 def _places(pieces: np.ndarray, which: np.ndarray) -> np.ndarray:
     """Places of the pieces of chosen strings, strings after one another, where all strings' pieces lie end to end."""
-    begin = np.cumsum(pieces) - pieces
-    mine = pieces[which]
-    return np.repeat(begin[which] - (np.cumsum(mine) - mine), mine) + np.arange(int(mine.sum()))
+    return _places_of((np.cumsum(pieces) - pieces)[which], pieces[which])
 
 
 # -- on Spark ---------------------------------------------------------------
@@ -284,8 +338,8 @@ def pack_blocks(docs: DataFrame, block: int) -> DataFrame:
     return docs.select(F.col("id").cast("string").alias("id"), "text", "carried").mapInPandas(run, "block long, size long, docs binary")
 
 
-def shared_anchors(blocks: DataFrame, parts: int, least: int) -> DataFrame:
-    """(block, shared): for each block its anchors that two documents hold, as (part, sorted codes)."""
+def shared_anchors(blocks: DataFrame, parts: int, least: int, most: int = HOT) -> DataFrame:
+    """(block, shared): for each block its anchors that two documents hold, as (part, sorted codes, those that are hot)."""
     @lean
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -299,10 +353,13 @@ def shared_anchors(blocks: DataFrame, parts: int, least: int) -> DataFrame:
                 heads = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))
                 several = docs[heads] != docs[np.append(heads[1:], len(docs)) - 1]
                 part, code = both[heads] >> 32, (both[heads] & 0xFFFFFFFF).astype(np.uint32)
+                strings = block.distinct(order, heads).astype(np.uint32)
                 cuts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-                rows = [(int(part[a]), number, c.tobytes(), np.packbits(s).tobytes()) for a, c, s in zip(
-                    cuts, np.split(code, cuts[1:]), np.split(several, cuts[1:]), strict=True)]
-                yield pd.DataFrame(rows, columns=["part", "block", "codes", "several"])
+                rows = []
+                for a, c, s, n in zip(cuts, np.split(code, cuts[1:]), np.split(several, cuts[1:]), np.split(strings, cuts[1:]), strict=True):
+                    more = np.flatnonzero(n > 1).astype(np.uint32)
+                    rows.append((int(part[a]), number, c.tobytes(), np.packbits(s).tobytes(), np.concatenate([more, n[more]]).tobytes()))
+                yield pd.DataFrame(rows, columns=["part", "block", "codes", "several", "strings"])
 
     @lean_group
     def answer(group: pd.DataFrame) -> pd.DataFrame:
@@ -316,21 +373,23 @@ def shared_anchors(blocks: DataFrame, parts: int, least: int) -> DataFrame:
         often = np.bincount(number) + np.bincount(number, several[order])
         shared = np.empty(len(own), bool)
         shared[order] = (often > 1)[number]
+        strings, at = np.ones(len(own), np.int64), 0
+        for c, n in zip(codes, group["strings"], strict=True):
+            more, counts = np.frombuffer(n, np.uint32).reshape(2, -1)
+            strings[at + more.astype(np.int64)] = counts
+            at += len(c)
+        hot = ranked[heads][np.bincount(number, strings[order]) > most]
         out, at = [], 0
         for block, c in zip(group["block"], codes, strict=True):
-            use = c[shared[at:at + len(c)]]
+            use = np.unique(c[shared[at:at + len(c)]])
             at += len(c)
             if len(use):
-                out.append((int(block), int(group["part"].iloc[0]), np.unique(use).tobytes()))
-        return pd.DataFrame(out, columns=["block", "part", "codes"]).astype({"block": "int64", "part": "int32"})
-
-    sent = blocks.select("block", "docs").mapInPandas(send, "part int, block long, codes binary, several binary")
-    found = sent.groupBy("part").applyInPandas(answer, "block long, part int, codes binary")
-    return found.groupBy("block").agg(F.collect_list(F.struct("part", "codes")).alias("shared"))
-
+                out.append((int(block), int(group["part"].iloc[0]), use.tobytes(), np.intersect1d(use, hot, True).tobytes()))
+        return pd.DataFrame(out, columns=["block", "part", "codes", "hot"]).astype({"block": "int64", "part": "int32"})
 
-def _shared(rows) -> dict[int, np.ndarray]:
-    return {r["part"]: np.frombuffer(r["codes"], np.uint32) for r in sorted(rows, key=lambda r: r["part"])}
+    sent = blocks.select("block", "docs").mapInPandas(send, "part int, block long, codes binary, several binary, strings binary")
+    found = sent.groupBy("part").applyInPandas(answer, "block long, part int, codes binary, hot binary")
+    return found.groupBy("block").agg(F.collect_list(F.struct("part", "codes", "hot")).alias("shared"))
 
 
 def holders(blocks: DataFrame, shared: DataFrame, parts: int, least: int) -> DataFrame:
@@ -341,9 +400,9 @@ def holders(blocks: DataFrame, shared: DataFrame, parts: int, least: int) -> Dat
             for number, data, rows in zip(batch["block"], batch["docs"], batch["shared"], strict=True):
                 block, _ = Block.unpack(data, least)
                 out = []
-                for part, (runs, known, which) in block.stretches(parts, _shared(rows)).items():
+                for part, _, _, docs, known, which in block.stretches(parts, rows):
                     low = np.full(len(known), _LAST)
-                    np.minimum.at(low, which, block.order[block.docs[runs]])
+                    np.minimum.at(low, which, block.order[docs])
                     out.append((part, number, _squeeze((list(known), low))))
                 yield pd.DataFrame(out, columns=["part", "block", "stretches"]).astype({"part": "int32", "block": "int64"})
 
@@ -374,25 +433,25 @@ def _removed(block: Block, shared, answers, parts: int) -> np.ndarray:
     """Which bytes of a block go."""
     edge = np.zeros(len(block.raw) + 1, np.int64)
     replies = {r["part"]: _unsqueeze(r["answer"]) for r in answers}
-    for part, (runs, _, which) in block.stretches(parts, _shared(shared)).items():
-        if not len(runs):
+    for part, starts, _, docs, _, which in block.stretches(parts, shared):
+        if not len(starts):
             continue
         pieces, lengths, values = (a.astype(np.int64) for a in replies[part])
         # each run's pieces, as windows from its start
         take = _places(pieces, which)
         size = lengths[take]
         done = np.cumsum(size) - size
-        run = np.repeat(np.arange(len(runs)), pieces[which])
+        run = np.repeat(np.arange(len(starts)), pieces[which])
         first = np.cumsum(pieces[which]) - pieces[which]
-        start = block.starts[runs][run] + done - done[first][run]
-        go = values[take] < block.order[block.docs[runs]][run]
+        start = starts[run] + done - done[first][run]
+        go = values[take] < block.order[docs][run]
         np.add.at(edge, start[go], 1)
         np.add.at(edge, start[go] + size[go] + block.least - 1, -1)
     return np.cumsum(edge[:-1]) > 0
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST,
-                   block: int = BLOCK) -> DataFrame:
+                   block: int = BLOCK, most: int = HOT) -> DataFrame:
     """Every row of ``docs`` with ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed
     runs) and ``kept`` (the bytes that stay) in a struct column ``cut``, beside the
     row's columns in a struct column ``row`` (without the text).
@@ -408,7 +467,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     blocks = write_through(pack_blocks(packed, block), "text-blocks")
     total = blocks.agg(F.sum("size")).collect()[0][0] or 0
     parts = max(1, math.ceil(total / block))
-    shared = write_through(shared_anchors(blocks, parts, least), "shared-anchors")
+    shared = write_through(shared_anchors(blocks, parts, least, most), "shared-anchors")
     answers = write_through(holders(blocks, shared, parts, least), "holders")
 
     @lean

@@ -62,6 +62,33 @@ def test_one_block_and_other_lengths(spark, make_docs):
         assert dict(run(make_docs(docs), least=least)) == want
 
 
+def test_hot_anchors_taken_apart(spark, make_docs):
+    docs = corpus(3)
+    want = dict(zip([i for i, _ in docs], brute(docs), strict=True))
+    for most in (0, 3, 20):
+        assert dict(run(make_docs(docs).repartition(5), block=1500, most=most)) == want
+
+
+def test_windows_of_a_hot_anchor_spread_over_the_parts(spark, make_docs):
+    rng = random.Random(5)
+    own = lambda n: "".join(rng.choice("abcdefghij") for _ in range(n))
+    line = "this line of forty bytes is everywhere.."
+    texts = [own(60) + line + own(60) for _ in range(300)]
+    docs = list(enumerate(texts + [t[30:] for t in texts[:40]]))
+    parts, most = 8, 50
+    blocks = B.pack_blocks(make_docs(docs).selectExpr("doc_id id", "text", "'' carried"), 4000).cache()
+    shared = B.shared_anchors(blocks, parts, 50, most).cache()
+    rows = {r.block: r.shared for r in shared.collect()}
+    assert any(r.hot for rs in rows.values() for r in rs)
+    strings = {}
+    for r in blocks.collect():
+        for part, _, _, _, known, _ in B.Block.unpack(r.docs, 50)[0].stretches(parts, rows.get(r.block, [])):
+            strings.setdefault(part, set()).update(known)
+    sizes = [len(strings.get(p, ())) for p in range(parts)]
+    assert sum(sizes) > 3000 and max(sizes) < 1.5 * sum(sizes) / parts
+    assert dict(run(make_docs(docs), block=4000, most=most)) == dict(zip([i for i, _ in docs], brute(docs), strict=True))
+
+
 def test_edges(spark, make_docs):
     assert B.digest(make_docs([(1, "x")]).limit(0)).count() == 0
     text = "some passage that is clearly longer than fifty bytes, is it not?"
