@@ -185,13 +185,13 @@ def linked_vectors(classes: DataFrame, count: int, cosine: float = COSINE, block
     rows = write_through(classes.mapInPandas(hashed, "t binary, n long, unit array<double>, codes array<long>"), "hashed")
     entries = rows.select("t", F.explode(F.array_distinct("codes")).alias("bucket"))
     sizes = entries.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
+    sizes = write_through(sizes.withColumn("blocks", F.ceil(F.col("size") / block).cast("int")), "bucket-sizes")
     dealt = (entries.join(sizes, "bucket")
-             .withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
              .withColumn("part", F.pmod(F.xxhash64("t", "bucket"), F.col("blocks")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("t", "bucket", "part", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j")))
-    # many groups to a call: about TOGETHER entries
-    calls = max(1, math.ceil(count * max([t for _, t in plans.values()], default=TABLES) * (1 + PROBES) / TOGETHER))
+    # many groups to a call: about TOGETHER of the rows dealt, of which a bucket of several blocks has one a block for each entry
+    calls = max(1, math.ceil((sizes.agg(F.sum(F.col("size") * F.col("blocks"))).first()[0] or 0) / TOGETHER))
     return (dealt.join(rows, "t").groupBy(F.pmod(F.xxhash64("bucket", "i", "j"), F.lit(calls)).alias("call"))
             .applyInPandas(lambda g: _compare(g, cosine), "t binary, links long, root binary"))
 
