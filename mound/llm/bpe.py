@@ -70,6 +70,8 @@ class Vocabulary:
         order = np.argsort(keys)
         found = np.array(list(self.ranks.values()), np.int64)[order]
         self.pair_keys, self.pair_ranks, self.pair_ids = keys[order], found[:, 0].copy(), found[:, 1].copy()
+        single = np.array(self.byte_ids, np.int64)
+        self.byte_pairs = self.rank_pairs(np.repeat(single, 256), np.tile(single, 256))  # of first byte * 256 + second
         self.special = {t["content"]: t["id"] for t in data["added_tokens"]}
         by_id = {i: bytes(byte_of[c] for c in token) for token, i in vocab.items() if token not in self.special}
         by_id |= {i: token.encode() for token, i in self.special.items()}
@@ -114,7 +116,8 @@ class Vocabulary:
         """
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         short = np.flatnonzero((sizes > 0) & (sizes <= LEXICON_BYTES))
-        token = np.array(self.byte_ids, np.int64)[np.frombuffer(b"".join([words[i] for i in short]), np.uint8)]
+        raw = np.frombuffer(b"".join([words[i] for i in short]), np.uint8)
+        token = np.array(self.byte_ids, np.int64)[raw]
         word = np.repeat(short, sizes[short])
         done_word, done_token = [], []
         for i in np.flatnonzero(sizes > LEXICON_BYTES):
@@ -123,7 +126,8 @@ class Vocabulary:
             done_word.append(np.full(len(ids), i))
         rank, merged = np.full(len(token), NO_RANK), np.zeros(len(token), np.int64)
         inner = np.flatnonzero(word[1:] == word[:-1])
-        rank[inner], merged[inner] = self.rank_pairs(token[inner], token[inner + 1])
+        pair = raw[inner].astype(np.int64) << 8 | raw[inner + 1]
+        rank[inner], merged[inner] = (of[pair] for of in self.byte_pairs)
         while len(token):
             heads = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
             count = np.diff(np.append(heads, len(word)))
@@ -144,7 +148,10 @@ class Vocabulary:
             keep[hits + 1] = False
             token, word, rank, merged = token[keep], word[keep], rank[keep], merged[keep]
             at = hits - np.arange(len(hits))
-            anew = np.unique(np.concatenate([at, at[at > 0] - 1]))
+            touched = np.zeros(len(token), bool)
+            touched[at] = True
+            touched[at[at > 0] - 1] = True
+            anew = np.flatnonzero(touched)
             rank[anew] = NO_RANK
             anew = anew[anew + 1 < len(token)]
             anew = anew[word[anew] == word[anew + 1]]
