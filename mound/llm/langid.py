@@ -12,8 +12,9 @@ machine share their pages and the driver holds no gram.
 
 A text goes to the language of lowest cross-entropy per character.  It is
 rejected when even that is no better than what texts of the other languages
-get from the model on average (calibrated on a bounded sample of training
-texts), so that a language no model has learned goes.
+get from the model on average (over all training texts: a mean of cross-
+entropies is a weighted sum over the grams counted, so each gram is looked up
+once), so that a language no model has learned goes.
 """
 
 from __future__ import annotations
@@ -36,9 +37,7 @@ from mound.session import scratch_path, write_through
 ORDER = 4
 #: Grams of each order in a part of the model, about.
 PART_GRAMS = 200_000
-#: Training texts, about, on which rejection is calibrated.
-CALIBRATION_TEXTS = 20_000
-#: Shorter texts are never rejected for their cross-entropy.
+#: Shorter texts are never rejected for their cross-entropy, nor calibrate its bound.
 LEAST_CHARS = 40
 #: Texts whose grams are in memory together, at most, and grams whose probabilities are.
 SLICE, GRAMS = 64, 1 << 16
@@ -86,29 +85,35 @@ def grams_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return gram[own], owner[ORDER - 1:][own]
 
 
-def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    keys, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
+def _merged(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys with the sums of their counts and of their shares."""
+    keys, counts, shares = (np.concatenate(x) for x in zip(*parts, strict=True))
     values, back = np.unique(keys, return_inverse=True)
-    return values, np.bincount(back, counts, len(values)).astype(np.int64)
+    return values, np.bincount(back, counts, len(values)).astype(np.int64), np.bincount(back, shares, len(values))
 
 
 def gram_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(lang, gram, n) over all texts with a language."""
+    """(lang, gram, n, share) over all texts with a language.
+
+    ``share`` sums what the gram's places are of each text of ``LEAST_CHARS``
+    symbols or more, so a language's shares add up to its number of such texts."""
     @lean
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[str, list] = {}
 
         def out(lang: str) -> pd.DataFrame:
-            keys, counts = _merged(held.pop(lang))
-            return pd.DataFrame({"lang": lang, "gram": keys.view(np.int64), "n": counts})
+            keys, counts, shares = _merged(held.pop(lang))
+            return pd.DataFrame({"lang": lang, "gram": keys.view(np.int64), "n": counts, "share": shares})
 
         for batch in batches:
             for lang, part in batch.groupby("lang"):
                 texts = [t or "" for t in part["text"]]
                 for some in slices(list(map(len, texts)), SLICE):
-                    grams, _ = grams_of(texts[some])
-                    held.setdefault(lang, []).append(np.unique(grams, return_counts=True))
-                    if sum(len(k) for k, _ in held[lang]) > 500_000:
+                    grams, owner = grams_of(texts[some])
+                    sizes = np.bincount(owner, minlength=1)
+                    share = np.where(sizes >= LEAST_CHARS, 1 / np.maximum(sizes, 1), 0.0)
+                    held.setdefault(lang, []).append(_merged([(grams, np.ones(len(grams), np.int64), share[owner])]))
+                    if sum(len(k) for k, _, _ in held[lang]) > 500_000:
                         held[lang] = [_merged(held[lang])]
                         if len(held[lang][0][0]) > 400_000:
                             yield out(lang)
@@ -116,8 +121,8 @@ def gram_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
             yield out(lang)
 
     rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter("lang is not null")
-    return (rows.mapInPandas(count, "lang string, gram long, n long")
-            .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+    return (rows.mapInPandas(count, "lang string, gram long, n long, share double")
+            .groupBy("lang", "gram").agg(F.sum("n").alias("n"), F.sum("share").alias("share")))
 
 
 @dataclass
@@ -332,32 +337,32 @@ def _bounded(counts: DataFrame, most: int) -> DataFrame:
 
 
 def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", most: int | None = None) -> Model | None:
-    """Count over all of ``docs``, build the model, calibrate rejection; None without a text in a language.
+    """Count over all of ``docs``, build the model, calibrate rejection on all of its texts; None without a text in a language.
 
+    The bound of a language is the mean of its model's cross-entropies over
+    the texts of the others, taken from the counted grams and their shares.
     Every gram is kept, unless a caller asks for the ``most`` frequent ones only."""
     rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter("lang is not null and text is not null")
     counts = write_through(gram_counts(rows), "grams")
     model = shipped_model(counts if most is None else _bounded(counts, most))
     if model is None:
         return None
-    part = min(1.0, CALIBRATION_TEXTS / max(1, rows.count()))
-    sample = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(math.ceil(part * 1_000_000)))
     shared = rows.sparkSession.sparkContext.broadcast(model)
     langs = model.langs
 
     @lean
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total, n = np.zeros(len(langs)), np.zeros(len(langs))
         for batch in batches:
-            for at in slices(batch["text"].map(len).tolist(), SLICE):
-                some = batch.iloc[at]
-                ce, n = shared.value.cross_entropies(list(some["text"]))
-                for j, lang in enumerate(langs):
-                    use = (n >= LEAST_CHARS) & (some["lang"] != lang).to_numpy()
-                    if use.any():
-                        yield pd.DataFrame({"j": [j], "total": [float(ce[use, j].sum())], "n": [int(use.sum())]})
-
-    alien = {r["j"]: r["total"] / r["n"] for r in sample.mapInPandas(measure, "j int, total double, n long")
-             .groupBy("j").agg(F.sum("total").alias("total"), F.sum("n").alias("n")).collect()}
+            for at in range(0, len(batch), GRAMS):
+                some = batch.iloc[at:at + GRAMS]
+                share = some["share"].to_numpy()[:, None] * (some["lang"].to_numpy()[:, None] != np.array(langs))
+                total -= (share * shared.value.log_probabilities(some["gram"].to_numpy(np.int64).view(np.uint64))).sum(axis=0)
+                n += share.sum(axis=0)
+        yield pd.DataFrame({"j": range(len(langs)), "total": total, "n": n})
+
+    alien = {r["j"]: r["total"] / r["n"] for r in counts.filter("share > 0").mapInPandas(measure, "j int, total double, n double")
+             .groupBy("j").agg(F.sum("total").alias("total"), F.sum("n").alias("n")).collect() if r["n"] > 0}
     model.thresholds = np.array([alien.get(j, -model.floor) for j in range(len(langs))])
     return model
 

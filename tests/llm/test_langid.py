@@ -134,3 +134,13 @@ def test_shipped_model_is_the_model_in_memory(spark, make_docs):
     assert shipped.parts > 1 and shipped.langs == plain.langs and shipped.floor == pytest.approx(plain.floor)
     grams, _ = L.grams_of([t for _, t, _ in docs[:5]] + ["unseen qq ab漢漢漢x", "zzz"])
     assert shipped.log_probabilities(grams) == pytest.approx(plain.log_probabilities(grams), abs=1e-4)
+
+
+def test_rejection_is_calibrated_on_every_text(spark, make_docs):
+    """More texts than fit a sample of 20,000: a language's bound is the mean over all long enough texts of the others."""
+    rng = random.Random(7)
+    docs = [(i, "".join(rng.choices("abcd e" if i % 3 else "xyzab ", k=rng.choice((20, 45, 70)))), "a" if i % 3 else "b") for i in range(30_000)]
+    model = L.fit(make_docs(docs).repartition(4))
+    for j, lang in enumerate(model.langs):
+        ce, n = model.cross_entropies([t for _, t, own in docs if own != lang])
+        assert model.thresholds[j] == pytest.approx(ce[n >= L.LEAST_CHARS, j].mean(), rel=1e-6)
