@@ -52,22 +52,27 @@ def read_game_blocks(spark: SparkSession, paths: str | Sequence[str], glob: str
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     raw = reader.text(paths if isinstance(paths, str) else list(paths))
-    block = F.regexp_replace(F.col("value"), r"^id,", "")
-    lines = F.transform(F.split(block, "\n"), lambda s: F.regexp_replace(s, "\r$", ""))
-    lines = F.filter(lines, lambda s: s != "")
-    return raw.select(
-        F.col("_metadata.file_name").alias("file_name"),
-        F.get(lines, 0).alias("game_id"),
-        F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(1))).alias("lines"),
-    ).where(F.col("game_id").isNotNull())
+    block = F.when(F.col("value").startswith("id,"), F.substr("value", F.lit(4))).otherwise(F.col("value"))
+    lf, crlf = F.lit("\n"), F.lit("\r\n")
+    block = F.replace(F.replace(F.concat(block, lf), crlf, lf), crlf, lf)
+    # behind a generator, so that each later use of the lines does not split the text anew
+    once = F.explode(F.array(F.array_remove(F.split(block, "\n"), "")))
+    split = raw.select(F.col("_metadata.file_name").alias("file_name"), once.alias("lines"))
+    return split.where(F.size("lines") > 0).select(
+        "file_name", F.get("lines", F.lit(0)).alias("game_id"),
+        F.slice("lines", F.lit(2), F.greatest(F.size("lines") - 1, F.lit(1))).alias("lines"))
 
 
 def _parse(line: Column) -> Column:
     """Every field after the record type; an empty unquoted field is null."""
     fields = F.regexp_extract_all(line, F.lit(_FIELD), 1)
-    return F.transform(F.slice(fields, F.lit(2), F.greatest(F.size(fields) - 1, F.lit(0))), lambda f: F.when(
+    quoted = F.transform(F.slice(fields, F.lit(2), F.greatest(F.size(fields) - 1, F.lit(0))), lambda f: F.when(
         f.startswith('"') & f.endswith('"') & (F.length(f) > 1),
         F.replace(F.substr(f, F.lit(2), F.length(f) - 2), F.lit('""'), F.lit('"'))).otherwise(F.nullif(f, F.lit(""))))
+    # most lines hold no quote: their fields lie between commas
+    plain = F.split(F.substr(line, F.length(F.substring_index(line, ",", 1)) + 2), ",")
+    plain = F.when(F.contains(line, F.lit(",")), F.transform(plain, lambda f: F.nullif(f, F.lit("")))).otherwise(F.array().cast("array<string>"))
+    return F.when(F.contains(line, F.lit('"')) | F.startswith(line, F.lit(",")), quoted).otherwise(plain)
 
 
 def event_lines(blocks: DataFrame, records: Sequence[str] | None = None) -> DataFrame:
@@ -124,10 +129,12 @@ def split_lines(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
     (file_name, game_id, seq, record, line, reason).
 
     The event files are scanned once: all lines are written with their
-    verdict, in two folders, and each output reads its own."""
+    verdict as they come, so that no task sorts (and spills) its lines, and
+    each output reads its own: row groups without a rejected line are skipped
+    by their statistics."""
     checked = checked_lines(blocks).withColumn("rejected", F.col("reason").isNotNull())
     path = scratch_path(blocks.sparkSession, "event-lines")
-    checked.write.partitionBy("rejected").parquet(path)
+    checked.write.parquet(path, compression="zstd")
     stored = blocks.sparkSession.read.schema(checked.schema).parquet(path)
     good = stored.where(~F.col("rejected")).drop("rejected", "reason")
     return good, stored.where("rejected").select("file_name", "game_id", "seq", "record", "line", "reason")
@@ -141,11 +148,16 @@ def event_games(blocks: DataFrame) -> DataFrame:
         F.filter("lines", lambda s: s.startswith("info,")),
         lambda s: F.split(s, ",", 3),
     )
-    staged = blocks.select("game_id", "file_name", "lines", info.alias("_info"))
+    # behind a generator: split once, for all keys
+    staged = blocks.select("game_id", "file_name", "lines", F.explode(F.array(info)).alias("_info"))
+
+    keys = F.transform("_info", lambda r: F.get(r, 1))
 
     def key(k: str) -> Column:
-        return F.get(F.filter("_info", lambda r: F.get(r, 1) == k), 0)
+        """The first record of the key."""
+        return F.get("_info", (F.array_position("_keys", k) - 1).cast("int"))
 
+    staged = staged.select("*", F.explode(F.array(keys)).alias("_keys"))
     gid = F.col("game_id")
     return staged.select(
         "game_id",

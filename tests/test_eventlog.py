@@ -1,3 +1,5 @@
+from conftest import SF_SMALL
+from mound.sources import fixtures as FX
 from mound.sources import eventlog as EV
 
 GAME_1 = [
@@ -103,3 +105,27 @@ def test_malformed_roster_lines(spark, tmp_path):
     assert sorted((r.player_id, r.last_name, r.season) for r in good.collect()) == [("a1", "Last", 2024), ("b1", "La, st", 2024)]
     assert sorted((r.file_name, r.reason) for r in rejects.collect()) == [
         ("NYN2024.ROS", "no player id"), ("NYN2024.ROS", "not seven fields"), ("NYN2024.ROS", "not seven fields"), ("odd.ROS", "no season in the file's name")]
+
+
+def test_plain_lines_are_cut_as_quoted_ones(spark, tmp_path):
+    _write(tmp_path, "2023DET.EVA", ["id,DET202304060", "com,a,,b,", "com", ",com,x", "com,", 'com,"a, b",,'])
+    got = [(r.record, r.fields) for r in EV.event_lines(EV.read_game_blocks(spark, str(tmp_path))).orderBy("seq").collect()]
+    assert got == [("com", ["a", None, "b", None]), ("com", []), ("", ["x"]), ("com", [None]), ("com", ["a, b", None, None])]
+
+
+def test_event_files_are_made_where_a_game_s_rows_meet(spark, tmp_path):
+    """Rows are shuffled, not lines of text; the files are compressed."""
+    blocks = FX.event_file_games(spark, SF_SMALL)
+    assert "Generate" not in blocks._jdf.queryExecution().executedPlan().toString()
+    FX.write_event_files(spark, SF_SMALL, str(tmp_path / "ev"))
+    files = [f.name for f in (tmp_path / "ev").iterdir() if f.name.startswith("part-")]
+    assert files and all(f.endswith(".gz") for f in files)
+    assert EV.event_games(EV.read_game_blocks(spark, str(tmp_path / "ev"))).count() == blocks.count()
+
+
+def test_lines_are_not_sorted_by_verdict(spark, tmp_path):
+    """Lines are stored as they come, not in a folder for each verdict, for which a task would sort them all."""
+    _write(tmp_path, "2023DET.EVA", GAME_1 + ["zzz"] + GAME_2)
+    lines, rejects = EV.split_lines(EV.read_game_blocks(spark, str(tmp_path)))
+    assert not any("rejected=" in f for f in lines.inputFiles() + rejects.inputFiles())
+    assert lines.count() == len(GAME_1) + len(GAME_2) - 2 and [r.line for r in rejects.collect()] == ["zzz"]
