@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from datetime import date
 
@@ -23,7 +24,7 @@ from mound.session import scratch_path, write_through
 from mound.sources import pitchlog as PL
 from mound.sources import reconcile as RC
 from mound.sources import sinks as SK
-from mound.sources.fixtures import pitches, varied, varied_sql, with_pitches
+from mound.sources.fixtures import parts_of, pitches, varied, varied_sql, with_pitches
 
 # Season calendar of the fixture (order dates span 1995-2001): one season
 # per year from March 20 to October 5, so winter dates fall outside.
@@ -159,7 +160,8 @@ def q_dictionary_versions(spark, sf):
 def q_bucketed_day_features(spark, sf):
     """A3 and J1k over a pitch log stored in buckets by day: no shuffle in the plan."""
     name = f"pitch_log_{uuid.uuid4().hex}"
-    log = SK.write_bucketed(pitches(spark, sf), name, scratch_path(spark, "bucketed"), ["game_date"], ["game_date", "home_team", "away_team"], buckets=8)
+    log = SK.write_bucketed(pitches(spark, sf), name, scratch_path(spark, "bucketed"), ["game_date"], ["game_date", "home_team", "away_team"],
+                            buckets=max(8, parts_of(spark, sf, "lineitem")))
     return G.with_day_stats(G.game_partials(log))
 
 
@@ -465,11 +467,15 @@ def q_streaming_game_stats(spark, sf):
     # pitches arrive over several files and micro-batches.
     base = scratch_path(spark, "stream")
     source = f"{base}/source"
+    # A number's rows make one file while they are few, and more as they grow;
+    # a batch takes the files of two numbers.
     p = pitches(spark, sf)
-    p.repartition(8, "pitch_number").write.mode("overwrite").partitionBy("pitch_number").parquet(source + "_parts")
-    schema = spark.read.parquet(source + "_parts").schema
+    SK.write_parquet(p, source + "_parts", partition_by=["pitch_number"], mode="overwrite")
+    landed = spark.read.parquet(source + "_parts")
+    files = landed.inputFiles()
+    each = math.ceil(len(files) / max(1, len({f.rsplit("/", 1)[0] for f in files})))
     q = ST.start_game_ingest(spark, source + "_parts", f"{base}/partials", f"{base}/checkpoint",
-                             schema, max_files_per_trigger=2)
+                             landed.schema, max_files_per_trigger=2 * max(1, each))
     q.awaitTermination()
     return ST.game_stats_from_partials(spark, f"{base}/partials")
 

@@ -8,6 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from conftest import SF_SMALL
+from mound.plans import queries_io as QIO
+from mound.session import path_bytes
+from mound.sources import fixtures as FX
 from mound.functions import versions as V
 from mound.operators import games as G
 from mound.sources import reconcile as R
@@ -113,3 +117,19 @@ def test_dictionary_versions(spark, tmp_path):
     coded = V.encode_with_dictionary(spark.createDataFrame([("aa", 2), ("zz", None)], "t string, n int"), ["t", "n"], V.read_dictionary(spark, path))
     assert sorted(map(tuple, coded.collect()), key=str) == [("aa", 2, 3, 1), ("zz", None, None, None)]
     assert V.append_version(spark.createDataFrame([(date(2024, 1, 2),)], "d date"), ["d"], str(tmp_path / "days"), 1).first()["value"] == "2024-01-02"
+
+
+def test_parts_follow_the_size_of_the_log(spark, monkeypatch):
+    """A large log meets its games, and is stored, in as many parts as its bytes ask for; the rows are the same."""
+    small = FX.pitches(spark, SF_SMALL)
+    size = path_bytes(spark, f"{SF_SMALL}/lineitem.parquet")
+    monkeypatch.setattr(FX, "PART_BYTES", size // 20)
+    parts = FX.parts_of(spark, SF_SMALL, "lineitem")
+    large, buckets, write = FX.pitches(spark, SF_SMALL), [], QIO.SK.write_bucketed
+    assert parts >= 20 and "REPARTITION_BY_NUM" in large._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" not in small._jdf.queryExecution().executedPlan().toString()
+    assert small.exceptAll(large).isEmpty() and large.exceptAll(small).isEmpty()
+    monkeypatch.setattr(QIO.SK, "write_bucketed", lambda *a, buckets: seen.append(buckets) or write(*a, buckets=buckets))
+    seen = buckets
+    QIO.q_bucketed_day_features(spark, SF_SMALL)
+    assert seen == [parts]
