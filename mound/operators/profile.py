@@ -57,16 +57,20 @@ def _co_moments(batches: Iterator[pa.RecordBatch], p: int) -> Iterator[pa.Record
     for batch in batches:
         if not batch.num_rows:
             continue
-        there = np.stack([~np.asarray(c.is_null()) for c in batch.columns], axis=1)
-        x = np.stack([c.fill_null(0.0).to_numpy(zero_copy_only=False) for c in batch.columns], axis=1)
+        # a row per column: columns are copied as they lie
+        there = np.stack([~np.asarray(c.is_null()) for c in batch.columns])
+        x = np.stack([c.fill_null(0.0).to_numpy(zero_copy_only=False) for c in batch.columns])
         finite = there & np.isfinite(x)
         if shift is None:
-            shift = np.where(finite, x, 0).sum(axis=0) / np.maximum(finite.sum(axis=0), 1)
+            shift = np.where(finite, x, 0).sum(axis=1) / np.maximum(finite.sum(axis=1), 1)
             sums = [np.zeros((p, p)) for _ in range(5)]
-        odd = (there & ~finite).astype(float)
-        x, m = np.where(finite, x - shift, 0.0), finite.astype(float)
-        for total, more in zip(sums, (m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x, odd.T @ there + there.T @ odd), strict=True):
+        m = finite.astype(float)
+        x = np.where(finite, x - shift[:, None], 0.0)
+        for total, more in zip(sums, (m @ m.T, x @ m.T, (x * x) @ m.T, x @ x.T), strict=False):
             total += more
+        if (there != finite).any():
+            odd, every = (there & ~finite).astype(float), there.astype(float)
+            sums[4] += odd @ every.T + every @ odd.T
     if sums is None:
         return
     n, s, q, product, odd = sums
