@@ -38,7 +38,7 @@ CAPACITY = 4096
 CLASSES = 16
 #: Documents and tokens that a worker packs in one run.
 RUN_DOCS, RUN_TOKENS = 2048, 2_000_000
-#: Distinct chunks whose ids a worker remembers.
+#: Distinct words and chunks whose ids a worker remembers.
 MEMO_CHUNKS = 400_000
 #: Chunks that go through the tokenizer together.
 JOINED = 500
@@ -80,9 +80,12 @@ class ChunkEncoder:
     A text is cut at white space; each distinct chunk is encoded once by the
     tokenizer and remembered.  That is exact for a tokenizer whose normaliser
     and splitter treat white space as a hard boundary and drop it.  A Latin
-    chunk is put together from its words' ids; words go through the tokenizer
-    many at a time, and the mark of a word's end, which its last id bears,
-    tells their ids apart.
+    text without a special token is cut into its words at once, and the
+    words' ids are remembered: there are far fewer of them than of chunks,
+    which are words with their punctuation.  A Latin chunk of another text is
+    put together from its words' ids.  Words go through the tokenizer many at a
+    time, and the mark of a word's end, which its last id bears, tells their
+    ids apart.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -146,6 +149,13 @@ class ChunkEncoder:
         source = np.repeat(self.starts[order] - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))
         return self.ids[source], of_group
 
+    def _words(self, text: str) -> list[str] | None:
+        """The words of a Latin text without a special token; None for another text."""
+        if not self.pieces or not (text.isascii() or _LATIN.fullmatch(text)):
+            return None
+        text = text.lower()
+        return None if self.hint in text and self.special.search(text) else self.pieces.findall(text)
+
     def learn(self, chunks: list[str]) -> None:
         odd, plain, made = [], [], {}
         pieces, hint = self.pieces, self.hint
@@ -172,8 +182,19 @@ class ChunkEncoder:
         """All ids end to end, each text's closed by ``end_id``, and each text's number of ids."""
         if len(self.known) > MEMO_CHUNKS:
             self.clear()
-        cut = [t.split() if not _CONTROLS.search(t) else t.split(" ") for t in texts]
-        new = list(set().union(*cut).difference(self.known))
+        words, chunks, cut = set(), set(), []
+        for t in texts:
+            own = self._words(t)
+            if own is not None:
+                words.update(own)
+            else:
+                own = t.split() if not _CONTROLS.search(t) else t.split(" ")
+                chunks.update(own)
+            cut.append(own)
+        new = list(words.difference(self.known))
+        if new:
+            self._keep(new, *self._word_ids(new))
+        new = list(chunks.difference(self.known))
         if new:
             self.learn(new)
         flat, of_text = self._known_ids(cut)

@@ -96,3 +96,15 @@ def test_latin_words_match_the_library(texts):
 
 
 ENCODER, LIBRARY = P.ChunkEncoder(PATH, 2), Tokenizer.from_file(PATH)
+
+
+def test_words_of_a_latin_text_are_remembered_without_their_chunks():
+    texts = ["One, two. (Three) one! TWO; don't \u00c9t\u00e9,", "three? one/two \x1cone", "", "one \u6f22,two <|endoftext|>,one", "a\tb\nc"]
+    encoder = P.ChunkEncoder(PATH, 2)
+    ids, lengths = encoder.encode(texts[:3])
+    assert set(encoder.known) <= set(encoder.pieces.findall(" ".join(texts[:3]).lower()))
+    more, more_lengths = encoder.encode(texts)
+    library = Tokenizer.from_file(PATH)
+    want = [library.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+    assert more.tolist() == sum(want, []) and more_lengths.tolist() == list(map(len, want))
+    assert ids.tolist() == sum(want[:3], []) and lengths.tolist() == list(map(len, want[:3]))
