@@ -17,9 +17,9 @@ in a document of smaller id; strings never cross documents.
    surroundings) does not fill its part: its windows go one by one, each to the
    part that its own hash names, where equal ones meet as well.
 4. A part builds the suffix order and Burrows-Wheeler transform of its
-   distinct stretches and expands intervals breadth-first by backward
-   extension: the intervals of common prefix l give those of l + 1.  It stops
-   at ``LEAST``: what still lies in one interval are equal windows, and each
+   distinct stretches and, from the intervals that its doubling ranks give,
+   expands intervals breadth-first by backward extension: the intervals of
+   common prefix l give those of l + 1.  It stops at ``LEAST``: what still lies in one interval are equal windows, and each
    learns the smallest id among them.
 5. The answers return to the blocks, which cut the texts.
 """
@@ -207,19 +207,22 @@ def _sorted_places(key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return order, key[order]
 
 
-def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
-    """Positions of ``text`` (symbols 0 to 256) by the ``depth`` or more symbols from there, zeros behind its end."""
+def suffix_order(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Positions of ``text`` (symbols 0 to 256) by the ``depth`` or more symbols from there, zeros behind its end.
+
+    With each position's rank by its first symbols, and their number, below ``depth``, of the last doubling but one."""
     n, known = len(text), 4
     padded = np.concatenate([text.astype(np.int64), np.zeros(known, np.int64)])
     key = np.zeros(n, np.int64)
     for k in range(known):
         key = key << 9 | padded[k:k + n]
     bits, width = 9 * known, n.bit_length()
+    rank, ranked = text, 1
     while True:
         order, s = _sorted_places(key, bits)
         if known >= depth:
-            return order
-        rank = np.empty(n, np.int64)
+            return order, rank, ranked
+        rank, ranked = np.empty(n, np.int64), known
         rank[order] = np.concatenate([[0], np.cumsum(s[1:] != s[:-1])])
         key = rank << width
         key[:max(0, n - known)] |= rank[known:] + 1
@@ -233,33 +236,32 @@ def equal_windows(text: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]
     interval of common prefix l form, moved one step back through the
     transform, an interval of l + 1.  So place j starts a new interval of
     l + 1 exactly if it and place j - 1 have different first symbols, or come
-    from different intervals of l.  Places that already start an interval are
-    settled (their common prefix with the place before is known) and leave
-    the queue; expansion ends at ``least`` or when the queue is empty.
+    from different intervals of l.  The ranks that the suffix order was doubled
+    from already give the intervals of their length, with which extension
+    begins.  Places that already start an interval are settled (their common
+    prefix with the place before is known) and leave the queue; expansion ends
+    at ``least`` or when the queue is empty.
     """
     n = len(text)
-    order = suffix_order(text, least)
+    order, rank, ranked = suffix_order(text, least)
     kind = np.int32 if n < 2**31 else np.int64
     place = np.empty(n, kind)
     place[order] = np.arange(n, dtype=kind)
-    bwt = text[order - 1]  # the symbol before each suffix
     # where each place comes from: the last-to-first step, read backwards
     came = np.empty(n, kind)
-    back = place[order - 1]
-    came[back] = np.arange(n, dtype=kind)
-    first = np.empty(n, text.dtype)
-    first[back] = bwt
+    came[place[order - 1]] = np.arange(n, dtype=kind)
     starts = np.zeros(n, bool)
     if n:
         starts[0] = True
-    starts[1:] |= first[1:] != first[:-1]
+    rank = rank[order]
+    starts[1:] |= rank[1:] != rank[:-1]
     queue = np.flatnonzero(~starts).astype(kind)
     here, before = came[queue], came[queue - 1]
     # places whose two origins are neighbours need no interval numbers: the second origin starts an interval or not
     close = here == before + 1
     near, near_here = queue[close], here[close]
     queue, here, before = queue[~close], here[~close], before[~close]
-    for _ in range(1, least):
+    for _ in range(ranked, least):
         if not len(queue) and not len(near):
             break
         near_split = starts[near_here]
@@ -451,14 +453,16 @@ def _removed(block: Block, shared, answers, parts: int) -> np.ndarray:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST,
-                   block: int = BLOCK, most: int = HOT) -> DataFrame:
+                   block: int = BLOCK, most: int = HOT, as_text: bool = False) -> DataFrame:
     """Every row of ``docs`` with ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed
     runs) and ``kept`` (the bytes that stay) in a struct column ``cut``, beside the
     row's columns in a struct column ``row`` (without the text).
 
     Null and empty texts have no bytes.  Null ids count as larger than all
     others; rows of equal ids remove nothing from one another.  An empty table
-    gives no rows.  Texts are UTF-8 bytes, so a character may be cut.
+    gives no rows.  Texts are UTF-8 bytes, so a character may be cut.  With
+    ``as_text``, ``kept`` is a string and a character of which a part is cut goes
+    whole: decoded where it is cut, without a further Python worker a task.
     """
     others = [c for c in docs.columns if c != text_col]
     kind = T.StructType([f for f in docs.schema.fields if f.name != text_col])
@@ -480,11 +484,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 for size, end, c in zip(own.sizes.tolist(), own.ends.tolist(), others, strict=True):
                     mine = gone[end - size:end]
                     spans = int((mine[1:] & ~mine[:-1]).sum()) + int(size > 0 and mine[0])
-                    out.append((c, size, int(mine.sum()), spans, own.bytes[end - size:end][~mine].tobytes()))
+                    kept = own.bytes[end - size:end][~mine].tobytes()
+                    out.append((c, size, int(mine.sum()), spans, kept.decode("utf-8", "ignore") if as_text else kept))
                 yield pd.DataFrame(out, columns=["carried", "n_bytes", "n_removed", "n_spans", "kept"])
 
     whole = blocks.select("block", "docs").join(shared, "block", "left").join(answers, "block", "left")
-    done = whole.mapInPandas(cut, "carried string, n_bytes long, n_removed long, n_spans long, kept binary")
+    done = whole.mapInPandas(cut, "carried string, n_bytes long, n_removed long, n_spans long, kept " + ("string" if as_text else "binary"))
     return done.select(F.from_json("carried", kind, _EXACT).alias("row"), F.struct("n_bytes", "n_removed", "n_spans", "kept").alias("cut"))
 
 

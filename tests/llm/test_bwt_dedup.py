@@ -116,3 +116,27 @@ def test_intervals_match_common_prefixes():
         for j in range(1, len(s)):
             if max(order[j], order[j - 1]) + least <= len(text):
                 assert (interval[j] == interval[j - 1]) == (s[j] == s[j - 1])
+
+
+def test_extension_begins_at_the_ranks_of_the_doubling(monkeypatch):
+    rng = random.Random(8)
+    text = np.array(([rng.choice([1, 2, 3]) for _ in range(300)] + [0]) * 3, np.int16)
+    _, rank, ranked = B.suffix_order(text, 50)
+    assert ranked == 32
+    prefix = lambda p: tuple(text[p:p + 32])
+    places = range(len(text) - 32)
+    assert {(rank[p] == rank[q], prefix(p) == prefix(q)) for p in places for q in (0, 7, 301, 308, 602)} == {(True, True), (False, False)}
+    # 18 rounds are left of 49: the numbers of intervals are summed up once a round, and once at the end
+    sums = []
+    summed = np.cumsum
+    monkeypatch.setattr(B.np, "cumsum", lambda x, *a, **k: sums.append(1) or summed(x, *a, **k))
+    B.equal_windows(text, 50)
+    assert len(sums) <= 4 + 18 + 1
+
+
+def test_kept_as_text_is_cut_at_whole_characters(spark, make_docs):
+    docs = [(1, "漢" * 30 + "x"), (2, "é漢" + "漢" * 29 + "字"), (3, None)]
+    rows = {r.row.doc_id: r.cut for r in B.remove_repeats(make_docs(docs), as_text=True).collect()}
+    binary = {r.row.doc_id: r.cut for r in B.remove_repeats(make_docs(docs)).collect()}
+    assert all(rows[k].kept == bytes(binary[k].kept).decode("utf-8", "ignore") and rows[k].n_removed == binary[k].n_removed for k in binary)
+    assert rows[2].n_removed > 0 and rows[3].kept == ""
