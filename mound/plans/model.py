@@ -13,8 +13,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+import numpy as np
+import pandas as pd
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
@@ -65,6 +68,53 @@ def train_rf(train: DataFrame, label: str, features: str = "features", num_trees
     return rf.fit(train)
 
 
+def counted(rows: DataFrame, columns: Sequence[str], features: str = "features") -> DataFrame:
+    """Equal rows as one: ``columns`` assembled to ``features``, the other columns, and ``n``, how many rows there are."""
+    others = [c for c in rows.columns if c not in (*columns, features)]
+    return assemble(rows.groupBy(*columns, *others).agg(F.count(F.lit(1)).alias("n")), columns, out=features).select(*others, features, "n")
+
+
+def train_rf_counted(train: DataFrame, label: str, n_classes: int, features: str = "features", num_trees: int = 100,
+                     seed: int = 42, max_depth: int = 5, at_once: int = 8) -> list[RandomForestClassificationModel]:
+    """M5 over counted rows (``n``): the trees of a forest, in order.
+
+    A forest's bootstrap draws each row Poisson(1) times for each tree, so n
+    equal rows together Poisson(n) times, which is the weight of their one row
+    here.  The library draws a row's own number whatever its weight; so the
+    numbers are drawn first, and each tree is fitted to its own.  Labels are
+    whole numbers below ``n_classes``.
+    """
+    @F.pandas_udf("array<double>")
+    def drawn(n: pd.Series, key: pd.Series) -> pd.Series:
+        return pd.Series([np.random.default_rng([seed, k & 0xFFFFFFFFFFFFFFFF]).poisson(m, num_trees).astype(float) for m, k in zip(n, key, strict=True)])
+
+    kind = {"ml_attr": {"type": "nominal", "name": label, "num_vals": n_classes}}
+    key = F.xxhash64(label, vector_to_array(features))
+    rows = train.select(F.col(label).alias(label, metadata=kind), features, drawn("n", key).alias("draws")).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def tree(t: int) -> RandomForestClassificationModel:
+        rf = RandomForestClassifier(featuresCol=features, labelCol=label, weightCol="weight", numTrees=1, bootstrap=False, seed=seed + t,
+                                    featureSubsetStrategy="sqrt" if num_trees > 1 else "all", maxDepth=max_depth)
+        return rf.fit(rows.select(label, features, F.get("draws", F.lit(t)).alias("weight")))
+
+    with ThreadPool(at_once) as pool:
+        models = pool.map(inheritable_thread_target(train.sparkSession)(tree), range(num_trees))
+    rows.unpersist()
+    return models
+
+
+def vote(trees: Sequence[RandomForestClassificationModel], rows: DataFrame) -> DataFrame:
+    """``rows`` with ``prediction``: the first class of the largest sum of the trees' class shares."""
+    columns, names = rows.columns, []
+    for t, model in enumerate(trees):
+        names.append(f"__share{t}")
+        rows = model.setProbabilityCol(names[-1]).setRawPredictionCol("").setPredictionCol("").transform(rows)
+    shares = F.array(*[vector_to_array(c) for c in names])
+    sums = F.reduce(shares, F.array_repeat(F.lit(0.0), trees[0].numClasses), lambda total, own: F.zip_with(total, own, lambda x, y: x + y))
+    rows = rows.select(*columns, F.explode(F.array(sums)).alias("__sums"))
+    return rows.select(*columns, (F.array_position("__sums", F.array_max("__sums")) - 1).cast("double").alias("prediction"))
+
+
 def accuracy(predictions: DataFrame, label: str) -> float:
     """M7 through the library evaluator (a driver-side float)."""
     return MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy").evaluate(predictions)
@@ -76,6 +126,13 @@ def accuracy_frame(predictions: DataFrame, label: str) -> DataFrame:
     return predictions.agg(F.count(F.lit(1)).alias("n_test"), F.avg(hit).alias("accuracy"))
 
 
+def accuracy_counted(predictions: DataFrame, label: str) -> DataFrame:
+    """``accuracy_frame`` of counted rows (``n``)."""
+    hits = F.sum(F.when(F.col("prediction") == F.col(label).cast("double"), F.col("n")).otherwise(0))
+    return predictions.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_test"), hits.alias("hits")).select(
+        "n_test", F.try_divide("hits", "n_test").alias("accuracy"))
+
+
 def confusion(predictions: DataFrame, label: str) -> DataFrame:
     return predictions.groupBy(F.col(label).cast("int").alias("label"),
                                F.col("prediction").cast("int").alias("prediction")).agg(

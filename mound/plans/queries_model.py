@@ -157,9 +157,13 @@ def _multiclass_rows(spark, sf):
 @register("rf_multiclass", ("M9", "M1", "M2", "M5", "M7"))
 def q_rf_multiclass(spark, sf):
     data = _multiclass_rows(spark, sf)
-    train, test = data.randomSplit([0.7, 0.3], seed=42)
-    model = M.train_rf(train, "label", num_trees=100)
-    acc = M.accuracy_frame(model.transform(test), "label").withColumn("n_classes", F.lit(model.numClasses))
+    sides = data.randomSplit([0.7, 0.3], seed=42)
+    # There are as many different rows as pairs of teams and labels, however many pitches: equal ones are counted.
+    teams = ["home_team_index", "away_team_index"]
+    train, test = (M.materialize(M.counted(side.select(*teams, "label"), teams), "rf-multiclass-side") for side in sides)
+    n_classes = int(train.agg(F.max("label")).first()[0]) + 1
+    trees = M.train_rf_counted(train, "label", n_classes, num_trees=100)
+    acc = M.accuracy_counted(M.vote(trees, test), "label").withColumn("n_classes", F.lit(n_classes))
     return M.materialize(acc, "rf-multiclass")
 
 
