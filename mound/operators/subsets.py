@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from mound.session import write_through
+
 
 def preview(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:
     return df.orderBy(*order).limit(n)
@@ -25,10 +27,12 @@ def size_subset(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
     row, its ``n`` smallest values tell where the ``n``-th row lies.  Only
     rows up to that value are read for the top-n, as a filter on the scan, so
     the partitions together send ``n`` rows plus those of the last value to
-    the merge, not ``n`` rows each.
+    the merge, not ``n`` rows each.  Both read ``df`` as it was written once:
+    what it takes to make its rows (joins of the log) is not done twice.
     """
     if n <= 0:
         return df.limit(0)
+    df = write_through(df, "subset-rows")
     key = F.col(order[0])
     heads = df.groupBy(key.alias("k")).agg(F.count(F.lit(1)).alias("rows")).orderBy("k").limit(n)
     before = F.sum("rows").over(Window.orderBy("k").rowsBetween(Window.unboundedPreceding, -1))

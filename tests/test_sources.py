@@ -1,7 +1,7 @@
 from datetime import date
 
-
 import pytest
+from pyspark.sql import functions as F
 
 from mound.schemas import MissingColumnsError
 from mound.operators import seasons as S
@@ -78,6 +78,21 @@ def test_size_subset_equals_sorted_prefix(spark):
     assert L.size_subset(df.where("false"), ("k", "v"), 5).count() == 0
 
 
+def test_size_subset_makes_its_rows_once(spark):
+    from mound.operators import subsets as L
+
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def seen(v):
+        made.add(1)
+        return v
+
+    df = spark.range(200).select((F.col("id") % 7).alias("k"), seen(F.col("id").cast("int")).alias("v"))
+    assert [tuple(r) for r in L.size_subset(df, ("v", "k"), 3).collect()] == [(0, 0), (1, 1), (2, 2)]
+    assert made.value == 200
+
+
 def test_season_slice_pushes_filter(spark):
     path = scratch_path(spark, "slice") + "/t"
     spark.createDataFrame([("2023-04-02",), ("2023-12-01",)], "game_date string").write.parquet(path)
