@@ -129,3 +129,10 @@ def test_lines_are_not_sorted_by_verdict(spark, tmp_path):
     lines, rejects = EV.split_lines(EV.read_game_blocks(spark, str(tmp_path)))
     assert not any("rejected=" in f for f in lines.inputFiles() + rejects.inputFiles())
     assert lines.count() == len(GAME_1) + len(GAME_2) - 2 and [r.line for r in rejects.collect()] == ["zzz"]
+
+
+def test_a_games_rows_are_gathered_behind_their_shuffle(spark):
+    plan = FX.event_file_games(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    # printed from the result down: both halves of the aggregate lie above the shuffle of the rows
+    assert plan.index("partial_collect_list") < plan.index("REPARTITION_BY_NUM")
+    assert "partial_collect_list" not in plan[plan.index("REPARTITION_BY_NUM"):]
