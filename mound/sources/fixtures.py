@@ -217,13 +217,15 @@ def event_file_games(spark: SparkSession, sf_dir: str, malformed: bool = False)
     # One event-file block is one game, so its rows are gathered per order:
     # a few line items (4 per order on average, 17 at most at sf0.1) -- the
     # size of one game, not of the data.
-    # They are dealt first, in as many parts as the tables' bytes ask for: lists
-    # gathered on the other side of the shuffle would save nothing (a scan task
-    # holds few rows of one order) and be sorted, and spilled, by scan tasks
-    # that grow with the files.
-    parts = max(8, parts_of(spark, sf_dir, "lineitem") + parts_of(spark, sf_dir, "orders"))
-    met = games.unionByName(items, allowMissingColumns=True).repartition(parts, "o_orderkey").groupBy("o_orderkey").agg(
-        F.collect_list("g").alias("gs"), F.collect_list("i").alias("is"))
+    met = games.unionByName(items, allowMissingColumns=True)
+    parts = parts_of(spark, sf_dir, "lineitem") + parts_of(spark, sf_dir, "orders")
+    if parts > 8:
+        # Rows of large tables are dealt first, in as many parts as their bytes
+        # ask for: lists gathered before the shuffle would save nothing (a scan
+        # task holds few rows of one order) and be sorted, and spilled, by scan
+        # tasks that grow with the files.
+        met = met.repartition(parts, "o_orderkey")
+    met = met.groupBy("o_orderkey").agg(F.collect_list("g").alias("gs"), F.collect_list("i").alias("is"))
     key = F.col("o_orderkey")
 
     def header(g: Column) -> Column:

@@ -131,7 +131,10 @@ def test_lines_are_not_sorted_by_verdict(spark, tmp_path):
     assert lines.count() == len(GAME_1) + len(GAME_2) - 2 and [r.line for r in rejects.collect()] == ["zzz"]
 
 
-def test_a_games_rows_are_gathered_behind_their_shuffle(spark):
+def test_a_games_rows_are_gathered_behind_their_shuffle(spark, monkeypatch):
+    small = FX.event_file_games(spark, SF_SMALL)
+    monkeypatch.setattr(FX, "PART_BYTES", 1 << 10)  # as many parts as of a large table
+    assert sorted(FX.event_file_games(spark, SF_SMALL).collect()) == sorted(small.collect())
     plan = FX.event_file_games(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     # printed from the result down: both halves of the aggregate lie above the shuffle of the rows
     assert plan.index("partial_collect_list") < plan.index("REPARTITION_BY_NUM")
