@@ -99,7 +99,7 @@ UNION ALL
 SELECT game_id, 'sub', pid, s_name, side, l_linenumber, 11 FROM it WHERE l_tax > 0.06""",
 )
 def q_event_log_lineups(spark, sf):
-    return EV.event_lineups(EV.event_lines(_blocks(spark, sf), ("start", "sub"))).drop("seq")
+    return EV.event_lineups(EV.event_lines(_blocks(spark, sf), ("start", "sub"), nth=False)).drop("seq")
 
 
 @register(
@@ -114,7 +114,7 @@ SELECT game_id, 'badj:' || batter || ':' || CASE WHEN l_suppkey % 2 = 0 THEN 'L'
 )
 def q_event_log_comments(spark, sf):
     # com, radj and badj records in one read: a comment's text, or the fields after the record type
-    lines = EV.event_lines(_blocks(spark, sf), ("com", "radj", "badj"))
+    lines = EV.event_lines(_blocks(spark, sf), ("com", "radj", "badj"), nth=False)
     adjusted = F.concat_ws(":", "record", F.array_join("fields", ":"))
     return lines.select("game_id", F.when(F.col("record") == "com", F.get("fields", 0)).otherwise(adjusted).alias("text"))
 
@@ -127,7 +127,7 @@ SELECT CAST(substr(game_id, 4, 4) AS INTEGER) AS season, pid AS pitcher_id, COUN
 FROM it GROUP BY 1, 2""",
 )
 def q_earned_runs(spark, sf):
-    return EV.earned_runs_by_pitcher(EV.event_earned_runs(EV.event_lines(_blocks(spark, sf), ("data",))))
+    return EV.earned_runs_by_pitcher(EV.event_earned_runs(EV.event_lines(_blocks(spark, sf), ("data",), nth=False)))
 
 
 _ROSTER_CTE = f"""rb AS (SELECT 'c' || lpad(CAST(c_custkey AS VARCHAR), 7, '0') AS player_id, c_name AS last_name,
@@ -189,7 +189,7 @@ SELECT game_id, l_linenumber AS inning, side, COUNT(*) AS plays,
 FROM it GROUP BY game_id, l_linenumber, side""",
 )
 def q_event_plays_by_inning(spark, sf):
-    return EV.plays_by_inning(EV.event_plays(EV.event_lines(_blocks(spark, sf), ("play",))))
+    return EV.plays_by_inning(EV.event_plays(EV.event_lines(_blocks(spark, sf), ("play",), nth=False)))
 
 
 @register(
@@ -200,7 +200,7 @@ SELECT CAST(substr(game_id, 4, 4) AS INTEGER) AS season, batter AS batter_id, CO
 FROM it GROUP BY 1, 2""",
 )
 def q_event_plays_by_batter(spark, sf):
-    return EV.plays_by_batter(EV.event_plays(EV.event_lines(_blocks(spark, sf), ("play",))))
+    return EV.plays_by_batter(EV.event_plays(EV.event_lines(_blocks(spark, sf), ("play",), nth=False)))
 
 
 _BAD_CTE = _ITEMS_CTE + """,

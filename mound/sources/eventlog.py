@@ -54,7 +54,10 @@ def read_game_blocks(spark: SparkSession, paths: str | Sequence[str], glob: str
     raw = reader.text(paths if isinstance(paths, str) else list(paths))
     block = F.when(F.col("value").startswith("id,"), F.substr("value", F.lit(4))).otherwise(F.col("value"))
     lf, crlf = F.lit("\n"), F.lit("\r\n")
-    block = F.replace(F.replace(F.concat(block, lf), crlf, lf), crlf, lf)
+    block = F.concat(block, lf)
+    # a second CR before a line's end is rare: looking for one costs less than replacing twice
+    twice = F.contains(block, F.lit("\r\r\n"))
+    block = F.replace(F.when(twice, F.replace(block, crlf, lf)).otherwise(block), crlf, lf)
     # behind a generator, so that each later use of the lines does not split the text anew
     once = F.explode(F.array(F.array_remove(F.split(block, "\n"), "")))
     split = raw.select(F.col("_metadata.file_name").alias("file_name"), once.alias("lines"))
@@ -66,30 +69,61 @@ def read_game_blocks(spark: SparkSession, paths: str | Sequence[str], glob: str
 def _parse(line: Column) -> Column:
     """Every field after the record type; an empty unquoted field is null."""
     fields = F.regexp_extract_all(line, F.lit(_FIELD), 1)
-    quoted = F.transform(F.slice(fields, F.lit(2), F.greatest(F.size(fields) - 1, F.lit(0))), lambda f: F.when(
+    return F.transform(F.slice(fields, F.lit(2), F.greatest(F.size(fields) - 1, F.lit(0))), lambda f: F.when(
         f.startswith('"') & f.endswith('"') & (F.length(f) > 1),
         F.replace(F.substr(f, F.lit(2), F.length(f) - 2), F.lit('""'), F.lit('"'))).otherwise(F.nullif(f, F.lit(""))))
-    # most lines hold no quote: their fields lie between commas
-    plain = F.split(F.substr(line, F.length(F.substring_index(line, ",", 1)) + 2), ",")
-    plain = F.when(F.contains(line, F.lit(",")), F.transform(plain, lambda f: F.nullif(f, F.lit("")))).otherwise(F.array().cast("array<string>"))
-    return F.when(F.contains(line, F.lit('"')) | F.startswith(line, F.lit(",")), quoted).otherwise(plain)
 
 
-def event_lines(blocks: DataFrame, records: Sequence[str] | None = None) -> DataFrame:
+def _cut(line: str, quotes: str) -> Column:
+    """The fields of a line that commas and at most one quoted field, not
+    empty, cut plainly (empty ones as they are); null for any other.
+    ``quotes`` is the line split at its quotes."""
+    def behind_first(text: Column, less: int = 0) -> Column:
+        parts = F.split(text, ",")
+        return F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1 - less, F.lit(0)))
+
+    before, name, after = (F.get(quotes, F.lit(i)) for i in range(3))
+    one = (F.size(quotes) == 3) & before.endswith(",") & (name != "") & ((after == "") | after.startswith(","))
+    return F.when(~F.col(line).startswith(","), F.when(F.size(quotes) == 1, behind_first(F.col(line))).when(
+        one, F.concat(behind_first(before, 1), F.array(name), behind_first(after))))
+
+
+def with_fields(lines: DataFrame) -> DataFrame:
+    """``lines`` with ``fields``: every field of ``line`` after the record type.
+
+    Lambdas run without generated code, so they are left to the lines that
+    need them: those with an empty field or with quotes of another shape."""
+    columns = lines.columns
+    # behind a generator, so that a filter on a field does not cut the line anew
+    once = F.explode(F.array(_cut("line", "__quotes")))
+    cut = lines.withColumn("__quotes", F.split("line", '"')).select(*columns, once.alias("__cut"))
+    blank = F.transform("__cut", lambda f: F.nullif(f, F.lit("")))
+    return cut.select(*columns, F.when(F.col("__cut").isNull(), _parse(F.col("line"))).when(
+        F.array_contains("__cut", ""), blank).otherwise(F.col("__cut")).alias("fields"))
+
+
+def event_lines(blocks: DataFrame, records: Sequence[str] | None = None, nth: bool = True) -> DataFrame:
     """(game_id, seq, nth, record, fields, file_name, line): one row per line,
     ``seq`` = position of the line inside its game (the id line is 0),
     ``nth`` = its position among the lines of the chosen record types (from
     1), ``fields`` = all fields after the record type, ``line`` as it stands.
 
     Lines are numbered and chosen by their raw start inside the game's row;
-    only chosen lines are parsed, once."""
-    numbered = F.transform("lines", lambda s, i: F.struct((i + 1).alias("seq"), s.alias("line")))
-    if records is not None:
+    only chosen lines are parsed, once.  Without ``nth`` (left out) they are
+    chosen behind the explode, by generated code."""
+    record = F.substring_index("line", ",", 1)
+    if records is None or not nth:
+        ex = blocks.select("game_id", "file_name", F.posexplode("lines").alias("pos", "line"))
+        ex = ex.select("game_id", (F.col("pos") + 1).alias("seq"), (F.col("pos") + 1).alias("nth"), "file_name", "line")
+        if records is not None:
+            ex = ex.where(record.isin(*records)).drop("nth")
+    else:
+        numbered = F.transform("lines", lambda s, i: F.struct((i + 1).alias("seq"), s.alias("line")))
         numbered = F.filter(numbered, lambda x: F.substring_index(x["line"], ",", 1).isin(*records))
-    ex = blocks.select("game_id", "file_name", F.posexplode(numbered).alias("pos", "l"))
-    return ex.select("game_id", F.col("l.seq").alias("seq"), (F.col("pos") + 1).alias("nth"),
-                     F.substring_index("l.line", ",", 1).alias("record"), _parse(F.col("l.line")).alias("fields"),
-                     "file_name", F.col("l.line").alias("line"))
+        ex = blocks.select("game_id", "file_name", F.posexplode(numbered).alias("pos", "l"))
+        ex = ex.select("game_id", F.col("l.seq").alias("seq"), (F.col("pos") + 1).alias("nth"), "file_name", F.col("l.line").alias("line"))
+    out = with_fields(ex.withColumn("record", record))
+    return out.select("game_id", "seq", *(["nth"] if nth else []), "record", "fields", "file_name", "line")
 
 
 def _field(i: int) -> Column:

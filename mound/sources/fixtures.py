@@ -9,6 +9,7 @@ The same definition is kept as SQL text for the DuckDB oracle.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -214,20 +215,18 @@ def event_file_games(spark: SparkSession, sf_dir: str, malformed: bool = False)
     raw_item = ("l_partkey", "l_suppkey", "s_name", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus")
     games = g.select("o_orderkey", F.struct(*raw_game).alias("g"))
     items = li.join(supplier, li.l_suppkey == supplier.s_suppkey).select(F.col("l_orderkey").alias("o_orderkey"), F.struct(*raw_item).alias("i"))
-    # One event-file block is one game, so its rows are gathered per order:
-    # a few line items (4 per order on average, 17 at most at sf0.1) -- the
-    # size of one game, not of the data.
+    # Rows are dealt first, those of large tables in as many parts as their
+    # bytes ask for: lists gathered before the shuffle would save nothing (a
+    # scan task holds few rows of one order) and be sorted, and spilled, by
+    # scan tasks that grow with the files.
     met = games.unionByName(items, allowMissingColumns=True)
     parts = parts_of(spark, sf_dir, "lineitem") + parts_of(spark, sf_dir, "orders")
-    if parts > 8:
-        # Rows of large tables are dealt first, in as many parts as their bytes
-        # ask for: lists gathered before the shuffle would save nothing (a scan
-        # task holds few rows of one order) and be sorted, and spilled, by scan
-        # tasks that grow with the files.
-        met = met.repartition(parts, "o_orderkey")
-    met = met.groupBy("o_orderkey").agg(F.collect_list("g").alias("gs"), F.collect_list("i").alias("is"))
+    met = met.repartition(parts, "o_orderkey") if parts > 8 else met.repartition("o_orderkey")
     key = F.col("o_orderkey")
 
+    def placed(sections: Sequence[int], places: Sequence[Column], lines: Column) -> Column:
+        return F.arrays_zip(F.array(*map(F.lit, sections)).alias("s"), F.array(*places).alias("n"), lines.alias("line"))
+
     def header(g: Column) -> Column:
         info = [
             ("visteam", g["vis"]), ("hometeam", g["home"]),
@@ -239,8 +238,11 @@ def event_file_games(spark: SparkSession, sf_dir: str, malformed: bool = False)
             ("umphome", F.concat(F.lit("u"), g["o_custkey"].cast("string"))),
             ("umphome", F.concat(F.lit("v"), g["o_custkey"].cast("string"))), ("roof", g["o_orderpriority"]),
         ]
-        lines = [F.concat(F.lit("id,"), g["game_id"]), F.lit("version,2"), *[F.concat(F.lit(f"info,{k},"), v) for k, v in info]]
-        return F.array(*[F.struct(F.lit(0).alias("s"), F.lit(i).alias("n"), line.alias("line")) for i, line in enumerate(lines)])
+        starts, ends = zip(("id,", g["game_id"]), ("version,", F.lit("2")), *[(f"info,{k},", v) for k, v in info], strict=True)
+        # a few lines of one shape; spelled out, the code generated for them and
+        # the items' lines would be one method too long for the JVM to compile
+        lines = F.zip_with(F.array(*map(F.lit, starts)), F.array(*ends), lambda start, end: F.concat(start, end))
+        return placed([0] * len(starts), [F.lit(i) for i in range(len(starts))], lines)
 
     # Lines of a game are ordered by (section, line number, kind) and, for
     # line items sharing a line number, by the text of the line itself.
@@ -250,11 +252,10 @@ def event_file_games(spark: SparkSession, sf_dir: str, malformed: bool = False)
         qty, ln, flag = i["l_quantity"].cast("bigint"), i["l_linenumber"], i["l_returnflag"]
         name = F.concat(F.lit('"'), i["s_name"], F.lit('"'))
 
-        def one(section: int, sub: int, line: Column, when: Column | None = None) -> Column:
-            s = F.struct(F.lit(section).alias("s"), (ln * 10 + sub).alias("n"), line.alias("line"))
-            return s if when is None else F.when(when, s)
+        def one(section: int, sub: int, line: Column, when: Column | None = None) -> tuple[int, Column, Column]:
+            return section, ln * 10 + sub, line if when is None else F.when(when, line)
 
-        return F.array(
+        sections, places, lines = zip(*[
             one(1, 0, F.concat_ws(",", F.lit("start"), pid, name, side, ln.cast("string"), (i["l_partkey"] % 10).cast("string"))),
             one(2, 0, F.concat_ws(",", F.lit("play"), ln.cast("string"), side, batter,
                                   F.concat((qty % 4).cast("string"), (qty % 3).cast("string")),
@@ -268,16 +269,25 @@ def event_file_games(spark: SparkSession, sf_dir: str, malformed: bool = False)
             *([one(0, 1001, F.concat_ws(",", F.lit("play"), F.concat(F.lit("x"), ln.cast("string")), side, batter, F.lit("00"), F.lit(""), F.lit("K")), ln == 3),
                one(0, 1002, F.concat_ws(",", F.lit("start"), pid, side), ln == 5),
                one(0, 1003, F.concat_ws(",", F.lit("zzz"), pid), ln == 6)] if malformed else []),
-        )
+        ], strict=True)
+        return placed(sections, places, F.array(*lines))
 
-    lines = F.array_compact(F.flatten(F.concat(F.transform("gs", header), F.transform("is", body))))
-    return met.select("o_orderkey", F.array_join(F.sort_array(lines)["line"], "\r\n").alias("block"))
+    # A row's lines are made by generated code, row by row; in a lambda over
+    # the game's rows they would be made without.  One event-file block is one
+    # game, so its rows are gathered per order: a few line items (4 per order
+    # on average, 17 at most at sf0.1) -- the size of one game, not of the data.
+    made = met.select("o_orderkey", F.when(F.col("g").isNotNull(), header(F.col("g"))).otherwise(body(F.col("i"))).alias("lines"))
+    blocks = made.groupBy("o_orderkey").agg(F.collect_list("lines").alias("lines"))
+    # lines left out have no text, and so are not joined
+    return blocks.select("o_orderkey", F.array_join(F.sort_array(F.flatten("lines"))["line"], "\r\n").alias("block"))
 
 
 def write_event_files(spark: SparkSession, sf_dir: str, path: str, malformed: bool = False) -> None:
     """Event-file layout: CRLF lines, many games per file, compressed."""
     blocks = event_file_games(spark, sf_dir, malformed)
-    blocks.select(F.concat("block", F.lit("\r")).alias("value")).write.mode("overwrite").text(path, compression="gzip")
+    # read once, so quickly compressed: the default level takes three times as long for files a quarter smaller
+    blocks.select(F.concat("block", F.lit("\r")).alias("value")).write.mode("overwrite").option(
+        "zlib.compress.level", "BEST_SPEED").text(path, compression="gzip")
 
 
 def roster_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,6 @@
 from conftest import SF_SMALL
+from pyspark.sql import functions as F
+
 from mound.sources import fixtures as FX
 from mound.sources import eventlog as EV
 
@@ -139,3 +141,28 @@ def test_a_games_rows_are_gathered_behind_their_shuffle(spark, monkeypatch):
     # printed from the result down: both halves of the aggregate lie above the shuffle of the rows
     assert plan.index("partial_collect_list") < plan.index("REPARTITION_BY_NUM")
     assert "partial_collect_list" not in plan[plan.index("REPARTITION_BY_NUM"):]
+
+
+def test_event_file_lines_are_made_row_by_row(spark):
+    """A row's lines by generated code, not in a lambda over a game's rows, which has none."""
+    plan = FX.event_file_games(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "transform(" not in plan and "filter(" not in plan
+
+
+def test_fields_cut_plainly_are_those_of_the_pattern(spark, tmp_path):
+    """Every shape of a line gives the fields that the pattern gives, with ``nth`` and without."""
+    odd = ['com,a,,b,', "com", ",com,x", "com,", 'com,"a, b",,', 'com,"a, b"', 'com,"",x', 'com,x"y"z,1', 'com,"a"b,c', 'com,a,"b ""c"" d",e', 'com,"open,1',
+           'com,"a","b"', 'com,"a",1,"b, c",,2', '"com",a', 'com,é,"ü, ö",1', 'com,a"', 'com,,"q",', "play,1,0,x,00,,K", "play,1,0,x,00,CBX,K\r", 'start,p,"N, M",0,1,9']
+    _write(tmp_path, "2023DET.EVA", ["id,DET202304060", *odd])
+    blocks = EV.read_game_blocks(spark, str(tmp_path))
+    lines = EV.event_lines(blocks)
+    got = lines.select("seq", "nth", "record", "line", "fields", EV._parse(F.col("line")).alias("pattern")).orderBy("seq").collect()
+    assert [(r.seq, r.nth, r.line) for r in got] == [(i, i, line.rstrip("\r")) for i, line in enumerate(odd, 1)]
+    quoted = [r for r in got if '"' in r.line or r.line.startswith(",")]
+    assert [r.fields for r in quoted] == [r.pattern for r in quoted]
+    plain = [r for r in got if r not in quoted]
+    assert [r.fields for r in plain] == [[f or None for f in r.line.split(",")[1:]] for r in plain]
+    for chosen in (("com",), ("play", "start")):
+        numbered = EV.event_lines(blocks, chosen).orderBy("seq")
+        assert [r.nth for r in numbered.collect()] == list(range(1, numbered.count() + 1))
+        assert EV.event_lines(blocks, chosen, nth=False).orderBy("seq").collect() == numbered.drop("nth").collect()
