@@ -166,3 +166,12 @@ def test_fields_cut_plainly_are_those_of_the_pattern(spark, tmp_path):
         numbered = EV.event_lines(blocks, chosen).orderBy("seq")
         assert [r.nth for r in numbered.collect()] == list(range(1, numbered.count() + 1))
         assert EV.event_lines(blocks, chosen, nth=False).orderBy("seq").collect() == numbered.drop("nth").collect()
+
+
+def test_event_files_of_large_tables_are_made_in_smaller_parts(spark, monkeypatch):
+    """Lines take many times the bytes of their rows: a part of 8 MB was spilled where its lines were gathered."""
+    monkeypatch.setattr(FX, "PART_BYTES", 1 << 13)
+    parts = FX.parts_of(spark, SF_SMALL, "lineitem") + FX.parts_of(spark, SF_SMALL, "orders")
+    assert parts > 8
+    plan = FX.event_file_games(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert f", {4 * parts}), REPARTITION_BY_NUM" in plan
