@@ -27,7 +27,7 @@ def as_of(left: DataFrame, right: DataFrame, key: str, at: str, values: Sequence
     """Backward as-of join: each row of ``left`` with the ``values`` of the
     last row of ``right`` for its ``key`` strictly before its ``at``.
 
-    ``right`` has one row per key and ``at``.  The distinct (key, at) of
+    ``right`` has one row per key and ``at``, or equal ones.  The distinct (key, at) of
     ``left`` and the rows of ``right`` are one tagged union, in which the last
     value is carried over; where both have the same ``at``, ``left`` comes
     first.  With days as ``at``, a key's part of that union is bounded by the
@@ -45,8 +45,8 @@ def as_of(left: DataFrame, right: DataFrame, key: str, at: str, values: Sequence
 
 
 def running_totals(days: DataFrame, key: str, at: str, values: Sequence[str]) -> DataFrame:
-    """A day table's sums up to and with each day."""
-    so_far = Window.partitionBy(key).orderBy(at).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    """A table's sums up to and with each row's day, the same for all rows of a day."""
+    so_far = Window.partitionBy(key).orderBy(at).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     return days.select(key, at, *[F.sum(v).over(so_far).alias(v) for v in values])
 
 
@@ -82,15 +82,20 @@ def prior_game_features(pitches: DataFrame, keys: Sequence[str] = GAME_KEY, orde
         F.sum(scored.cast("long")).alias("scored_games"), F.sum(F.when(scored, F.col("runs_for")).otherwise(0)).alias("runs_for"),
         F.sum(F.when(scored, F.col("runs_against")).otherwise(0)).alias("runs_against"))
     teams = write_through(running_totals(team_days, "team", "game_date", _TEAM), "team-days")
-    pitcher_days = parts.groupBy("pitcher", "game_date").agg(*[F.sum(c).alias(c) for c in _PITCHER])
-    pitchers = write_through(running_totals(pitcher_days, "pitcher", "game_date", _PITCHER), "pitcher-days")
+    # One shuffle and one sort for the totals: a pitcher has a row for each half of a game, hardly more than days, and
+    # nothing is asked of rows without a pitcher.  Pitches without a day count to the totals of all days.
+    thrown = parts.where(F.col("pitcher").isNotNull())
+    pitchers = running_totals(thrown, "pitcher", "game_date", _PITCHER)
+    # both sides' starting pitchers are asked for at once: one pass over the days of all pitchers
+    asked = games.select(F.explode(F.array("home_starter", "away_starter")).alias("pitcher"), "game_date").distinct()
+    started = write_through(as_of(asked, pitchers, "pitcher", "game_date", _PITCHER), "starter-days")
 
     out = games
     for side in ("home", "away"):
         renamed = teams.withColumnsRenamed({"team": f"{side}_team"} | {v: f"{side}_t_{v}" for v in _TEAM})
         out = as_of(out, renamed, f"{side}_team", "game_date", [f"{side}_t_{v}" for v in _TEAM])
-        renamed = pitchers.withColumnsRenamed({"pitcher": f"{side}_starter"} | {v: f"{side}_p_{v}" for v in _PITCHER})
-        out = as_of(out, renamed, f"{side}_starter", "game_date", [f"{side}_p_{v}" for v in _PITCHER])
+        renamed = started.withColumnsRenamed({"pitcher": f"{side}_starter"} | {v: f"{side}_p_{v}" for v in _PITCHER})
+        out = out.join(renamed, [f"{side}_starter", "game_date"], "left")
     features: list[Column] = []
     for side in ("home", "away"):
         t, p = f"{side}_t_", f"{side}_p_"

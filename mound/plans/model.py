@@ -22,7 +22,7 @@ from pyspark.ml.classification import RandomForestClassificationModel, RandomFor
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from mound.dictionaries import FEATURES_11
@@ -211,7 +211,7 @@ def fold_facts(rows: DataFrame, label: str = "home_win", season: str = "season")
 
 
 def walk_forward(rows: DataFrame, features: Sequence[str], label: str = "home_win", season: str = "season",
-                 num_trees: int = 100, seed: int = 42) -> DataFrame:
+                 num_trees: int = 100, seed: int = 42, at_once: int = 3) -> DataFrame:
     """M10, leakage-free: (test_season, train_rows, train_positives,
     test_rows, test_positives, accuracy), a model for every season but the
     first, fitted on the seasons before it.
@@ -220,17 +220,24 @@ def walk_forward(rows: DataFrame, features: Sequence[str], label: str = "home_wi
     the label or a feature are left out.  The vectors are assembled and
     persisted once for all folds; a fold is a filter on the season.  A fold
     whose training rows are all of one label is not fitted (null accuracy).
+    ``at_once`` folds are fitted at a time, the largest first: a fit is many
+    short jobs, which alone leave most cores idle.
     """
     data = assemble(rows.where(F.col(label).isNotNull()), features).select(season, "features", F.col(label).cast("double").alias(label))
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     facts = materialize(fold_facts(data, label, season), "fold-facts")
-    spark, scores = rows.sparkSession, []
-    for fold in facts.orderBy("test_season").collect():  # one row per season
+    spark = rows.sparkSession
+
+    def score(fold: Row) -> tuple:
         result = None
         if 0 < fold["train_positives"] < fold["train_rows"]:
             model = train_rf(data.where(F.col(season) < fold["test_season"]), label, num_trees=num_trees, seed=seed)
             result = accuracy_frame(model.transform(data.where(F.col(season) == fold["test_season"])), label).first()["accuracy"]
-        scores.append((fold["test_season"], result))
+        return fold["test_season"], result
+
+    with ThreadPool(at_once) as pool:
+        folds = facts.orderBy(F.desc("test_season")).collect()  # one row per season
+        scores = pool.map(inheritable_thread_target(spark)(score), folds, chunksize=1)
     data.unpersist()
     kind = facts.schema["test_season"].dataType.simpleString()
     return facts.join(F.broadcast(spark.createDataFrame(scores, f"test_season {kind}, accuracy double")), "test_season")

@@ -89,3 +89,39 @@ def test_walk_forward(spark):
     facts = M.fold_facts(df.dropna(subset=["x", "y"]))
     assert {r.test_season: r.test_positives for r in facts.collect()} == {s: out[s].test_positives for s in out}
     assert df.where(F.col("season") == 1).count() == 0
+
+
+def test_pitchers_are_asked_for_once(spark, make_pitches, monkeypatch):
+    written, asked = {}, []
+    write, as_of = P.write_through, P.as_of
+    monkeypatch.setattr(P, "write_through", lambda df, name: written.update({name: df}) or write(df, name))
+    monkeypatch.setattr(P, "as_of", lambda left, right, key, *rest: asked.append(key) or as_of(left, right, key, *rest))
+    P.prior_game_features(make_pitches(log(3))).collect()
+    assert sorted(asked) == ["away_team", "home_team", "pitcher"]  # one pass over the pitchers for both sides
+    assert "pitcher-days" not in written  # nor is a table of all pitchers' days written to be read again
+
+
+def test_pitches_without_a_day_or_a_pitcher(spark, make_pitches):
+    rows = [pitch(day, 1, n, "A", "B", "Top", pitcher=p) for day, n, p in (
+        (None, 1, 5), (None, 2, 5), ("2024-04-01", 1, 5), ("2024-04-01", 2, 5), ("2024-04-02", 1, None), ("2024-04-03", 1, 5))]
+    got = {r.game_date: (r.home_starter, r.home_starter_pitches) for r in P.prior_game_features(make_pitches(rows)).collect()}
+    assert got == {None: (5, 0), "2024-04-01": (5, 0), "2024-04-02": (None, 0), "2024-04-03": (5, 4)}  # those without a day count with the first day
+
+
+def test_running_totals_are_those_of_the_day(spark):
+    days = spark.createDataFrame([("a", 1, 1.0), ("a", 2, 2.0), ("a", 2, 4.0), ("a", 3, None), ("b", None, 1.0), ("b", None, 2.0), ("b", 2, 8.0)], "k string, t int, v double")
+    got = sorted((r.k, r.t, r.v) for r in P.running_totals(days, "k", "t", ["v"]).fillna(0, ["t"]).collect())
+    assert got == [("a", 1, 1.0), ("a", 2, 7.0), ("a", 2, 7.0), ("a", 3, 7.0), ("b", 0, 3.0), ("b", 0, 3.0), ("b", 2, 11.0)]
+
+
+def test_folds_at_once_score_as_one_by_one(spark, monkeypatch):
+    import threading
+
+    rng = random.Random(5)
+    rows = [(2020 + i % 5, x, rng.random(), int(x + rng.random() > 1)) for i in range(600) for x in [rng.random()]]
+    df = spark.createDataFrame(rows, "season int, x double, y double, home_win int").coalesce(2)
+    fit, met = M.train_rf, threading.Barrier(2, timeout=60)
+    alone = {r.test_season: r.accuracy for r in M.walk_forward(df, ["x", "y"], num_trees=5, at_once=1).collect()}
+    monkeypatch.setattr(M, "train_rf", lambda *a, **k: met.wait() is None or fit(*a, **k))  # each waits for another
+    assert {r.test_season: r.accuracy for r in M.walk_forward(df, ["x", "y"], num_trees=5, at_once=2).collect()} == alone
+    assert sorted(alone) == [2021, 2022, 2023, 2024] and None not in alone.values()
