@@ -3,7 +3,8 @@
 The pitch log is scanned once, to one row per game, half inning and
 pitcher; games, starting pitchers and the day tables of teams and pitchers
 all follow from that table.  Running totals are those of a team's (or
-pitcher's) days, and an as-of join takes the last ones before a game's day; so no feature sees the game itself, nor another of that day.
+pitcher's) days, and an as-of join takes the last ones before a game's day;
+so no feature sees the game itself, nor another of that day.
 """
 
 from __future__ import annotations
